@@ -44,13 +44,14 @@ def texts(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*columns)
 
 
-def batches(df: DataFrame, fn, schema: str) -> DataFrame:
-    """mapInArrow; fn takes one record batch and yields record batches."""
+def batches(df: DataFrame, fn, schema: str, setup=None) -> DataFrame:
+    """mapInArrow; fn takes one record batch (and what setup() made, once a task) and yields record batches."""
 
     def run(it):
+        made = (setup(),) if setup else ()
         for batch in it:
             if batch.num_rows:
-                yield from fn(batch)
+                yield from fn(batch, *made)
 
     return df.mapInArrow(run, schema)
 

@@ -4,15 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from newsloom.llm.decontaminate import contaminated, digest
 from newsloom.llm.frames import table
+from newsloom.llm.licenses import license_scan
 from newsloom.llm.quality_rules import quality_rules
 
 
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest(contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
+def op5_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op4_benchmark_decontamination": op4_benchmark_decontamination,
+    "op5_license_scans": op5_license_scans,
     "op6_quality_rules": op6_quality_rules,
 }
 SQL: dict[str, str] = {}
