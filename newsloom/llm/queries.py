@@ -8,6 +8,11 @@ from newsloom.llm.decontaminate import contaminated, digest
 from newsloom.llm.frames import table
 from newsloom.llm.licenses import license_scan
 from newsloom.llm.quality_rules import quality_rules
+from newsloom.llm.substring_dedup import substring_dedup
+
+
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +28,7 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_substring_dedup": op2_substring_dedup,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_license_scans": op5_license_scans,
     "op6_quality_rules": op6_quality_rules,
