@@ -8,7 +8,9 @@ from newsloom.llm.decontaminate import contaminated, digest
 from newsloom.llm.frames import table
 from newsloom.llm.licenses import license_scan
 from newsloom.llm.quality_rules import quality_rules
+from newsloom.llm.sampling import round_trip
 from newsloom.llm.substring_dedup import substring_dedup
+from newsloom.llm.token_counts import token_counts
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,7 +29,17 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op7_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "documents"))
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op7_sentencepiece_sampling": op7_sentencepiece_sampling,
+    "op9_token_counts": op9_token_counts,
     "op2_substring_dedup": op2_substring_dedup,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_license_scans": op5_license_scans,
