@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from newsloom.llm.class_lm import score_corpus
 from newsloom.llm.decontaminate import contaminated, digest
 from newsloom.llm.frames import table
 from newsloom.llm.licenses import license_scan
@@ -33,12 +34,17 @@ def op7_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"))
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_corpus(table(spark, sf_dir, "documents"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op7_sentencepiece_sampling": op7_sentencepiece_sampling,
+    "op8_lm_scoring": op8_lm_scoring,
     "op9_token_counts": op9_token_counts,
     "op2_substring_dedup": op2_substring_dedup,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
