@@ -8,6 +8,7 @@ from newsloom.llm.class_lm import score_corpus
 from newsloom.llm.decontaminate import contaminated, digest
 from newsloom.llm.frames import table
 from newsloom.llm.licenses import license_scan
+from newsloom.llm.quality_classifier import quality_classifier
 from newsloom.llm.quality_rules import quality_rules
 from newsloom.llm.sampling import round_trip
 from newsloom.llm.substring_dedup import substring_dedup
@@ -42,7 +43,12 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
+    "op10_quality_classifier": op10_quality_classifier,
     "op7_sentencepiece_sampling": op7_sentencepiece_sampling,
     "op8_lm_scoring": op8_lm_scoring,
     "op9_token_counts": op9_token_counts,
