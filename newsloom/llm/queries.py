@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from newsloom.llm.class_lm import score_corpus
 from newsloom.llm.decontaminate import contaminated, digest
 from newsloom.llm.frames import table
+from newsloom.llm.html_extraction import extract_pages
 from newsloom.llm.licenses import license_scan
 from newsloom.llm.quality_classifier import quality_classifier
 from newsloom.llm.quality_rules import quality_rules
@@ -15,6 +16,10 @@ from newsloom.llm.substring_dedup import substring_dedup
 from newsloom.llm.token_counts import token_counts
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
@@ -48,6 +53,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_html_extraction": op1_html_extraction,
     "op10_quality_classifier": op10_quality_classifier,
     "op7_sentencepiece_sampling": op7_sentencepiece_sampling,
     "op8_lm_scoring": op8_lm_scoring,
