@@ -8,6 +8,7 @@ from newsloom.llm.class_lm import score_corpus
 from newsloom.llm.decontaminate import contaminated, digest
 from newsloom.llm.frames import table
 from newsloom.llm.html_extraction import extract_pages
+from newsloom.llm.jaccard_join import jaccard_join
 from newsloom.llm.licenses import license_scan
 from newsloom.llm.quality_classifier import quality_classifier
 from newsloom.llm.quality_rules import quality_rules
@@ -24,6 +25,10 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(table(spark, sf_dir, "documents")).drop("k")
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
@@ -59,6 +64,7 @@ QUERIES = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_token_counts": op9_token_counts,
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_license_scans": op5_license_scans,
     "op6_quality_rules": op6_quality_rules,
