@@ -260,6 +260,16 @@ def contaminated(docs: DataFrame, items: DataFrame, doc_id="doc_id", text="text"
     return batches(merged, tidy, HITS)
 
 
+def clean_only(docs: DataFrame, items: DataFrame, doc_id="doc_id", text="text", **options) -> DataFrame:
+    """The documents, with all their columns, that no benchmark window hits."""
+    # Rows are told apart by doc_id and text, so that null and repeated doc_ids are judged by their own text.
+    key = F.xxhash64(F.col(doc_id), F.col(text))
+    rows = docs.select("*", key.alias("_key"))
+    found = contaminated(rows, items, "_key", text, **options)
+    hit = stored(found.where(F.size("items") > 0).select(F.col("doc_id").alias("_key")).distinct(), "contaminated")
+    return rows.join(hit, "_key", "left_anti").select(*docs.columns)
+
+
 def digest(hits: DataFrame) -> DataFrame:
     """The per-document counts of contaminated()."""
     hit = F.aggregate(F.arrays_zip("starts", "ends"), F.lit(0).cast("bigint"), lambda a, x: a + x["ends"] - x["starts"])

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 ARROW_ROWS = 1000
 
@@ -19,22 +19,35 @@ def shared_folder(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
+_records: list[list[str]] = []
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a frame as Parquet in the shared folder and read it again: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    for record in _records:
+        record.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_stored(*frames: DataFrame) -> None:
-    """Delete tables made by stored(), once nothing reads them any more."""
-    for df in frames:
-        spark = df.sparkSession
-        for file in df.inputFiles()[:1]:
-            path = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
-            if path.toString().find(shared_folder(spark).split(":")[-1]) >= 0:
-                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+@contextlib.contextmanager
+def recorded():
+    """A list that gets the path of every table stored within."""
+    paths: list[str] = []
+    _records.append(paths)
+    try:
+        yield paths
+    finally:
+        _records[:] = [r for r in _records if r is not paths]
+
+
+def delete(spark: SparkSession, paths: list[str]) -> None:
+    """Delete stored tables that nothing reads any more."""
+    for p in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def texts(df: DataFrame, *columns: str) -> DataFrame:
@@ -59,7 +72,3 @@ def batches(df: DataFrame, fn, schema: str, setup=None) -> DataFrame:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
-
-def only(df: DataFrame, **kinds: str) -> DataFrame:
-    """Cast the named columns to fixed types."""
-    return df.select(*[F.col(c).cast(t).alias(c) for c, t in kinds.items()])

@@ -268,3 +268,16 @@ def jaccard_join(docs: DataFrame, doc_id="doc_id", text="text", threshold=THRESH
     named = classes.join(links.withColumnRenamed("k", "rep"), "rep", "left").join(joined.select(F.col("node").alias("rep"), "component"), "rep", "left")
     named = stored(named.select("t1", "t2", F.coalesce("component", "rep").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), F.col("rep").alias("text_id"), "n_copies"), "classes")
     return signed_.select("doc_id", "k", "t1", "t2").join(named, ["t1", "t2"]).select("doc_id", "k", "class_id", "n_links", "text_id", "n_copies")
+
+
+def one_of_each(docs: DataFrame, doc_id="doc_id", text="text", **options) -> DataFrame:
+    """The documents, with all their columns, less those that are copies or near copies: of each class the smallest doc_id stays."""
+    classes = stored(jaccard_join(docs, doc_id, text, **options), "joined")
+    first = classes.where("k = class_id AND k = text_id").groupBy("k").agg(F.count("*").alias("rows"))
+    late = F.shiftrightunsigned(F.xxhash64(F.lit(2), text), 2) + F.lit(1 << 62)
+    key = F.coalesce(F.col(doc_id).cast("bigint"), late)
+    kept = docs.withColumn("_key", key).join(stored(first, "first").withColumnRenamed("k", "_key"), "_key")
+    if kept.where("rows > 1").isEmpty():
+        return kept.select(*docs.columns)
+    # Repeated rows and rows that share a doc_id: one of each stays.
+    return kept.dropDuplicates(["_key"]).select(*docs.columns)

@@ -177,30 +177,47 @@ def references(docs: DataFrame, text="text", lang="lang") -> dict[str, tuple[lis
 
 
 SCHEMA = "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, base_failed boolean, kept boolean, char_distance double, word_distance double"
-
-
-def quality_rules(docs: DataFrame, doc_id="doc_id", text="text", lang="lang", max_char=MAX_CHAR_DISTANCE, odd_char=ODD_CHAR_DISTANCE, odd_word=ODD_WORD_DISTANCE) -> DataFrame:
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
+
+def verdicts(text_column, lang_column, known):
+    """(counts, base_failed, kept, character distance, word distance) of each text."""
+    p = profiles(text_column)
+    n = p["n_words"]
+    langs = np.array(_languages(lang_column))
+    chars, common = _shares(p["chars"]), _shares(p["common"])
+    dc, dw = np.zeros(len(n)), np.zeros(len(n))
+    for name in LANGUAGES:
+        ref = known.get(name) or known.get("other")
+        if ref and (pick := langs == name).any():
+            dc[pick] = js_distance(chars[pick], np.array(ref[0]))
+            dw[pick] = js_distance(common[pick], np.array(ref[1]))
+    failed = (n < MIN_WORDS) | (100 * p["n_repeat_words"] > MAX_REPEAT_PERCENT * n)
+    odd = ((n >= CHAR_MIN_WORDS) & (dc > MAX_CHAR_DISTANCE)) | ((n >= WORD_MIN_WORDS) & (dc > ODD_CHAR_DISTANCE) & (dw > ODD_WORD_DISTANCE))
+    return p, failed, ~failed & ~odd, dc, dw
+
+
+def quality_rules(docs: DataFrame, doc_id="doc_id", text="text", lang="lang") -> DataFrame:
     """One row per document: the base counts, both distances, and the verdict `kept`."""
     known = references(docs, text, lang)
 
     def judge(batch):
         for part in slices(batch, 1):
-            p = profiles(part.column(1))
-            n = p["n_words"]
-            langs = np.array(_languages(part.column(2)))
-            chars, common = _shares(p["chars"]), _shares(p["common"])
-            dc, dw = np.zeros(len(n)), np.zeros(len(n))
-            for name in LANGUAGES:
-                ref = known.get(name) or known.get("other")
-                if ref and (pick := langs == name).any():
-                    dc[pick] = js_distance(chars[pick], np.array(ref[0]))
-                    dw[pick] = js_distance(common[pick], np.array(ref[1]))
-            failed = (n < MIN_WORDS) | (100 * p["n_repeat_words"] > MAX_REPEAT_PERCENT * n)
-            odd = ((n >= CHAR_MIN_WORDS) & (dc > max_char)) | ((n >= WORD_MIN_WORDS) & (dc > odd_char) & (dw > odd_word))
-            counts = [pa.array(p[k], pa.int64()) for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0).cast(pa.int64()), *counts, pa.array(failed), pa.array(~failed & ~odd), pa.array(dc), pa.array(dw)],
-                [c.split()[0] for c in SCHEMA.split(", ")],
-            )
+            p, failed, kept, dc, dw = verdicts(part.column(1), part.column(2), known)
+            counts = [pa.array(p[k], pa.int64()) for k in COUNTS]
+            yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), *counts, pa.array(failed), pa.array(kept), pa.array(dc), pa.array(dw)], [c.split()[0] for c in SCHEMA.split(", ")])
 
     return batches(texts(docs, doc_id, text, lang), judge, SCHEMA)
+
+
+def quality_filter(docs: DataFrame, text="text", lang="lang") -> DataFrame:
+    """The documents, with all their columns, that the rules keep."""
+    known = references(docs, text, lang)
+    at = [docs.columns.index(text), docs.columns.index(lang)]
+
+    def judge(batch):
+        for part in slices(batch, at[0]):
+            kept = verdicts(part.column(at[0]), part.column(at[1]), known)[2]
+            yield part.filter(pa.array(kept))
+
+    return batches(texts(docs, *docs.columns), judge, docs.schema)

@@ -128,17 +128,21 @@ def _setup(vocabulary, alpha):
     return Lattice(vocabulary, vocabulary.rank_log_probabilities() * alpha)
 
 
-def encode(docs: DataFrame, doc_id="doc_id", text="text", model: str = MODEL, alpha=ALPHA, seed=SEED) -> DataFrame:
-    """One row per document: the ids of its sampled segmentation."""
+def encode(docs: DataFrame, doc_id="doc_id", text="text", model: str = MODEL, alpha=ALPHA, seed=SEED, check=False) -> DataFrame:
+    """One row per document: the ids of its sampled segmentation; with `check`, whether they decode to the text."""
     known = Vocabulary.load(model)
 
-    def run(batch, lattice):
+    def run(batch, made):
+        lattice, decoder = made
         for part in slices(batch, 1):
             ids, first = sample(part.column(1), _keys(part.column(0)), lattice, seed)
             lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(ids, pa.int32()))
-            yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), pa.array(np.diff(first), pa.int64()), lists], ["doc_id", "n_pieces", "ids"])
+            columns = [part.column(0).cast(pa.int64()), pa.array(np.diff(first), pa.int64()), lists]
+            if check:
+                columns.append(pa.array([decoder.text(ids[first[k] : first[k + 1]].tolist()) == (t or "") for k, t in enumerate(part.column(1).to_pylist())]))
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_pieces", "ids", "lossless"][: len(columns)])
 
-    return batches(texts(docs, doc_id, text), run, ENCODED, setup=lambda: _setup(known, alpha))
+    return batches(texts(docs, doc_id, text), run, ENCODED + ", lossless boolean" * check, setup=lambda: (_setup(known, alpha), Decoder(known)))
 
 
 def decode(encoded: DataFrame, doc_id="doc_id", ids="ids", model: str = MODEL) -> DataFrame:
