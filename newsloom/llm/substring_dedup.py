@@ -212,6 +212,21 @@ def substring_dedup(docs: DataFrame, doc_id="doc_id", text="text", window=WINDOW
     return out
 
 
+def cut_repeats(docs: DataFrame, doc_id="doc_id", text="text", window=WINDOW) -> DataFrame:
+    """The documents, with all their columns, without the words that substring_dedup removes.
+
+    Texts that lose nothing stay as they are; documents that lose every word go.
+    """
+    found = substring_dedup(docs, doc_id, text, window, with_text=True).where("n_removed > 0")
+    cut = stored(found.select(*KEY, "kept_text").dropDuplicates(KEY), "substring-kept").select(*[F.col(c).alias(f"_{c}") for c in (*KEY, "kept_text")])
+    keys = [F.coalesce(F.col(doc_id).cast("bigint"), F.lit(LAST)), F.xxhash64(text), F.xxhash64(F.lit(1), text)]
+    rows = docs.select("*", *[e.alias(f"_{c}") for e, c in zip(keys, KEY, strict=True)]).join(cut, [f"_{c}" for c in KEY], "left").where("_kept_text IS NULL OR _kept_text != ''")
+    changed = {text: F.coalesce("_kept_text", text)}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.when(F.col("_kept_text").isNull(), F.col("n_chars")).otherwise(F.length("_kept_text").cast(docs.schema["n_chars"].dataType))
+    return rows.select(*[changed.get(c, F.col(c)).alias(c) for c in docs.columns])
+
+
 def longest_repeats(docs: DataFrame, doc_id="doc_id", text="text", window=WINDOW, max_window: int | None = None) -> DataFrame:
     """Per repeated document text: the longest window length, window * 2**i, at which it still repeats elsewhere."""
     levels = Levels(docs, doc_id, text, window)
