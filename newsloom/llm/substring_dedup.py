@@ -57,9 +57,27 @@ def anchors(h, first, n, span):
     low = _sliding(w, run, np.minimum)
     padded = np.concatenate([np.zeros(run - 1, np.uint64), low, np.zeros(run - 1, np.uint64)])
     pick = np.flatnonzero((_sliding(padded, run, np.maximum) == w) & ok)
+    pick = _thin(pick, w[pick], doc[pick], run)
     return pick, w[pick]
 
 
+def _thin(pick, value, doc, run):
+    """Of neighbouring anchors of equal hash, as repeated words give, only so many that each run still has one."""
+    same = (value[1:] == value[:-1]) & (np.diff(pick) < run) & (doc[1:] == doc[:-1])
+    if not same.any():
+        return pick
+    keep = np.ones(len(pick), bool)
+    heads = np.flatnonzero(np.concatenate([[True], ~same, [True]]))  # of chains of such neighbours
+    for c in np.flatnonzero(np.diff(heads) > 2):
+        last = heads[c]
+        for k in range(heads[c] + 1, heads[c + 1] - 1):
+            if pick[k + 1] - pick[last] > run:
+                last = k
+            else:
+                keep[k] = False
+    return pick[keep]
+
+
 def keyed(docs: DataFrame, doc_id, text) -> DataFrame:
     """Key columns: k orders documents, t1 and t2 are hashes of the whole text."""
     return docs.select(
@@ -146,6 +164,7 @@ class Levels:
         self.classes = self.base.groupBy("t1", "t2").agg(F.min("k").alias("rep"))
         found = self.base.where(F.size("hs") > 0).select(*KEY, F.explode(F.arrays_zip("hs", "ps")).alias("a")).select(*KEY, F.col("a.hs").alias("h"), F.col("a.ps").alias("p"))
         live = found.groupBy("h").agg(F.min("t1").alias("a"), F.max("t1").alias("b")).where("a != b").select("h")
+        live = stored(live, "substring-live")
         places = stored(found.join(live, "h", "left_semi").select(*KEY, "p"), "substring-anchors")
         firsts = self.classes.select("t1", "t2", F.col("rep").alias("k"))
         wanted = places.groupBy(*KEY).agg(F.collect_set("p").alias("ps")).join(firsts, KEY, "left_semi")
