@@ -203,7 +203,7 @@ def best_class(w, classes, table, after, before, own, n_free):
     rest[g, g] += o
     s[g] -= o
     p[g] -= o
-    rows, cols = rest.sum(1), rest.sum(0)
+    rows, cols = rest.sum(1) + p, rest.sum(0) + s  # of the other words, w as their neighbour included
     cand = np.arange(n_free)
     out, into = s.sum() + o, p.sum() + o
     gain = (_xlogx(rest[:n_free] + s) - _xlogx(rest[:n_free])).sum(1)
