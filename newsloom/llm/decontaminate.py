@@ -40,25 +40,29 @@ def tokens(column):
 INDEX = "doc_ids binary, first binary, terms binary, lists binary, positions binary"
 
 
+def shard_blobs(ids, column) -> tuple[bytes, ...]:
+    """The columns of one shard: ids with their validity, first words, terms, lists, positions."""
+    h, first = tokens(column)
+    order = np.argsort(h, kind="stable")
+    s = h[order]
+    heads = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]])) if len(s) else np.zeros(0, np.int64)
+    parts = (
+        np.concatenate([np.asarray(ids.fill_null(0)), np.asarray(ids.is_valid())]).astype("<i8"),
+        first.astype("<i4"),
+        s[heads].astype("<u8"),
+        np.append(heads, len(s)).astype("<i4"),
+        order.astype("<i4"),
+    )
+    return tuple(p.tobytes() for p in parts)
+
+
 def build_index(docs: DataFrame, doc_id="doc_id", text="text") -> DataFrame:
     """The index, one row per shard: documents, first word of each, terms, start of each list, positions."""
 
     def run(batch):
         for part in slices(batch, 1):
-            h, first = tokens(part.column(1))
-            order = np.argsort(h, kind="stable")
-            s = h[order]
-            heads = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]])) if len(s) else np.zeros(0, np.int64)
-            ids = part.column(0).cast(pa.int64())
-            known = np.asarray(ids.is_valid())
-            blobs = (
-                np.concatenate([np.asarray(ids.fill_null(0)), known]).astype("<i8"),
-                first.astype("<i4"),
-                s[heads].astype("<u8"),
-                np.append(heads, len(s)).astype("<i4"),
-                order.astype("<i4"),
-            )
-            yield pa.RecordBatch.from_arrays([pa.array([b.tobytes()], pa.binary()) for b in blobs], [c.split()[0] for c in INDEX.split(", ")])
+            blobs = shard_blobs(part.column(0).cast(pa.int64()), part.column(1))
+            yield pa.RecordBatch.from_arrays([pa.array([b], pa.binary()) for b in blobs], [c.split()[0] for c in INDEX.split(", ")])
 
     return batches(texts(docs, doc_id, text), run, INDEX)
 
@@ -260,14 +264,24 @@ def contaminated(docs: DataFrame, items: DataFrame, doc_id="doc_id", text="text"
     return batches(merged, tidy, HITS)
 
 
-def clean_only(docs: DataFrame, items: DataFrame, doc_id="doc_id", text="text", **options) -> DataFrame:
-    """The documents, with all their columns, that no benchmark window hits."""
-    # Rows are told apart by doc_id and text, so that null and repeated doc_ids are judged by their own text.
-    key = F.xxhash64(F.col(doc_id), F.col(text))
-    rows = docs.select("*", key.alias("_key"))
-    found = contaminated(rows, items, "_key", text, **options)
-    hit = stored(found.where(F.size("items") > 0).select(F.col("doc_id").alias("_key")).distinct(), "contaminated")
-    return rows.join(hit, "_key", "left_anti").select(*docs.columns)
+def clean_only(docs: DataFrame, items: DataFrame, text="text", item_id="item_id", item_text="text", window=WINDOW) -> DataFrame:
+    """The documents, with all their columns, that no benchmark window hits.
+
+    Each batch is indexed, searched and filtered where it is read, so nothing is shuffled or stored.
+    """
+    at, out = docs.columns.index(text), texts(docs, *docs.columns)
+    for block in item_blocks(items, item_id, item_text):
+        phrases = phrases_of(block, window)
+
+        def run(batch, phrases=phrases):
+            for part in slices(batch, at):
+                shard = Shard(*shard_blobs(pa.nulls(part.num_rows, pa.int64()), part.column(at)))
+                keep = np.ones(part.num_rows, bool)
+                keep[shard.doc(search(shard, phrases)[0])] = False
+                yield part.filter(pa.array(keep))
+
+        out = batches(out, run, docs.schema)
+    return out
 
 
 def digest(hits: DataFrame) -> DataFrame:

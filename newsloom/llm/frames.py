@@ -72,3 +72,14 @@ def batches(df: DataFrame, fn, schema: str, setup=None) -> DataFrame:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
+
+
+def free(df: DataFrame, *names: str) -> list[str]:
+    """Column names like these that the frame does not have yet."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
