@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.llm.components import connected_components
-from newsloom.llm.frames import batches, stored, texts
+from newsloom.llm.frames import batches, free, stored, texts
 from newsloom.llm.kernels import SPACE_WORDS, buffer, doc_of, mix, signed, slices, window_hashes, word_hashes, words
 
 SHINGLE = 5
@@ -237,7 +237,8 @@ def candidates(rows: DataFrame, signed_: DataFrame, classes: DataFrame, n, trees
                 lists.append(line)
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(lists, pa.list_(pa.int64())), part.column(2), pa.array(sets, pa.binary())], ["k", "nodes", "at", "sh"])
 
-    wanted = rows.drop("doc_id").join(stored(mine, "members"), KEY).dropDuplicates(KEY).select("k", "text", "at")
+    # A merge join at every size: a broadcast of the members would end at some size of the corpus.
+    wanted = rows.drop("doc_id").join(stored(mine, "members").hint("merge"), KEY).dropDuplicates(KEY).select("k", "text", "at")
     return stored(batches(wanted, run, "k bigint, nodes array<bigint>, at array<struct<tree:int,node:bigint,n:bigint>>, sh binary"), "shingles")
 
 
@@ -275,9 +276,10 @@ def one_of_each(docs: DataFrame, doc_id="doc_id", text="text", **options) -> Dat
     classes = stored(jaccard_join(docs, doc_id, text, **options), "joined")
     first = classes.where("k = class_id AND k = text_id").groupBy("k").agg(F.count("*").alias("rows"))
     late = F.shiftrightunsigned(F.xxhash64(F.lit(2), text), 2) + F.lit(1 << 62)
-    key = F.coalesce(F.col(doc_id).cast("bigint"), late)
-    kept = docs.withColumn("_key", key).join(stored(first, "first").withColumnRenamed("k", "_key"), "_key")
-    if kept.where("rows > 1").isEmpty():
+    key, rows = free(docs, "_key", "_rows")
+    first = stored(first.select(F.col("k").alias(key), F.col("rows").alias(rows)), "first")
+    kept = docs.withColumn(key, F.coalesce(F.col(doc_id).cast("bigint"), late)).join(first.hint("merge"), key)
+    if first.where(F.col(rows) > 1).isEmpty():
         return kept.select(*docs.columns)
     # Repeated rows and rows that share a doc_id: one of each stays.
-    return kept.dropDuplicates(["_key"]).select(*docs.columns)
+    return kept.dropDuplicates([key]).select(*docs.columns)
