@@ -33,7 +33,7 @@ THRESHOLD = 0.8
 TREES = 16
 DEPTH = 8
 TARGET_RECALL = 0.9995
-BLOCK = 512
+BLOCK = 256
 COLUMNS = 4096
 KEY = ["k", "t1", "t2"]
 
