@@ -13,6 +13,7 @@ from newsloom.llm.licenses import license_scan
 from newsloom.llm.quality_classifier import quality_classifier
 from newsloom.llm.quality_rules import quality_rules
 from newsloom.llm.sampling import round_trip
+from newsloom.llm.sql import DECONTAMINATION, JACCARD_JOIN, SUBSTRING_DEDUP
 from newsloom.llm.substring_dedup import substring_dedup
 from newsloom.llm.token_counts import token_counts
 
@@ -69,4 +70,9 @@ QUERIES = {
     "op5_license_scans": op5_license_scans,
     "op6_quality_rules": op6_quality_rules,
 }
-SQL: dict[str, str] = {}
+# The others have no short SQL form: they hash, sample, learn or parse. The tests hold them against brute force.
+SQL: dict[str, str] = {
+    "op2_substring_dedup": SUBSTRING_DEDUP,
+    "op3_ngram_jaccard_join": JACCARD_JOIN,
+    "op4_benchmark_decontamination": DECONTAMINATION,
+}
