@@ -7,6 +7,7 @@ import html as html_lib
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 POSITIVE, NEGATIVE = 0.05, -0.05
 
@@ -152,7 +153,7 @@ def plain_entities(x) -> Column:
     return t
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def unescape(texts: pd.Series) -> pd.Series:
     """All character references, through a pandas UDF; for texts where plain_entities is not enough."""
     return texts.map(html_lib.unescape, na_action="ignore")

@@ -47,9 +47,9 @@ def renumbered(df: DataFrame, *order, column="GOOGLE_INDEX") -> DataFrame:
 
 
 def unseen(new: DataFrame, old: DataFrame, seq: str = "seq") -> DataFrame:
-    """New rows whose link the corpus lacks, each link once."""
-    known = old.select(link_key().alias("_link")).where("_link IS NOT NULL")
-    fresh = new.withColumn("_link", link_key()).join(known, "_link", "left_anti")
+    """New rows whose link the corpus lacks, each link once; rows without a link go by title and source."""
+    known = old.select(link_or_title_key().alias("_link"))
+    fresh = new.withColumn("_link", link_or_title_key()).join(known, "_link", "left_anti")
     return first_of(fresh, "_link", seq).drop("_link")
 
 

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from newsloom.functions import quality as Q
 from newsloom.functions import text as X
@@ -626,7 +627,7 @@ def taxonomy_union(spark, sf):
     return m.select("namespace", F.col("RISK_ID").alias("risk"), "label", F.array_join("terms", "|").alias("terms"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def encode_terms(values):
     return values.map(taxonomy.encode_text)
 

@@ -19,7 +19,7 @@ def signal_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = line.join(order, F.col("l_orderkey") == F.col("o_orderkey")).join(part, F.col("l_partkey") == F.col("p_partkey")).join(customer, F.col("o_custkey") == F.col("c_custkey"))
     k = F.round(F.col("l_discount") * 100).cast("int") - 5
     return df.select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("seq"),
+        ((F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 1_000_000 + F.col("l_partkey") % 1_000_000).alias("seq"),
         F.when(F.col("p_brand") == "Brand#25", -1).otherwise(F.substring("p_brand", 7, 2).cast("int")).alias("TOPIC_ID"),
         F.col("c_nationkey").alias("RISK_ID"),
         F.date_format("o_orderdate", "yyyy-MM").alias("month"),
@@ -36,7 +36,7 @@ def signal_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SIGNAL = """signal AS (
-  SELECT l_orderkey * 10 + l_linenumber AS seq,
+  SELECT (l_orderkey * 10 + l_linenumber) * 1000000 + l_partkey % 1000000 AS seq,
          CASE WHEN p_brand = 'Brand#25' THEN -1 ELSE CAST(substr(p_brand, 7, 2) AS INTEGER) END AS topic,
          c_nationkey AS risk, strftime(o_orderdate, '%Y-%m') AS month, strftime(o_orderdate, '%Y-%m-%d') AS day,
          CAST(o_orderdate AS TIMESTAMP) AS ts,

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from newsloom.schemas import TAXONOMY_FILE
 
@@ -23,7 +24,7 @@ def encode_text(text: str) -> str:
     return str(int.from_bytes(text.encode(), "little"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def decoded(values: pd.Series) -> pd.Series:
     """Numbers of a hundred digits fit no SQL type, so this goes through pandas."""
     return values.map(decode_number)
