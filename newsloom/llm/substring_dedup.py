@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.frames import batches, stored, texts
+from newsloom.llm.frames import batches, free, stored, texts
 from newsloom.llm.kernels import SPACE_WORDS, buffer, doc_of, signed, slices, window_hashes, word_hashes, words
 
 WINDOW = 50
@@ -161,14 +161,14 @@ class Levels:
         self.window = window
         self.rows = texts(keyed(docs, doc_id, text), "doc_id", *KEY, "text")
         self.base = stored(base_table(self.rows, window), "substring-base")
-        self.classes = self.base.groupBy("t1", "t2").agg(F.min("k").alias("rep"))
+        self.classes = stored(self.base.groupBy("t1", "t2").agg(F.min("k").alias("rep")), "substring-texts-seen")
         found = self.base.where(F.size("hs") > 0).select(*KEY, F.explode(F.arrays_zip("hs", "ps")).alias("a")).select(*KEY, F.col("a.hs").alias("h"), F.col("a.ps").alias("p"))
         live = found.groupBy("h").agg(F.min("t1").alias("a"), F.max("t1").alias("b")).where("a != b").select("h")
         live = stored(live, "substring-live")
         places = stored(found.join(live, "h", "left_semi").select(*KEY, "p"), "substring-anchors")
         firsts = self.classes.select("t1", "t2", F.col("rep").alias("k"))
         wanted = places.groupBy(*KEY).agg(F.collect_set("p").alias("ps")).join(firsts, KEY, "left_semi")
-        self.candidates = stored(self.rows.drop("doc_id").join(wanted, KEY), "substring-texts").select(*KEY, "text", "ps")
+        self.candidates = stored(self.rows.drop("doc_id").join(wanted.hint("merge"), KEY), "substring-texts").select(*KEY, "text", "ps")
 
     def first_owner(self) -> DataFrame:
         """Windows of the final length that a smaller document also has: key, p."""
@@ -237,12 +237,13 @@ def cut_repeats(docs: DataFrame, doc_id="doc_id", text="text", window=WINDOW) ->
     Texts that lose nothing stay as they are; documents that lose every word go.
     """
     found = substring_dedup(docs, doc_id, text, window, with_text=True).where("n_removed > 0")
-    cut = stored(found.select(*KEY, "kept_text").dropDuplicates(KEY), "substring-kept").select(*[F.col(c).alias(f"_{c}") for c in (*KEY, "kept_text")])
-    keys = [F.coalesce(F.col(doc_id).cast("bigint"), F.lit(LAST)), F.xxhash64(text), F.xxhash64(F.lit(1), text)]
-    rows = docs.select("*", *[e.alias(f"_{c}") for e, c in zip(keys, KEY, strict=True)]).join(cut, [f"_{c}" for c in KEY], "left").where("_kept_text IS NULL OR _kept_text != ''")
-    changed = {text: F.coalesce("_kept_text", text)}
+    *keys, kept = names = free(docs, "_k", "_t1", "_t2", "_kept")
+    cut = stored(found.dropDuplicates(KEY).select(*[F.col(c).alias(n) for c, n in zip((*KEY, "kept_text"), names, strict=True)]), "substring-kept")
+    made = [F.coalesce(F.col(doc_id).cast("bigint"), F.lit(LAST)), F.xxhash64(text), F.xxhash64(F.lit(1), text)]
+    rows = docs.select("*", *[e.alias(n) for e, n in zip(made, keys, strict=True)]).join(cut.hint("merge"), keys, "left").where(F.col(kept).isNull() | (F.col(kept) != ""))
+    changed = {text: F.coalesce(kept, text)}
     if "n_chars" in docs.columns:
-        changed["n_chars"] = F.when(F.col("_kept_text").isNull(), F.col("n_chars")).otherwise(F.length("_kept_text").cast(docs.schema["n_chars"].dataType))
+        changed["n_chars"] = F.when(F.col(kept).isNull(), F.col("n_chars")).otherwise(F.length(kept).cast(docs.schema["n_chars"].dataType))
     return rows.select(*[changed.get(c, F.col(c)).alias(c) for c in docs.columns])
 
 
