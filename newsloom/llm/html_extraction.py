@@ -49,7 +49,7 @@ TAG_GROUPS = {**{t: 0 for t in ("p", "blockquote", "pre")}, **{f"h{k}": 1 for k
 N_GROUPS = 8
 CONTENT = ROLE_NAMES.index("content")
 N_ROLES = len(ROLE_NAMES)
-SWITCH_COST = 3.0
+SWITCH_COST = 1.0
 
 
 @functools.lru_cache(maxsize=4096)
@@ -215,8 +215,8 @@ def _boilerplate(r: random.Random) -> str:
     return f"<{tag} {name}>{inner}</{tag}>"
 
 
-def _content(r: random.Random) -> str:
-    """The inside of an article."""
+def _content(r: random.Random) -> list[str]:
+    """The parts inside an article."""
     out = [r.choice([f"<h1>{_words(r, 1, 12)}</h1>", f"<h1>{_words(r, 1, 12)}</h1>", f"<header><h1>{_words(r, 2, 9)}</h1></header>", f"<h2>{_words(r, 1, 8)}</h2>", ""])]
     for _ in range(0 if r.random() < 0.08 else r.choice([r.randint(1, 4), r.randint(3, 25)])):
         size = r.choice([(1, 2), (3, 12), (10, 60), (30, 160)])
@@ -237,17 +237,16 @@ def _content(r: random.Random) -> str:
                 ]
             )
         )
-    return "".join(out) if any(out) else f"<p>{_words(r, 5, 50)}</p>"
+    return out if any(out) else [f"<p>{_words(r, 5, 50)}</p>"]
 
 
 def training_page(seed: int):
     """Html in which U+E003 and U+E004 enclose the content, U+E001 and U+E002 what is odd inside it."""
     r = random.Random(seed)
-    content = _content(r)
-    if r.random() < 0.3:  # something odd in the middle of the article
-        parts = content.split("</p>")
-        at = r.randrange(len(parts))
-        content = "</p>".join(parts[:at] + ["\ue001" + _boilerplate(r) + "\ue002" + parts[at]] + parts[at + 1 :])
+    parts = _content(r)
+    for _ in range(r.choice([0, 0, 1, 2])):  # something odd in the middle of the article
+        parts.insert(r.randint(1, len(parts)), f"\ue001{_boilerplate(r)}\ue002")
+    content = "".join(parts)
     wrap = r.choice(["<article>{}</article>"] * 4 + ["<main>{}</main>", "<main><article>{}</article></main>", '<div class="post-content">{}</div>', '<div id="content"><div class="entry">{}</div></div>', '<div class="story-body">{}</div>', '<section class="article-text">{}</section>', "<div>{}</div>", "{}"])
     if r.random() < 0.05:  # a page that is nothing but its content
         return f"<html><body>\ue003{content}\ue004</body></html>"
@@ -291,7 +290,7 @@ def labelled(source: str):
 
 
 @functools.lru_cache(maxsize=2)
-def trained(n_pages=500, n_trees=50, depth=4) -> Trees:
+def trained(n_pages=900, n_trees=60, depth=5) -> Trees:
     rows = [r for s in range(n_pages) if (r := labelled(training_page(s))) is not None and len(r[1])]
     return fit(np.concatenate([r[0] for r in rows]), np.concatenate([r[1] for r in rows]), n_trees, depth)
 
