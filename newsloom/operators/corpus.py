@@ -10,10 +10,6 @@ from newsloom.functions.text import blank_to_null, sentiment_label
 from newsloom.schemas import ARTICLE, with_defaults
 
 
-def link_key() -> Column:
-    return F.lower(F.trim(F.col("LINK")))
-
-
 def link_or_title_key() -> Column:
     """The link; without one, title and source. Empty and null links are alike."""
     lower = lambda c: F.lower(F.trim(F.coalesce(F.col(c), F.lit(""))))
