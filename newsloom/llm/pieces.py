@@ -28,6 +28,7 @@ MARK = "▁"
 OWN_MARK = "\ud800"  # stands for a U+2581 of the text itself; no text can hold it
 UNKNOWN_PENALTY = 10.0
 LONG_CHUNK = 64
+STORED_CHUNKS = 600_000
 
 
 @dataclass
@@ -54,6 +55,54 @@ class Vocabulary:
         return np.log(p / p[self.normal].sum())
 
 
+@dataclass
+class Units:
+    """Distinct chunks of a batch by hash, the number of each chunk in the texts, each text's first chunk."""
+
+    body: bytes
+    starts: np.ndarray
+    ends: np.ndarray
+    hashes: np.ndarray
+    inverse: np.ndarray
+    first: np.ndarray
+
+    def texts(self, pick) -> list[str]:
+        body = self.body
+        return [body[a:b].decode().replace(MARK, OWN_MARK).replace(" ", MARK) for a, b in zip(self.starts[pick].tolist(), self.ends[pick].tolist(), strict=True)]
+
+
+class Store:
+    """Chunks a task has met, by hash, in a bounded number; beyond it the store starts anew.
+
+    `find` gives a hash its place in the arrays that the owner keeps beside.
+    """
+
+    def __init__(self, limit: int):
+        self.limit = limit
+        self.clear()
+
+    def clear(self):
+        self.hashes, self.places = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+    def find(self, hashes):
+        """The place of each hash, -1 where it is new."""
+        if not len(self.hashes):
+            return np.full(len(hashes), -1)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == hashes, self.places[at], -1)
+
+    def full(self, more: int) -> bool:
+        return len(self.hashes) + more > self.limit
+
+    def add(self, hashes):
+        """Places, from the number of known ones on, for new hashes."""
+        places = len(self.hashes) + np.arange(len(hashes))
+        both = np.concatenate([self.hashes, hashes])
+        order = np.argsort(both, kind="stable")
+        self.hashes, self.places = both[order], np.concatenate([self.places, places])[order]
+        return places
+
+
 class Lattice:
     """What a worker keeps of a vocabulary: the automaton and the tables by id."""
 
@@ -76,14 +125,17 @@ class Lattice:
         self.size[self.unknown] = 1
         self.split = whole  # pieces never reach over the chunks' borders
         self.finder.make_automaton()
+        self.store = Store(STORED_CHUNKS)
+        self.kept: list = []  # what the owner of the store keeps of the stored chunks
 
-    def chunks(self, column):
-        """Distinct chunks of a column of texts, and for each document its chunks: (list, inverse, first)."""
+    def units(self, column) -> Units:
+        """The chunks of a column of texts."""
         column = strings(column)
         column = pc.if_else(pc.equal(column, ""), column, pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), column, pa.scalar("", pa.large_string())))
         raw, offsets = buffer(column)
+        none = np.zeros(0, np.int64)
         if not len(raw):
-            return [], np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
+            return Units(b"", none, none, np.zeros(0, np.uint64), none, np.zeros(len(offsets), np.int64))
         begin = np.zeros(len(raw) + 1, bool)
         begin[offsets] = True
         if self.split:
@@ -92,10 +144,13 @@ class Lattice:
             begin[1:-1] |= (space[1:] & ~space[:-1]) | line[1:] | line[:-1]
         starts = np.flatnonzero(begin[:-1])
         ends = np.append(starts[1:], len(raw))
-        _, at, inverse = np.unique(word_hashes(raw, starts, ends), return_index=True, return_inverse=True)
-        body = raw.tobytes()
-        texts = [body[a:b].decode().replace(MARK, OWN_MARK).replace(" ", MARK) for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
-        return texts, inverse, np.searchsorted(starts, offsets)
+        hashes, at, inverse = np.unique(word_hashes(raw, starts, ends), return_index=True, return_inverse=True)
+        return Units(raw.tobytes(), starts[at], ends[at], hashes, inverse, np.searchsorted(starts, offsets))
+
+    def chunks(self, column):
+        """Distinct chunks of a column of texts, and for each document its chunks: (list, inverse, first)."""
+        units = self.units(column)
+        return units.texts(np.arange(len(units.hashes))), units.inverse, units.first
 
     def edges(self, chunks: list[str]):
         """All matches in the chunks, by end and then longest first.
@@ -157,3 +212,19 @@ class Lattice:
             count[end[pick]] = count[start[pick]] + ids[pick]
         last = first[1:] - 1
         return best[last], count[last]
+
+    def best_of(self, units: Units):
+        """best() of each unit, kept for later batches of the task."""
+        place = self.store.find(units.hashes)
+        new = np.flatnonzero(place < 0)
+        if self.store.full(len(new)):
+            self.store.clear()
+            self.kept.clear()
+            new = np.arange(len(units.hashes))
+        if len(new) or not self.kept:
+            score, count = self.best(units.texts(new)) if len(new) else (np.zeros(0), np.zeros(0, np.int64))
+            place[new] = self.store.add(units.hashes[new])
+            if self.kept:
+                score, count = np.concatenate([self.kept[0], score]), np.concatenate([self.kept[1], count])
+            self.kept[:] = [score, count]
+        return self.kept[0][place], self.kept[1][place]

@@ -47,41 +47,82 @@ def _forward(lattice: Lattice, chunks):
     return start, end, piece, first, points, weight
 
 
+class Graph:
+    """Lattices of stored chunks, one after the other: first and last node of each, edges by end node.
+
+    `upto` is an edge's weight plus those before it of the same end, so at most 2**30 or so.
+    """
+
+    def __init__(self):
+        self.first = self.last = np.zeros(0, np.int64)
+        self.node_lo = np.zeros(1, np.int64)
+        self.start, self.piece, self.upto, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.uint32), np.zeros(0, np.int8)
+        self.odd, self.points = np.zeros(0, np.int64), np.zeros(0, np.uint32)  # unknown edges and their characters
+
+    def extend(self, lattice: Lattice, chunks: list[str]):
+        start, end, piece, first, points, weight = _forward(lattice, chunks)
+        nodes, edges = len(self.node_lo) - 1, len(self.start)
+        join = np.concatenate
+        lo = np.searchsorted(end, np.arange(len(points) + 1))
+        cum = np.concatenate([[0], np.cumsum(weight)])
+        odd = np.flatnonzero(piece == lattice.unknown)
+        sizes = np.ones(len(piece), np.int8)
+        sizes[odd] = lattice.unknown_bytes(points)[start[odd]]
+        self.first, self.last = join([self.first, first[:-1] + nodes]), join([self.last, first[1:] - 1 + nodes])
+        self.node_lo = join([self.node_lo[:-1], lo + edges])
+        self.upto = join([self.upto, (cum[1:] - cum[lo[end]]).astype(np.uint32)])
+        self.start, self.piece, self.sizes = join([self.start, (start + nodes).astype(np.int32)]), join([self.piece, piece.astype(np.int32)]), join([self.sizes, sizes])
+        self.odd, self.points = join([self.odd, odd + edges]), join([self.points, points[start[odd]]])
+
+
+def graph_of(lattice: Lattice, units) -> tuple[Graph, np.ndarray]:
+    """The graph that holds all units, and the place of each in it; kept for later batches of the task."""
+    store = lattice.store
+    place = store.find(units.hashes)
+    new = np.flatnonzero(place < 0)
+    if not lattice.kept or store.full(len(new)):
+        store.clear()
+        lattice.kept[:] = [Graph()]
+        new = np.arange(len(units.hashes))
+    if len(new):
+        lattice.kept[0].extend(lattice, units.texts(new))
+        place[new] = store.add(units.hashes[new])
+    return lattice.kept[0], place
+
+
 def sample(column, keys, lattice: Lattice, seed=SEED):
     """(ids, first id of each document) of the sampled segmentations."""
-    chunks, inverse, first_chunk = lattice.chunks(column)
+    units = lattice.units(column)
+    inverse, first_chunk = units.inverse, units.first
     n_docs = len(first_chunk) - 1
-    if not chunks:
+    if not len(inverse):
         return np.zeros(0, np.int32), np.zeros(n_docs + 1, np.int64)
-    start, end, piece, first, points, weight = _forward(lattice, chunks)
-    cum = np.concatenate([[0], np.cumsum(weight)])
-    node_lo = np.searchsorted(end, np.arange(len(points) + 2))
-    sizes = np.where(piece == lattice.unknown, lattice.unknown_bytes(points)[start], 1)
+    graph, place = graph_of(lattice, units)
+    start, piece, upto, node_lo = graph.start, graph.piece, graph.upto, graph.node_lo
 
     n = len(inverse)
     doc = np.repeat(np.arange(n_docs), np.diff(first_chunk))
     within = np.arange(n) - first_chunk[doc]
     base = mix(mix(keys.astype(np.uint64) + np.uint64(seed))[doc] ^ mix(within.astype(np.uint64) + np.uint64(0x51ED)))
     occ = np.argsort(inverse, kind="stable")
-    node = (first[1:] - 1)[inverse[occ]]
-    floor = first[:-1][inverse[occ]]
+    node = graph.last[place][inverse[occ]]
+    floor = graph.first[place][inverse[occ]]
     steps = []
     while len(occ):
         lo, hi = node_lo[node], node_lo[node + 1]
-        whole = (cum[hi] - cum[lo]).astype(np.uint64)
         u = mix(base[occ] ^ ((node - floor).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
-        draw = (((u >> np.uint64(32)) * whole) >> np.uint64(32)).astype(np.int64)  # 32 bits of u by 31 of the sum
-        edge = lo.copy()
-        target = cum[lo] + draw
-        going = np.flatnonzero(cum[edge + 1] <= target)
+        draw = ((u >> np.uint64(32)) * upto[hi - 1]) >> np.uint64(32)  # 32 bits of u by 31 of the sum
+        edge = lo
+        going = np.flatnonzero(upto[edge] <= draw)
         while len(going):
             edge[going] += 1
-            going = going[(cum[edge[going] + 1] <= target[going]) & (edge[going] + 1 < hi[going])]
+            going = going[(upto[edge[going]] <= draw[going]) & (edge[going] + 1 < hi[going])]
         steps.append((occ, edge))
-        node = start[edge]
+        node = start[edge].astype(np.int64)
         more = node > floor
         occ, node, floor = occ[more], node[more], floor[more]
 
+    sizes = graph.sizes
     length = np.zeros(n, np.int64)
     for o, e in steps:
         length[o] += sizes[e]
@@ -94,7 +135,7 @@ def sample(column, keys, lattice: Lattice, seed=SEED):
         ids[at[o[known]]] = piece[e[known]]
         odd = np.flatnonzero(~known)
         if len(odd):
-            values, back = np.unique(points[start[e[odd]]], return_inverse=True)
+            values, back = np.unique(graph.points[np.searchsorted(graph.odd, e[odd])], return_inverse=True)
             codes = [(MARK if v == 0xD800 else chr(v)).encode() for v in values.tolist()]
             for k in range(4):
                 has = np.array([len(c) > k for c in codes])[back]
