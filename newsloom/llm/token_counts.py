@@ -24,14 +24,12 @@ SCHEMA = "doc_id bigint, n_chars bigint, n_tokens bigint, score double"
 
 def count_column(column, lattice: Lattice):
     """(tokens, score) of each text."""
-    chunks, inverse, first = lattice.chunks(column)
-    n = len(first) - 1
-    if not chunks:
-        return np.zeros(n, np.int64), np.zeros(n)
-    score, count = lattice.best(chunks)
+    units = lattice.units(column)
+    n, inverse = len(units.first) - 1, units.inverse
+    score, count = lattice.best_of(units)
     tokens = np.concatenate([[0], np.cumsum(count[inverse])])
-    doc = np.repeat(np.arange(n), np.diff(first))
-    return tokens[first[1:]] - tokens[first[:-1]], np.bincount(doc, score[inverse], n)
+    doc = np.repeat(np.arange(n), np.diff(units.first))
+    return tokens[units.first[1:]] - tokens[units.first[:-1]], np.bincount(doc, score[inverse], n)
 
 
 def token_counts(docs: DataFrame, doc_id="doc_id", text="text", model: str = MODEL, vocabulary: Vocabulary | None = None) -> DataFrame:
