@@ -238,6 +238,24 @@ def highlight(x, query: str) -> Column:
     return F.regexp_replace(_c(x), f"(?i)({quoted})", "<mark>$1</mark>")
 
 
+# Elements whose text belongs to no article, fixed values.
+PAGE_PARTS = ["script", "style", "head", "nav", "header", "footer", "aside", "form"]
+
+
+def html_text(html) -> Column:
+    """The text of a page without markup and without the usual parts around an article; all SQL."""
+    t = F.coalesce(_c(html), F.lit(""))
+    for tag in PAGE_PARTS:
+        t = F.regexp_replace(t, rf"(?is)<{tag}(?:\s[^>]*)?>.*?</{tag}>", " ")
+    t = F.regexp_replace(F.regexp_replace(t, r"(?s)<!--.*?-->", " "), r"<[^>]+>", " ")
+    return collapse(plain_entities(t))
+
+
+def natural_order(x) -> list[Column]:
+    """Sort keys of ids as text: by length, then by value."""
+    return [F.length(_c(x)), _c(x)]
+
+
 def full_text_or(extracted, description, least=200, cap=6000) -> Column:
     """The extracted text if it is long enough, else the description."""
     text = F.substring(collapse(extracted), 1, cap)

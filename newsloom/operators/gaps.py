@@ -135,3 +135,22 @@ def candidates(ranked: DataFrame, terms: list[str]) -> DataFrame:
     blob = F.lower(F.concat_ws(" ", "TOPIC_TITLE", "TOPIC_DESCRIPTION"))
     hit = F.exists(F.array(*[F.lit(t) for t in terms]), lambda t: F.contains(blob, t))
     return ranked.withColumns({"tier": F.when(hit, "benign").otherwise("meaningful"), "combined": F.round(F.col("NOVELTY") * F.col("RELEVANCE"), 4)}).orderBy("tier", F.desc("combined"), "TOPIC_ID")
+
+
+def gap_payload(ranked: DataFrame) -> DataFrame:
+    """The gaps as the report shows them: shorter names, three decimals, null-safe."""
+    three = lambda c: F.round(F.coalesce(F.col(c), F.lit(0.0)), 3)
+    return ranked.select(
+        F.col("TOPIC_ID").alias("id"),
+        F.coalesce(F.col("BEST_FIT_RISK").cast("string"), F.lit("")).alias("bestFitRisk"),
+        F.coalesce(F.col("BETTER_FIT_RISK").cast("string"), F.lit("")).alias("betterFitRisk"),
+        three("FIT").alias("fit"),
+        three("GAP").alias("gap"),
+        three("GAP_RAW").alias("gapRaw"),
+        three("FIT_PERCENTILE").alias("fitPercentile"),
+        "FIRST_SEEN",
+        "IS_NEW",
+        "PEAK_VOLUME",
+        three("AVG_QUALITY").alias("quality"),
+        three("EMERGING_GAP_SCORE").alias("score"),
+    )

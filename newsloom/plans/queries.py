@@ -10,10 +10,12 @@ from pyspark.sql import types as T
 
 from newsloom.functions import quality as Q
 from newsloom.functions import text as X
+from newsloom.functions.sentiment import compound
 from newsloom.functions.vectors import dot, mean_vectors
 from newsloom.operators import corpus, gaps, neardup, report, status, topics, trends
 from newsloom.plans.tables import doc_articles, signal_articles, table, vec_terms, vec_topics
-from newsloom.sources import digest, documents, fetch, taxonomy
+from newsloom.sources import digest, documents, enrich, fetch, taxonomy
+from newsloom.sources.cache import hashed_embedding
 from newsloom.streaming import events as stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -360,6 +362,48 @@ def search_highlight(spark, sf):
     return table(spark, sf, "part").where("p_partkey <= 500").select("p_partkey", X.highlight(F.col("p_name"), "an").alias("marked"))
 
 
+@query
+def page_text(spark, sf):
+    return table(spark, sf, "pages").select("page_id", F.md5(X.html_text("html").cast("binary")).alias("md5"), F.length(X.html_text("html")).alias("n"))
+
+
+@query
+def best_headlines(spark, sf):
+    d = doc_articles(spark, sf).groupBy(F.col("SOURCE").alias("source")).agg(F.transform(F.array_sort(F.collect_list(F.struct("seq", "TITLE"))), lambda s: s["TITLE"]).alias("titles"))
+    return d.select("source", X.best_headline(F.slice("titles", 1, 40), F.array(F.lit("qu"), F.lit("ing"))).alias("headline"))
+
+
+@query
+def thin_text_reject(spark, sf):
+    return corpus.thick(doc_articles(spark, sf), "SUMMARY", 150).groupBy("lang").agg(F.count("*").alias("n"))
+
+
+@query
+def link_sample(spark, sf):
+    # The sampling operator; its size is the feature.
+    links = table(spark, sf, "pages").select(F.col("url").alias("LINK"))
+    return corpus.link_samples(links, 100, 7).groupBy().agg(F.count("*").alias("n"), F.count_distinct("LINK").alias("links"))
+
+
+@query
+def natural_id_order(spark, sf):
+    c = table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("id"))
+    place = F.row_number().over(Window.partitionBy(F.length("id")).orderBy(*X.natural_order("id")))
+    return c.select("id", place.cast("bigint").alias("place"))
+
+
+@query
+def card_orders(spark, sf):
+    cards = topics.summary(signal_articles(spark, sf))
+    out = None
+    for by in report.CARD_ORDERS:
+        direction, column = report.CARD_ORDERS[by]
+        place = F.row_number().over(Window.orderBy(direction(column), F.desc("ARTICLE_COUNT"), "TOPIC_ID"))
+        one = cards.select(F.lit(by).alias("by"), F.col("TOPIC_ID").alias("topic"), place.cast("bigint").alias("place"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 # Near duplicates.
 
 
@@ -413,6 +457,11 @@ def topic_gap_quality_having(spark, sf):
     return gaps.build_gaps(_vec_articles(spark, sf), vec_terms(spark, sf), 0.5).select(F.col("TOPIC_ID").alias("topic"), "AVG_QUALITY")
 
 
+@query
+def gap_payload(spark, sf):
+    return gaps.gap_payload(gaps.build_gaps(_vec_articles(spark, sf), vec_terms(spark, sf)))
+
+
 @query
 def novelty_scores(spark, sf):
     n = gaps.novelty(gaps.centroids(vec_topics(spark, sf)), gaps.risk_vectors(vec_terms(spark, sf)))
@@ -544,6 +593,31 @@ def topic_titles(spark, sf):
     return p
 
 
+@query
+def topic_clusters(spark, sf):
+    e = vec_topics(spark, sf).select("seq", "vector")
+    return topics.cluster(e, 8, cut=0.8).select("seq", "TOPIC_ID")
+
+
+@query
+def lexicon_sentiment(spark, sf):
+    d = table(spark, sf, "part").select("p_partkey", F.concat(F.element_at(F.array(*map(F.lit, ("great growth in ", "no fraud at ", "very BAD losses of ", "plain "))), F.col("p_size") % 4 + 1), "p_name").alias("t"))
+    return d.select("p_partkey", compound(F.col("t")).alias("compound"))
+
+
+@query
+def entity_enrichment(spark, sf):
+    s = table(spark, sf, "supplier").select("s_suppkey", F.concat(F.lit("The "), F.regexp_replace("s_name", "#", " "), F.lit(" Group sued Acme Bank under the Exchange Act of 1934.")).alias("t"))
+    e = enrich.with_keywords(enrich.with_entities(s, "t"), "t", ["the", "under", "of"])
+    return e.select("s_suppkey", F.array_join("ENTITIES", "|").alias("entities"), F.array_join("NLP_KEYWORDS", "|").alias("keywords"))
+
+
+@query
+def hashed_embeddings(spark, sf):
+    d = hashed_embedding(table(spark, sf, "benchmark"), "text", 16)
+    return d.select("item_id", F.posexplode("vector").alias("pos", "v")).select("item_id", "pos", F.round("v", 4).alias("v"))
+
+
 # The report.
 
 

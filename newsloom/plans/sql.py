@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from newsloom.functions.quality import BOILERPLATE, LOW_SOURCES, MARKET_REPORT, MID_SOURCES
-from newsloom.functions.text import ACRONYMS, STOP_PHRASES
+from newsloom.functions.text import ACRONYMS, ENTITIES, PAGE_PARTS, STOP_PHRASES
 from newsloom.operators.neardup import STOP_WORDS
 from newsloom.operators.report import BENIGN_TERMS
 from newsloom.plans.tables import CALENDAR, DOCS, MOMENTUM, SIGNAL, VOLUMES, dense_sql, mean_sql
@@ -97,6 +97,14 @@ _parse = "coalesce(try_strptime({x}, '%B %d, %Y'), try_strptime({x}, '%b %d, %Y'
 _turn = "(turn * 2 + CASE WHEN role = 'assistant' THEN 1 ELSE 0 END)"
 _tokens = f"list_filter(list_distinct(regexp_extract_all(lower(text), '[a-z]{{3,}}')), lambda w: w NOT IN ({_list(STOP_WORDS)}))"
 
+_page = "html"
+for _tag in PAGE_PARTS:
+    _page = f"regexp_replace({_page}, '(?is)<{_tag}(?:\\s[^>]*)?>.*?</{_tag}>', ' ', 'g')"
+_page = f"regexp_replace(regexp_replace({_page}, '(?s)<!--.*?-->', ' ', 'g'), '<[^>]+>', ' ', 'g')"
+for _name, _char in ENTITIES:
+    _page = f"replace({_page}, '{_name}', '{_char.replace(chr(39), chr(39) * 2)}')"
+_page = f"trim(regexp_replace({_page}, '\\s+', ' ', 'g'))"
+
 SQL: dict[str, str] = {
     "topic_month_intensity": f"{_with(SIGNAL, TOPIC_V)} SELECT topic, month, volume, neg_articles, round(share, 4) AS neg_share, round(mean, 4) AS avg_compound, round(volume / CAST(sum(volume) OVER (PARTITION BY month) AS DOUBLE), 5) AS share_of_coverage, round(severity, 6) AS severity, intensity FROM v_s",
     "topic_share_of_coverage": f"{_with(SIGNAL, TOPIC_V)} SELECT month, round(CAST(sum(CAST(s AS DECIMAL(18,5))) AS DOUBLE), 3) AS share, max(s) AS top_share, count(*) AS topics FROM (SELECT month, round(volume / CAST(sum(volume) OVER (PARTITION BY month) AS DOUBLE), 5) AS s FROM v_s) GROUP BY month",
@@ -149,6 +157,15 @@ SQL: dict[str, str] = {
     "description_cleanup": "SELECT p_partkey, 'Coverage of ' || p_name || '.' AS description FROM part",
     "search_highlight": "SELECT p_partkey, regexp_replace(p_name, '(an)', '<mark>\\1</mark>', 'gi') AS marked FROM part WHERE p_partkey <= 500",
     "jaccard_containment_pairs": f"WITH t AS (SELECT conv_id AS g, conv_id * 100 + {_turn} AS seq, {_tokens} AS tok FROM conversations), e AS (SELECT g, seq, len(tok) AS n, unnest(tok) AS w FROM t), p AS (SELECT x.seq AS a, y.seq AS b, x.n AS na, y.n AS nb, count(*) AS c FROM e x JOIN e y ON x.g = y.g AND x.w = y.w AND x.seq < y.seq GROUP BY ALL) SELECT a, b, round(c / CAST(na + nb - c AS DOUBLE), 4) AS jaccard, round(c / CAST(least(na, nb) AS DOUBLE), 4) AS containment FROM p WHERE round(c / CAST(na + nb - c AS DOUBLE), 4) >= 0.2 OR round(c / CAST(least(na, nb) AS DOUBLE), 4) >= 0.35",
+    "page_text": f"WITH t AS (SELECT page_id, {_page} AS t FROM pages) SELECT page_id, md5(t) AS md5, CAST(length(t) AS INTEGER) AS n FROM t",
+    "best_headlines": f"{_with(DOCS)}, l AS (SELECT source, list(title ORDER BY seq)[1:40] AS ts FROM docs GROUP BY source), f AS (SELECT source, ts, list_filter(ts, lambda t: length(t) BETWEEN 15 AND 140) AS fit FROM l) SELECT source, coalesce(list_filter(fit, lambda t: contains(lower(t), 'qu') OR contains(lower(t), 'ing'))[1], fit[1], substr(ts[1], 1, 140), '') AS headline FROM f",
+    "thin_text_reject": f"{_with(DOCS)} SELECT lang, count(*) AS n FROM docs WHERE length(summary) >= 150 GROUP BY lang",
+    "link_sample": "SELECT least(100, count(DISTINCT url)) AS n, least(100, count(DISTINCT url)) AS links FROM pages",
+    "natural_id_order": "SELECT id, row_number() OVER (PARTITION BY length(id) ORDER BY id) AS place FROM (SELECT CAST(c_custkey AS VARCHAR) AS id FROM customer)",
+    "card_orders": f"""{_with(SIGNAL)}, c AS (SELECT topic, count(*) AS n, count(DISTINCT risk) AS r, round(CAST(sum(CAST(k / 5.0 AS DECIMAL(18,8))) AS DOUBLE) / count(*), 4) AS m FROM signal GROUP BY topic)
+SELECT 'count' AS by, topic, row_number() OVER (ORDER BY n DESC, topic) AS place FROM c UNION ALL SELECT 'risks', topic, row_number() OVER (ORDER BY r DESC, n DESC, topic) FROM c
+UNION ALL SELECT 'positive', topic, row_number() OVER (ORDER BY m DESC, n DESC, topic) FROM c UNION ALL SELECT 'negative', topic, row_number() OVER (ORDER BY m, n DESC, topic) FROM c""",
+    "gap_payload": f'{GAPS} SELECT topic AS id, CAST(best_risk AS VARCHAR) AS "bestFitRisk", coalesce(CAST(CASE WHEN NOT top_mine THEN top_rid END AS VARCHAR), \'\') AS "betterFitRisk", round(round(greatest(0, s), 4), 3) AS fit, round(round(1 - pct, 4), 3) AS gap, round(round(1 - greatest(0, s), 4), 3) AS "gapRaw", round(round(pct, 4), 3) AS "fitPercentile", first_seen AS "FIRST_SEEN", is_new AS "IS_NEW", peak AS "PEAK_VOLUME", quality, round(round(round(1 - pct, 4) * ln(1 + peak) * CASE WHEN is_new THEN 1.5 ELSE 1.0 END, 4), 3) AS score FROM cal JOIN best USING (topic) JOIN seen USING (topic) JOIN peak USING (topic) JOIN tot USING (topic)',
     "vector_centroids": f"{_with(VEC, HEAD, CENTROIDS)} SELECT topic, CAST(pos AS INTEGER) AS pos, round(v, 4) AS v FROM cent",
     "cosine_matrix_topk": f"{VEC_BASE} SELECT topic, rank, rid AS risk, round(sim, 4) AS sim FROM (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY sim DESC, rid) AS rank FROM sims) WHERE rank <= 3",
     "topic_gap_scores": f'{GAPS} SELECT topic, best_risk, round(greatest(0, s), 4) AS "FIT", round(1 - greatest(0, s), 4) AS "GAP_RAW", round(pct, 4) AS "FIT_PERCENTILE", round(1 - pct, 4) AS "GAP", CASE WHEN NOT top_mine THEN top_rid END AS better_risk, first_seen AS "FIRST_SEEN", is_new AS "IS_NEW", peak AS "PEAK_VOLUME", total AS "TOTAL_ARTICLES", quality AS "AVG_QUALITY", round(round(1 - pct, 4) * ln(1 + peak) * CASE WHEN is_new THEN 1.5 ELSE 1.0 END, 4) AS "EMERGING_GAP_SCORE" FROM cal JOIN best USING (topic) JOIN seen USING (topic) JOIN peak USING (topic) JOIN tot USING (topic)',
