@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.frames import stored, texts
+from newsloom.llm.frames import delete, recorded, stored, texts
 from newsloom.llm.kernels import LOWER, SPACE_WORDS, buffer, signed, slices, word_hashes, words
 
 MAX_WORDS = 20_000
@@ -309,7 +309,9 @@ def score_corpus(docs: DataFrame, doc_id="doc_id", text="text", max_words=MAX_WO
     frequent = Frequent(np.asarray(top.column("h")).view(np.uint64), np.asarray(top.column("n")))
     rare = counts.where(F.col("n") < least)
     rare_sizes = {r["shape"]: (r["m"], r["k"]) for r in rare.groupBy("shape").agg(F.sum("n").alias("m"), F.count("*").alias("k")).collect()}
-    classes, table = exchange(stored(bigrams(shards, frequent), "lm-bigrams"), frequent, n_classes, sweeps)
+    with recorded() as made:
+        classes, table = exchange(stored(bigrams(shards, frequent), "lm-bigrams"), frequent, n_classes, sweeps)
+    delete(docs.sparkSession, made)
     model = Model(frequent, classes, table, total, distinct, n_train, rare_sizes, n_classes)
 
     def places(it):

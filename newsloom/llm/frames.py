@@ -29,7 +29,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     for record in _records:
         record.append(path)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
 
 
 @contextlib.contextmanager
@@ -43,11 +45,13 @@ def recorded():
         _records[:] = [r for r in _records if r is not paths]
 
 
-def delete(spark: SparkSession, paths: list[str]) -> None:
-    """Delete stored tables that nothing reads any more."""
+def delete(spark: SparkSession, paths: list[str], keep: tuple[DataFrame, ...] = ()) -> None:
+    """Delete stored tables that nothing reads any more; the frames to keep are those that stored() gave."""
+    needed = {df.stored_at for df in keep}
     for p in paths:
-        path = spark._jvm.org.apache.hadoop.fs.Path(p)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        if p not in needed:
+            path = spark._jvm.org.apache.hadoop.fs.Path(p)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def texts(df: DataFrame, *columns: str) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.llm.components import connected_components
-from newsloom.llm.frames import batches, free, stored, texts
+from newsloom.llm.frames import batches, delete, free, recorded, stored, texts
 from newsloom.llm.kernels import SPACE_WORDS, buffer, doc_of, mix, signed, slices, window_hashes, word_hashes, words
 
 SHINGLE = 5
@@ -261,13 +261,15 @@ def jaccard_join(docs: DataFrame, doc_id="doc_id", text="text", threshold=THRESH
     (other texts of at least this similarity), text_id (smallest doc_id of its copies), n_copies."""
     prefix = prefix_length(threshold, trees, depth, target)
     rows = texts(keyed(docs, doc_id, text), "doc_id", *KEY, "text")
-    signed_ = stored(forest(rows, n, trees, prefix), "signatures")
-    classes = stored(signed_.groupBy("t1", "t2").agg(F.min("k").alias("rep"), F.count("*").alias("n_copies")), "classes")
-    found = stored(verified(candidates(rows, signed_, classes, n, trees), threshold, block), "links")
-    joined = connected_components(found.select(F.col("k").alias("u"), F.col("parent").alias("v")))
-    links = found.groupBy("k").agg(F.sum("links").alias("n_links"))
-    named = classes.join(links.withColumnRenamed("k", "rep"), "rep", "left").join(joined.select(F.col("node").alias("rep"), "component"), "rep", "left")
-    named = stored(named.select("t1", "t2", F.coalesce("component", "rep").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), F.col("rep").alias("text_id"), "n_copies"), "classes")
+    with recorded() as made:
+        signed_ = stored(forest(rows, n, trees, prefix), "signatures")
+        classes = stored(signed_.groupBy("t1", "t2").agg(F.min("k").alias("rep"), F.count("*").alias("n_copies")), "classes")
+        found = stored(verified(candidates(rows, signed_, classes, n, trees), threshold, block), "links")
+        joined = connected_components(found.select(F.col("k").alias("u"), F.col("parent").alias("v")))
+        links = found.groupBy("k").agg(F.sum("links").alias("n_links"))
+        named = classes.join(links.withColumnRenamed("k", "rep"), "rep", "left").join(joined.select(F.col("node").alias("rep"), "component"), "rep", "left")
+        named = stored(named.select("t1", "t2", F.coalesce("component", "rep").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), F.col("rep").alias("text_id"), "n_copies"), "classes")
+    delete(docs.sparkSession, made, (signed_, named))
     return signed_.select("doc_id", "k", "t1", "t2").join(named, ["t1", "t2"]).select("doc_id", "k", "class_id", "n_links", "text_id", "n_copies")
 
 

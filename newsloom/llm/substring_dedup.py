@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.frames import batches, free, stored, texts
+from newsloom.llm.frames import batches, delete, free, recorded, stored, texts
 from newsloom.llm.kernels import SPACE_WORDS, buffer, doc_of, signed, slices, window_hashes, word_hashes, words
 
 WINDOW = 50
@@ -213,13 +213,16 @@ def substring_dedup(docs: DataFrame, doc_id="doc_id", text="text", window=WINDOW
 
     The kept text is null where nothing was removed: the document's own text stands.
     """
-    levels = Levels(docs, doc_id, text, window)
-    covered = stored(levels.first_owner(), "substring-covered").groupBy(*KEY).agg(F.collect_list("p").alias("qs"))
-    cut = batches(levels.candidates.select(*KEY, "text").join(covered, KEY).select(*KEY, "text", "qs"), _cut(window, with_text), CUT).dropDuplicates(KEY)
-    cut = stored(cut, "substring-cut")
-    copy = (F.col("k") > F.col("rep")) & (F.col("n_words") >= window)
-    rows = levels.base.select("doc_id", *KEY, "n_words", "sha").join(levels.classes, ["t1", "t2"]).withColumn("copy", copy)
-    rows = stored(rows.drop("rep"), "substring-classes").join(cut, KEY, "left")
+    with recorded() as made:
+        levels = Levels(docs, doc_id, text, window)
+        covered = stored(levels.first_owner(), "substring-covered").groupBy(*KEY).agg(F.collect_list("p").alias("qs"))
+        cut = batches(levels.candidates.select(*KEY, "text").join(covered, KEY).select(*KEY, "text", "qs"), _cut(window, with_text), CUT).dropDuplicates(KEY)
+        cut = stored(cut, "substring-cut")
+        copy = (F.col("k") > F.col("rep")) & (F.col("n_words") >= window)
+        rows = levels.base.select("doc_id", *KEY, "n_words", "sha").join(levels.classes, ["t1", "t2"]).withColumn("copy", copy)
+        rows = stored(rows.drop("rep"), "substring-rows")
+    delete(docs.sparkSession, made, (cut, rows))
+    rows = rows.join(cut, KEY, "left")
     out = rows.select(
         "doc_id",
         *KEY,
