@@ -110,7 +110,8 @@ def spoken_list(words, last=" and ") -> Column:
     """a, b and c."""
     w = _c(words)
     n = F.size(w)
-    return F.when(n == 0, "").when(n == 1, F.element_at(w, 1)).otherwise(F.concat(F.array_join(F.slice(w, F.lit(1), n - 1), ", "), F.lit(last), F.element_at(w, -1)))
+    head, tail = F.array_join(F.slice(w, F.lit(1), n - 1), ", "), F.array_join(F.slice(w, n, F.lit(1)), "")
+    return F.when(n == 0, "").when(n == 1, tail).otherwise(F.concat(head, F.lit(last), tail))
 
 
 # Spelling of words that title case would break, fixed values.

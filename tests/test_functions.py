@@ -64,6 +64,8 @@ def test_text_functions(spark):
     assert one(spark, X.mapped("t", X.MOJIBAKE), t="SECÕs Ò\x89x") == "SEC's \"x"
     assert one(spark, X.slug_title("t"), t="https://a.b/news/firm-fined_again.html") == "Firm Fined Again"
     assert one(spark, X.spoken_list(F.array(*map(F.lit, "abc")))) == "a, b and c"
+    words = spark.createDataFrame([([],), (["a"],), (["a", "b"],)], "w array<string>")
+    assert [r[0] for r in words.select(X.spoken_list("w")).collect()] == ["", "a", "a and b"]
     assert one(spark, X.unescape(F.lit("&eacute;&amp;"))) == "é&"
     assert X.last_days_path("out/a.csv", 30) == "out/a_last30d.csv" and X.look_back_days(6) == 182
 
