@@ -27,6 +27,7 @@ from newsloom.llm.pieces import MARK, MODEL, Lattice, Vocabulary
 
 ALPHA = 1.0
 SEED = 17
+SLICE_BYTES = 2_000_000
 ONE = float(1 << 30)  # a node's weights as integers; 2**33 edges fit a sum of 63 bits
 
 
@@ -50,30 +51,34 @@ def _forward(lattice: Lattice, chunks):
 class Graph:
     """Lattices of stored chunks, one after the other: first and last node of each, edges by end node.
 
-    `upto` is an edge's weight plus those before it of the same end, so at most 2**30 or so.
+    An edge is its piece, which tells where it starts, and `upto`: its weight plus those before it
+    of the same end, at most 2**30 or so.
     """
 
-    def __init__(self):
+    def __init__(self, lattice: Lattice):
         self.first = self.last = np.zeros(0, np.int64)
         self.node_lo = np.zeros(1, np.int64)
-        self.start, self.piece, self.upto, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.uint32), np.zeros(0, np.int8)
+        self.piece = np.zeros(0, np.uint16 if lattice.unknown < 1 << 16 else np.int32)
+        self.upto = np.zeros(0, np.uint32)
         self.odd, self.points = np.zeros(0, np.int64), np.zeros(0, np.uint32)  # unknown edges and their characters
 
     def extend(self, lattice: Lattice, chunks: list[str]):
         start, end, piece, first, points, weight = _forward(lattice, chunks)
-        nodes, edges = len(self.node_lo) - 1, len(self.start)
+        nodes, edges = len(self.node_lo) - 1, len(self.piece)
         join = np.concatenate
         lo = np.searchsorted(end, np.arange(len(points) + 1))
         cum = np.concatenate([[0], np.cumsum(weight)])
         odd = np.flatnonzero(piece == lattice.unknown)
-        sizes = np.ones(len(piece), np.int8)
-        sizes[odd] = lattice.unknown_bytes(points)[start[odd]]
         self.first, self.last = join([self.first, first[:-1] + nodes]), join([self.last, first[1:] - 1 + nodes])
         self.node_lo = join([self.node_lo[:-1], lo + edges])
         self.upto = join([self.upto, (cum[1:] - cum[lo[end]]).astype(np.uint32)])
-        self.start, self.piece, self.sizes = join([self.start, (start + nodes).astype(np.int32)]), join([self.piece, piece.astype(np.int32)]), join([self.sizes, sizes])
+        self.piece = join([self.piece, piece.astype(self.piece.dtype)])
         self.odd, self.points = join([self.odd, odd + edges]), join([self.points, points[start[odd]]])
 
+    def characters(self, edges):
+        """The characters of unknown edges."""
+        return self.points[np.searchsorted(self.odd, edges)]
+
 
 def graph_of(lattice: Lattice, units) -> tuple[Graph, np.ndarray]:
     """The graph that holds all units, and the place of each in it; kept for later batches of the task."""
@@ -82,7 +87,7 @@ def graph_of(lattice: Lattice, units) -> tuple[Graph, np.ndarray]:
     new = np.flatnonzero(place < 0)
     if not lattice.kept or store.full(len(new)):
         store.clear()
-        lattice.kept[:] = [Graph()]
+        lattice.kept[:] = [Graph(lattice)]
         new = np.arange(len(units.hashes))
     if len(new):
         lattice.kept[0].extend(lattice, units.texts(new))
@@ -98,7 +103,7 @@ def sample(column, keys, lattice: Lattice, seed=SEED):
     if not len(inverse):
         return np.zeros(0, np.int32), np.zeros(n_docs + 1, np.int64)
     graph, place = graph_of(lattice, units)
-    start, piece, upto, node_lo = graph.start, graph.piece, graph.upto, graph.node_lo
+    upto, node_lo = graph.upto, graph.node_lo
 
     n = len(inverse)
     doc = np.repeat(np.arange(n_docs), np.diff(first_chunk))
@@ -117,25 +122,27 @@ def sample(column, keys, lattice: Lattice, seed=SEED):
         while len(going):
             edge[going] += 1
             going = going[(upto[edge[going]] <= draw[going]) & (edge[going] + 1 < hi[going])]
-        steps.append((occ, edge))
-        node = start[edge].astype(np.int64)
+        piece = graph.piece[edge].astype(np.int32)
+        width = np.ones(len(edge), np.int64)
+        odd = np.flatnonzero(piece == lattice.unknown)
+        points = graph.characters(edge[odd])
+        width[odd] = lattice.unknown_bytes(points)
+        steps.append((occ, piece, width, odd, points))
+        node = node - lattice.size[piece]
         more = node > floor
         occ, node, floor = occ[more], node[more], floor[more]
 
-    sizes = graph.sizes
     length = np.zeros(n, np.int64)
-    for o, e in steps:
-        length[o] += sizes[e]
+    for o, _, width, _, _ in steps:
+        length[o] += width
     stop = np.cumsum(length)
     ids = np.empty(int(stop[-1]), np.int32)
     at = stop.copy()
-    for o, e in steps:
-        at[o] -= sizes[e]
-        known = piece[e] != lattice.unknown
-        ids[at[o[known]]] = piece[e[known]]
-        odd = np.flatnonzero(~known)
+    for o, piece, width, odd, points in steps:
+        at[o] -= width
+        ids[at[o]] = piece
         if len(odd):
-            values, back = np.unique(graph.points[np.searchsorted(graph.odd, e[odd])], return_inverse=True)
+            values, back = np.unique(points, return_inverse=True)
             codes = [(MARK if v == 0xD800 else chr(v)).encode() for v in values.tolist()]
             for k in range(4):
                 has = np.array([len(c) > k for c in codes])[back]
@@ -175,7 +182,7 @@ def encode(docs: DataFrame, doc_id="doc_id", text="text", model: str = MODEL, al
 
     def run(batch, made):
         lattice, decoder = made
-        for part in slices(batch, 1):
+        for part in slices(batch, 1, SLICE_BYTES):
             ids, first = sample(part.column(1), _keys(part.column(0)), lattice, seed)
             lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(ids, pa.int32()))
             columns = [part.column(0).cast(pa.int64()), pa.array(np.diff(first), pa.int64()), lists]
@@ -203,7 +210,7 @@ def round_trip(docs: DataFrame, doc_id="doc_id", text="text", model: str = MODEL
 
     def run(batch, made):
         lattice, decoder = made
-        for part in slices(batch, 1):
+        for part in slices(batch, 1, SLICE_BYTES):
             ids, first = sample(part.column(1), _keys(part.column(0)), lattice, seed)
             shas, same = [], []
             for k, t in enumerate(part.column(1).to_pylist()):
