@@ -48,8 +48,8 @@ def class_tfidf(df: DataFrame, key="TOPIC_ID", text="text", stop: list[str] | No
     tf = terms_of(df.where(F.col(key).cast("string") != str(OUTLIER)), key, text, stop or [], bigrams)
     size = tf.groupBy(key).agg(F.sum("n").alias("size"))
     mean = size.agg((F.sum("size") / F.count("*")).alias("mean"))
-    frequency = tf.groupBy("term").agg(F.sum("n").alias("f"))
-    scored = tf.join(frequency, "term").join(size, key).crossJoin(F.broadcast(mean))
+    # A term has one row a topic here, so its window is small; this saves a join of the terms with themselves.
+    scored = tf.withColumn("f", F.sum("n").over(Window.partitionBy("term"))).join(size, key).crossJoin(F.broadcast(mean))
     scored = scored.withColumn("score", F.round(F.col("n") / F.col("size") * F.log1p(F.col("mean") / F.col("f")), 8))
     rank = F.row_number().over(Window.partitionBy(key).orderBy(F.desc("score"), "term"))
     return scored.withColumn("rank", rank).where(F.col("rank") <= n).select(key, "rank", "term", "score")
