@@ -16,6 +16,7 @@ from newsloom.operators import corpus, gaps, neardup, report, status, topics, tr
 from newsloom.plans.tables import doc_articles, signal_articles, table, vec_terms, vec_topics
 from newsloom.sources import digest, documents, enrich, fetch, taxonomy
 from newsloom.sources.cache import hashed_embedding
+from newsloom.sources.taxonomy import encode_text
 from newsloom.streaming import events as stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -703,7 +704,7 @@ def taxonomy_union(spark, sf):
 
 @F.pandas_udf(T.StringType())
 def encode_terms(values):
-    return values.map(taxonomy.encode_text)
+    return values.map(encode_text)
 
 
 @query
