@@ -5,17 +5,23 @@ shard's own sorted vocabulary of word hashes. All counts are taken from those, o
 documents:
 
 1. Word counts: one row per shard and word, summed by word.
-2. Clustering: words that make up at least 1 / `max_words` of the training tokens (so there are at
-   most `max_words` of them, whatever the corpus) are exchanged between classes; every other word
-   is in a class of its shape (length, last character), the end of a text in a class of its own.
-   Bigram counts between these symbols are summed in Spark; each sweep gathers, by word and class,
-   how often the word stands before and after that class, and moves words to the class with the
-   highest likelihood.
-3. Scoring: the counts of the rarer words join back to the shards by word, so that no vocabulary
-   is ever sent whole; the frequent ones, being bounded, travel with the task.
+2. Frequent words: those that make up at least 1 / `max_words` of the training tokens (so there are
+   at most `max_words` of them, whatever the corpus) are exchanged between classes; meanwhile every
+   other word stands for its shape (length, last character), the end of a text for itself. Bigram
+   counts between these symbols are summed in Spark; each sweep gathers, by word and class, how
+   often the word stands before and after that class, and moves words to the class with the highest
+   likelihood.
+3. Rarer words: the classes before and after each of them, in all shards, are brought together by
+   word, and each word goes to the class that the exchange likelihood names for these counts. So
+   every trained word has a learnt class. Class and count go back to the shards, so that no
+   vocabulary is ever sent whole. The class bigrams are then counted again, with all words in place.
+4. Scoring: shard by shard, from its words' classes and counts.
+
+There are `n_classes` classes, or the cube root of the number of trained words if that is more.
 
 P(word | previous) = P(class | previous class) * P(word | class). Transitions are smoothed towards
-the class's own frequency; emissions add DELTA, and words never seen share one place in their class.
+the class's own frequency; emissions add DELTA, and words never seen share one place in their class,
+which is the one that holds most of the rarer words of their shape.
 
 Null texts are empty: one token, the end. A null doc_id is held out of nothing and scored with the
 rest. Repeated rows count as often as they stand; extra columns are ignored. With no training
@@ -31,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.frames import delete, recorded, stored, texts
+from newsloom.llm.frames import batches, delete, recorded, stored, texts
 from newsloom.llm.kernels import LOWER, SPACE_WORDS, buffer, signed, slices, word_hashes, words
 
 MAX_WORDS = 20_000
@@ -240,45 +246,216 @@ def exchange(pairs: DataFrame, frequent: Frequent, n_classes=CLASSES, sweeps=SWE
     return best[1], best[2]
 
 
+CONTEXTS = "h bigint, shard bigint, place bigint, near binary"
+ASSIGNED = "shard bigint, slot int, n bigint, class int, shape int, first boolean"
+GATHERED_ROWS = 50_000
+GAIN_ROWS = 16_384
+
+
+def contexts(shards: DataFrame, frequent: Frequent, classes) -> DataFrame:
+    """The rarer words of each shard: hash, shard, slot * N_SHAPES + shape, and the classes before (c) and after (k + c) all training occurrences."""
+    k = int(classes.max()) + 1
+
+    def run(it):
+        for batch in it:
+            for shard, train, first, codes, vocab, shapes in zip(*[batch.column(c).to_pylist() for c in range(6)], strict=True):
+                h, shapes = np.frombuffer(vocab, "<u8"), np.frombuffer(shapes, np.uint8)
+                sym = np.append(frequent.symbols(h, shapes), frequent.end)
+                seq, begin = with_ends(unpack(codes), np.frombuffer(first, "<i8"), len(h))
+                learned = np.repeat(np.frombuffer(train, np.uint8).astype(bool), np.diff(begin))
+                cls = classes[sym][seq]
+                rare = (sym >= frequent.n) & (sym < frequent.end)
+                at = np.flatnonzero(learned & rare[seq])
+                before = np.where(at > 0, cls[at - 1], classes[frequent.end])
+                slot = np.concatenate([seq[at], seq[at]])
+                near = np.concatenate([before, k + cls[at + 1]])[np.argsort(slot, kind="stable")].astype("<u2")
+                n = np.bincount(slot, minlength=len(h))
+                slots = np.flatnonzero(rare[:-1])  # held-out places too: they need the word's class and count
+                offsets = np.concatenate([[0], np.cumsum(n[slots])]).astype("<i4") * 2
+                blobs = pa.BinaryArray.from_buffers(pa.binary(), len(slots), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(near.tobytes())])
+                yield pa.RecordBatch.from_arrays([pa.array(signed(h[slots])), pa.array(np.full(len(slots), shard, np.int64)), pa.array(slots * N_SHAPES + shapes[slots]), blobs], [c.split()[0] for c in CONTEXTS.split(", ")])
+
+    return shards.select("shard", "train", "first", "codes", "vocab", "shapes").mapInArrow(run, CONTEXTS)
+
+
+def likeliest(word, event, table, n_free):
+    """The class among the first n_free that each word 0, 1, ... makes likeliest, from its events (contexts()), and its count.
+
+    Words are placed by the table as it is; classes without a word are no choice, as one would draw in all words that occur once.
+    """
+    k = len(table)
+    size = int(word.max(initial=-1)) + 1
+    n = np.bincount(word, minlength=size) // 2
+    key, times = np.unique(word * (2 * k) + event, return_counts=True)
+    of, event = key // (2 * k), key % (2 * k)
+    # Row e: how often each class stands beside the neighbour of event e. Before a word: column; after it: row.
+    beside = np.concatenate([table[:, :n_free], table[:n_free].T])
+    now = _xlogx(beside)
+    once = _xlogx(beside + 1) - now
+    rows, cols = table.sum(1)[:n_free], table.sum(0)[:n_free]
+    shut = np.where(rows + cols > 0, 0.0, -np.inf)
+    if not np.isfinite(shut).any():
+        shut[:] = 0
+    heads = np.searchsorted(of, np.arange(size + 1))
+    best = np.empty(size, np.int64)
+    a = 0
+    while a < size:
+        b = max(int(np.searchsorted(heads, heads[a] + GAIN_ROWS, "right")) - 1, a + 1)
+        e, m = event[heads[a] : heads[b]], times[heads[a] : heads[b]]
+        gain = once[e]
+        more = np.flatnonzero(m > 1)
+        gain[more] = _xlogx(beside[e[more]] + m[more, None]) - now[e[more]]
+        gain = np.add.reduceat(gain, heads[a:b] - heads[a], axis=0)
+        many, back = np.unique(n[a:b], return_inverse=True)
+        gain -= (_xlogx(rows + many[:, None]) - _xlogx(rows) + _xlogx(cols + many[:, None]) - _xlogx(cols))[back]
+        best[a:b] = np.argmax(gain + shut, axis=1)
+        a = b
+    return best, n
+
+
+def assigned(rows: DataFrame, table, n_free) -> DataFrame:
+    """Class and training count of each rarer word, at every place it has; first: one of its places."""
+    names = [c.split()[0] for c in ASSIGNED.split(", ")]
+
+    def place(part):
+        h, shard, at = (np.asarray(part.column(c)) for c in range(3))
+        near = part.column(3).combine_chunks() if isinstance(part.column(3), pa.ChunkedArray) else part.column(3)
+        _, offsets, data = near.buffers()
+        offsets = np.frombuffer(offsets, "<i4")[near.offset : near.offset + len(near) + 1] // 2
+        events = np.frombuffer(data, "<u2", int(offsets[-1]))[offsets[0] :].astype(np.int64)
+        first = np.concatenate([[True], h[1:] != h[:-1]])
+        word = np.cumsum(first) - 1
+        times = np.bincount(word, np.diff(offsets)).astype(np.int64)
+        trained = times[word] > 0
+        word = (np.cumsum(times > 0) - 1)[word]
+        best, n = likeliest(np.repeat(word, np.diff(offsets)), events, table, n_free)
+        shard, at, first, word = shard[trained], at[trained], first[trained], word[trained]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(shard), pa.array((at // N_SHAPES).astype(np.int32)), pa.array(n[word]), pa.array(best[word].astype(np.int32)), pa.array((at % N_SHAPES).astype(np.int32)), pa.array(first)], names
+        )
+
+    def run(it):
+        held, n = [], 0
+        for batch in it:
+            held.append(batch)
+            n += batch.num_rows
+            if n < GATHERED_ROWS:
+                continue
+            part = pa.Table.from_batches(held)
+            h = np.asarray(part.column(0))
+            cut = int(np.searchsorted(h, h[-1]))  # the last word may go on
+            if cut:
+                yield place(part.slice(0, cut))
+            held, n = part.slice(cut).to_batches(), len(h) - cut
+        if n:
+            yield place(pa.Table.from_batches(held))
+
+    return rows.repartition("h").sortWithinPartitions("h").mapInArrow(run, ASSIGNED)
+
+
+KNOWN = "ids binary, train binary, first binary, codes binary, classes binary, counts binary, sorts binary"
+
+
+def known(shards: DataFrame, found: DataFrame, frequent: Frequent, classes) -> DataFrame:
+    """The shards with class and training count of each word in place of its hash; a word without is class -1 - shape.
+
+    sorts: by class and shape, the rarer words whose first place is in the shard.
+    """
+    sizes = (int(classes.max()) + 1) * N_SHAPES
+
+    def often(it):
+        for batch in it:
+            rows = batch.to_pylist()
+            for row in rows:
+                sym = frequent.symbols(np.frombuffer(row.pop("vocab"), "<u8"), np.frombuffer(row["shapes"], np.uint8))
+                slots = np.flatnonzero(sym < frequent.n)
+                row["slots"], row["symbols"] = slots.astype("<i4").tobytes(), sym[slots].astype("<i4").tobytes()
+                yield pa.RecordBatch.from_pylist([row], schema=OFTEN_SCHEMA)
+
+    def place(left, right):
+        for row in left.to_pylist():
+            cls = -1 - np.frombuffer(row["shapes"], np.uint8).astype(np.int16)
+            n = np.zeros(len(cls), np.int64)
+            slots, sym = np.frombuffer(row["slots"], "<i4"), np.frombuffer(row["symbols"], "<i4")
+            cls[slots], n[slots] = classes[sym], frequent.counts[sym]
+            slots = np.asarray(right.column("slot"))
+            cls[slots], n[slots] = np.asarray(right.column("class")), np.asarray(right.column("n"))
+            new = np.asarray(right.column("class")).astype(np.int64) * N_SHAPES + np.asarray(right.column("shape"))
+            sorts = np.bincount(new[np.asarray(right.column("first"))], minlength=sizes)
+            yield {**{c: row[c] for c in ("ids", "train", "first", "codes")}, "classes": squeeze(cls.astype("<i2")), "counts": squeeze(n.astype("<i8")), "sorts": squeeze(sorts.astype("<i8"))}
+
+    def run(left, right):
+        return pa.Table.from_pylist(list(place(left, right)), schema=KNOWN_SCHEMA)
+
+    rows = shards.select("shard", "ids", "train", "first", "codes", "vocab", "shapes").mapInArrow(often, OFTEN)
+    return rows.groupBy("shard").cogroup(found.groupBy("shard")).applyInArrow(run, KNOWN)
+
+
+def squeeze(x) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(x.tobytes())
+
+
+def stretch(b: bytes, kind):
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(b), kind)
+
+
+OFTEN = "shard bigint, ids binary, train binary, first binary, codes binary, shapes binary, slots binary, symbols binary"
+OFTEN_SCHEMA = pa.schema([(c.split()[0], pa.int64() if c == "shard bigint" else pa.binary()) for c in OFTEN.split(", ")])
+KNOWN_SCHEMA = pa.schema([(c.split()[0], pa.binary()) for c in KNOWN.split(", ")])
+
+
+def class_counts(rows: DataFrame, k):
+    """How often each class follows each in the training documents, the end being the last class; rarer words by class and shape."""
+
+    def run(it):
+        total, sorts = np.zeros(k * k, np.int64), np.zeros(k * N_SHAPES, np.int64)
+        for batch in it:
+            for train, first, codes, classes, new in zip(*[batch.column(c).to_pylist() for c in range(5)], strict=True):
+                cls = stretch(classes, "<i2").astype(np.int64)
+                seq, begin = with_ends(unpack(codes), np.frombuffer(first, "<i8"), len(cls))
+                here = np.append(cls, k - 1)[seq]
+                learned = np.repeat(np.frombuffer(train, np.uint8).astype(bool), np.diff(begin))
+                before = np.concatenate([[k - 1], here[:-1]])
+                total += np.bincount((before * k + here)[learned], minlength=k * k)
+                sorts += stretch(new, "<i8")
+        every = np.concatenate([total, sorts])
+        at = np.flatnonzero(every)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(every[at])], ["key", "n"])
+
+    got = rows.select("train", "first", "codes", "classes", "sorts").mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
+    every = np.zeros(k * k + k * N_SHAPES)
+    every[np.asarray(got.column("key"))] = np.asarray(got.column("n"))
+    return every[: k * k].reshape(k, k), every[k * k :].reshape(k, N_SHAPES)
+
+
 SCORES = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
 
 
 class Model:
-    """What scoring needs, of bounded size: frequent words, classes, transitions, sizes of the classes."""
+    """What scoring needs, of bounded size: transitions, sizes of the classes, the class of the unseen words of each shape."""
 
-    def __init__(self, frequent, classes, table, total, distinct, end_count, rare_sizes, n_classes=CLASSES):
-        self.frequent, self.classes = frequent, classes
+    def __init__(self, table, sorts, frequent_kinds, total, distinct, end_count):
         self.total, self.distinct, self.end_count = total, distinct, end_count
-        k = n_classes + N_SHAPES + 1
-        mass, kinds = np.zeros(k), np.zeros(k)
-        np.add.at(mass, classes[: frequent.n], frequent.counts)
-        np.add.at(kinds, classes[: frequent.n], 1)
-        for shape, (n, words_) in rare_sizes.items():
-            mass[n_classes + shape] += n
-            kinds[n_classes + shape] += words_
-        mass[-1], kinds[-1] = end_count, min(end_count, 1)
+        k, mass, kinds = len(table), table.sum(0), sorts.sum(1) + frequent_kinds
+        kinds[-1] = min(end_count, 1)
+        self.unseen = k - 1 - N_SHAPES + np.arange(N_SHAPES)
+        if sorts.any():
+            self.unseen = np.where(sorts.any(axis=0), sorts.argmax(axis=0), sorts.sum(axis=1).argmax())
         self.room = np.log10(mass + DELTA * (kinds + 1))
         share = (mass + DELTA) / (mass.sum() + DELTA * k)
-        full = np.zeros((k, k))
-        full[: table.shape[0], : table.shape[1]] = table
-        self.move = np.log10((full + KAPPA * share) / (full.sum(1, keepdims=True) + KAPPA))
+        self.move = np.log10((table + KAPPA * share) / (table.sum(1, keepdims=True) + KAPPA))
 
-    def score(self, shard, slots, counts):
-        """The columns of SCORES for one shard; slots and counts are those of its rarer words."""
+    def score(self, shard):
+        """The columns of SCORES for one shard."""
         ids = np.frombuffer(shard["ids"], "<i8")
         n = len(ids) // 2
-        vocab, shapes = np.frombuffer(shard["vocab"], "<u8"), np.frombuffer(shard["shapes"], np.uint8)
-        sym = self.frequent.symbols(vocab, shapes)
-        c = np.zeros(len(vocab), np.int64)
-        often = sym < self.frequent.n
-        c[often] = self.frequent.counts[sym[often]]
-        c[slots] = counts
-        cls = self.classes[sym]
+        cls, c = stretch(shard["classes"], "<i2").astype(np.int64), stretch(shard["counts"], "<i8")
+        cls = np.where(cls < 0, self.unseen[np.maximum(-1 - cls, 0)], cls)
         emit = np.append(np.log10(c + DELTA) - self.room[cls], np.log10(self.end_count + DELTA) - self.room[-1])
         base = np.log10(np.append(c, self.end_count) + 0.5) - np.log10(self.total + 0.5 * (self.distinct + 1))
         known = np.append(c, self.end_count) > 0
         cls = np.append(cls, len(self.room) - 1)
-        seq, begin = with_ends(unpack(shard["codes"]), np.frombuffer(shard["first"], "<i8"), len(vocab))
+        seq, begin = with_ends(unpack(shard["codes"]), np.frombuffer(shard["first"], "<i8"), len(c))
         here = cls[seq]
         before = np.concatenate([[len(self.room) - 1], here[:-1]])
         doc = np.repeat(np.arange(n), np.diff(begin))
@@ -304,33 +481,23 @@ def score_corpus(docs: DataFrame, doc_id="doc_id", text="text", max_words=MAX_WO
     n_train = docs.where(F.coalesce(F.crc32(F.col(doc_id).cast("string")), F.lit(0)) % 5 != 1).count()
     n, kinds = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     total, distinct = n + n_train, kinds + (n_train > 0)
+    n_classes = max(n_classes, round(kinds ** (1 / 3)))
     least = total / max_words
     top = counts.where(F.col("n") >= least).select("h", "n").toArrow()  # at most max_words rows
     frequent = Frequent(np.asarray(top.column("h")).view(np.uint64), np.asarray(top.column("n")))
-    rare = counts.where(F.col("n") < least)
-    rare_sizes = {r["shape"]: (r["m"], r["k"]) for r in rare.groupBy("shape").agg(F.sum("n").alias("m"), F.count("*").alias("k")).collect()}
     with recorded() as made:
         classes, table = exchange(stored(bigrams(shards, frequent), "lm-bigrams"), frequent, n_classes, sweeps)
-    delete(docs.sparkSession, made)
-    model = Model(frequent, classes, table, total, distinct, n_train, rare_sizes, n_classes)
-
-    def places(it):
-        for batch in it:
-            for shard, vocab in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                h = np.frombuffer(vocab, "<u8")
-                slot = np.flatnonzero(frequent.symbols(h, np.zeros(len(h), np.uint8)) >= frequent.n)
-                yield pa.RecordBatch.from_arrays([pa.array(signed(h[slot])), pa.array(np.full(len(slot), shard)), pa.array(slot.astype(np.int32))], ["h", "shard", "slot"])
-
-    found = shards.select("shard", "vocab").mapInArrow(places, "h bigint, shard bigint, slot int").join(rare.select("h", "n"), "h").select("shard", "slot", "n")
-
-    def score(left, right):
-        for row in left.to_pylist():
-            yield model.score(row, np.asarray(right.column("slot")), np.asarray(right.column("n")))
-
-    def run(left, right):
-        return pa.Table.from_batches(list(score(left, right)), schema=SCORE_SCHEMA)
-
-    return shards.select("shard", "ids", "train", "first", "codes", "vocab", "shapes").groupBy("shard").cogroup(found.groupBy("shard")).applyInArrow(run, SCORES)
-
-
-SCORE_SCHEMA = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
+    delete(docs.sparkSession, [*made, counts.stored_at])
+    k = n_classes + N_SHAPES + 1
+    full = np.zeros((k, k))
+    full[: table.shape[0], : table.shape[1]] = table
+    found = assigned(contexts(shards, frequent, classes), full, n_classes)
+    rows = stored(known(shards, found, frequent, classes), "lm-known")
+    delete(docs.sparkSession, [shards.stored_at])
+    model = Model(*class_counts(rows, k), np.bincount(classes[: frequent.n], minlength=k), total, distinct, n_train)
+
+    def run(batch):
+        for row in batch.to_pylist():
+            yield model.score(row)
+
+    return batches(rows, run, SCORES)

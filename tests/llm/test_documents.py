@@ -359,6 +359,36 @@ def test_exchange_gain_is_the_likelihoods():
         assert math.isclose(gain, max(value) - value[classes[w]], abs_tol=1e-6)
 
 
+def test_lm_rare_words_take_the_class_of_their_neighbours(make):
+    from newsloom.llm.class_lm import _xlogx, likeliest
+
+    # Against the likelihood itself, with a table that the words are no part of.
+    rng = np.random.default_rng(3)
+    k, free, size = 7, 4, 30
+    table = rng.integers(0, 9, (k, k)).astype(float)
+    word = np.concatenate([np.arange(size), rng.integers(0, size, 80)])
+    before, after = rng.integers(free, k, len(word)), rng.integers(free, k, len(word))
+    best, n = likeliest(np.concatenate([word, word]), np.concatenate([before, k + after]), table, free)
+    assert (n == np.bincount(word)).all()
+    for w in range(size):
+        value = []
+        for c in range(free):
+            t = table.copy()
+            np.add.at(t, (before[word == w], c), 1)
+            np.add.at(t, (c, after[word == w]), 1)
+            value.append(_xlogx(t).sum() - _xlogx(t.sum(1)).sum() - _xlogx(t.sum(0)).sum())
+        assert math.isclose(value[best[w]], max(value), abs_tol=1e-6)
+    # Rarer words of one shape, after "aa" or after "bb": a held-out text scores more where they stand as in training.
+    texts = [(i, " ".join(f"aa mm cc bb nn dd aa {i:04d}x cc bb {i:04d}y dd" for _ in range(6))) for i in range(1, 900)]
+    held = [i for i, _ in texts if zlib.crc32(str(i).encode()) % 5 == 1][:2]
+    learned = [(i, t) for i, t in texts if zlib.crc32(str(i).encode()) % 5 != 1]
+    some = [i for i, _ in learned][::20]
+    right, wrong = (" ".join(f"{a} {i:04d}x {b} {c} {i:04d}y {d}" for i in some) for a, b, c, d in (("aa", "cc", "bb", "dd"), ("bb", "dd", "aa", "cc")))
+    out = {r["doc_id"]: r for r in rows_of(score_corpus(make([*learned, (held[0], right), (held[1], wrong)]), max_words=1000, n_classes=8))}
+    assert math.isclose(out[held[0]]["base_score"], out[held[1]]["base_score"])
+    assert out[held[0]]["score"] > out[held[1]]["score"] + len(some)
+
+
 # Operator 10
 
 
