@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +38,7 @@ def tokens(column):
     return word_hashes(raw, starts, ends), first
 
 
-INDEX = "doc_ids binary, first binary, terms binary, lists binary, positions binary"
+INDEX = "shard bigint, doc_ids binary, first binary, terms binary, lists binary, positions binary"
 
 
 def shard_blobs(ids, column) -> tuple[bytes, ...]:
@@ -57,20 +58,24 @@ def shard_blobs(ids, column) -> tuple[bytes, ...]:
 
 
 def build_index(docs: DataFrame, doc_id="doc_id", text="text") -> DataFrame:
-    """The index, one row per shard: documents, first word of each, terms, start of each list, positions."""
+    """The index, one row per shard: its number, documents, first word of each, terms, start of each list, positions."""
 
-    def run(batch):
-        for part in slices(batch, 1):
-            blobs = shard_blobs(part.column(0).cast(pa.int64()), part.column(1))
-            yield pa.RecordBatch.from_arrays([pa.array([b], pa.binary()) for b in blobs], [c.split()[0] for c in INDEX.split(", ")])
+    def run(it):
+        number = TaskContext.get().partitionId() << 32
+        for batch in it:
+            for part in slices(batch, 1):
+                blobs = shard_blobs(part.column(0).cast(pa.int64()), part.column(1))
+                yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *[pa.array([b], pa.binary()) for b in blobs]], [c.split()[0] for c in INDEX.split(", ")])
+                number += 1
 
-    return batches(texts(docs, doc_id, text), run, INDEX)
+    return texts(docs, doc_id, text).mapInArrow(run, INDEX)
 
 
 class Shard:
     """One row of the index, opened."""
 
-    def __init__(self, doc_ids, first, terms, lists, positions):
+    def __init__(self, doc_ids, first, terms, lists, positions, shard=0):
+        self.number = shard
         ids = np.frombuffer(doc_ids, "<i8")
         self.n = len(ids) // 2
         self.ids = pa.array(ids[: self.n], pa.int64(), mask=ids[self.n :] == 0)
@@ -168,10 +173,11 @@ def search(shard: Shard, phrases):
 
 
 HITS = "doc_id bigint, n_words bigint, starts array<int>, ends array<int>, items array<string>"
+PLACED = "shard bigint, place int, " + HITS
 
 
 def find_phrases(index: DataFrame, items: list[tuple[str, str | None]], window=WINDOW) -> DataFrame:
-    """One row per document: its words, the merged spans hit, the items with an occurring window."""
+    """One row per document: its shard and place there, its words, the merged spans hit, the items with an occurring window."""
     phrases = phrases_of(items, window)
     names = [i for i, _ in items]
 
@@ -194,11 +200,19 @@ def find_phrases(index: DataFrame, items: list[tuple[str, str | None]], window=W
                 found[d].add(names[of[k]])
             ints, texts_ = pa.list_(pa.int32()), pa.list_(pa.string())
             yield pa.RecordBatch.from_arrays(
-                [shard.ids, pa.array(np.diff(shard.first), pa.int64()), pa.array([s for s, _ in spans], ints), pa.array([e for _, e in spans], ints), pa.array([sorted(f) for f in found], texts_)],
-                [c.split()[0] for c in HITS.split(", ")],
+                [
+                    pa.array(np.full(shard.n, shard.number, np.int64)),
+                    pa.array(np.arange(shard.n, dtype=np.int32)),
+                    shard.ids,
+                    pa.array(np.diff(shard.first), pa.int64()),
+                    pa.array([s for s, _ in spans], ints),
+                    pa.array([e for _, e in spans], ints),
+                    pa.array([sorted(f) for f in found], texts_),
+                ],
+                [c.split()[0] for c in PLACED.split(", ")],
             )
 
-    return batches(index, run, HITS)
+    return batches(index, run, PLACED)
 
 
 def find_near(index: DataFrame, query: str, slop: int) -> DataFrame:
@@ -234,17 +248,18 @@ def contaminated(docs: DataFrame, items: DataFrame, doc_id="doc_id", text="text"
     index = stored(build_index(docs, doc_id, text), "postings")
     found = [find_phrases(index, block, window) for block in item_blocks(items, item_id, item_text)]
     if len(found) == 1:
-        return found[0]
-    # More blocks: the spans of one document come in several rows.
+        return found[0].drop("shard", "place")
+    # More blocks: the spans of one document row come in several rows. Its shard and place tell it from others of the same id.
     every = found[0]
     for more in found[1:]:
         every = every.unionByName(more)
-    merged = every.groupBy("doc_id").agg(
+    merged = every.groupBy("shard", "place").agg(
+        F.max("doc_id").alias("doc_id"),
         F.max("n_words").alias("n_words"),
         F.flatten(F.collect_list("starts")).alias("starts"),
         F.flatten(F.collect_list("ends")).alias("ends"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-    )
+    ).drop("shard", "place")
 
     def tidy(batch):
         starts, ends = [], []

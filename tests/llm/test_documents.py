@@ -213,6 +213,14 @@ def test_decontamination_of_odd_rows(odd, spark, monkeypatch):
     assert as_tuples(digest(contaminated(some, items))) == [r for r in expected if r[0] not in (None, 2)]
 
 
+def test_decontamination_in_blocks_keeps_every_row(odd, spark, monkeypatch):
+    from newsloom.llm import decontaminate as D
+
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    monkeypatch.setattr(D.item_blocks, "__defaults__", ("item_id", "text", 5))
+    assert as_tuples(digest(contaminated(odd, items))) == hits(texts_of(odd), ITEMS)
+
+
 def test_decontamination(corpus, spark, sf):
     items = spark.read.parquet(f"{sf}/benchmark.parquet")
     got = as_tuples(digest(contaminated(corpus, items)))
