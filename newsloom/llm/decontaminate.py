@@ -114,24 +114,21 @@ class Shard:
         return found[self.doc(found) == self.doc(found + len(slots) - 1)]
 
     def near(self, slots, slop):
-        """(start, end) of the spans of at most `slop` words that hold all these terms, in any order."""
+        """(start, end) of the spans of at most `slop` words that hold all these terms, in any order: for each last word the shortest."""
         lists = [self.postings(s).astype(np.int64) for s in dict.fromkeys(slots.tolist())]
         if not lists or min(slots) < 0:
             return []
-        lists.sort(key=len)
-        out = []
-        for p in lists[0]:  # the rarest term leads
-            ok, lo, hi = True, p, p
-            for other in lists[1:]:
-                k = np.searchsorted(other, p)
-                best = [x for x in other[max(k - 1, 0) : k + 1] if abs(x - p) < slop]
-                if not best:
-                    ok = False
-                    break
-                q = min(best, key=lambda x: (abs(x - p), x))
-                lo, hi = min(lo, q), max(hi, q)
-            if ok and hi - lo < slop and self.doc(np.array([lo]))[0] == self.doc(np.array([hi]))[0]:
-                out.append((int(lo), int(hi) + 1))
+        at = np.concatenate(lists)
+        order = np.argsort(at)
+        at, of = at[order], np.repeat(np.arange(len(lists)), [len(x) for x in lists])[order]
+        out, last, doc = [], {}, -1
+        for p, term, d in zip(at.tolist(), of.tolist(), self.doc(at).tolist(), strict=True):
+            if d != doc:  # a span lies in one document
+                last, doc = {}, d
+            last[term] = p
+            lo = min(last.values()) if len(last) == len(lists) else p - slop
+            if p - lo < slop and not (out and out[-1][0] == lo):
+                out.append((lo, p + 1))
         return out
 
 

@@ -241,6 +241,18 @@ def test_proximity(make):
     assert sorted((r["doc_id"], r["start"], r["end"]) for r in rows_of(find_near(index, "a b c", 5))) == [(1, 0, 5), (3, 0, 3)]
 
 
+def test_proximity_of_repeated_terms(make):
+    rng = np.random.default_rng(4)
+    rows = [(1, "x b x a x x b c"), (2, "a b"), (3, "c b a")] + [(k, " ".join(rng.choice(list("abcxyz"), 40))) for k in range(4, 30)]
+    want = []
+    for i, t in rows:
+        w = t.split()
+        spans = [(lo, hi) for lo in range(len(w)) for hi in range(lo + 1, min(lo + 5, len(w)) + 1) if set("abc") <= set(w[lo:hi])]
+        want += [(i, lo, hi) for lo, hi in spans if not any(lo <= a and b <= hi and (a, b) != (lo, hi) for a, b in spans)]
+    got = sorted((r["doc_id"], r["start"], r["end"]) for r in rows_of(find_near(build_index(make(rows)), "a b c", 5)))
+    assert got == want and (1, 3, 8) in got
+
+
 # Operator 5
 
 
