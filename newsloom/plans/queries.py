@@ -732,10 +732,11 @@ def listing_links(spark, sf):
 
 @query
 def action_split(spark, sf):
-    d = table(spark, sf, "customer").where("c_custkey <= 600")
+    # A compilation holds the customers of a nation in a range of 600 keys.
+    d = table(spark, sf, "customer").withColumn("doc", F.floor(F.col("c_custkey") / 600) * 25 + F.col("c_nationkey"))
     name = F.concat(F.initcap(F.lower(F.regexp_replace("c_name", "[#0-9]+", ""))), F.lit(" Co (CRD #"), F.col("c_custkey").cast("string"), F.lit(", Rome, NY)"))
     line = F.concat(F.when(F.col("c_custkey") % 5 == 0, F.lit("Firms Fined\n")).otherwise(F.lit("")), name, F.lit(" was fined. "), F.repeat(F.lit("It did so again. "), (F.col("c_custkey") % 12).cast("int")))
-    whole = d.groupBy(F.col("c_nationkey").alias("doc")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("c_custkey", line.alias("t")))), lambda s: s["t"]), "\n").alias("text"))
+    whole = d.groupBy("doc").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("c_custkey", line.alias("t")))), lambda s: s["t"]), "\n").alias("text"))
     a = documents.split_actions(whole)
     return a.select("doc", "name", F.length("body").alias("n"), "section", documents.action_title(F.col("name"), F.col("body")).alias("title"))
 

@@ -86,6 +86,12 @@ def test_actions(spark, sf):
     assert {r["section"] for r in out} <= {"Firms Fined", "disciplinary action"}
 
 
+def test_action_split_reads_every_customer(spark, sf):
+    d = sf.replace("0.001", "0.01")
+    n = spark.read.parquet(f"{d}/customer.parquet").count()
+    assert n > 1200 and len(QUERIES["action_split"](spark, d).collect()) > n / 2
+
+
 def factors(text):
     parts = re.split(r"\n\s*\n+", text)
     if len(parts) < 3:
