@@ -6,9 +6,15 @@ import html as html_lib
 import re
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style title textarea noscript template iframe svg math select button object xmp noembed noframes".split())
+RAW = frozenset("script style title textarea noscript template iframe xmp noembed noframes".split())
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var nobr ruby rb rp rt output picture".split()
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var nobr ruby rb rp rt output picture object"
+    " math mrow mi mn mo ms mtext mspace mfrac msqrt mroot mstyle merror mpadded mphantom menclose msub msup msubsup munder mover munderover mmultiscripts mprescripts none mtable mtr mtd maction semantics annotation annotation-xml".split()
+)
+# A drawing ends with its end tag or, as in browsers, where one of these HTML elements starts.
+DRAWING_END = re.compile(
+    r"</svg(?=[\s/>])[^>]*+>|(?=<(?:b|big|blockquote|body|br|center|code|dd|div|dl|dt|em|embed|h[1-6]|head|hr|i|img|li|listing|menu|meta|nobr|ol|p|pre|ruby|s|small|span|strong|strike|sub|sup|table|tt|u|ul|var)[\s/>])",
+    re.IGNORECASE,
 )
 # Start tags that end an open paragraph, fixed values of the HTML standard.
 ENDS_P = frozenset(
@@ -22,6 +28,7 @@ SIBLINGS = {
     "tr": (("tr",), ("table",)),
     "td": (("td", "th"), ("tr", "table")),
     "th": (("td", "th"), ("tr", "table")),
+    "option": (("option",), ("select", "datalist")),
     "tbody": (("tbody", "thead", "tfoot"), ("table",)),
     "tfoot": (("tbody", "thead", "tfoot"), ("table",)),
 }
@@ -32,7 +39,8 @@ TAG = re.compile(
     re.DOTALL,
 )
 ATTRIBUTE = re.compile(r"""(?:^|[\s/])(class|id|role|itemprop|aria-label)\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++))""", re.IGNORECASE)
-HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none""", re.IGNORECASE)
+ANY_ATTRIBUTE = re.compile(r"""([^\s"'>/=]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++)))?""")
+NOT_SHOWN = re.compile(r"display\s*:\s*none", re.IGNORECASE)
 
 
 class Page:
@@ -90,6 +98,11 @@ class Page:
                     if name != "table" and tags[stack[k]] in SCOPE and name not in ("body", "html", "table", "tr", "tbody", "thead", "tfoot"):
                         break
                 continue
+            if name == "svg":
+                if not (m[3] or m[6] or "").endswith("/"):
+                    end = DRAWING_END.search(source, at)
+                    at = end.end() if end else at
+                continue
             if name in RAW:
                 end = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.IGNORECASE).search(source, at)
                 close = source.find(">", end.end()) if end else -1
@@ -131,6 +144,15 @@ class Page:
         flush()
 
 
+def is_hidden(raw: str) -> bool:
+    """Whether the attributes hide an element: by the attribute hidden, or by its style."""
+    for m in ANY_ATTRIBUTE.finditer(raw):
+        name = m[1].lower()
+        if name == "hidden" or name == "style" and NOT_SHOWN.search(m[2] or m[3] or m[4] or ""):
+            return True
+    return False
+
+
 def attribute_text(raw: str) -> str:
     """Values of the attributes that say what an element is for, in lower case."""
     if not raw:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.llm.boosting import Trees, fit
-from newsloom.llm.dom import HIDDEN, Page, attribute_text
+from newsloom.llm.dom import Page, attribute_text, is_hidden
 from newsloom.llm.frames import batches, texts
 from newsloom.llm.kernels import slices, strings
 
@@ -170,8 +170,8 @@ def without_hidden(page: Page):
     """Blocks outside elements that are never shown."""
     hidden = [False] * len(page.tags)
     for k in range(1, len(page.tags)):
-        a = page.attributes[k]
-        hidden[k] = hidden[page.parents[k]] or bool(a and ("hidden" in a or "isplay" in a) and HIDDEN.search(a))
+        a = page.attributes[k].lower()
+        hidden[k] = hidden[page.parents[k]] or ("hidden" in a or "display" in a) and is_hidden(a)
     if any(hidden):
         page.blocks = [b for b in page.blocks if not hidden[b[0]]]
 

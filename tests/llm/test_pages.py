@@ -6,7 +6,7 @@ import pytest
 
 from newsloom.llm.boosting import fit
 from newsloom.llm.dom import Page
-from newsloom.llm.html_extraction import decode, extract_many, extract_pages, labelled, trained, training_page
+from newsloom.llm.html_extraction import decode, extract_many, extract_pages, labelled, trained, training_page, without_hidden
 
 
 @pytest.fixture(scope="module")
@@ -82,3 +82,21 @@ def test_boosting_learns_an_interaction():
 def test_implied_end_tags():
     page = Page("<ul><li>a<li>b</ul><table><tr><td>c<td>d<tr><td>e</table><p>f<div>g</div>h<br>i")
     assert [t for _, t, _ in page.blocks] == ["a", "b", "c", "d", "e", "f", "g", "h i"]
+
+
+def test_elements_do_not_swallow_the_page():
+    def texts(html):
+        page = Page(html)
+        without_hidden(page)
+        return [t for _, t, _ in page.blocks]
+
+    for start in ("<svg viewBox='0 0 1 1'/>", "<svg><path d='M0'/>", "<math/>", "<object data=x>", "<svg><title>t</title><path/></svg>"):
+        assert texts(f"<body>{start}<p>one</p><svg></svg><p>two</p>") == ["one", "two"]
+    for start in ("<button>", "<select><option>"):
+        assert texts(f"<body>{start}<p>one</p><p>two</p>") == ["one", "two"]
+    assert texts("<p>so <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds, <object>a plot</object>") == ["so x=1 holds, a plot"]
+    assert texts("<p>an icon <svg><path/></svg> within") == ["an icon within"]
+    for shown in ('class="lead hidden md:block"', "title='a hidden gem'", 'data-style="display: none"'):
+        assert texts(f"<div {shown}>seen</div>") == ["seen"]
+    for gone in ("hidden", "class=a hidden", 'HIDDEN=""', 'style="color: red; Display : none"'):
+        assert texts(f"<div {gone}>unseen</div><p>seen</p>") == ["seen"]
