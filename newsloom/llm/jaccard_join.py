@@ -1,10 +1,10 @@
-"""N-gram Jaccard self-join by a MinHash LSH forest, verified exactly (operator 3).
+"""N-gram Jaccard self-join by MinHash bands, verified exactly (operator 3).
 
-Each distinct text has one signature of `trees` * `depth` minima over its shingles (`n` words; a
-text of fewer words is one shingle). A tree sorts the texts by `depth` minima; those that share a
-prefix are a node of its trie. Prefixes are shortened, one minimum at a time, until a pair at the
-threshold shares one in some tree with the target recall; pairs of higher similarity are found
-more surely.
+Each distinct text has a signature of minima over its shingles (`n` words; a text of fewer words is
+one shingle), as many for each of `trees` bands as the prefix length says. That is the longest, of
+`depth` at most, at which a pair at the threshold shares a band with the target recall; it follows
+from the parameters alone, and no trie is sorted. Texts that share a band are a node; pairs of
+higher similarity are found more surely.
 
 Candidates are then verified on their whole shingle sets. Nodes with the same members, as close
 copies give in most trees, are verified once. A large node is dealt out in blocks of bounded size,
