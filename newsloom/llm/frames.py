@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import contextvars
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,24 +12,37 @@ ARROW_ROWS = 1000
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder; a folder under /tmp only where the session names none, as in tests."""
+    """The cluster's shared folder. Only a local master, whose one machine is the whole cluster, may do without the setting."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         where = "/tmp/newsloom-checkpoints"
-        spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")
 
 
-_records: list[list[str]] = []
+def _path(spark: SparkSession, path: str):
+    """(file system, path) of a stored table."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+# The lists that note what is stored, by thread: queries that run side by side don't see each other's tables.
+_records: contextvars.ContextVar[tuple[list[str], ...]] = contextvars.ContextVar("records", default=())
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write a frame as Parquet in the shared folder and read it again: cuts lineage, survives lost executors."""
+    """Write a frame as Parquet in the shared folder and read it again: cuts lineage, survives lost executors.
+
+    What is still there when the application ends is deleted then.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    for record in _records:
+    for record in _records.get():
         record.append(path)
     df.write.option("compression", "zstd").parquet(path)
+    system, at = _path(spark, path)
+    system.deleteOnExit(at)
     out = spark.read.schema(df.schema).parquet(path)
     out.stored_at = path
     return out
@@ -36,13 +50,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 @contextlib.contextmanager
 def recorded():
-    """A list that gets the path of every table stored within."""
+    """A list that gets the path of every table this thread stores within."""
     paths: list[str] = []
-    _records.append(paths)
+    token = _records.set((*_records.get(), paths))
     try:
         yield paths
     finally:
-        _records[:] = [r for r in _records if r is not paths]
+        _records.reset(token)
 
 
 def delete(spark: SparkSession, paths: list[str], keep: tuple[DataFrame, ...] = ()) -> None:
@@ -50,12 +64,15 @@ def delete(spark: SparkSession, paths: list[str], keep: tuple[DataFrame, ...] =
     needed = {df.stored_at for df in keep}
     for p in paths:
         if p not in needed:
-            path = spark._jvm.org.apache.hadoop.fs.Path(p)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+            system, at = _path(spark, p)
+            system.delete(at, True)
 
 
 def texts(df: DataFrame, *columns: str) -> DataFrame:
-    """Only the named columns, under those names; other columns, whatever their names, go."""
+    """Only the named columns, under those names; other columns, whatever their names, go.
+
+    Texts may be long, so the session's Arrow batches hold fewer rows from here on.
+    """
     spark = df.sparkSession
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     return df.select(*columns)
@@ -77,7 +94,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-
 def free(df: DataFrame, *names: str) -> list[str]:
     """Column names like these that the frame does not have yet."""
     taken, out = {c.lower() for c in df.columns}, []
