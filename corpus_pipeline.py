@@ -7,17 +7,20 @@ shared folder while it works are deleted when the next one starts, its result be
 
 from __future__ import annotations
 
+import contextvars
+
 from newsloom.llm import decontaminate, frames, jaccard_join, quality_rules, sampling, substring_dedup
 
-_left: list[str] = []
+# What the last stage of this thread stored.
+_left: contextvars.ContextVar[tuple[str, ...]] = contextvars.ContextVar("left", default=())
 
 
 def _stage(work):
     def stage(spark, docs, sf_dir):
-        frames.delete(spark, _left)
+        frames.delete(spark, _left.get())
         with frames.recorded() as made:
             out = work(spark, docs, sf_dir)
-        _left[:] = made
+        _left.set(tuple(made))
         return out
 
     return stage
