@@ -8,13 +8,15 @@ documents:
 2. Frequent words: those that make up at least 1 / `max_words` of the training tokens (so there are
    at most `max_words` of them, whatever the corpus) are exchanged between classes; meanwhile every
    other word stands for its shape (length, last character), the end of a text for itself. Bigram
-   counts between these symbols are summed in Spark; each sweep gathers, by word and class, how
-   often the word stands before and after that class, and moves words to the class with the highest
-   likelihood.
+   counts between these symbols are summed in Spark; each sweep brings together, by word, how often
+   it stands before and after each class, and moves it to the class with the highest likelihood.
+   The driver holds the classes and the table of class bigrams, nothing else.
 3. Rarer words: the classes before and after each of them, in all shards, are brought together by
-   word, and each word goes to the class that the exchange likelihood names for these counts. So
-   every trained word has a learnt class. Class and count go back to the shards, so that no
-   vocabulary is ever sent whole. The class bigrams are then counted again, with all words in place.
+   ranges of word hashes, and each word goes to the class that the exchange likelihood names for
+   these counts. So every trained word has a learnt class. Class and count go back to the shards, so
+   that no vocabulary is ever sent whole. The class bigrams are then counted again, with all words
+   in place. Both ways, what one shard and one range share is one row; there are as many ranges as
+   shards, so no task grows with the corpus.
 4. Scoring: shard by shard, from its words' classes and counts.
 
 There are `n_classes` classes, or the cube root of the number of trained words if that is more.
@@ -37,8 +39,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.frames import batches, delete, recorded, stored, texts
-from newsloom.llm.kernels import LOWER, SPACE_WORDS, buffer, signed, slices, word_hashes, words
+from newsloom.llm.frames import batches, delete, recorded, runs, stored, texts
+from newsloom.llm.kernels import LOWER, SPACE_WORDS, buffer, slices, word_hashes, words
 
 MAX_WORDS = 20_000
 CLASSES = 48
@@ -50,7 +52,9 @@ KAPPA = 50.0
 
 
 def pack(x) -> bytes:
-    """Numbers from 0 up as compressed byte planes."""
+    """Numbers from 0 up, below 2**32, as compressed byte planes."""
+    if len(x) and int(x.max()) >= 1 << 32:
+        raise ValueError("a count or place of 2**32 or more")
     planes = np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T)
     return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
@@ -116,15 +120,16 @@ def shard_table(docs: DataFrame, doc_id="doc_id", text="text") -> DataFrame:
 
 
 def word_counts(shards: DataFrame) -> DataFrame:
-    """Training count and shape of every word, held-out ones with 0."""
+    """Training count of every word of the training documents."""
 
     def run(it):
         for batch in it:
-            for vocab, shapes, counts in zip(*[batch.column(k).to_pylist() for k in range(3)], strict=True):
-                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(vocab, "<i8")), pa.array(np.frombuffer(shapes, np.uint8).astype(np.int32)), pa.array(np.frombuffer(counts, "<i4").astype(np.int64))], ["h", "shape", "n"])
+            for vocab, counts in zip(*[batch.column(k).to_pylist() for k in range(2)], strict=True):
+                n = np.frombuffer(counts, "<i4").astype(np.int64)
+                learned = n > 0
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(vocab, "<i8")[learned]), pa.array(n[learned])], ["h", "n"])
 
-    rows = shards.select("vocab", "shapes", "counts").mapInArrow(run, "h bigint, shape int, n bigint")
-    return rows.groupBy("h").agg(F.sum("n").alias("n"), F.min("shape").alias("shape")).where("n > 0")
+    return shards.select("vocab", "counts").mapInArrow(run, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n"))
 
 
 class Frequent:
@@ -164,24 +169,56 @@ def bigrams(shards: DataFrame, frequent: Frequent) -> DataFrame:
     return shards.select("train", "first", "codes", "vocab", "shapes").mapInArrow(run, "a int, b int, n bigint").groupBy("a", "b").agg(F.sum("n").alias("n"))
 
 
-def neighbours(pairs: DataFrame, classes):
-    """Counts of every symbol before each class, after each class, and beside itself: three bounded arrays."""
-    size, k = len(classes), int(classes.max()) + 1
+def _summed(it, pairs_of, names):
+    """Batches (*keys, n) with equal keys of one batch added up; pairs_of gives (keys as one number, n, how to split them)."""
+    for batch in it:
+        key, n, split = pairs_of(*(np.asarray(batch.column(c)).astype(np.int64) for c in range(3)))
+        keys, back = np.unique(key, return_inverse=True)
+        total = np.bincount(back, n, len(keys)).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([*map(pa.array, split(keys)), pa.array(total)], names)
+
+
+def class_table(pairs: DataFrame, classes):
+    """How often each class follows each."""
+    k = int(classes.max()) + 1
 
     def run(it):
-        for batch in it:
-            a, b, n = (np.asarray(batch.column(c)).astype(np.int64) for c in range(3))
-            own = a == b
-            key = np.concatenate([a * k + classes[b], (size + b) * k + classes[a], (2 * size + a[own]) * k])
-            keys, back = np.unique(key, return_inverse=True)
-            total = np.bincount(back, np.concatenate([n, n, n[own]]), len(keys)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(total)], ["key", "n"])
+        yield from _summed(it, lambda a, b, n: (classes[a] * k + classes[b], n, lambda x: (x,)), ["key", "n"])
 
     got = pairs.select("a", "b", "n").mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
-    flat = np.zeros(3 * size * k)
+    flat = np.zeros(k * k)
     flat[np.asarray(got.column("key"))] = np.asarray(got.column("n"))
-    after, before, own = flat.reshape(3, size, k)
-    return after, before, own[:, 0]
+    return flat.reshape(k, k)
+
+
+def moves(pairs: DataFrame, classes, table, movable, n_free) -> DataFrame:
+    """w, class: the likeliest class of each word for which `movable` holds, given the classes of all others."""
+    k = len(table)
+    wide = 2 * k + 1  # of a word: classes after it, classes before it, itself
+
+    def gather(it):
+        def keys(a, b, n):
+            own = a == b
+            word = np.concatenate([a, b, a[own]])
+            place = np.concatenate([classes[b], k + classes[a], np.full(int(own.sum()), 2 * k)])
+            pick = movable[word]
+            return (word * wide + place)[pick], np.concatenate([n, n, n[own]])[pick], lambda x: (x // wide, x % wide)
+
+        yield from _summed(it, keys, ["w", "at", "n"])
+
+    def move(it):
+        for batch in it:
+            words_, places, counts = (batch.column(c) for c in range(3))
+            out = []
+            for w, at, n in zip(words_.to_pylist(), places, counts, strict=True):
+                x = np.zeros(wide)
+                x[np.asarray(at.values)] = np.asarray(n.values)
+                out.append(best_class(0, classes[w : w + 1], table, x[None, :k], x[None, k : 2 * k], x[2 * k :], n_free)[0])
+            yield pa.RecordBatch.from_arrays([words_, pa.array(out, pa.int64())], ["w", "class"])
+
+    seen = pairs.select("a", "b", "n").mapInArrow(gather, "w bigint, at bigint, n bigint").groupBy("w", "at").agg(F.sum("n").alias("n"))
+    lists = seen.groupBy("w").agg(F.collect_list(F.struct("at", "n")).alias("x")).select("w", "x.at", "x.n")
+    return lists.mapInArrow(move, "w bigint, class bigint")
 
 
 def _xlogx(x):
@@ -229,31 +266,42 @@ def exchange(pairs: DataFrame, frequent: Frequent, n_classes=CLASSES, sweeps=SWE
     classes = np.concatenate([rank % n_classes, fixed])
     best = None
     for sweep in range(sweeps + 1):
-        after, before, own = neighbours(pairs, classes)
-        table = _tables(after, classes)
+        table = class_table(pairs, classes)
         value = _likelihood(table)
         if best is None or value > best[0]:
             best = (value, classes, table)
         if sweep == sweeps:
             break
         # Words move at once, given the others' classes; half of them a sweep, so that pairs don't swap.
+        movable = np.arange(len(classes)) < frequent.n
+        if sweep:
+            movable &= np.arange(len(classes)) % 2 == sweep % 2
+        got = moves(pairs, classes, table, movable, n_classes).toArrow()
         moved = classes.copy()
-        for w in range(sweep % 2, frequent.n, 2) if sweep else range(frequent.n):
-            moved[w] = best_class(w, classes, table, after, before, own, n_classes)[0]
+        moved[np.asarray(got.column("w"))] = np.asarray(got.column("class"))
         if (moved == classes).all():
             break
         classes = moved
     return best[1], best[2]
 
 
-CONTEXTS = "h bigint, shard bigint, place bigint, near binary"
-ASSIGNED = "shard bigint, slot int, n bigint, class int, shape int, first boolean"
-GATHERED_ROWS = 50_000
+CONTEXTS = "bucket int, shard bigint, h binary, slots binary, sizes binary, near binary"
+ASSIGNED = "shard bigint, slots binary, counts binary, classes binary, firsts binary"
 GAIN_ROWS = 16_384
 
 
-def contexts(shards: DataFrame, frequent: Frequent, classes) -> DataFrame:
-    """The rarer words of each shard: hash, shard, slot * N_SHAPES + shape, and the classes before (c) and after (k + c) all training occurrences."""
+def _names(schema):
+    return [c.split()[0] for c in schema.split(", ")]
+
+
+def _blobs(x, edges):
+    """The parts of x between the edges, as binaries."""
+    offsets = (np.asarray(edges) * x.itemsize).astype("<i4")
+    return pa.BinaryArray.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(np.ascontiguousarray(x).tobytes())])
+
+
+def contexts(shards: DataFrame, frequent: Frequent, classes, n_buckets) -> DataFrame:
+    """The rarer words of each shard, by ranges of their hashes (buckets): hash, slot, and the classes before (c) and after (k + c) all training occurrences."""
     k = int(classes.max()) + 1
 
     def run(it):
@@ -269,11 +317,17 @@ def contexts(shards: DataFrame, frequent: Frequent, classes) -> DataFrame:
                 before = np.where(at > 0, cls[at - 1], classes[frequent.end])
                 slot = np.concatenate([seq[at], seq[at]])
                 near = np.concatenate([before, k + cls[at + 1]])[np.argsort(slot, kind="stable")].astype("<u2")
-                n = np.bincount(slot, minlength=len(h))
                 slots = np.flatnonzero(rare[:-1])  # held-out places too: they need the word's class and count
-                offsets = np.concatenate([[0], np.cumsum(n[slots])]).astype("<i4") * 2
-                blobs = pa.BinaryArray.from_buffers(pa.binary(), len(slots), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(near.tobytes())])
-                yield pa.RecordBatch.from_arrays([pa.array(signed(h[slots])), pa.array(np.full(len(slots), shard, np.int64)), pa.array(slots * N_SHAPES + shapes[slots]), blobs], [c.split()[0] for c in CONTEXTS.split(", ")])
+                n = np.bincount(slot, minlength=len(h))[slots]
+                # The vocabulary is sorted, so a bucket is a run of slots.
+                bucket = ((h[slots] >> np.uint64(32)) * np.uint64(n_buckets)) >> np.uint64(32)
+                edges = np.searchsorted(bucket, np.arange(n_buckets + 1, dtype=np.uint64))
+                filled = np.flatnonzero(np.diff(edges))
+                edges = np.append(edges[filled], len(slots))
+                ends = np.concatenate([[0], np.cumsum(n)])[edges]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(filled, pa.int32()), pa.array(np.full(len(filled), shard, np.int64)), _blobs(h[slots], edges), _blobs(slots.astype("<i4"), edges), _blobs(n.astype("<i4"), edges), _blobs(near, ends)], _names(CONTEXTS)
+                )
 
     return shards.select("shard", "train", "first", "codes", "vocab", "shapes").mapInArrow(run, CONTEXTS)
 
@@ -288,6 +342,21 @@ def likeliest(word, event, table, n_free):
     n = np.bincount(word, minlength=size) // 2
     key, times = np.unique(word * (2 * k) + event, return_counts=True)
     of, event = key // (2 * k), key % (2 * k)
+    heads = np.searchsorted(of, np.arange(size + 1))
+    # Words that occur once, between the same two classes, go to the same class: one of them stands for all.
+    once = np.flatnonzero(n == 1)
+    _, some, alike = np.unique(event[heads[once]] * (2 * k) + event[heads[once] + 1], return_index=True, return_inverse=True)
+    chosen = n > 1
+    chosen[once[some]] = True
+    pick = np.repeat(chosen, np.diff(heads))
+    best = np.zeros(size, np.int64)
+    best[chosen] = _best(event[pick], times[pick], np.concatenate([[0], np.cumsum(np.diff(heads)[chosen])]), n[chosen], table, n_free)
+    best[once] = best[once[some]][alike]
+    return best, n
+
+
+def _best(event, times, heads, n, table, n_free):
+    """The likeliest class of each word; its events are those from its head to the next."""
     # Row e: how often each class stands beside the neighbour of event e. Before a word: column; after it: row.
     beside = np.concatenate([table[:, :n_free], table[:n_free].T])
     now = _xlogx(beside)
@@ -296,7 +365,7 @@ def likeliest(word, event, table, n_free):
     shut = np.where(rows + cols > 0, 0.0, -np.inf)
     if not np.isfinite(shut).any():
         shut[:] = 0
-    heads = np.searchsorted(of, np.arange(size + 1))
+    size = len(n)
     best = np.empty(size, np.int64)
     a = 0
     while a < size:
@@ -310,53 +379,39 @@ def likeliest(word, event, table, n_free):
         gain -= (_xlogx(rows + many[:, None]) - _xlogx(rows) + _xlogx(cols + many[:, None]) - _xlogx(cols))[back]
         best[a:b] = np.argmax(gain + shut, axis=1)
         a = b
-    return best, n
+    return best
 
 
-def assigned(rows: DataFrame, table, n_free) -> DataFrame:
-    """Class and training count of each rarer word, at every place it has; first: one of its places."""
-    names = [c.split()[0] for c in ASSIGNED.split(", ")]
+def assigned(rows: DataFrame, table, n_free, n_buckets) -> DataFrame:
+    """Class and training count of each rarer word, at every place it has, a row for each shard and bucket; first: one of its places."""
 
     def place(part):
-        h, shard, at = (np.asarray(part.column(c)) for c in range(3))
-        near = part.column(3).combine_chunks() if isinstance(part.column(3), pa.ChunkedArray) else part.column(3)
-        _, offsets, data = near.buffers()
-        offsets = np.frombuffer(offsets, "<i4")[near.offset : near.offset + len(near) + 1] // 2
-        events = np.frombuffer(data, "<u2", int(offsets[-1]))[offsets[0] :].astype(np.int64)
-        first = np.concatenate([[True], h[1:] != h[:-1]])
-        word = np.cumsum(first) - 1
-        times = np.bincount(word, np.diff(offsets)).astype(np.int64)
-        trained = times[word] > 0
-        word = (np.cumsum(times > 0) - 1)[word]
-        best, n = likeliest(np.repeat(word, np.diff(offsets)), events, table, n_free)
-        shard, at, first, word = shard[trained], at[trained], first[trained], word[trained]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(shard), pa.array((at // N_SHAPES).astype(np.int32)), pa.array(n[word]), pa.array(best[word].astype(np.int32)), pa.array((at % N_SHAPES).astype(np.int32)), pa.array(first)], names
-        )
+        shard = np.asarray(part.column("shard"))
+        h, slots, sizes, near = (np.frombuffer(b"".join(part.column(c).to_pylist()), kind) for c, kind in (("h", "<u8"), ("slots", "<i4"), ("sizes", "<i4"), ("near", "<u2")))
+        ends = np.concatenate([[0], np.cumsum([len(x) // 8 for x in part.column("h").to_pylist()])])
+        _, at, word = np.unique(h, return_index=True, return_inverse=True)
+        first = np.zeros(len(h), np.uint8)
+        first[at] = 1
+        times = np.bincount(word, sizes, len(at)).astype(np.int64)
+        trained = times > 0
+        best, n = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+        best[trained], n[trained] = likeliest((np.cumsum(trained) - 1)[np.repeat(word, sizes)], near.astype(np.int64), table, n_free)
+        keep = trained[word]
+        for s, lo, hi in zip(shard, ends[:-1], ends[1:], strict=True):
+            own = lo + np.flatnonzero(keep[lo:hi])
+            yield s, pack(slots[own]), pack(n[word[own]]), pack(best[word[own]]), first[own].tobytes()
 
     def run(it):
-        held, n = [], 0
-        for batch in it:
-            held.append(batch)
-            n += batch.num_rows
-            if n < GATHERED_ROWS:
-                continue
-            part = pa.Table.from_batches(held)
-            h = np.asarray(part.column(0))
-            cut = int(np.searchsorted(h, h[-1]))  # the last word may go on
-            if cut:
-                yield place(part.slice(0, cut))
-            held, n = part.slice(cut).to_batches(), len(h) - cut
-        if n:
-            yield place(pa.Table.from_batches(held))
-
-    return rows.repartition("h").sortWithinPartitions("h").mapInArrow(run, ASSIGNED)
+        for part in runs(it, 1):
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if k else pa.int64()) for k, c in enumerate(zip(*place(part), strict=True))], _names(ASSIGNED))
+
+    return rows.repartition(n_buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(run, ASSIGNED)
 
 
 KNOWN = "ids binary, train binary, first binary, codes binary, classes binary, counts binary, sorts binary"
 
 
-def known(shards: DataFrame, found: DataFrame, frequent: Frequent, classes) -> DataFrame:
+def known(shards: DataFrame, found: DataFrame, frequent: Frequent, classes, n_shards) -> DataFrame:
     """The shards with class and training count of each word in place of its hash; a word without is class -1 - shape.
 
     sorts: by class and shape, the rarer words whose first place is in the shard.
@@ -378,17 +433,22 @@ def known(shards: DataFrame, found: DataFrame, frequent: Frequent, classes) -> D
             n = np.zeros(len(cls), np.int64)
             slots, sym = np.frombuffer(row["slots"], "<i4"), np.frombuffer(row["symbols"], "<i4")
             cls[slots], n[slots] = classes[sym], frequent.counts[sym]
-            slots = np.asarray(right.column("slot"))
-            cls[slots], n[slots] = np.asarray(right.column("class")), np.asarray(right.column("n"))
-            new = np.asarray(right.column("class")).astype(np.int64) * N_SHAPES + np.asarray(right.column("shape"))
-            sorts = np.bincount(new[np.asarray(right.column("first"))], minlength=sizes)
+            sorts = np.zeros(sizes, np.int64)
+            shapes = np.frombuffer(row["shapes"], np.uint8)
+            for part in right.to_pylist():
+                slots, new = unpack(part["slots"]), unpack(part["classes"])
+                cls[slots], n[slots] = new, unpack(part["counts"])
+                first = np.frombuffer(part["firsts"], np.uint8) > 0
+                sorts += np.bincount(new[first] * N_SHAPES + shapes[slots[first]], minlength=sizes)
             yield {**{c: row[c] for c in ("ids", "train", "first", "codes")}, "classes": squeeze(cls.astype("<i2")), "counts": squeeze(n.astype("<i8")), "sorts": squeeze(sorts.astype("<i8"))}
 
     def run(left, right):
         return pa.Table.from_pylist(list(place(left, right)), schema=KNOWN_SCHEMA)
 
     rows = shards.select("shard", "ids", "train", "first", "codes", "vocab", "shapes").mapInArrow(often, OFTEN)
-    return rows.groupBy("shard").cogroup(found.groupBy("shard")).applyInArrow(run, KNOWN)
+    # A shard, not a partition of some size, is what a task takes, so that tasks stay as large as they are.
+    left, right = (x.repartition(n_shards, "shard").groupBy("shard") for x in (rows, found))
+    return left.cogroup(right).applyInArrow(run, KNOWN)
 
 
 def squeeze(x) -> bytes:
@@ -482,6 +542,7 @@ def score_corpus(docs: DataFrame, doc_id="doc_id", text="text", max_words=MAX_WO
     n, kinds = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     total, distinct = n + n_train, kinds + (n_train > 0)
     n_classes = max(n_classes, round(kinds ** (1 / 3)))
+    n_shards = max(shards.count(), 1)
     least = total / max_words
     top = counts.where(F.col("n") >= least).select("h", "n").toArrow()  # at most max_words rows
     frequent = Frequent(np.asarray(top.column("h")).view(np.uint64), np.asarray(top.column("n")))
@@ -491,8 +552,8 @@ def score_corpus(docs: DataFrame, doc_id="doc_id", text="text", max_words=MAX_WO
     k = n_classes + N_SHAPES + 1
     full = np.zeros((k, k))
     full[: table.shape[0], : table.shape[1]] = table
-    found = assigned(contexts(shards, frequent, classes), full, n_classes)
-    rows = stored(known(shards, found, frequent, classes), "lm-known")
+    found = assigned(contexts(shards, frequent, classes, n_shards), full, n_classes, n_shards)
+    rows = stored(known(shards, found, frequent, classes, n_shards), "lm-known")
     delete(docs.sparkSession, [shards.stored_at])
     model = Model(*class_counts(rows, k), np.bincount(classes[: frequent.n], minlength=k), total, distinct, n_train)
 

@@ -6,6 +6,8 @@ import contextlib
 import contextvars
 import uuid
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 ARROW_ROWS = 1000
@@ -90,6 +92,26 @@ def batches(df: DataFrame, fn, schema: str, setup=None) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+def runs(it, n_keys):
+    """A table for each run of rows equal in the first n_keys columns, over a stream of record batches sorted by them."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in it:
+        if not batch.num_rows:
+            continue
+        keys = np.stack([np.asarray(batch.column(k)) for k in range(n_keys)], 1)
+        cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), batch.num_rows]
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            key = tuple(keys[lo].tolist())
+            if held and key != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(lo, hi - lo))
+            last = key
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
