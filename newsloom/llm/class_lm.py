@@ -309,16 +309,18 @@ def contexts(shards: DataFrame, frequent: Frequent, classes, n_buckets) -> DataF
             for shard, train, first, codes, vocab, shapes in zip(*[batch.column(c).to_pylist() for c in range(6)], strict=True):
                 h, shapes = np.frombuffer(vocab, "<u8"), np.frombuffer(shapes, np.uint8)
                 sym = np.append(frequent.symbols(h, shapes), frequent.end)
-                seq, begin = with_ends(unpack(codes), np.frombuffer(first, "<i8"), len(h))
+                # Narrow types: these arrays hold every token of the shard.
+                seq, begin = with_ends(unpack(codes).astype(np.int32), np.frombuffer(first, "<i8"), len(h))
                 learned = np.repeat(np.frombuffer(train, np.uint8).astype(bool), np.diff(begin))
-                cls = classes[sym][seq]
+                cls = classes.astype(np.uint16)[sym][seq]
                 rare = (sym >= frequent.n) & (sym < frequent.end)
                 at = np.flatnonzero(learned & rare[seq])
-                before = np.where(at > 0, cls[at - 1], classes[frequent.end])
-                slot = np.concatenate([seq[at], seq[at]])
-                near = np.concatenate([before, k + cls[at + 1]])[np.argsort(slot, kind="stable")].astype("<u2")
+                before = np.where(at > 0, cls[at - 1], np.uint16(classes[frequent.end]))
+                slot = seq[at]
+                order = np.argsort(slot, kind="stable")
+                near = np.stack([before[order], (np.uint16(k) + cls[at + 1])[order]], 1).ravel()
                 slots = np.flatnonzero(rare[:-1])  # held-out places too: they need the word's class and count
-                n = np.bincount(slot, minlength=len(h))[slots]
+                n = 2 * np.bincount(slot, minlength=len(h))[slots]
                 # The vocabulary is sorted, so a bucket is a run of slots.
                 bucket = ((h[slots] >> np.uint64(32)) * np.uint64(n_buckets)) >> np.uint64(32)
                 edges = np.searchsorted(bucket, np.arange(n_buckets + 1, dtype=np.uint64))
