@@ -189,6 +189,33 @@ def mapped(x, table: dict[str, str]) -> Column:
     return out
 
 
+def repaired(x, table: dict[str, str] | None = None) -> Column:
+    """Text whose UTF-8 was read as Latin-1, decoded anew where a character of the table shows it; then the table.
+
+    What has no place in Latin-1, and bytes that are no UTF-8, go in the decoding; all SQL.
+    """
+    known = MOJIBAKE if table is None else table
+    t = _c(x)
+    odd = F.regexp_like(t, F.lit("[" + "".join(known) + "]"))
+    latin = F.encode(F.regexp_replace(t, r"[^\x00-\xFF]", ""), "ISO-8859-1")
+    decoded = F.replace(F.make_valid_utf8(latin.cast("string")), F.lit("\ufffd"), F.lit(""))
+    return mapped(F.when(odd & (decoded != ""), decoded).otherwise(t), known)
+
+
+# Punctuation beyond ASCII and its nearest spelling, fixed values.
+PLAIN_PUNCTUATION = {"‘": "'", "’": "'", "“": '"', "”": '"', "–": "-", "—": "--", "…": "...", "•": "*", "®": "(r)", "™": "(tm)", "©": "(c)", "§": "SS", "\xa0": " "}
+
+
+@F.pandas_udf(T.StringType())
+def _without_marks(texts: pd.Series) -> pd.Series:
+    return texts.str.normalize("NFKD").str.encode("ascii", "ignore").str.decode("ascii")
+
+
+def transliterated(x) -> Column:
+    """ASCII spelling: plain punctuation, letters without their marks; other characters go. Collapsed."""
+    return collapse(_without_marks(mapped(x, PLAIN_PUNCTUATION)))
+
+
 def slug_title(x) -> Column:
     """The last part of a path as a title: words for hyphens and underscores."""
     last = F.regexp_extract(_c(x), r"([^/]+?)(?:\.\w+)?/?(?:[?#].*)?$", 1)

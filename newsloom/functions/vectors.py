@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -20,6 +20,29 @@ def unit(a: Column) -> Column:
     return F.transform(a, lambda x: x.cast("double") / size)
 
 
+def against(rows: DataFrame, queries: DataFrame, key: str, vector: str, limit: int) -> DataFrame:
+    """Every row beside every query. The queries are broadcast in blocks, each of `limit` bytes at most.
+
+    Their number and longest vector are counted first; a block is picked by a hash of its key.
+    """
+    n, width = queries.agg(F.count("*"), F.coalesce(F.max(F.size(vector)), F.lit(0))).first()
+    blocks = max(1, -(-2 * n * (8 * width + 64) // limit))  # twice as many, as hashing fills them unevenly
+    if n * (8 * width + 64) <= limit:
+        return rows.crossJoin(F.broadcast(queries))
+    out = None
+    for k in range(blocks):
+        one = rows.crossJoin(F.broadcast(queries.where(F.pmod(F.xxhash64(key), F.lit(blocks)) == k)))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def nearest(rows: DataFrame, queries: DataFrame, n: int, limit: int = 64_000_000) -> DataFrame:
+    """q, seq, sim, rank: the n rows most alike to each query, itself left out. rows: seq, vector; queries: q, qv."""
+    s = against(rows, queries, "q", "qv", limit).where("seq != q").select("q", "seq", F.round(dot(F.col("qv"), F.col("vector")), 4).alias("sim"))
+    rank = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("sim"), "seq"))  # limited in each task first
+    return s.withColumn("rank", rank.cast("bigint")).where(F.col("rank") <= n)
+
+
 def mean_vectors(df: DataFrame, keys: list[str], vector: str, out: str = "centroid") -> DataFrame:
     """The unit mean vector of each group: positions are aggregated one by one, so groups are never gathered."""
     each = df.select(*keys, F.posexplode(vector).alias("_pos", "_v"))

@@ -42,6 +42,17 @@ def renumbered(df: DataFrame, *order, column="GOOGLE_INDEX") -> DataFrame:
     return ranged.join(F.broadcast(before.select("_part", "_before")), "_part").withColumn(column, (F.col("_before") + F.col("_in") - 1).cast("bigint")).drop("_part", "_in", "_before")
 
 
+def newest_first(df: DataFrame, date="PUBLISHED_DATE", *ties) -> DataFrame:
+    """In descending order of the date as text; undated rows last."""
+    return df.orderBy(F.desc_nulls_last(date), *ties)
+
+
+def hit_rate(df: DataFrame, key: str, text="SUMMARY", least=200) -> DataFrame:
+    """Of each key the rows and the share whose text was extracted, that is, is long enough."""
+    enough = F.length(F.coalesce(F.col(text), F.lit(""))) >= least
+    return df.groupBy(key).agg(F.round(F.avg(enough.cast("int")), 4).alias("hit_rate"), F.count("*").alias("n"))
+
+
 def unseen(new: DataFrame, old: DataFrame, seq: str = "seq") -> DataFrame:
     """New rows whose link the corpus lacks, each link once; rows without a link go by title and source."""
     known = old.select(link_or_title_key().alias("_link"))

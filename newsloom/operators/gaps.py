@@ -9,13 +9,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsloom.functions.vectors import dot, mean_vectors
+from newsloom.functions.vectors import against, dot, mean_vectors
 
 CENTROID_SAMPLE = 40
 NEW_WINDOW_MONTHS = 3
 GAP_BOOST, DISCOVERY_BOOST = 1.5, 1.3
 MIN_QUALITY = 0.6
-BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 64_000_000
 
 # Anchor phrases of the two relevance scores, fixed values.
 DOMAIN_ANCHOR = [
@@ -29,11 +29,6 @@ MISSION_ANCHOR = [
 ]
 
 
-def bounded(df: DataFrame) -> DataFrame:
-    """Broadcast, if it has few enough rows."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
-
-
 def head_per_topic(df: DataFrame, n: int = CENTROID_SAMPLE, seq: str = "seq") -> DataFrame:
     """The first n rows of each topic in input order."""
     return df.withColumn("_rank", F.row_number().over(Window.partitionBy("TOPIC_ID").orderBy(seq))).where(F.col("_rank") <= n).drop("_rank")
@@ -50,8 +45,8 @@ def risk_vectors(terms: DataFrame) -> DataFrame:
 
 
 def similarities(topics: DataFrame, risks: DataFrame) -> DataFrame:
-    """TOPIC_ID, RISK_ID, sim of every topic and risk; the taxonomy is the query set."""
-    return topics.crossJoin(bounded(risks)).select("TOPIC_ID", "RISK_ID", F.round(dot(F.col("centroid"), F.col("risk_vector")), 6).alias("sim"))
+    """TOPIC_ID, RISK_ID, sim of every topic and risk; the taxonomy is the query set, taken in blocks of bounded size."""
+    return against(topics, risks, "RISK_ID", "risk_vector", BROADCAST_BYTES).select("TOPIC_ID", "RISK_ID", F.round(dot(F.col("centroid"), F.col("risk_vector")), 6).alias("sim"))
 
 
 def recent_months(df: DataFrame, n: int = NEW_WINDOW_MONTHS) -> DataFrame:
@@ -67,14 +62,17 @@ def first_seen(df: DataFrame) -> DataFrame:
 
 
 def peak_volume(df: DataFrame) -> DataFrame:
-    """TOPIC_ID, PEAK_VOLUME: most distinct stories in a month."""
-    return df.groupBy("TOPIC_ID", "month").agg(F.count_distinct("DUP_GROUP").alias("n")).groupBy("TOPIC_ID").agg(F.max("n").alias("PEAK_VOLUME"))
+    """TOPIC_ID, PEAK_VOLUME: most distinct stories in a month; of a topic without any dated row all its rows."""
+    months = df.groupBy("TOPIC_ID", "month").agg(F.count_distinct("DUP_GROUP").alias("n"), F.count("*").alias("rows"))
+    dated = F.max(F.when(F.col("month").isNotNull(), F.col("n")))
+    return months.groupBy("TOPIC_ID").agg(F.coalesce(dated, F.sum("rows")).alias("PEAK_VOLUME"))
 
 
 def fit(topics: DataFrame, assigned: DataFrame, terms: DataFrame, risks: DataFrame) -> DataFrame:
     """FIT, GAP_RAW, FIT_PERCENTILE, GAP and BETTER_FIT_RISK of each topic.
 
-    assigned: TOPIC_ID, RISK_ID; terms: RISK_ID, vector.
+    assigned: TOPIC_ID, RISK_ID; terms: RISK_ID, vector. A topic with no risk assigned has no gap;
+    one whose risks the taxonomy lacks is measured against a similarity of 0.
     """
     best_term = assigned.join(terms, "RISK_ID").join(topics, "TOPIC_ID").select("TOPIC_ID", "RISK_ID", F.round(dot(F.col("centroid"), F.col("vector")), 6).alias("s"))
     best_term = best_term.groupBy("TOPIC_ID").agg(F.max("s").alias("s"), F.max_by("RISK_ID", F.struct("s", -F.col("RISK_ID"))).alias("BEST_FIT_RISK"))
@@ -86,7 +84,8 @@ def fit(topics: DataFrame, assigned: DataFrame, terms: DataFrame, risks: DataFra
         F.max_by("RISK_ID", F.struct("sim", -F.col("RISK_ID"))).alias("_top"),
         F.max_by(F.coalesce("_own", F.lit(False)), F.struct("sim", -F.col("RISK_ID"))).alias("_top_own"),
     )
-    out = cal.join(best_term, "TOPIC_ID", "left")
+    placed = assigned.select("TOPIC_ID").distinct().withColumn("_placed", F.lit(True))
+    out = cal.join(best_term, "TOPIC_ID", "left").join(placed, "TOPIC_ID", "left").withColumn("_pct", F.when(F.col("_placed"), F.col("_pct")).otherwise(1.0))
     fitted = F.greatest(F.lit(0.0), F.coalesce("s", F.lit(-1.0)))
     return out.select(
         "TOPIC_ID",
@@ -95,7 +94,7 @@ def fit(topics: DataFrame, assigned: DataFrame, terms: DataFrame, risks: DataFra
         F.round(1 - fitted, 4).alias("GAP_RAW"),
         F.round("_pct", 4).alias("FIT_PERCENTILE"),
         F.round(1 - F.col("_pct"), 4).alias("GAP"),
-        F.when(~F.col("_top_own"), F.col("_top")).alias("BETTER_FIT_RISK"),
+        F.when(F.col("_placed") & ~F.col("_top_own"), F.col("_top")).alias("BETTER_FIT_RISK"),
     )
 
 

@@ -35,20 +35,26 @@ def first_filled(df: DataFrame, key: str, value: str, seq="seq") -> DataFrame:
     return df.groupBy(key).agg(F.coalesce(F.min_by(filled, F.when(filled.isNotNull(), F.col(seq))), F.lit("")).alias(value))
 
 
+def _words(text: str, stop: list[str]) -> Column:
+    return F.filter(F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(r"[\p{L}\p{N}_]{2,}"), F.lit(0)), lambda w: ~w.isin(stop))
+
+
 def terms_of(df: DataFrame, key: str, text: str, stop: list[str], bigrams=True) -> DataFrame:
     """key, term, n: words of two characters or more without stop words, and neighbouring pairs of them."""
-    found = F.filter(F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(r"[\p{L}\p{N}_]{2,}"), F.lit(0)), lambda w: ~w.isin(stop))
-    pairs = F.when(F.size("w") > 1, F.transform(F.sequence(F.lit(1), F.size("w") - 1), lambda i: F.concat_ws(" ", F.element_at("w", i), F.element_at("w", i + 1)))).otherwise(F.array())
-    words = df.select(key, found.alias("w"))
-    return words.select(key, F.explode(F.concat("w", pairs) if bigrams else F.col("w")).alias("term")).groupBy(key, "term").agg(F.count("*").alias("n"))
+    pairs = F.zip_with(F.slice("w", F.lit(1), F.size("w") - 1), F.slice("w", F.lit(2), F.size("w")), lambda a, b: F.concat_ws(" ", a, b))
+    words = df.select(key, _words(text, stop).alias("w"))
+    return words.select(key, F.explode(F.when(F.size("w") > 1, F.concat("w", pairs)).otherwise(F.col("w")) if bigrams else F.col("w")).alias("term")).groupBy(key, "term").agg(F.count("*").alias("n"))
 
 
 def class_tfidf(df: DataFrame, key="TOPIC_ID", text="text", stop: list[str] | None = None, n: int = 10, bigrams=True) -> DataFrame:
     """The n best terms of each topic by tf * ln(1 + mean terms a topic / frequency of the term)."""
-    tf = terms_of(df.where(F.col(key).cast("string") != str(OUTLIER)), key, text, stop or [], bigrams)
-    size = tf.groupBy(key).agg(F.sum("n").alias("size"))
-    mean = size.agg((F.sum("size") / F.count("*")).alias("mean"))
+    real = df.where(F.col(key).cast("string") != str(OUTLIER))
+    tf = terms_of(real, key, text, stop or [], bigrams)
     # A term has one row a topic here, so its window is small; this saves a join of the terms with themselves.
+    # The sizes of the topics come from the lengths of the word lists, not from counting the terms again.
+    words = F.size(_words(text, stop or []))
+    size = real.groupBy(key).agg(F.sum(words + F.greatest(words - 1, F.lit(0)) if bigrams else words).alias("size")).where("size > 0")
+    mean = size.agg((F.sum("size") / F.count("*")).alias("mean"))
     scored = tf.withColumn("f", F.sum("n").over(Window.partitionBy("term"))).join(size, key).crossJoin(F.broadcast(mean))
     scored = scored.withColumn("score", F.round(F.col("n") / F.col("size") * F.log1p(F.col("mean") / F.col("f")), 8))
     rank = F.row_number().over(Window.partitionBy(key).orderBy(F.desc("score"), "term"))
@@ -74,10 +80,57 @@ def cluster(df: DataFrame, k: int, vector="vector", cut: float | None = None, se
     out = model.transform(rows).drop("_features")
     if cut is None:
         return out
-    centres = F.create_map(*[c for i, v in enumerate(model.clusterCenters()) for c in (F.lit(i), F.array(*[F.lit(float(x)) for x in v]))])
-    centre = F.element_at(centres, F.col("TOPIC_ID"))
-    cosine = dot(F.col(vector), centre) / (F.sqrt(dot(centre, centre)) + F.lit(1e-12))
-    return out.withColumn("TOPIC_ID", F.when(1 - cosine > cut, OUTLIER).otherwise(F.col("TOPIC_ID")))
+    # k rows, a table beside the data: as literals they would make the plan grow with k.
+    centres = df.sparkSession.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(model.clusterCenters())], "TOPIC_ID int, _centre array<double>")
+    far = out.join(F.broadcast(centres), "TOPIC_ID").withColumn("_cosine", dot(F.col(vector), F.col("_centre")) / (F.sqrt(dot(F.col("_centre"), F.col("_centre"))) + F.lit(1e-12)))
+    return far.withColumn("TOPIC_ID", F.when(1 - F.col("_cosine") > cut, OUTLIER).otherwise(F.col("TOPIC_ID"))).select(*out.columns)
+
+
+def large_enough(df: DataFrame, least: int) -> DataFrame:
+    """Topics of fewer than `least` rows become outliers."""
+    small = df.where(F.col("TOPIC_ID") != OUTLIER).groupBy("TOPIC_ID").agg(F.count("*").alias("_n")).where(F.col("_n") < least).select("TOPIC_ID", F.lit(True).alias("_small"))
+    return df.join(small, "TOPIC_ID", "left").withColumn("TOPIC_ID", F.when(F.col("_small"), OUTLIER).otherwise(F.col("TOPIC_ID"))).select(*df.columns)
+
+
+def merged(df: DataFrame, nr_topics: int, vector="vector") -> DataFrame:
+    """At most nr_topics topics beside the outliers: the smallest is merged into the one most alike, again and again.
+
+    The driver holds a centroid and a size for each topic, no rows.
+    """
+    real = df.where(F.col("TOPIC_ID") != OUTLIER)
+    sizes = real.groupBy("TOPIC_ID").agg(F.count("*").alias("n"))
+    rows = mean_vectors(real, ["TOPIC_ID"], vector).join(sizes, "TOPIC_ID").orderBy("TOPIC_ID").collect()
+    n = {r["TOPIC_ID"]: r["n"] for r in rows}
+    centre = {r["TOPIC_ID"]: [x * r["n"] for x in r["centroid"]] for r in rows}
+    into = {t: t for t in n}
+
+    def alike(a, b):
+        both = sum(x * y for x, y in zip(centre[a], centre[b], strict=True))
+        return both / ((sum(x * x for x in centre[a]) * sum(x * x for x in centre[b])) ** 0.5 + 1e-12)
+
+    while len(n) > max(nr_topics, 1):
+        small = min(n, key=lambda t: (n[t], -t))
+        near = max((t for t in n if t != small), key=lambda t: (alike(small, t), -t))
+        centre[near] = [x + y for x, y in zip(centre[near], centre.pop(small), strict=True)]
+        n[near] += n.pop(small)
+        into = {t: near if to == small else to for t, to in into.items()}
+    table = df.sparkSession.createDataFrame(sorted(into.items()) or [(OUTLIER, OUTLIER)], "TOPIC_ID int, _into int")
+    return df.join(F.broadcast(table), "TOPIC_ID", "left").withColumn("TOPIC_ID", F.coalesce("_into", "TOPIC_ID")).select(*df.columns)
+
+
+def labelled(df: DataFrame, labels: DataFrame, key: str, label: str, default: str = "") -> DataFrame:
+    """Each row with the label of its id; `default` for ids without one. labels has a row an id at most."""
+    return df.join(labels.select(key, label), key, "left").withColumn(label, F.coalesce(label, F.lit(default)))
+
+
+def best_headlines(df: DataFrame, key: str, title: str, keywords: list[str], seq="seq") -> DataFrame:
+    """key, headline: the first title of 15 to 140 characters that holds a keyword, else the first of that length,
+    else the start of the first one; "" without any. Minima, so a topic is never gathered."""
+    t = F.col(title)
+    fit = F.length(t).between(15, 140)
+    hit = fit & F.exists(F.array(*[F.lit(k.lower()) for k in keywords]).cast("array<string>"), lambda k: F.contains(F.lower(t), k))
+    first = lambda when: F.min_by(title, F.when(when & t.isNotNull(), F.col(seq)))
+    return df.groupBy(key).agg(F.coalesce(first(hit), first(fit), F.substring(first(F.lit(True)), 1, 140), F.lit("")).alias("headline"))
 
 
 def topic_parameters(n_docs: int) -> dict[str, int]:

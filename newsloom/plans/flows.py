@@ -21,7 +21,7 @@ from newsloom.sources.enrich import Tagger, pattern_tagger, with_entities, with_
 # Words too common to tell topics apart, fixed values.
 STOP = "a about after all also an and any are as at be been but by can could do for from had has have he her his i if in into is it its just like more most my new no not of on one or other our out over said she so some than that the their them then there these they this to up us was we were what when which who will with would you your".split()
 Embedder = Callable[[DataFrame, str], DataFrame]
-ENOUGH = 3
+ENOUGH, ENOUGH_TO_DISCOVER = 3, 5
 
 
 def _kept(df: DataFrame, work: str, name: str) -> DataFrame:
@@ -72,8 +72,12 @@ def topic_texts(docs: DataFrame, summary: DataFrame, risk_labels: DataFrame | No
     )
 
 
-def cluster(articles: DataFrame, work: str, n_topics: int, days: int | None = None, risk_labels: DataFrame | None = None, cut: float | None = 0.8, embedder: Embedder = embed, similarity: float = neardup.SIMILARITY) -> tuple[DataFrame, DataFrame]:
-    """(articles with topics, topic summary). Topics are fitted on one representative a story."""
+def cluster(articles: DataFrame, work: str, n_topics: int, days: int | None = None, risk_labels: DataFrame | None = None, cut: float | None = 0.8, embedder: Embedder = embed, similarity: float = neardup.SIMILARITY, nr_topics: int | None = None, min_topic_size: int | None = None, enough: int = ENOUGH) -> tuple[DataFrame, DataFrame]:
+    """(articles with topics, topic summary). Topics are fitted on one representative a story.
+
+    nr_topics merges the smallest topics until so many are left; topics of fewer stories than
+    min_topic_size are outliers, and so is everything with fewer than `enough` stories (5 to discover).
+    """
     df = corpus.recent(articles, days) if days else articles
     df = _kept(prepared(df, embedder), work, "prepared")
     stories = df.select("seq", F.col("QUALITY_SCORE").alias("quality"), F.length("doc").alias("length"), "vector", X.block_key("doc").alias("_block"))
@@ -81,10 +85,15 @@ def cluster(articles: DataFrame, work: str, n_topics: int, days: int | None = No
     df = _kept(df.join(groups, "seq"), work, "grouped")
     reps = df.where("NOT IS_DUPLICATE")
     n = reps.count()
-    if n < ENOUGH:  # too few stories to cluster: all are outliers
+    if n < enough:  # too few stories to cluster: all are outliers
         placed = reps.select("DUP_GROUP", F.lit(topics.OUTLIER).alias("TOPIC_ID"))
     else:
-        placed = topics.cluster(reps.select("DUP_GROUP", "vector"), max(1, min(n_topics, n)), cut=cut).select("DUP_GROUP", "TOPIC_ID")
+        placed = topics.cluster(reps.select("DUP_GROUP", "vector"), max(1, min(n_topics, n)), cut=cut)
+        if min_topic_size:
+            placed = topics.large_enough(placed, min_topic_size)
+        if nr_topics:
+            placed = topics.merged(_kept(placed, work, "fitted"), nr_topics)
+        placed = placed.select("DUP_GROUP", "TOPIC_ID")
     out = _kept(topics.propagate(df, placed), work, "placed")
     summary = topics.summary(out)
     texts = _kept(topic_texts(out.where("NOT IS_DUPLICATE").select("TOPIC_ID", "doc"), summary, risk_labels), work, "texts")

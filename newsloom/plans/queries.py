@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
+from urllib.parse import parse_qsl, urlsplit
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -11,10 +13,10 @@ from pyspark.sql import types as T
 from newsloom.functions import quality as Q
 from newsloom.functions import text as X
 from newsloom.functions.sentiment import compound
-from newsloom.functions.vectors import dot, mean_vectors
+from newsloom.functions.vectors import mean_vectors, nearest
 from newsloom.operators import corpus, gaps, neardup, report, status, topics, trends
 from newsloom.plans.tables import doc_articles, signal_articles, table, vec_terms, vec_topics
-from newsloom.sources import digest, documents, enrich, fetch, taxonomy
+from newsloom.sources import digest, documents, enrich, fetch, lanes, taxonomy
 from newsloom.sources.cache import hashed_embedding
 from newsloom.sources.taxonomy import encode_text
 from newsloom.streaming import events as stream
@@ -267,7 +269,7 @@ def date_parse_chain(spark, sf):
 def page_dates(spark, sf):
     o = table(spark, sf, "orders")
     html = F.concat(F.lit("<p>Posted "), F.date_format("o_orderdate", "MMM d, yyyy"), F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit(' {"datePublished": "'), F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit('T00:00"}'))).otherwise(F.lit("")), F.lit("</p>"))
-    return o.where("o_orderdate >= '2000-01-01'").select("o_orderkey", F.date_format(X.page_date(html), "yyyy-MM-dd").alias("day"))
+    return o.select("o_orderkey", F.date_format(X.page_date(html), "yyyy-MM-dd").alias("day"))
 
 
 @query
@@ -279,21 +281,21 @@ def normal_titles(spark, sf):
 
 @query
 def title_keywords(spark, sf):
-    k = X.title_keywords(doc_articles(spark, sf).where("lang = 'en'"), "seq", "SUMMARY")
+    k = X.title_keywords(doc_articles(spark, sf), "seq", "SUMMARY")
     return k.select("seq", F.array_join("keywords", ",").alias("keywords"))
 
 
 @query
 def distinct_keywords(spark, sf):
     d = doc_articles(spark, sf)
-    words = F.slice(F.split(F.regexp_replace(F.lower("text"), "[^a-z ]", ""), " +"), 1, 12)
+    words = F.split(F.regexp_replace(F.lower("text"), "[^a-z ]", ""), " +")
     return d.select("seq", F.array_join(X.distinct_keywords(words, 5), ",").alias("keywords"))
 
 
 @query
 def keyword_filter(spark, sf):
-    words = F.slice(F.split("text", r"[\s,.]+"), 1, 30)
-    return doc_articles(spark, sf).where("lang = 'en'").select("seq", F.array_join(X.keyword_filter(words), ",").alias("keywords"))
+    words = F.split("text", r"[\s,.]+")
+    return doc_articles(spark, sf).select("seq", F.array_join(X.keyword_filter(words), ",").alias("keywords"))
 
 
 @query
@@ -341,7 +343,7 @@ def full_text_fallback(spark, sf):
 
 @query
 def extraction_hit_rate(spark, sf):
-    return doc_articles(spark, sf).groupBy("lang").agg(F.round(F.avg((F.length("SUMMARY") >= 1000).cast("int")), 4).alias("hit_rate"), F.count("*").alias("n"))
+    return corpus.hit_rate(doc_articles(spark, sf), "lang", "SUMMARY", 1000)
 
 
 @query
@@ -360,7 +362,7 @@ def description_cleanup(spark, sf):
 
 @query
 def search_highlight(spark, sf):
-    return table(spark, sf, "part").where("p_partkey <= 500").select("p_partkey", X.highlight(F.col("p_name"), "an").alias("marked"))
+    return table(spark, sf, "part").select("p_partkey", X.highlight(F.col("p_name"), "an").alias("marked"))
 
 
 @query
@@ -370,8 +372,7 @@ def page_text(spark, sf):
 
 @query
 def best_headlines(spark, sf):
-    d = doc_articles(spark, sf).groupBy(F.col("SOURCE").alias("source")).agg(F.transform(F.array_sort(F.collect_list(F.struct("seq", "TITLE"))), lambda s: s["TITLE"]).alias("titles"))
-    return d.select("source", X.best_headline(F.slice("titles", 1, 40), F.array(F.lit("qu"), F.lit("ing"))).alias("headline"))
+    return topics.best_headlines(doc_articles(spark, sf), "SOURCE", "TITLE", ["qu", "ing"]).withColumnRenamed("SOURCE", "source")
 
 
 @query
@@ -422,7 +423,8 @@ def jaccard_containment_pairs(spark, sf):
 
 @query
 def factor_dedup(spark, sf):
-    d = table(spark, sf, "documents").where("lang = 'en'").select(F.col("source").alias("filing"), F.col("doc_id").alias("seq"), F.substring("text", 1, 400).alias("text"))
+    # A document is a filing, its lines are the factors.
+    d = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("filing"), F.posexplode(F.split("text", "\n")).alias("seq", "text"))
     return neardup.dedup_factors(d)
 
 
@@ -430,8 +432,10 @@ def factor_dedup(spark, sf):
 
 
 def _vec_articles(spark, sf):
+    # Topic 5 has no risk, topic 8 no dated row, of the others every tenth row is undated.
     months = F.format_string("2024-%02d", (F.col("seq") % 9 + 1 + F.when(F.col("TOPIC_ID") == 3, 3).otherwise(0)).cast("int"))
-    return vec_topics(spark, sf).withColumns({"month": months, "DUP_GROUP": F.floor(F.col("seq") / 2), "QUALITY_SCORE": (F.col("seq") % 11) / 10.0})
+    dated = (F.col("seq") % 10 != 0) & (F.col("TOPIC_ID") != 8)
+    return vec_topics(spark, sf).withColumns({"RISK_ID": F.when(F.col("TOPIC_ID") != 5, F.col("RISK_ID")), "month": F.when(dated, months), "DUP_GROUP": F.floor(F.col("seq") / 2), "QUALITY_SCORE": (F.col("seq") % 11) / 10.0})
 
 
 @query
@@ -513,9 +517,7 @@ def pairwise_cosine(spark, sf):
     # The queries are the vectors whose id is divisible by 20, against all.
     v = vec_topics(spark, sf).select("seq", "vector")
     q = v.where("seq % 20 = 0").select(F.col("seq").alias("q"), F.col("vector").alias("qv"))
-    s = v.crossJoin(F.broadcast(q)).where("seq != q").select("q", "seq", F.round(dot(F.col("qv"), F.col("vector")), 4).alias("sim"))
-    rank = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("sim"), "seq"))
-    return s.withColumn("rank", rank.cast("bigint")).where("rank <= 5")
+    return nearest(v, q, 5)
 
 
 # Topics.
@@ -640,7 +642,7 @@ def risk_articles_balanced(spark, sf):
 
 @query
 def stories_by_date(spark, sf):
-    s = report.stories_by_date(signal_articles(spark, sf)).where("rank <= 20")
+    s = report.stories_by_date(signal_articles(spark, sf))
     return s.select(F.col("TOPIC_ID").alias("topic"), F.col("rank").cast("bigint").alias("rank"), "seq")
 
 
@@ -680,7 +682,7 @@ def topic_payload(spark, sf):
 @query
 def report_order(spark, sf):
     n = report.preferred_order(table(spark, sf, "nation").select("n_name"), "n_name", ["JAPAN", "CHINA"])
-    return n.limit(10).select("n_name")
+    return n.select("n_name")
 
 
 @query
@@ -756,9 +758,10 @@ def legal_scrub(spark, sf):
 
 @query
 def digest_stories(spark, sf):
-    o = table(spark, sf, "orders").where("o_orderkey <= 2000")
+    # A digest holds the orders of a priority in a range of 2000 keys.
+    o = table(spark, sf, "orders")
     block = F.concat(F.lit("Reuters, "), F.date_format("o_orderdate", "MMMM d, yyyy"), F.lit("\nOrder "), F.col("o_orderkey").cast("string"), F.lit("\nBy A Clerk\nA summary.\nMore of it.\nRead article online\nAlso:\nOther "), F.col("o_orderkey").cast("string"), F.lit(" - Barron (Paywalled)\n"))
-    whole = o.groupBy("o_orderpriority").agg(F.concat(F.lit("Markets\n"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", block.alias("b")))), lambda s: s["b"]), "\n")).alias("text"))
+    whole = o.groupBy("o_orderpriority", F.floor(F.col("o_orderkey") / 2000)).agg(F.concat(F.lit("Markets\n"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", block.alias("b")))), lambda s: s["b"]), "\n")).alias("text"))
     return digest.parse_digests(whole).select("title", "source", "date", "summary", "byline", "section", "paywalled", "primary")
 
 
@@ -768,24 +771,151 @@ def structured_rows(spark, sf):
     return digest.structured_stories(c).select("title", "paywalled", "date")
 
 
-# Streams.
+ENDPOINT = "https://api.test/1/news"
+
+
+def scan_transport(url: str) -> tuple[int, bytes]:
+    """Stands in for a news service: a term of n letters has n articles, three a page; the same story turns up under every term."""
+    asked = dict(parse_qsl(urlsplit(url).query))
+    term, page = asked["q"], int(asked.get("page", 0))
+    if term.startswith("A"):
+        return 404, b"no such term"
+    own = range(page * 3, min(page * 3 + 3, len(term)))
+    results = [{"title": f"{term} {k}", "link": "http://same/" if k == 1 else f"http://{term.lower()}/{k}", "pubDate": "2024-05-06", "source_id": None if k else "wire"} for k in own]
+    more = {"nextPage": str(page + 1)} if page * 3 + 3 < len(term) else {}
+    return 200, json.dumps({"results": results, **more}).encode()
+
+
+@query
+def keyword_scan(spark, sf):
+    terms = table(spark, sf, "nation").select(F.col("n_nationkey").alias("RISK_ID"), F.col("n_name").alias("term"))
+    found = lanes.scanned(lanes.keyword_plan(terms, ENDPOINT, 3), scan_transport, rows=8, size=3)
+    known = spark.createDataFrame([("HTTP://BRAZIL/0 ",)], "LINK string")
+    return lanes.fresh(found, known, "RISK_ID").select(F.col("RISK_ID").alias("risk"), F.col("GOOGLE_INDEX").alias("place"), F.col("TITLE").alias("title"), F.col("LINK").alias("link"), F.col("SOURCE").alias("source"), "requests")
+
+
+@query
+def latest_scan_plan(spark, sf):
+    wanted = [r[0] for r in table(spark, sf, "region").select(F.lower("r_name")).orderBy("r_name").collect()]  # five rows
+    return lanes.latest_plan(spark, ENDPOINT, wanted).select("lane", F.col("CATEGORY").alias("category"), "url")
+
+
+@query
+def lexicon_scan_plan(spark, sf):
+    return lanes.lexicon_plan(spark, ENDPOINT).select("lane", F.col("CATEGORY").alias("category"), "url")
+
+
+@query
+def regulator_lane(spark, sf):
+    # A nation has a listing page of the SEC and one of the CFTC, each customer of it a release.
+    n = table(spark, sf, "customer").select(F.col("c_nationkey").alias("doc"), "c_custkey", "c_name")
+    key = F.lpad(F.col("c_custkey").cast("string"), 6, "0")
+    sec, cftc = F.concat(F.lit("/newsroom/press-releases/2024-"), key), F.concat(F.lit("/PressRoom/PressReleases/"), F.substring(key, 1, 4), F.lit("-"), F.substring(key, 5, 2))
+    item = lambda link: F.concat(F.when(F.col("c_custkey") % 3 == 0, F.lit('<time datetime="2024-02-03">')).otherwise(F.lit("")), F.lit('<a href="'), link, F.lit('">x</a>'))
+    page = lambda agency, link: n.groupBy("doc").agg(F.lit(agency).alias("agency"), F.lit("press release").alias("category"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("c_custkey", item(link).alias("t")))), lambda s: s["t"]), "\n").alias("html"))
+    links = lanes.listed(page("SEC", sec).unionByName(page("CFTC", cftc)))
+    body = F.concat(F.lit("<html><head><title>T | SEC.gov</title></head><body><h1>Release of "), F.col("c_name"), F.lit("</h1><p>"), F.repeat(F.lit("word "), (F.col("c_custkey") % 80).cast("int")), F.lit("</p></body></html>"))
+    bodies = n.select(F.concat(F.lit("https://www.sec.gov"), sec).alias("url"), body.alias("html")).unionByName(n.select(F.concat(F.lit("https://www.cftc.gov"), cftc).alias("url"), body.alias("html")))
+    return lanes.releases(links, bodies, "2024-01-01").select(F.col("link").alias("url"), "source", "date", "title", F.length("text").alias("n"))
+
+
+@query
+def enforcement_bodies(spark, sf):
+    s = table(spark, sf, "supplier").select("s_suppkey", "s_name")
+    long = F.repeat(F.concat(F.lit("The firm "), F.col("s_name"), F.lit(" did so. ")), 30)
+    order = F.concat(F.lit("ORDER INSTITUTING PROCEEDINGS I. Caption. III. "), long)
+    release = F.concat(F.lit("Litigation Release No. 123 / January 5, 2024 \nSEC Charges Firm With Fraud\n"), long)
+    b = s.select("s_suppkey", F.concat(F.lit("u"), F.col("s_suppkey").cast("string")).alias("url"), F.when(F.col("s_suppkey") % 2 == 0, "administrative_proceeding").otherwise("litigation_release").alias("kind"), F.col("s_name").alias("name"), F.when(F.col("s_suppkey") % 2 == 0, order).otherwise(release).alias("text"))
+    return lanes.enforcement(b).select("url", "kind", "title", F.md5(F.col("text").cast("binary")).alias("md5"))
+
+
+@query
+def monthly_files(spark, sf):
+    o = table(spark, sf, "orders")
+    by_folder = F.concat(F.lit("/sites/files/"), F.date_format("o_orderdate", "yyyy-MM"), F.lit("/actions.pdf"))
+    by_name = F.concat(F.lit("/files/disciplinary-actions-"), F.lower(F.date_format("o_orderdate", "MMMM")), F.lit("-"), F.date_format("o_orderdate", "yyyy"), F.lit(".pdf"))
+    files = o.select(F.when(F.col("o_orderkey") % 3 == 0, by_folder).when(F.col("o_orderkey") % 3 == 1, by_name).otherwise(F.lit("/files/other.pdf")).alias("url"))
+    return lanes.newest_files(files, 12)
+
+
+@query
+def latest_filings(spark, sf):
+    o = table(spark, sf, "orders")
+    forms = F.element_at(F.array(*map(F.lit, ("10-K", "10-Q", "10-K/A"))), (F.col("o_orderkey") % 3 + 1).cast("int"))
+    f = o.select(F.concat(F.lit("T"), (F.col("o_custkey") % 50).cast("string")).alias("ticker"), forms.alias("form"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"), F.col("o_orderkey").cast("string").alias("link"))
+    return lanes.latest_filings(f, [f"T{k}" for k in range(40)], ["10-K", "10-Q"], 2).select("ticker", "form", F.col("rank").cast("bigint").alias("rank"), "date", "link")
+
+
+@query
+def filing_sections(spark, sf):
+    p = table(spark, sf, "part")
+    t = F.concat(F.lit("Contents Item 1A. Risk Factors 12 Item 2 Properties 20\nItem 1A. Risk Factors\n"), F.repeat(F.concat(F.col("p_name"), F.lit(" may fail. ")), F.col("p_size")), F.when(F.col("p_size") % 2 == 0, F.lit("ITEM 1B. Unresolved")).otherwise(F.lit("")))
+    return p.select("p_partkey", F.md5(lanes.risk_section(t).cast("binary")).alias("md5"))
+
+
+@query
+def text_repair(spark, sf):
+    p = table(spark, sf, "part")
+    # Bytes of "é" and of a dash read as Latin-1; a lone mark that only the table knows; nothing odd.
+    odd = F.element_at(F.array(*map(F.lit, ("caf\xc3\xa9 \x93 ", "\xab ", "caf\xc3\xa9 ", "plain "))), F.col("p_size") % 4 + 1)
+    return p.select("p_partkey", X.repaired(F.concat(odd, F.col("p_name"))).alias("text"))
+
+
+@query
+def ascii_spelling(spark, sf):
+    p = table(spark, sf, "part")
+    return p.select("p_partkey", X.transliterated(F.concat(F.lit("“Café”\xa0—  naïve… "), F.col("p_name"))).alias("text"))
+
+
+@query
+def corpus_newest_first(spark, sf):
+    a = signal_articles(spark, sf).select("seq", "PUBLISHED_DATE").withColumn("PUBLISHED_DATE", F.when(F.col("seq") % 7 != 0, F.col("PUBLISHED_DATE")))
+    return corpus.renumbered(a, F.desc_nulls_last("PUBLISHED_DATE"), "seq", column="place").select("seq", "place")
+
+
+@query
+def risk_labels(spark, sf):
+    n = table(spark, sf, "nation").where("n_nationkey < 20").select(F.col("n_nationkey").alias("RISK_ID"), F.col("n_name").alias("label"))
+    a = topics.labelled(signal_articles(spark, sf).select("RISK_ID"), n, "RISK_ID", "label", "unknown")
+    return a.groupBy("label").agg(F.count("*").alias("n"))
+
+
+@query
+def topics_merged(spark, sf):
+    a = topics.merged(vec_topics(spark, sf), 4)
+    return a.groupBy(F.col("TOPIC_ID").alias("topic")).agg(F.count("*").alias("n"))
+
+
+@query
+def topics_large_enough(spark, sf):
+    a = topics.large_enough(signal_articles(spark, sf).select("TOPIC_ID"), 240)
+    return a.groupBy(F.col("TOPIC_ID").alias("topic")).agg(F.count("*").alias("n"))
+
+
+# Streams: the events are read as a stream to their end, results are a table the stream writes.
+
+
+def _streamed(spark, sf, form, mode):
+    # As a pattern the path may be a file or a folder.
+    events = stream.read_events(spark, f"{sf}/event[s].parquet", table(spark, sf, "events").schema)
+    return stream.to_table(form(events), mode)
 
 
 @query
 def stream_tumbling_counts(spark, sf):
-    return stream.tumbling(table(spark, sf, "events"))
+    return _streamed(spark, sf, stream.tumbling, "complete")
 
 
 @query
 def stream_sliding_counts(spark, sf):
-    return stream.sliding(table(spark, sf, "events"))
+    return _streamed(spark, sf, stream.sliding, "complete")
 
 
 @query
 def stream_sessions(spark, sf):
-    return stream.sessions(table(spark, sf, "events"))
+    return _streamed(spark, sf, stream.sessions, "complete")
 
 
 @query
 def stream_dedup(spark, sf):
-    return stream.deduplicated(table(spark, sf, "events"), "user_id").select("user_id")
+    return _streamed(spark, sf, lambda e: stream.deduplicated(e, "user_id").select("user_id"), "append")

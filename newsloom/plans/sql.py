@@ -5,7 +5,7 @@ from __future__ import annotations
 from newsloom.functions.quality import BOILERPLATE, LOW_SOURCES, MARKET_REPORT, MID_SOURCES
 from newsloom.functions.text import ACRONYMS, ENTITIES, PAGE_PARTS, STOP_PHRASES
 from newsloom.operators.neardup import STOP_WORDS
-from newsloom.operators.report import BENIGN_TERMS
+from newsloom.operators.report import BENIGN_TERMS, RISK_PHRASES
 from newsloom.plans.tables import CALENDAR, DOCS, MOMENTUM, SIGNAL, VOLUMES, dense_sql, mean_sql
 from newsloom.sources.documents import LEGAL_PHRASES
 
@@ -61,16 +61,16 @@ RISKV = _mean_vectors("rv", "(SELECT term_risk AS rid, vector FROM vec)", "rid")
 ANCHOR = _mean_vectors("anchor", "(SELECT vector FROM vec WHERE seq % 4 = 0)", "")
 SIMS = "sims AS (SELECT topic, rid, round(sum(cent.v * rv.v), 6) AS sim FROM cent JOIN rv USING (pos) GROUP BY topic, rid)"
 VEC_BASE = _with(VEC, HEAD, CENTROIDS, RISKV, SIMS)
-VEC_ART = "art AS (SELECT *, '2024-' || lpad(CAST(seq % 9 + 1 + CASE WHEN topic = 3 THEN 3 ELSE 0 END AS VARCHAR), 2, '0') AS month, seq // 2 AS grp, (seq % 11) / 10.0::DOUBLE AS quality FROM vec)"
-SEEN = "newest AS (SELECT min(month) AS start FROM (SELECT DISTINCT month FROM art ORDER BY month DESC LIMIT 3)), seen AS (SELECT topic, min(month) AS first_seen, min(month) >= (SELECT start FROM newest) AS is_new FROM art GROUP BY topic)"
+VEC_ART = "art AS (SELECT * REPLACE (CASE WHEN topic <> 5 THEN risk END AS risk), CASE WHEN seq % 10 <> 0 AND topic <> 8 THEN '2024-' || lpad(CAST(seq % 9 + 1 + CASE WHEN topic = 3 THEN 3 ELSE 0 END AS VARCHAR), 2, '0') END AS month, seq // 2 AS grp, (seq % 11) / 10.0::DOUBLE AS quality FROM vec)"
+SEEN = "newest AS (SELECT min(month) AS start FROM (SELECT DISTINCT month FROM art WHERE month IS NOT NULL ORDER BY month DESC LIMIT 3)), seen AS (SELECT topic, min(month) AS first_seen, coalesce(min(month) >= (SELECT start FROM newest), false) AS is_new FROM art GROUP BY topic)"
 GAPS = f"""{VEC_BASE}, {VEC_ART}, {SEEN},
-own AS (SELECT DISTINCT topic, risk AS rid FROM art),
+own AS (SELECT DISTINCT topic, risk AS rid FROM art WHERE risk IS NOT NULL),
 terms AS (SELECT seq, term_risk AS rid, unnest(vector) AS x, generate_subscripts(vector, 1) - 1 AS pos FROM vec),
 tsim AS (SELECT topic, rid, round(sum(cent.v * x), 6) AS s FROM own JOIN terms USING (rid) JOIN cent USING (topic, pos) GROUP BY topic, rid, seq),
 best AS (SELECT topic, max(s) AS s, max_by(rid, s * 1000 - rid * 0.0001) AS best_risk FROM tsim GROUP BY topic),
 marked AS (SELECT sims.*, own.rid IS NOT NULL AS mine, coalesce(max(CASE WHEN own.rid IS NOT NULL THEN sim END) OVER (PARTITION BY sims.topic), 0.0::DOUBLE) AS top_own FROM sims LEFT JOIN own ON own.topic = sims.topic AND own.rid = sims.rid),
-cal AS (SELECT topic, avg(CASE WHEN sim <= top_own THEN 1 ELSE 0 END) AS pct, max_by(rid, sim * 1000 - rid * 0.0001) AS top_rid, max_by(mine, sim * 1000 - rid * 0.0001) AS top_mine FROM marked GROUP BY topic),
-peak AS (SELECT topic, max(n) AS peak FROM (SELECT topic, month, count(DISTINCT grp) AS n FROM art GROUP BY topic, month) GROUP BY topic),
+cal AS (SELECT topic, CASE WHEN bool_or(mine) THEN avg(CASE WHEN sim <= top_own THEN 1 ELSE 0 END) ELSE 1.0 END AS pct, max_by(rid, sim * 1000 - rid * 0.0001) AS top_rid, max_by(mine, sim * 1000 - rid * 0.0001) OR NOT bool_or(mine) AS top_mine FROM marked GROUP BY topic),
+peak AS (SELECT topic, coalesce(max(n), any_value(rows)) AS peak FROM (SELECT topic, count(*) AS rows FROM art GROUP BY topic) LEFT JOIN (SELECT topic, month, count(DISTINCT grp) AS n FROM art WHERE month IS NOT NULL GROUP BY topic, month) USING (topic) GROUP BY topic),
 tot AS (SELECT topic, count(*) AS total, round(CAST(sum(CAST(quality AS DECIMAL(18,6))) AS DOUBLE) / count(*), 3) AS quality FROM art GROUP BY topic)"""
 
 TERMS = """words AS (SELECT source AS topic, list_filter(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]{2,}'), lambda w: w NOT IN ('the', 'of', 'and')) AS w FROM documents),
@@ -142,10 +142,10 @@ SQL: dict[str, str] = {
     "page_title_extract": "SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1), '<[^>]+>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&'), '\\s+', ' ', 'g')) AS title FROM pages",
     "sentiment_labels": f"{_with(SIGNAL)} SELECT CASE WHEN k / 5.0 >= 0.05 THEN 'Positive' WHEN k / 5.0 <= -0.05 THEN 'Negative' ELSE 'Neutral' END AS label, count(*) AS n FROM signal GROUP BY 1",
     "date_parse_chain": "SELECT o_orderkey, CASE WHEN o_orderkey % 4 <> 3 THEN strftime(o_orderdate, '%Y-%m-%d') END AS day FROM orders",
-    "page_dates": "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders WHERE o_orderdate >= '2000-01-01'",
+    "page_dates": "SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 OR o_orderdate >= '2000-01-01' THEN strftime(o_orderdate, '%Y-%m-%d') END AS day FROM orders",
     "normal_titles": "SELECT p_partkey, trim(lower(p_name), ' .:-—|') AS title FROM part",
-    "title_keywords": f"{_with(DOCS)}, w AS (SELECT seq, unnest(f) AS w, generate_subscripts(f, 1) AS i FROM (SELECT seq, regexp_extract_all(lower(summary), '[a-z]{{4,}}') AS f FROM docs WHERE lang = 'en')), c AS (SELECT seq, w, count(*) AS n, min(i) AS i FROM w GROUP BY seq, w), r AS (SELECT *, row_number() OVER (PARTITION BY seq ORDER BY n DESC, i) AS r FROM c) SELECT d.seq, coalesce(string_agg(w, ',' ORDER BY r), '') AS keywords FROM docs d LEFT JOIN (SELECT * FROM r WHERE r <= 5) x ON x.seq = d.seq WHERE lang = 'en' GROUP BY d.seq",
-    "keyword_filter": f"{_with(DOCS)}, p AS (SELECT seq, unnest(f) AS w, generate_subscripts(f, 1) AS i FROM (SELECT seq, regexp_split_to_array(text, '[\\s,.]+')[1:30] AS f FROM docs WHERE lang = 'en')), k AS (SELECT seq, min(i) AS i, x FROM (SELECT seq, i, trim(lower(w)) AS x FROM p) WHERE length(x) >= 3 AND regexp_matches(x, '[a-z]') AND x NOT IN ({_list(STOP_PHRASES)}) GROUP BY seq, x) SELECT d.seq, coalesce(string_agg(x, ',' ORDER BY i), '') AS keywords FROM docs d LEFT JOIN k ON k.seq = d.seq WHERE lang = 'en' GROUP BY d.seq",
+    "title_keywords": f"{_with(DOCS)}, w AS (SELECT seq, unnest(f) AS w, generate_subscripts(f, 1) AS i FROM (SELECT seq, regexp_extract_all(lower(summary), '[a-z]{{4,}}') AS f FROM docs)), c AS (SELECT seq, w, count(*) AS n, min(i) AS i FROM w GROUP BY seq, w), r AS (SELECT *, row_number() OVER (PARTITION BY seq ORDER BY n DESC, i) AS r FROM c) SELECT d.seq, coalesce(string_agg(w, ',' ORDER BY r), '') AS keywords FROM docs d LEFT JOIN (SELECT * FROM r WHERE r <= 5) x ON x.seq = d.seq GROUP BY d.seq",
+    "keyword_filter": f"{_with(DOCS)}, p AS (SELECT seq, unnest(f) AS w, generate_subscripts(f, 1) AS i FROM (SELECT seq, regexp_split_to_array(text, '[\\s,.]+') AS f FROM docs)), k AS (SELECT seq, min(i) AS i, x FROM (SELECT seq, i, trim(lower(w)) AS x FROM p) WHERE length(x) >= 3 AND regexp_matches(x, '[a-z]') AND x NOT IN ({_list(STOP_PHRASES)}) GROUP BY seq, x) SELECT d.seq, coalesce(string_agg(x, ',' ORDER BY i), '') AS keywords FROM docs d LEFT JOIN k ON k.seq = d.seq GROUP BY d.seq",
     "risk_id_normalise": "SELECT n_name, n_nationkey AS risk FROM nation",
     "date_windows": "SELECT strftime(d, '%Y-%m-%d') AS window_start, strftime(least(d + INTERVAL 44 DAY, b), '%Y-%m-%d') AS window_end FROM (SELECT unnest(generate_series(a, b, INTERVAL 45 DAY)) AS d, b FROM (SELECT date_trunc('day', min(o_orderdate)) AS a, date_trunc('day', max(o_orderdate)) AS b FROM orders))",
     "fetch_plan": "SELECT strftime(d, '%Y-%m-%d') AS window_start, c AS category, page FROM (SELECT unnest(generate_series(DATE '2024-01-01', DATE '2024-03-10', INTERVAL 14 DAY)) AS d) CROSS JOIN (VALUES (0, 'business'), (1, 'politics'), (2, 'world')) t(i, c) CROSS JOIN (SELECT unnest(CAST([1, 2] AS BIGINT[])) AS page) ORDER BY d, i, page LIMIT 25",
@@ -155,20 +155,20 @@ SQL: dict[str, str] = {
     "full_text_fallback": f"{_with(DOCS)} SELECT seq, md5(CASE WHEN length(s) >= 800 THEN s ELSE title END) AS md5 FROM (SELECT seq, title, substr(trim(regexp_replace(summary, '\\s+', ' ', 'g')), 1, 2000) AS s FROM docs)",
     "extraction_hit_rate": f"{_with(DOCS)} SELECT lang, round(avg(CASE WHEN length(summary) >= 1000 THEN 1 ELSE 0 END), 4) AS hit_rate, count(*) AS n FROM docs GROUP BY lang",
     "description_cleanup": "SELECT p_partkey, 'Coverage of ' || p_name || '.' AS description FROM part",
-    "search_highlight": "SELECT p_partkey, regexp_replace(p_name, '(an)', '<mark>\\1</mark>', 'gi') AS marked FROM part WHERE p_partkey <= 500",
+    "search_highlight": "SELECT p_partkey, regexp_replace(p_name, '(an)', '<mark>\\1</mark>', 'gi') AS marked FROM part",
     "jaccard_containment_pairs": f"WITH t AS (SELECT conv_id AS g, conv_id * 100 + {_turn} AS seq, {_tokens} AS tok FROM conversations), e AS (SELECT g, seq, len(tok) AS n, unnest(tok) AS w FROM t), p AS (SELECT x.seq AS a, y.seq AS b, x.n AS na, y.n AS nb, count(*) AS c FROM e x JOIN e y ON x.g = y.g AND x.w = y.w AND x.seq < y.seq GROUP BY ALL) SELECT a, b, round(c / CAST(na + nb - c AS DOUBLE), 4) AS jaccard, round(c / CAST(least(na, nb) AS DOUBLE), 4) AS containment FROM p WHERE round(c / CAST(na + nb - c AS DOUBLE), 4) >= 0.2 OR round(c / CAST(least(na, nb) AS DOUBLE), 4) >= 0.35",
     "page_text": f"WITH t AS (SELECT page_id, {_page} AS t FROM pages) SELECT page_id, md5(t) AS md5, CAST(length(t) AS INTEGER) AS n FROM t",
-    "best_headlines": f"{_with(DOCS)}, l AS (SELECT source, list(title ORDER BY seq)[1:40] AS ts FROM docs GROUP BY source), f AS (SELECT source, ts, list_filter(ts, lambda t: length(t) BETWEEN 15 AND 140) AS fit FROM l) SELECT source, coalesce(list_filter(fit, lambda t: contains(lower(t), 'qu') OR contains(lower(t), 'ing'))[1], fit[1], substr(ts[1], 1, 140), '') AS headline FROM f",
+    "best_headlines": f"{_with(DOCS)}, l AS (SELECT source, list(title ORDER BY seq) AS ts FROM docs GROUP BY source), f AS (SELECT source, ts, list_filter(ts, lambda t: length(t) BETWEEN 15 AND 140) AS fit FROM l) SELECT source, coalesce(list_filter(fit, lambda t: contains(lower(t), 'qu') OR contains(lower(t), 'ing'))[1], fit[1], substr(ts[1], 1, 140), '') AS headline FROM f",
     "thin_text_reject": f"{_with(DOCS)} SELECT lang, count(*) AS n FROM docs WHERE length(summary) >= 150 GROUP BY lang",
     "link_sample": "SELECT least(100, count(DISTINCT url)) AS n, least(100, count(DISTINCT url)) AS links FROM pages",
     "natural_id_order": "SELECT id, row_number() OVER (PARTITION BY length(id) ORDER BY id) AS place FROM (SELECT CAST(c_custkey AS VARCHAR) AS id FROM customer)",
     "card_orders": f"""{_with(SIGNAL)}, c AS (SELECT topic, count(*) AS n, count(DISTINCT risk) AS r, round(CAST(sum(CAST(k / 5.0 AS DECIMAL(18,8))) AS DOUBLE) / count(*), 4) AS m FROM signal GROUP BY topic)
 SELECT 'count' AS by, topic, row_number() OVER (ORDER BY n DESC, topic) AS place FROM c UNION ALL SELECT 'risks', topic, row_number() OVER (ORDER BY r DESC, n DESC, topic) FROM c
 UNION ALL SELECT 'positive', topic, row_number() OVER (ORDER BY m DESC, n DESC, topic) FROM c UNION ALL SELECT 'negative', topic, row_number() OVER (ORDER BY m, n DESC, topic) FROM c""",
-    "gap_payload": f'{GAPS} SELECT topic AS id, CAST(best_risk AS VARCHAR) AS "bestFitRisk", coalesce(CAST(CASE WHEN NOT top_mine THEN top_rid END AS VARCHAR), \'\') AS "betterFitRisk", round(round(greatest(0, s), 4), 3) AS fit, round(round(1 - pct, 4), 3) AS gap, round(round(1 - greatest(0, s), 4), 3) AS "gapRaw", round(round(pct, 4), 3) AS "fitPercentile", first_seen AS "FIRST_SEEN", is_new AS "IS_NEW", peak AS "PEAK_VOLUME", quality, round(round(round(1 - pct, 4) * ln(1 + peak) * CASE WHEN is_new THEN 1.5 ELSE 1.0 END, 4), 3) AS score FROM cal JOIN best USING (topic) JOIN seen USING (topic) JOIN peak USING (topic) JOIN tot USING (topic)',
+    "gap_payload": f'{GAPS} SELECT topic AS id, coalesce(CAST(best_risk AS VARCHAR), \'\') AS "bestFitRisk", coalesce(CAST(CASE WHEN NOT top_mine THEN top_rid END AS VARCHAR), \'\') AS "betterFitRisk", round(round(greatest(0, coalesce(s, 0)), 4), 3) AS fit, round(round(1 - pct, 4), 3) AS gap, round(round(1 - greatest(0, coalesce(s, 0)), 4), 3) AS "gapRaw", round(round(pct, 4), 3) AS "fitPercentile", first_seen AS "FIRST_SEEN", is_new AS "IS_NEW", peak AS "PEAK_VOLUME", quality, round(round(round(1 - pct, 4) * ln(1 + peak) * CASE WHEN is_new THEN 1.5 ELSE 1.0 END, 4), 3) AS score FROM cal LEFT JOIN best USING (topic) JOIN seen USING (topic) JOIN peak USING (topic) JOIN tot USING (topic)',
     "vector_centroids": f"{_with(VEC, HEAD, CENTROIDS)} SELECT topic, CAST(pos AS INTEGER) AS pos, round(v, 4) AS v FROM cent",
     "cosine_matrix_topk": f"{VEC_BASE} SELECT topic, rank, rid AS risk, round(sim, 4) AS sim FROM (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY sim DESC, rid) AS rank FROM sims) WHERE rank <= 3",
-    "topic_gap_scores": f'{GAPS} SELECT topic, best_risk, round(greatest(0, s), 4) AS "FIT", round(1 - greatest(0, s), 4) AS "GAP_RAW", round(pct, 4) AS "FIT_PERCENTILE", round(1 - pct, 4) AS "GAP", CASE WHEN NOT top_mine THEN top_rid END AS better_risk, first_seen AS "FIRST_SEEN", is_new AS "IS_NEW", peak AS "PEAK_VOLUME", total AS "TOTAL_ARTICLES", quality AS "AVG_QUALITY", round(round(1 - pct, 4) * ln(1 + peak) * CASE WHEN is_new THEN 1.5 ELSE 1.0 END, 4) AS "EMERGING_GAP_SCORE" FROM cal JOIN best USING (topic) JOIN seen USING (topic) JOIN peak USING (topic) JOIN tot USING (topic)',
+    "topic_gap_scores": f'{GAPS} SELECT topic, best_risk, round(greatest(0, coalesce(s, 0)), 4) AS "FIT", round(1 - greatest(0, coalesce(s, 0)), 4) AS "GAP_RAW", round(pct, 4) AS "FIT_PERCENTILE", round(1 - pct, 4) AS "GAP", CASE WHEN NOT top_mine THEN top_rid END AS better_risk, first_seen AS "FIRST_SEEN", is_new AS "IS_NEW", peak AS "PEAK_VOLUME", total AS "TOTAL_ARTICLES", quality AS "AVG_QUALITY", round(round(1 - pct, 4) * ln(1 + peak) * CASE WHEN is_new THEN 1.5 ELSE 1.0 END, 4) AS "EMERGING_GAP_SCORE" FROM cal LEFT JOIN best USING (topic) JOIN seen USING (topic) JOIN peak USING (topic) JOIN tot USING (topic)',
     "topic_gap_quality_having": f'{_with(VEC, VEC_ART)}, tot AS (SELECT topic, round(CAST(sum(CAST(quality AS DECIMAL(18,6))) AS DOUBLE) / count(*), 3) AS q FROM art GROUP BY topic) SELECT topic, q AS "AVG_QUALITY" FROM tot WHERE q >= 0.5',
     "novelty_scores": f'{VEC_BASE} SELECT topic, max_by(rid, sim * 1000 - rid * 0.0001) AS risk, round(max(sim), 4) AS sim, round(1 - max(sim), 4) AS "NOVELTY" FROM sims GROUP BY topic',
     "anchor_relevance": f'{_with(VEC, HEAD, CENTROIDS, ANCHOR)} SELECT topic, round(greatest(0.0, sum(cent.v * anchor.v)), 4) AS "RELEVANCE" FROM cent JOIN anchor USING (pos) GROUP BY topic',
@@ -198,21 +198,46 @@ SELECT topic, 'Coverage of alpha, beta and t' || topic || ', with mostly ' || s
     "topic_titles": f"SELECT p_partkey, array_to_string(list_transform(list_filter(regexp_split_to_array(p_name, '\\s+'), lambda w: w <> ''), lambda w: coalesce(CASE lower(w) {_caps} END, CASE WHEN regexp_matches(w, '\\d') THEN w END, upper(w[1:1]) || w[2:])), ' ') AS title FROM part",
     "articles_per_topic_topn": f"{_with(SIGNAL)} SELECT topic, rank, seq FROM (SELECT topic, seq, row_number() OVER (PARTITION BY topic ORDER BY ts DESC NULLS LAST, seq) AS rank FROM signal) WHERE rank <= CASE WHEN topic = -1 THEN 40 ELSE 60 END",
     "best_article_per_story": f"{_with(SIGNAL)}, o AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY topic, grp ORDER BY quality DESC, seq) AS r FROM signal WHERE topic <> -1) WHERE r = 1) SELECT topic, rank, seq FROM (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY quality DESC, seq) AS rank FROM o) WHERE rank <= 25",
-    "stories_by_date": f"{_with(SIGNAL)} SELECT topic, rank, seq FROM (SELECT topic, seq, row_number() OVER (PARTITION BY topic ORDER BY day DESC, seq) AS rank FROM signal) WHERE rank <= 20",
+    "stories_by_date": f"{_with(SIGNAL)} SELECT topic, rank, seq FROM (SELECT topic, seq, row_number() OVER (PARTITION BY topic ORDER BY day DESC, seq) AS rank FROM signal)",
     "facet_search": f"{_with(SIGNAL)} SELECT topic, count(*) AS \"ARTICLE_COUNT\" FROM signal WHERE topic <> -1 AND contains('brand ' || topic || ' topic ' || topic, 'topic 1') GROUP BY topic HAVING bool_or(risk = 3)",
     "sentiment_histogram": f"{_with(SIGNAL)} SELECT CASE WHEN k > 0 THEN 'Positive' WHEN k < 0 THEN 'Negative' ELSE 'Unknown' END AS sentiment, count(*) AS n FROM signal GROUP BY 1",
     "topics_per_risk": f"{_with(SIGNAL)} SELECT risk, count(DISTINCT topic) AS topics FROM signal WHERE topic <> -1 GROUP BY risk",
     "top_topics_per_risk": f"{PAIR_STATS}, t AS (SELECT *, row_number() OVER (PARTITION BY risk ORDER BY peak DESC, topic) AS rank FROM pairs) SELECT risk, rank, topic, peak AS peak_intensity, greatest(0.0::DOUBLE, max(mom) OVER (PARTITION BY risk)) AS risk_momentum, greatest(0.0::DOUBLE, max(peak) OVER (PARTITION BY risk)) AS risk_peak FROM t WHERE rank <= 5",
     "topic_payload": f"{_with(SIGNAL)} SELECT topic, count(*) AS n, (SELECT seq FROM signal i WHERE i.topic = s.topic ORDER BY ts DESC, seq LIMIT 1) AS newest, CAST(least(count(*), CASE WHEN topic = -1 THEN 2 ELSE 3 END) AS INTEGER) AS listed FROM signal s GROUP BY topic",
-    "report_order": "SELECT n_name FROM nation ORDER BY CASE n_name WHEN 'JAPAN' THEN 1 WHEN 'CHINA' THEN 2 ELSE 3 END, n_name LIMIT 10",
+    "report_order": "SELECT n_name FROM nation ORDER BY CASE n_name WHEN 'JAPAN' THEN 1 WHEN 'CHINA' THEN 2 ELSE 3 END, n_name",
     "display_counts": f"{_with(SIGNAL)} SELECT risk, CAST(CASE WHEN count(*) >= 1000 THEN round(count(*), -2) ELSE count(*) END AS BIGINT) AS shown FROM signal GROUP BY risk",
     "taxonomy_union": "SELECT 'ENT' AS namespace, n_regionkey AS risk, min_by(n_name, n_nationkey) AS label, string_agg(n_name, '|' ORDER BY n_nationkey) AS terms FROM nation GROUP BY n_regionkey UNION ALL SELECT 'EMG', r_regionkey, r_name, r_name FROM region",
     "asof_carry_forward": f"WITH t AS (SELECT conv_id, {_turn} AS pos, role, CAST(length(text) AS INTEGER) AS n FROM conversations) SELECT conv_id, pos, n, asked FROM (SELECT *, last_value(CASE WHEN role = 'user' THEN n END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS asked FROM t) WHERE role = 'assistant'",
     "segment_split": f"WITH t AS (SELECT conv_id, {_turn} AS o, role, length(replace(text, '@', '')) + length(role) + 3 AS len FROM conversations), c AS (SELECT *, sum(len + 1) OVER (PARTITION BY conv_id ORDER BY o) - len - 1 AS pos, lead(o) OVER (PARTITION BY conv_id ORDER BY o) AS nxt FROM t) SELECT conv_id, CAST(pos AS BIGINT) AS pos, role, CAST(len + CASE WHEN nxt IS NULL THEN 0 ELSE 1 END AS BIGINT) AS n FROM c",
     "listing_links": "SELECT DISTINCT page_id AS doc, link, CASE WHEN link = '/last' THEN '2024-02-07' ELSE '2024-01-05' END AS date FROM (SELECT page_id, unnest(regexp_extract_all(html || '<a href=\"/last\">', '<a href=\"(/[^\"]*)\"', 1)) AS link FROM pages)",
     "legal_scrub": f"SELECT s_suppkey, trim(regexp_replace(regexp_replace(regexp_replace('The Commission finds , pursuant to Section 5, that ' || s_name || ' owed disgorgement , a civil penalty and cease-and-desist relief .', '(?i)\\b(?:{_legal})\\b', ' ', 'g'), '\\s{{2,}}', ' ', 'g'), '\\s+([,.;:])', '\\1', 'g')) AS text FROM supplier",
-    "digest_stories": "WITH o AS (SELECT o_orderkey AS k, strftime(o_orderdate, '%Y-%m-%d') AS d FROM orders WHERE o_orderkey <= 2000) SELECT 'Order ' || k AS title, 'Reuters' AS source, d AS date, 'A summary. More of it.' AS summary, 'A Clerk' AS byline, 'Markets' AS section, false AS paywalled, true AS \"primary\" FROM o UNION ALL SELECT 'Other ' || k, 'Barron', d, '', '', 'Markets', true, false FROM o",
+    "digest_stories": "WITH o AS (SELECT o_orderkey AS k, strftime(o_orderdate, '%Y-%m-%d') AS d FROM orders) SELECT 'Order ' || k AS title, 'Reuters' AS source, d AS date, 'A summary. More of it.' AS summary, 'A Clerk' AS byline, 'Markets' AS section, false AS paywalled, true AS \"primary\" FROM o UNION ALL SELECT 'Other ' || k, 'Barron', d, '', '', 'Markets', true, false FROM o",
     "structured_rows": "SELECT c_mktsegment AS title, c_custkey % 2 = 0 AS paywalled, '2024-05-06' AS date FROM customer WHERE c_custkey % 7 <> 0",
+    "keyword_scan": """WITH t AS (SELECT n_nationkey AS risk, n_name AS term, length(n_name) AS len FROM nation WHERE n_name NOT LIKE 'A%'),
+r AS (SELECT risk, term, unnest(range(0, least(len, 8))) AS k, least(3, (len + 2) // 3) AS requests FROM t),
+l AS (SELECT risk, CAST(k + 1 AS INTEGER) AS place, term || ' ' || k AS title, CASE WHEN k = 1 THEN 'http://same/' ELSE 'http://' || lower(term) || '/' || k END AS link, k, term, CAST(requests AS INTEGER) AS requests FROM r),
+f AS (SELECT *, row_number() OVER (PARTITION BY lower(link) ORDER BY risk, place) AS n FROM l WHERE lower(link) <> 'http://brazil/0')
+SELECT risk, place, title, link, CASE WHEN k = 0 THEN 'wire' WHEN k = 1 THEN 'same' ELSE lower(term) END AS source, requests FROM f WHERE n = 1""",
+    "latest_scan_plan": "SELECT 'DISCOVERY' AS lane, lower(r_name) AS category, 'https://api.test/1/news?category=' || replace(lower(r_name), ' ', '+') || '&country=us&language=en&prioritydomain=top' AS url FROM region",
+    "lexicon_scan_plan": f"""SELECT 'LEXICON' AS lane, 'lex:' || p AS category, 'https://api.test/1/news?q=%22' || replace(p, ' ', '+') || '%22&country=us&language=en&prioritydomain=top' AS url FROM (SELECT unnest([{_list(RISK_PHRASES)}]) AS p)""",
+    "regulator_lane": """WITH c AS (SELECT c_custkey AS k, c_nationkey AS doc, c_name, lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS id FROM customer),
+l AS (SELECT *, 'SEC' AS source, 'https://www.sec.gov/newsroom/press-releases/2024-' || id AS url FROM c UNION ALL SELECT *, 'CFTC', 'https://www.cftc.gov/PressRoom/PressReleases/' || substr(id, 1, 4) || '-' || substr(id, 5, 2) FROM c),
+d AS (SELECT *, CASE WHEN bool_or(k % 3 = 0) OVER (PARTITION BY source, doc ORDER BY k ROWS UNBOUNDED PRECEDING) THEN '2024-02-03' ELSE '' END AS date, 11 + length(c_name) + CASE WHEN k % 80 > 0 THEN 5 * (k % 80) ELSE 0 END AS n FROM l)
+SELECT url, source, date, 'Release of ' || c_name AS title, CAST(n AS INTEGER) AS n FROM d WHERE n >= 150""",
+    "enforcement_bodies": "WITH b AS (SELECT 'u' || s_suppkey AS url, s_suppkey % 2 = 0 AS admin, s_name, trim(repeat('The firm ' || s_name || ' did so. ', 30)) AS t FROM supplier) SELECT url, CASE WHEN admin THEN 'administrative_proceeding' ELSE 'litigation_release' END AS kind, CASE WHEN admin THEN s_name ELSE 'SEC Charges Firm With Fraud' END AS title, md5(CASE WHEN admin THEN t ELSE 'SEC Charges Firm With Fraud' || chr(10) || t END) AS md5 FROM b",
+    "monthly_files": "SELECT DISTINCT url, month FROM (SELECT CASE WHEN o_orderkey % 3 = 0 THEN '/sites/files/' || strftime(o_orderdate, '%Y-%m') || '/actions.pdf' ELSE '/files/disciplinary-actions-' || lower(strftime(o_orderdate, '%B')) || '-' || strftime(o_orderdate, '%Y') || '.pdf' END AS url, strftime(o_orderdate, '%Y-%m') AS month FROM orders WHERE o_orderkey % 3 <> 2) ORDER BY month DESC, url LIMIT 12",
+    "latest_filings": "SELECT ticker, form, rank, date, link FROM (SELECT *, row_number() OVER (PARTITION BY ticker, form ORDER BY date DESC, link) AS rank FROM (SELECT 'T' || (o_custkey % 50) AS ticker, ['10-K', '10-Q', '10-K/A'][o_orderkey % 3 + 1] AS form, strftime(o_orderdate, '%Y-%m-%d') AS date, CAST(o_orderkey AS VARCHAR) AS link FROM orders WHERE o_custkey % 50 < 40 AND o_orderkey % 3 < 2)) WHERE rank <= 2",
+    "filing_sections": "SELECT p_partkey, md5(trim(repeat(p_name || ' may fail. ', p_size))) AS md5 FROM part",
+    "text_repair": "SELECT p_partkey, CASE p_size % 4 WHEN 0 THEN 'caf' || chr(233) || '  ' WHEN 1 THEN ' ' WHEN 2 THEN 'caf' || chr(195) || chr(169) || ' ' ELSE 'plain ' END || p_name AS text FROM part",
+    "ascii_spelling": "SELECT p_partkey, '\"Cafe\" -- naive... ' || p_name AS text FROM part",
+    "corpus_newest_first": f"{_with(SIGNAL)} SELECT seq, row_number() OVER (ORDER BY CASE WHEN seq % 7 <> 0 THEN day END DESC NULLS LAST, seq) - 1 AS place FROM signal",
+    "risk_labels": f"{_with(SIGNAL)} SELECT CASE WHEN n_nationkey < 20 THEN n_name ELSE 'unknown' END AS label, count(*) AS n FROM signal LEFT JOIN nation ON risk = n_nationkey GROUP BY 1",
+    "topics_large_enough": f"{_with(SIGNAL)}, s AS (SELECT topic, count(*) AS n FROM signal GROUP BY topic) SELECT CASE WHEN n < 240 THEN -1 ELSE topic END AS topic, CAST(sum(n) AS BIGINT) AS n FROM s GROUP BY 1",
+    "hashed_embeddings": """WITH w AS (SELECT item_id, unnest(list_filter(string_split_regex(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda x: x <> '')) AS x FROM benchmark),
+c AS (SELECT item_id, CAST(('0x' || substr(md5(x), 1, 8))::UBIGINT % 16 AS INTEGER) AS pos, count(*) AS n FROM w GROUP BY 1, 2),
+f AS (SELECT item_id, pos, ln(1 + coalesce(n, 0)) AS v FROM (SELECT item_id, unnest(range(0, 16))::INTEGER AS pos FROM benchmark) LEFT JOIN c USING (item_id, pos)),
+s AS (SELECT item_id, sqrt(sum(v * v)) + 1e-9 AS size FROM f GROUP BY item_id)
+SELECT item_id, pos, round(CAST(v / size AS FLOAT), 4) AS v FROM f JOIN s USING (item_id)""",
     "stream_tumbling_counts": "SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS window_start, event_type, count(*) AS n, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents FROM events GROUP BY 1, 2",
     "stream_sliding_counts": "SELECT strftime(d, '%Y-%m-%d %H:%M:%S') AS window_start, event_type, count(*) AS n FROM (SELECT date_trunc('day', ts) - INTERVAL 1 DAY * i AS d, event_type FROM events CROSS JOIN (VALUES (0), (1)) t(i)) GROUP BY 1, 2",
     "stream_sessions": "WITH g AS (SELECT user_id, ts, CASE WHEN ts >= lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 6 HOUR OR lag(ts) OVER (PARTITION BY user_id ORDER BY ts) IS NULL THEN 1 ELSE 0 END AS new FROM events), s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS s FROM g) SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS session_start, count(*) AS n FROM s GROUP BY user_id, s.s",

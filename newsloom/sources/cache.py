@@ -18,6 +18,17 @@ def read_cache(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+def model_place(name: str, candidates: list[str], there) -> tuple[str, bool]:
+    """(model to load, whether it is local): the name if it is a model folder, else the first candidate that is, else the name.
+
+    there(path) tells whether a path exists; a model folder holds modules.json.
+    """
+    for place in (name, *candidates):
+        if place and there(f"{place.rstrip('/')}/modules.json"):
+            return place, True
+    return name, False
+
+
 def misses(df: DataFrame, cache: DataFrame, key: str = "key") -> DataFrame:
     """Distinct keys that the cache lacks."""
     return df.dropDuplicates([key]).join(cache.select(key), key, "left_anti")
@@ -35,7 +46,7 @@ def encode_cached(texts: DataFrame, encode: Callable[[DataFrame], DataFrame], pa
 def hashed_embedding(df: DataFrame, text="text", size=64) -> DataFrame:
     """A stand-in embedder without a model: hashed word counts, damped, of unit length; all SQL."""
     words = F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    slots = F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(size)))
+    slots = F.transform(words, lambda w: F.pmod(F.conv(F.substring(F.md5(w.cast("binary")), 1, 8), 16, 10).cast("long"), F.lit(size)))
     counts = F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.log1p(F.size(F.filter(slots, lambda s: s == i))))
     norm = F.sqrt(F.aggregate("_c", F.lit(0.0), lambda a, x: a + x * x)) + F.lit(1e-9)
     return df.withColumn("_c", counts).withColumn("vector", F.transform("_c", lambda x: (x / norm).cast("float"))).drop("_c")

@@ -14,7 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.functions.text import date_windows
+from newsloom.sources.cache import read_cache
 
+FETCHED = "url string, status int, body binary"
 Transport = Callable[[str], tuple[int, bytes]]
 PERMANENT = (401, 403, 404, 422)
 
@@ -50,7 +52,21 @@ def fetched(urls: DataFrame, transport: Transport, url="url", tries=3) -> DataFr
             got = [with_retries(transport, u, tries) for u in pdf[url]]
             yield pd.DataFrame({"url": pdf[url], "status": [s for s, _ in got], "body": [b for _, b in got]})
 
-    return urls.select(url).distinct().mapInPandas(run, "url string, status int, body binary")
+    return urls.select(url).distinct().mapInPandas(run, FETCHED)
+
+
+def fetched_once(urls: DataFrame, transport: Transport, path: str, slices: int = 20, url="url", tries=3) -> DataFrame:
+    """fetched() through a cache at `path`: addresses it lacks are fetched slice by slice, each appended when done.
+
+    A run that is stopped and started again asks only for what is missing. Failures are not kept.
+    """
+    spark = urls.sparkSession
+    wanted = urls.select(F.col(url).alias("url")).distinct()
+    for k in range(slices):
+        have = read_cache(spark, path, FETCHED)
+        part = wanted.where(F.pmod(F.xxhash64("url"), F.lit(slices)) == k).join(have.select("url"), "url", "left_anti")
+        fetched(part, transport, "url", tries).where("status = 200").write.mode("append").parquet(path)
+    return wanted.join(read_cache(spark, path, FETCHED), "url")
 
 
 def phrase_lane(df: DataFrame, phrases: list[str], text: str) -> DataFrame:

@@ -33,6 +33,28 @@ def write_stage(df: DataFrame, path: str, by_month: str | None = None, csv: bool
         df.write.mode("overwrite").parquet(path)
 
 
+def write_version(df: DataFrame, path: str) -> int:
+    """Write the next version of a table beside the others; the one before stays readable until this one is whole."""
+    number = (versions(df.sparkSession, path) or [-1])[-1] + 1
+    df.write.mode("overwrite").parquet(f"{path}/v={number}")
+    return number
+
+
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """The versions that were written to their end."""
+    whole = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/v=*/_SUCCESS")
+    found = whole.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(whole) or []
+    return sorted(int(f.getPath().getParent().getName()[2:]) for f in found)
+
+
+def read_version(spark: SparkSession, path: str, number: int | None = None) -> DataFrame:
+    """A version of a table, the newest whole one unless a number is given."""
+    known = versions(spark, path)
+    if not known or (number is not None and number not in known):
+        raise FileNotFoundError(f"no such version under {path}")
+    return spark.read.parquet(f"{path}/v={known[-1] if number is None else number}")
+
+
 def read_files(spark: SparkSession, path: str, extract: Callable[[bytes], str], pattern: str = "*") -> DataFrame:
     """name, text of binary files (such as PDF); the extractor is the user's, its errors give empty texts."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path).select("path", "content")
