@@ -1,10 +1,15 @@
 """Substring dedup by level-wise doubling (operator 2).
 
-Level 1 takes windows of half the final length, thinned by winnowing: of the windows that start in
-any run of half + 1 neighbouring words, the one of smallest hash is an anchor, so every window of
-the final length holds an anchor that depends on its words alone. Anchors found in one text only
-die. Around the others every window of twice the length is made, and those found in one document
-only die; so it goes on, doubling, up to `max_window` or until no candidate survives.
+Level 1 takes windows of a quarter of the final length, thinned by winnowing: of the windows that
+start in any run of neighbouring words as long as the final length has room for, the one of smallest
+hash is an anchor, so every window of the final length holds an anchor that depends on its words
+alone. Anchors found in one text only die.
+
+Each further level takes those that are left to twice the length. At half the final length an anchor
+is extended to the left and to the right: a window of the final length that holds it holds one of the
+two. An anchor stays if one of its extensions is found in two texts. At the final length every window
+that holds a surviving anchor is made. So it goes on in longest_repeats(), window by window, until no
+candidate survives.
 
 What is removed is decided at the length `window`: a word goes if a window that covers it also
 starts in a document with a smaller doc_id. Longer windows lie inside those, so they add nothing
@@ -13,8 +18,9 @@ to the removal; `longest_repeats` reports them.
 Exact copies of a whole text need no windows: of all but the first document of each such class
 everything goes, if it has a window at all. Windows are compared by 128 bits of hash.
 
-Null or empty texts have no words. A null doc_id counts as the largest. Repeated rows (same
-doc_id and text) are one document and get the same result; extra columns are ignored.
+Null or empty texts have no words. Texts of any length are taken whole; one text is held at a time
+beyond a batch of 4 MB. A null doc_id counts as the largest. Repeated rows (same doc_id and text) are
+one document and get the same result; an empty table gives an empty one; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -100,23 +106,42 @@ def _tokens(column, which=0):
 
 
 
-BASE = "doc_id bigint, k bigint, t1 bigint, t2 bigint, n_words bigint, sha string, hs array<bigint>, ps array<int>"
+BASE = "doc_id bigint, k bigint, t1 bigint, t2 bigint, n_words bigint, sha string, hs array<bigint>, ls array<bigint>, rs array<bigint>, ps array<int>"
+
+
+def levels(window: int) -> tuple[int, int]:
+    """The lengths before the final one: each at least half of the next."""
+    if window < 4:
+        raise ValueError("a window has four words at least")
+    return -(-window // 4), -(-window // 2)
+
+
+def extensions(h, first, pick, doc, short, long):
+    """Hashes of the windows of `long` words that end, and that start, with the `short` words at each place; 0 where the text is too short."""
+    w = window_hashes(h, long)
+    out = []
+    for start in (pick + short - long, pick):
+        inside = (start >= first[doc]) & (start + long <= first[doc + 1])
+        made = np.zeros(len(pick), np.uint64)
+        made[inside] = w[start[inside]] | np.uint64(1)
+        out.append(made)
+    return out
 
 
 def base_table(docs: DataFrame, window: int) -> DataFrame:
-    """Per document: words, digest of the whole text's words, anchors."""
+    """Per document: words, digest of the whole text's words, anchors with both extensions."""
+    short, long = levels(window)
 
     def run(batch):
         for part in slices(batch, 4):
             raw, starts, ends, first, h = _tokens(part.column(4))
-            pick, hashes = anchors(h, first, window // 2, window)
+            pick, hashes = anchors(h, first, short, window)
             doc = doc_of(first, len(h))[pick] if len(pick) else pick
+            left, right = extensions(h, first, pick, doc, short, long)
             sizes = np.bincount(doc, minlength=part.num_rows)
             shas = [hashlib.sha256(b" ".join((t or "").encode().split())).hexdigest() for t in part.column(4).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*part.columns[:4], pa.array(np.diff(first), pa.int64()), pa.array(shas), _list(signed(hashes), sizes, pa.int64()), _list(pick - first[doc], sizes, pa.int32())],
-                [c.split()[0] for c in BASE.split(", ")],
-            )
+            lists = [_list(signed(x), sizes, pa.int64()) for x in (hashes, left, right)]
+            yield pa.RecordBatch.from_arrays([*part.columns[:4], pa.array(np.diff(first), pa.int64()), pa.array(shas), *lists, _list(pick - first[doc], sizes, pa.int32())], [c.split()[0] for c in BASE.split(", ")])
 
     return batches(docs, run, BASE)
 
@@ -152,27 +177,34 @@ def windows(candidates: DataFrame, length: int, reach: int) -> DataFrame:
     return batches(candidates, run, "w1 bigint, w2 bigint, k bigint, t1 bigint, t2 bigint, p int")
 
 
+def in_two_texts(found: DataFrame, *key: str) -> DataFrame:
+    """The keys that rows of different texts have."""
+    return found.groupBy(*key).agg(F.min("t1").alias("a"), F.max("t1").alias("b")).where("a != b").select(*key)
+
+
 class Levels:
     """The tables of one run, made level by level."""
 
     def __init__(self, docs: DataFrame, doc_id="doc_id", text="text", window=WINDOW):
-        if window % 2:
-            raise ValueError("the window must be even, as it is twice the first level's")
-        self.window = window
+        self.window, self.short = window, levels(window)[0]
         self.rows = texts(keyed(docs, doc_id, text), "doc_id", *KEY, "text")
         self.base = stored(base_table(self.rows, window), "substring-base")
-        self.classes = stored(self.base.groupBy("t1", "t2").agg(F.min("k").alias("rep")), "substring-texts-seen")
-        found = self.base.where(F.size("hs") > 0).select(*KEY, F.explode(F.arrays_zip("hs", "ps")).alias("a")).select(*KEY, F.col("a.hs").alias("h"), F.col("a.ps").alias("p"))
-        live = found.groupBy("h").agg(F.min("t1").alias("a"), F.max("t1").alias("b")).where("a != b").select("h")
-        live = stored(live, "substring-live")
-        places = stored(found.join(live, "h", "left_semi").select(*KEY, "p"), "substring-anchors")
+        self.classes = stored(self.base.groupBy("t1", "t2").agg(F.min("k").alias("rep"), F.max("k").alias("last")), "substring-texts-seen")
+        found = self.base.where(F.size("hs") > 0).select(*KEY, F.explode(F.arrays_zip("hs", "ls", "rs", "ps")).alias("a")).select(*KEY, F.col("a.hs").alias("h"), F.col("a.ls").alias("l"), F.col("a.rs").alias("r"), F.col("a.ps").alias("p"))
+        live = stored(in_two_texts(found, "h"), "substring-live")
+        found = stored(found.join(live, "h", "left_semi").select(*KEY, "l", "r", "p"), "substring-anchors")
+        # The next level: 1 for the extension to the left, 2 to the right.
+        sides = F.array(F.struct(F.lit(1).alias("side"), F.col("l").alias("w")), F.struct(F.lit(2).alias("side"), F.col("r").alias("w")))
+        each = found.select(*KEY, "p", F.explode(sides).alias("x")).select(*KEY, "p", "x.side", "x.w").where("w != 0")
+        live = stored(in_two_texts(each, "side", "w"), "substring-live")
+        places = each.join(live, ["side", "w"], "left_semi")
         firsts = self.classes.select("t1", "t2", F.col("rep").alias("k"))
         wanted = places.groupBy(*KEY).agg(F.collect_set("p").alias("ps")).join(firsts, KEY, "left_semi")
         self.candidates = stored(self.rows.drop("doc_id").join(wanted.hint("merge"), KEY), "substring-texts").select(*KEY, "text", "ps")
 
     def first_owner(self) -> DataFrame:
         """Windows of the final length that a smaller document also has: key, p."""
-        made = windows(self.candidates, self.window, self.window // 2)
+        made = windows(self.candidates, self.window, self.window - self.short)
         owners = made.groupBy("w1", "w2").agg(F.min("k").alias("least"), F.max("k").alias("most")).where("least < most").select("w1", "w2", "least")
         owners = stored(owners, "substring-owners")
         return made.join(owners, ["w1", "w2"]).where("k > least").select(*KEY, "p")
@@ -220,7 +252,7 @@ def substring_dedup(docs: DataFrame, doc_id="doc_id", text="text", window=WINDOW
         cut = stored(cut, "substring-cut")
         copy = (F.col("k") > F.col("rep")) & (F.col("n_words") >= window)
         rows = levels.base.select("doc_id", *KEY, "n_words", "sha").join(levels.classes, ["t1", "t2"]).withColumn("copy", copy)
-        rows = stored(rows.drop("rep"), "substring-rows")
+        rows = stored(rows.drop("rep", "last"), "substring-rows")
     delete(docs.sparkSession, made, (cut, rows))
     rows = rows.join(cut, KEY, "left")
     out = rows.select(
@@ -237,7 +269,9 @@ def substring_dedup(docs: DataFrame, doc_id="doc_id", text="text", window=WINDOW
 def cut_repeats(docs: DataFrame, doc_id="doc_id", text="text", window=WINDOW) -> DataFrame:
     """The documents, with all their columns, without the words that substring_dedup removes.
 
-    Texts that lose nothing stay as they are; documents that lose every word go.
+    Texts that lose nothing stay as they are, byte by byte; documents that lose every word go. What is
+    left of a text that loses words is its kept words joined by one space each, so its line breaks go,
+    and its n_chars, if there is such a column, is counted anew.
     """
     found = substring_dedup(docs, doc_id, text, window, with_text=True).where("n_removed > 0")
     *keys, kept = names = free(docs, "_k", "_t1", "_t2", "_kept")
@@ -251,18 +285,25 @@ def cut_repeats(docs: DataFrame, doc_id="doc_id", text="text", window=WINDOW) ->
 
 
 def longest_repeats(docs: DataFrame, doc_id="doc_id", text="text", window=WINDOW, max_window: int | None = None) -> DataFrame:
-    """Per repeated document text: the longest window length, window * 2**i, at which it still repeats elsewhere."""
-    levels = Levels(docs, doc_id, text, window)
-    length, reach, texts_, out = window, window // 2, levels.candidates, None
+    """doc_id, longest: the longest window length, window * 2**i, at which a document still repeats another; a row for each document row that repeats any.
+
+    A text that is the whole of two documents repeats at the longest such length that it has room for.
+    Up to max_window, or until no candidate survives.
+    """
+    run = Levels(docs, doc_id, text, window)
+    length, reach, texts_ = window, window - run.short, run.candidates
+    out = texts_.select(*KEY, F.lit(0).alias("length")).limit(0)
     while max_window is None or length <= max_window:
-        places = stored(levels.repeated(texts_, length, reach).groupBy(*KEY).agg(F.collect_set("p").alias("ps")), "substring-level")
+        places = stored(run.repeated(texts_, length, reach).groupBy(*KEY).agg(F.collect_set("p").alias("ps")), "substring-level")
         if places.isEmpty():
             break
-        here = places.select(*KEY, F.lit(length).alias("length"))
-        out = here if out is None else out.unionByName(here)
+        out = out.unionByName(places.select(*KEY, F.lit(length).alias("length")))
         texts_ = texts_.drop("ps").join(places, KEY)
         length, reach = length * 2, 0
-    if out is None:
-        return levels.base.limit(0).select("doc_id", F.lit(0).alias("longest"))
-    best = out.groupBy(*KEY).agg(F.max("length").alias("longest"))
-    return levels.base.select("doc_id", *KEY).join(best, KEY).select("doc_id", "longest")
+    best = out.groupBy("t1", "t2").agg(F.max("length").alias("found"))
+    copied = run.classes.where("rep < last").select("t1", "t2", F.lit(True).alias("copied"))
+    rows = run.base.select("doc_id", "t1", "t2", "n_words").join(best, ["t1", "t2"], "left").join(copied, ["t1", "t2"], "left")
+    room = f"least(n_words, {max_window}L)" if max_window else "n_words"
+    doubled = F.expr(f"{window} * shiftleft(1, length(bin({room} div {window})) - 1)")
+    whole = F.when(F.col("copied") & (F.expr(room) >= window), doubled)
+    return rows.select("doc_id", F.greatest("found", whole).cast("int").alias("longest")).where("longest IS NOT NULL")
