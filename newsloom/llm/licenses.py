@@ -1,20 +1,23 @@
 """License scans (operator 5).
 
-One Aho-Corasick automaton finds notice phrases and identifier tags over the words of a text;
-what follows an identifier tag is a licence expression, which a shunting-yard parser evaluates.
+An Aho-Corasick automaton finds notice phrases, and words of identifier tags, over the words of a
+text; in texts that have such words a second one finds the tags where they stand, and what follows a
+tag on its line is a licence expression, which a shunting-yard parser evaluates.
 
 Restrictiveness of a licence is a number from 0 (public domain) to 1 (all rights reserved).
 AND takes the larger of two, OR the smaller, WITH an exception halves what stands before it.
 All notices and expressions of one document hold together (AND); without any, the score is 0.
 
 Null texts count as empty. An expression that does not parse labels nothing by its structure, but
-the licences it names still count, joined by AND. Repeated rows are scanned one by one; extra
-columns are ignored. Texts are scanned whole, whatever their length.
+the licences it names still count, joined by AND. The exception after a WITH is no label. Repeated
+rows are scanned one by one; an empty table gives an empty result; extra columns are ignored. Texts
+are scanned whole, in time that grows with their length alone.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 
 import ahocorasick
 import pyarrow as pa
@@ -45,8 +48,9 @@ PHRASES = {
     "creative commons attribution": "cc-by",
     "proprietary and confidential": "proprietary",
 }
-TAGS = ("spdx license identifier", "license expression")
-TAG_PATTERN = re.compile(r"(?:SPDX-License-Identifier|License-Expression)\s*:[ \t]*([^\r\n]*)", re.IGNORECASE)
+TAGS = ("spdx-license-identifier", "license-expression")
+AFTER_TAG = re.compile(r"\s*:[ \t]*([^\r\n]*)")
+LOWER_CASE = {c: c + 32 for c in range(65, 91)}
 # Restrictiveness of each label, fixed values.
 WEIGHTS = {
     "public-domain": 0.0, "cc0": 0.0, "unlicense": 0.0, "0bsd": 0.05, "mit": 0.1, "isc": 0.1, "bsd": 0.1, "zlib": 0.1,
@@ -107,60 +111,68 @@ def evaluate(expression: str) -> tuple[set[str], float]:
     parts = tokens(expression)
     if not parts:
         return set(), 0.0
-    labels: set[str] = set()
-    stack: list[tuple[str, float]] = []
+    stack: list[tuple[set[str], float]] = []
     try:
         for t in to_postfix(parts):
-            if t in PRECEDENCE:
-                right, left = stack.pop(), stack.pop()
-                if t == "with":
-                    labels.discard(right[0])
-                    stack.append((left[0], left[1] / 2))
-                else:
-                    stack.append(("", max(left[1], right[1]) if t == "and" else min(left[1], right[1])))
-            else:
+            if t not in PRECEDENCE:
                 name = family(t)
-                labels.add(name)
-                stack.append((name, WEIGHTS.get(name, UNKNOWN_WEIGHT)))
-        return labels, stack[0][1]
+                stack.append(({name}, WEIGHTS.get(name, UNKNOWN_WEIGHT)))
+                continue
+            (right, r), (left, w) = stack.pop(), stack.pop()
+            if t == "with":
+                stack.append((left, w / 2))
+            else:
+                stack.append((left | right, max(w, r) if t == "and" else min(w, r)))
+        return stack[0]
     except (ValueError, IndexError):
         named = {f for t in parts if t.lower() not in PRECEDENCE and (f := family(t)) in WEIGHTS}
         return named, max((WEIGHTS[f] for f in named), default=0.0)
 
 
 def automaton(phrases: dict[str, str]):
-    """Over texts whose words are joined, started and ended by one space, so matches are whole words."""
-    a = ahocorasick.Automaton()
+    """Over texts whose words are joined, started and ended by one space, so matches are whole words; and one over texts as they are, for tags."""
+    words, tags = ahocorasick.Automaton(), ahocorasick.Automaton()
     for phrase, label in phrases.items():
-        a.add_word(f" {phrase} ", (len(phrase) + 2, label, phrase in BASE))
+        words.add_word(f" {phrase} ", (len(phrase) + 2, label, phrase in BASE))
     for tag in TAGS:
-        a.add_word(f" {tag} ", (len(tag) + 2, None, False))
-    a.make_automaton()
-    return a
+        words.add_word(f" {tag.replace('-', ' ')} ", (0, None, False))
+        tags.add_word(tag, tag)
+    words.make_automaton()
+    tags.make_automaton()
+    return words, tags
+
+
+def expressions_in(text: str, tags) -> list[str]:
+    """What stands after each identifier tag, up to the end of its line."""
+    low = text.translate(LOWER_CASE)
+    return [m[1].strip() for end, _ in tags.iter(low) if (m := AFTER_TAG.match(text, end + 1))]
 
 
 def scan(text: str, finder) -> tuple:
     """(n_words, places, first, last, base labels, all labels, score, expressions) of one text."""
+    words, tags = finder
     split = text.encode().translate(PLAIN_TRANSLATE).split()
     flat = f" {b' '.join(split).decode()} "
-    starts, base, found, tagged = [], set(), set(), False
-    for end, (size, label, is_base) in finder.iter(flat):
+    at, base, found, tagged = [], set(), set(), False
+    for end, (size, label, is_base) in words.iter(flat):
         if label is None:
             tagged = True
             continue
         found.add(label)
         if is_base:
             base.add(label)
-            starts.append(flat.count(" ", 0, end - size + 2) - 1)
+            at.append(end - size + 1)
+    first = last = None
+    if at:  # the word that starts after the k-th space is word k
+        spaces = [k for k, c in enumerate(flat) if c == " "]
+        first, last = bisect_left(spaces, min(at)), bisect_left(spaces, max(at))
     score = max((WEIGHTS.get(x, UNKNOWN_WEIGHT) for x in found), default=0.0)
-    expressions = []
-    if tagged:
-        for m in TAG_PATTERN.finditer(text):
-            expressions.append(m[1].strip())
-            names, weight = evaluate(m[1])
-            found |= names
-            score = max(score, weight)
-    return len(split), len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(base)), ",".join(sorted(found)), score, expressions
+    expressions = expressions_in(text, tags) if tagged else []
+    for e in expressions:
+        names, weight = evaluate(e)
+        found |= names
+        score = max(score, weight)
+    return len(split), len(at), first, last, ",".join(sorted(base)), ",".join(sorted(found)), score, expressions
 
 
 SCHEMA = "doc_id bigint, n_words bigint, n_base bigint, first_word bigint, last_word bigint, base_labels string, labels string, score double, expressions array<string>"
