@@ -27,6 +27,9 @@ class Trees:
 def fit(x, y, n_trees=60, depth=4, rate=0.25, bins=24, ridge=1.0) -> Trees:
     """Newton boosting of the logistic loss over quantile bins; no randomness."""
     cuts = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, bins + 1)[1:-1])) for j in range(x.shape[1])]
+    # Features with one cut, such as bits, are summed as one matrix product.
+    bits = [j for j, c in enumerate(cuts) if len(c) == 1]
+    low = np.stack([x[:, j] <= cuts[j][0] for j in bits]).astype(float) if bits else np.zeros((0, len(y)))
     code = np.stack([np.searchsorted(c, x[:, j], "left") for j, c in enumerate(cuts)], 1)
     share = np.clip(y.mean(), 1e-3, 1 - 1e-3)
     bias = float(np.log(share / (1 - share)))
@@ -38,26 +41,32 @@ def fit(x, y, n_trees=60, depth=4, rate=0.25, bins=24, ridge=1.0) -> Trees:
         g, h = y - p, np.maximum(p * (1 - p), 1e-6)
         node = np.zeros(len(y), np.int64)
         f, t = np.zeros(inner, np.int64), np.full(inner, np.inf)
-        for k in range(inner):
-            own = np.flatnonzero(node == k)
-            best = (1e-6, None)
-            if len(own) > 1:
-                total_g, total_h = g[own].sum(), h[own].sum()
-                for j, c in enumerate(cuts):
-                    if not len(c):
-                        continue
-                    left_g = np.cumsum(np.bincount(code[own, j], g[own], len(c) + 1))[:-1]
-                    left_h = np.cumsum(np.bincount(code[own, j], h[own], len(c) + 1))[:-1]
-                    gain = left_g**2 / (left_h + ridge) + (total_g - left_g) ** 2 / (total_h - left_h + ridge) - total_g**2 / (total_h + ridge)
-                    at = int(np.argmax(gain))
-                    if gain[at] > best[0]:
-                        best = (gain[at], (j, at))
-            if best[1]:
-                j, at = best[1]
-                f[k], t[k] = j, cuts[j][at]
-                node[own] = 2 * k + 1 + (code[own, j] > at)
-            else:
-                node[own] = 2 * k + 1
+        for level in range(depth):
+            # All nodes of a level at once: sums by node and bin, then the best cut of each node.
+            first, size = 2**level - 1, 2**level
+            place = node - first
+            rows = np.bincount(place, minlength=size)
+            total_g, total_h = np.bincount(place, g, size), np.bincount(place, h, size)
+            whole = total_g**2 / (total_h + ridge)
+            spread = np.zeros((len(y), 2 * size))
+            spread[np.arange(len(y)), place], spread[np.arange(len(y)), size + place] = g, h
+            below = dict(zip(bits, (low @ spread).reshape(-1, 2, size, 1), strict=True))
+            best, feature, cut = np.full(size, 1e-6), np.full(size, -1), np.zeros(size, np.int64)
+            for j, c in enumerate(cuts):
+                if not len(c):
+                    continue
+                at = place * (len(c) + 1) + code[:, j] if len(c) > 1 else None
+                left_g, left_h = below[j] if at is None else (np.cumsum(np.bincount(at, v, size * (len(c) + 1)).reshape(size, -1), axis=1)[:, :-1] for v in (g, h))
+                gain = left_g**2 / (left_h + ridge) + (total_g[:, None] - left_g) ** 2 / (total_h[:, None] - left_h + ridge) - whole[:, None]
+                top = gain.argmax(axis=1)
+                value = gain[np.arange(size), top]
+                better = (value > best) & (rows > 1)
+                best[better], feature[better], cut[better] = value[better], j, top[better]
+            for k in np.flatnonzero(feature >= 0):
+                f[first + k], t[first + k] = feature[k], cuts[feature[k]][cut[k]]
+            split = feature[place] >= 0
+            right = code[np.arange(len(y)), np.maximum(feature[place], 0)] > cut[place]
+            node = 2 * node + 1 + (split & right)
         leaf = node - inner
         value = rate * np.bincount(leaf, g, n_leaves) / (np.bincount(leaf, h, n_leaves) + ridge)
         score += value[leaf]

@@ -32,7 +32,9 @@ SIBLINGS = {
     "tbody": (("tbody", "thead", "tfoot"), ("table",)),
     "tfoot": (("tbody", "thead", "tfoot"), ("table",)),
 }
-SCOPE = ("table", "td", "th", "body", "html", "root")
+SCOPE = ("table", "td", "th", "body", "html")
+# End tags that may close an element beyond such a scope.
+STRUCTURE = frozenset("body html table tr tbody thead tfoot".split())
 
 TAG = re.compile(
     r"""<(?:!--(?:>|->|.*?(?:-->|--!>|\Z))|[!?][^>]*+(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>)""",
@@ -52,16 +54,27 @@ class Page:
         self.tags, self.parents, self.attributes = ["root"], [-1], [""]
         self.blocks: list[tuple[int, str, int]] = []
         stack, parts, links, in_link = [0], [], 0, False
+        places: dict[str, list[int]] = {}  # by tag, where in the stack its open elements are
         at, n, tags = 0, len(source), self.tags
 
         def flush():
             nonlocal parts, links
             if parts:
-                text = " ".join(html_lib.unescape("".join(parts)).split())
+                text = " ".join("".join(parts).split())
                 if text:
                     self.blocks.append((stack[-1], text, min(links, len(text))))
                 parts, links = [], 0
 
+        def last(names):
+            """Where in the stack the innermost open element of these names is, or 0."""
+            return max((places[t][-1] for t in names if places.get(t)), default=0)
+
+        def close(k):
+            """Close the open elements from place k of the stack on."""
+            for node in stack[k:]:
+                places[tags[node]].pop()
+            del stack[k:]
+
         while at < n:
             lt = source.find("<", at)
             if lt < 0:
@@ -72,7 +85,8 @@ class Page:
                 lt = n if lt < 0 else lt
                 m = TAG.match(source, lt) if lt < n else None
             if lt > at:
-                piece = source[at:lt]
+                # Each piece for itself: a reference does not run over a tag.
+                piece = html_lib.unescape(source[at:lt])
                 parts.append(piece)
                 if in_link:
                     links += len(piece)
@@ -90,13 +104,10 @@ class Page:
                     if name == "br":
                         parts.append(" ")
                     continue
-                for k in range(len(stack) - 1, 0, -1):
-                    if tags[stack[k]] == name:
-                        flush()
-                        del stack[k:]
-                        break
-                    if name != "table" and tags[stack[k]] in SCOPE and name not in ("body", "html", "table", "tr", "tbody", "thead", "tfoot"):
-                        break
+                k = last((name,))
+                if k and (name in STRUCTURE or k >= last(SCOPE)):
+                    flush()
+                    close(k)
                 continue
             if name == "svg":
                 if not (m[3] or m[6] or "").endswith("/"):
@@ -105,8 +116,8 @@ class Page:
                 continue
             if name in RAW:
                 end = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.IGNORECASE).search(source, at)
-                close = source.find(">", end.end()) if end else -1
-                at = close + 1 if close >= 0 else n
+                after = source.find(">", end.end()) if end else -1
+                at = after + 1 if after >= 0 else n
                 continue
             if name in INLINE:
                 if name == "a":
@@ -120,26 +131,18 @@ class Page:
                         parts.append(" ")
                 continue
             flush()
-            if name in ENDS_P:
-                for k in range(len(stack) - 1, 0, -1):
-                    if tags[stack[k]] == "p":
-                        del stack[k:]
-                        break
-                    if tags[stack[k]] in SCOPE:
-                        break
+            if name in ENDS_P and (k := last(("p",))) > last(SCOPE):
+                close(k)
             if name in SIBLINGS:
                 closes, stops = SIBLINGS[name]
-                for k in range(len(stack) - 1, 0, -1):
-                    if tags[stack[k]] in closes:
-                        del stack[k:]
-                        break
-                    if tags[stack[k]] in stops:
-                        break
+                if (k := last(closes)) > last(stops):
+                    close(k)
             if name in ("html", "body") and name in tags[:4]:
                 continue
             tags.append(name)
             self.parents.append(stack[-1])
             self.attributes.append(m[3] or m[6] or "")
+            places.setdefault(name, []).append(len(stack))
             stack.append(len(tags) - 1)
         flush()
 

@@ -184,8 +184,8 @@ def _words(r: random.Random, lo, hi):
     return " ".join("".join(r.choices(_SYLLABLES, k=r.randint(1, 4))) + r.choice(["", "", "", "", ",", ".", "###", "%%%"]) for _ in range(r.randint(lo, hi)))
 
 
-def _links(r, lo, hi, tag="li"):
-    return "".join(f'<{tag}><a href="/{i}">{_words(r, 1, 3)}</a></{tag}>' for i in range(r.randint(lo, hi)))
+def _links(r, lo, hi, tag="li", shortest=1, longest=3):
+    return "".join(f'<{tag}><a href="/{i}">{_words(r, shortest, longest)}</a></{tag}>' for i in range(r.randint(lo, hi)))
 
 
 def _boilerplate(r: random.Random) -> str:
@@ -194,6 +194,8 @@ def _boilerplate(r: random.Random) -> str:
     tag = r.choice(["div", "section", "div"])
     token = r.choice(ROLES[kind].split())
     name = r.choice([f'class="{token}"', f'id="{token}"', f'class="{token}-box x{r.randint(1, 9)}"', f'class="site-{token}"', f'role="{token}"'])
+    if kind in ("menu", "header", "footer") and r.random() < 0.2:  # a name that tells nothing: only place and structure do
+        name = r.choice(['class="top"', 'class="bottom"', f'class="c{r.randint(1, 9)}"', 'class="row"', ""])
     if kind == "menu":
         return r.choice([f"<nav><ul>{_links(r, 3, 9)}</ul></nav>", f"<{tag} {name}><ul>{_links(r, 2, 9)}</ul></{tag}>", f"<nav {name}>{_links(r, 2, 6, 'span')}</nav>"])
     if kind == "header":
@@ -228,6 +230,7 @@ def _content(r: random.Random) -> list[str]:
                     f'<p>{_words(r, *size)} <a href="/y">{_words(r, 1, 4)}</a> {_words(r, 1, 9)}</p>',
                     f"<h{r.randint(2, 4)}>{_words(r, 1, 8)}</h{r.randint(2, 4)}>",
                     f"<ul>{''.join(f'<li>{_words(r, 2, 14)}</li>' for _ in range(r.randint(1, 5)))}</ul>",
+                    f"<ul>{_links(r, 1, 4, 'li', 3, 9)}</ul>",
                     f"<blockquote><p>{_words(r, *size)}</p></blockquote>",
                     f"<table><tr><td>{_words(r, 1, 4)}</td><td>{_words(r, 1, 4)}</td></tr></table>",
                     f"<figure><img src=a><figcaption>{_words(r, 2, 12)}</figcaption></figure>",
@@ -247,7 +250,7 @@ def training_page(seed: int):
     for _ in range(r.choice([0, 0, 1, 2])):  # something odd in the middle of the article
         parts.insert(r.randint(1, len(parts)), f"\ue001{_boilerplate(r)}\ue002")
     content = "".join(parts)
-    wrap = r.choice(["<article>{}</article>"] * 4 + ["<main>{}</main>", "<main><article>{}</article></main>", '<div class="post-content">{}</div>', '<div id="content"><div class="entry">{}</div></div>', '<div class="story-body">{}</div>', '<section class="article-text">{}</section>', "<div>{}</div>", "{}"])
+    wrap = r.choice(["<article>{}</article>"] * 4 + ["<main>{}</main>", "<main><article>{}</article></main>", '<div class="c1">{}</div>', '<div class="post-content">{}</div>', '<div id="content"><div class="entry">{}</div></div>', '<div class="story-body">{}</div>', '<section class="article-text">{}</section>', "<div>{}</div>", "{}"])
     if r.random() < 0.05:  # a page that is nothing but its content
         return f"<html><body>\ue003{content}\ue004</body></html>"
     after = [_boilerplate(r) for _ in range(r.randint(0, 3))]
