@@ -2,13 +2,13 @@
 
 Statistics of each whole text (shares of character classes, of repeated, common and distinct
 words, lengths, entropy) are transformed to be roughly normal: logarithms of counts, log-odds of
-shares. For each class of labelled training rows, mean and covariance are exact sums over all of
-them. A class covariance is shrunk towards the pooled one (POOL) and the unit matrix (UNIT), in
-units of the pooled standard deviations; its Cholesky factor is computed once and travels with the
+shares. For each class of labelled training rows, mean and covariance are sums over all of them, of
+whole numbers (features in steps of 1 / GRID), so that they do not depend on the order of the rows. A class covariance is shrunk towards the pooled one (POOL) and the unit matrix (UNIT), in
+units of the pooled standard deviations; its Cholesky factor is inverted once and travels with the
 task. The score is the chance of class 1 from the difference of the Mahalanobis log-densities and
 the logarithm of the classes' sizes.
 
-Null texts count as empty and are scored like any other. Rows with a null doc_id are never learned
+Null texts count as empty and are scored like any other; texts are read whole, whatever their length. Rows with a null doc_id are never learned
 from. Labels that are null or neither 0 nor 1 are left out; repeated labels count as often as they
 stand. With a class that has no labelled row at all, the score is the share of class 1 (0.5 without
 any label). Extra columns are ignored.
@@ -30,6 +30,7 @@ THRESHOLD = 0.3
 POOL = 0.1
 UNIT = 0.02
 FLATTEN = 0.5
+GRID = 1 << 16
 # Character classes: lower, upper, digit, space, punctuation, symbol, non-ASCII, other.
 FEATURES = ["log_words", "log_mean_word", *[f"odds_class_{k}" for k in range(N_CLASSES)], "odds_bar", "odds_repeat", "odds_distinct", "odds_common", "odds_dup_lines", "log_line", "odds_capital"]
 
@@ -98,20 +99,20 @@ def moments(rows: DataFrame, width: int) -> dict[int, tuple[float, np.ndarray, n
         x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
         y = batch.column(0).to_numpy(zero_copy_only=False)
         for label in np.unique(y):
-            own = x[y == label]
+            own = np.round(x[y == label] * GRID).astype(np.int64)
             flat = np.concatenate([[len(own)], own.sum(0), (own.T @ own).ravel()])
-            yield pa.RecordBatch.from_arrays([pa.array([label], pa.int32()), pa.array([flat], pa.list_(pa.float64()))], ["label", "m"])
+            yield pa.RecordBatch.from_arrays([pa.array([label], pa.int32()), pa.array([flat], pa.list_(pa.int64()))], ["label", "m"])
 
-    parts = batches(rows, run, "label int, m array<double>").select("label", F.posexplode("m").alias("k", "v")).groupBy("label", "k").agg(F.sum("v").alias("v"))
+    parts = batches(rows, run, "label int, m array<bigint>").select("label", F.posexplode("m").alias("k", "v")).groupBy("label", "k").agg(F.sum(F.col("v").cast("decimal(20,0)")).alias("v"))
     out = {}
     for label, got in parts.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("k", "v"))).alias("m")).collect():
-        flat = np.array([g["v"] for g in got])
-        out[label] = (flat[0], flat[1 : width + 1], flat[width + 1 :].reshape(width, width))
+        flat = np.array([float(g["v"]) for g in got])
+        out[label] = (flat[0], flat[1 : width + 1] / GRID, flat[width + 1 :].reshape(width, width) / GRID**2)
     return out
 
 
 class Discriminant:
-    """Means and Cholesky factors of both classes."""
+    """Means of both classes and their Cholesky factors, inverted."""
 
     def __init__(self, sums, pool=POOL, unit=UNIT, flatten=FLATTEN):
         sizes = {k: sums[k][0] if k in sums else 0.0 for k in (0, 1)}
@@ -127,14 +128,15 @@ class Discriminant:
         self.scale = np.sqrt(np.maximum(np.diag(pooled), 1e-9))
         corr = {k: c / np.outer(self.scale, self.scale) for k, c in (*spread.items(), ("pooled", pooled))}
         self.means = {k: means[k] / self.scale for k in (0, 1)}
-        self.factor = {}
+        self.whiten, self.log_size = {}, {}
         for k in (0, 1):
             shrunk = (1 - pool) * corr[k] + pool * corr["pooled"]
-            self.factor[k] = np.linalg.cholesky((1 - unit) * shrunk + unit * np.eye(len(self.scale)))
+            factor = np.linalg.cholesky((1 - unit) * shrunk + unit * np.eye(len(self.scale)))
+            self.whiten[k], self.log_size[k] = np.linalg.inv(factor), np.log(np.diag(factor)).sum()
 
     def log_density(self, x, k):
-        z = np.linalg.solve(self.factor[k], (x / self.scale - self.means[k]).T)
-        return -0.5 * (z**2).sum(0) - np.log(np.diag(self.factor[k])).sum()
+        z = (x / self.scale - self.means[k]) @ self.whiten[k].T
+        return -0.5 * (z**2).sum(1) - self.log_size[k]
 
     def score(self, x):
         """Chance of class 1; the log-density difference counts by `flatten`, as the features are not independent draws."""
