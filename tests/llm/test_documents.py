@@ -111,6 +111,41 @@ def test_longest_repeats_double(make):
     assert {r["doc_id"]: r["longest"] for r in rows_of(longest_repeats(df))} == {1: 200, 2: 200, 3: 50}
 
 
+def longest(rows, window=50):
+    """Brute force: of each document row the longest window * 2**i that another document has too."""
+    split = [(math.inf if i is None else i, SPACE.findall(t or "")) for i, t in rows]
+    out, n = {}, window
+    while True:
+        owners = {}
+        for i, w in split:
+            for p in range(len(w) - n + 1):
+                owners.setdefault(tuple(w[p : p + n]), set()).add(i)
+        more = {k: n for k, (_, w) in enumerate(split) if any(len(owners[tuple(w[p : p + n])]) > 1 for p in range(len(w) - n + 1))}
+        if not more:
+            return sorted(((rows[k][0], v) for k, v in out.items()), key=str)
+        out |= more
+        n *= 2
+
+
+def test_longest_repeats(make, near):
+    long = " ".join(f"q{i}" for i in range(230))
+    more = make([(1, long), (2, "x " + long + " y"), (3, " ".join(f"q{i}" for i in range(60)) + " z"), (4, long), (5, "short"), (5, "short"), (6, None), (None, long), (8, "a " * 51), (9, "a " * 51)])
+    copies = make([(1, long), (2, long), (3, "none of this")])
+    for df in (more, near, copies):
+        assert sorted(((r["doc_id"], r["longest"]) for r in rows_of(longest_repeats(df))), key=str) == longest(texts_of(df))
+    assert longest_repeats(make([])).count() == 0
+    assert {r["longest"] for r in rows_of(longest_repeats(copies, max_window=150))} == {100}
+
+
+@pytest.mark.parametrize("window", [4, 7, 10, 21])
+def test_substring_dedup_at_other_lengths(make, window):
+    rng = np.random.default_rng(window)
+    parts = [" ".join(f"p{x}" for x in rng.integers(0, 9, 30)) for _ in range(6)]
+    df = make([(i, " ".join(str(rng.integers(0, 50)) if rng.random() < 0.5 else parts[rng.integers(0, 6)][: int(rng.integers(5, 80))] for _ in range(8))) for i in range(40)])
+    got = sorted(((r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in rows_of(substring_dedup(df, window=window))), key=str)
+    assert got == removed(texts_of(df), window)
+
+
 # Operator 3
 
 
@@ -160,11 +195,45 @@ def test_one_of_each(near, odd, make):
     expected = sorted(i for i, c, _, t in classes(texts_of(near)) if i == c == t)
     out = one_of_each(near)
     assert out.columns == near.columns and sorted(r["doc_id"] for r in rows_of(out)) == expected
+    # Unlike texts that share a doc_id stay, each once; so do those without a doc_id.
+    other = make([(5, "one two three four five six seven"), (5, "un deux trois quatre cinq six sept"), (5, "one two three four five six seven"), (None, "eins zwei drei vier fünf sechs"), (None, "uno dos tres cuatro cinco seis"), (7, "un deux trois quatre cinq six sept")])
+    out = Counter((r["doc_id"], r["text"][:3]) for r in rows_of(one_of_each(other)))
+    assert out == Counter({(5, "one"): 1, (5, "un "): 1, (None, "ein"): 1, (None, "uno"): 1})
     kept = [r["doc_id"] for r in rows_of(one_of_each(odd))]
     assert kept.count(2) <= 1 and 3 not in kept and 12 not in kept
     assert one_of_each(make([])).count() == 0
 
 
+def test_recall_at_the_threshold_and_above(make):
+    """Pairs of a known similarity: the share that the forest finds."""
+    rng = np.random.default_rng(11)
+    rows, pairs = [], 0
+    for similarity in (0.8, 0.85, 0.9):
+        for _ in range(60):
+            n = 200
+            w = [f"r{x}" for x in rng.integers(0, 10**9, n + 4)]
+            both = round(similarity * (n + n) / (1 + similarity))  # shingles shared so that the Jaccard similarity is right
+            tail = [f"t{x}" for x in rng.integers(0, 10**9, n - both)]
+            rows += [(2 * pairs, " ".join(w)), (2 * pairs + 1, " ".join(w[: both + 4] + tail))]
+            pairs += 1
+    want = {i: n for i, _, n, _ in classes(rows)}
+    got = {r["doc_id"]: r["n_links"] for r in rows_of(jaccard_join(make(rows)))}
+    linked = [i for i, n in want.items() if n]
+    assert len(linked) > 280 and sum(got[i] == want[i] for i in linked) >= 0.995 * len(linked)
+    assert all(got[i] == 0 for i, n in want.items() if not n)
+
+
+def test_prefixes_are_shortened_by_what_was_found():
+    from newsloom.llm.jaccard_join import expected_recall, shortened
+
+    close, far = np.zeros(20), np.zeros(20)
+    close[19], far[0] = 1000, 1000  # links of similarity 0.99, of 0.8
+    assert shortened(8, close, 8, 0.8, 16, 0.999) > shortened(8, far, 8, 0.8, 16, 0.999)
+    for found in (close, far, close * 0):
+        k = shortened(8, found, 8, 0.8, 16, 0.999)
+        assert expected_recall(k, found, 8, 0.8, 16) >= 0.999 and (k == 7 or expected_recall(k + 1, found, 8, 0.8, 16) < 0.999)
+
+
 def test_prefixes_reach_the_recall():
     for target in (0.9, 0.99, 0.9995):
         k = prefix_length(0.8, 16, 12, target)
@@ -201,16 +270,11 @@ def as_tuples(df):
     return sorted((tuple(r[c] for c in ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")) for r in rows_of(df)), key=str)
 
 
-def test_decontamination_of_odd_rows(odd, spark, monkeypatch):
+def test_decontamination_of_odd_rows(odd, spark):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     expected = hits(texts_of(odd), ITEMS)
-    assert as_tuples(digest(contaminated(odd.where("doc_id is not null and doc_id != 2"), items))) == [r for r in expected if r[0] not in (None, 2)]
-    # The same in many blocks of items.
-    from newsloom.llm import decontaminate as D
-
-    monkeypatch.setattr(D.item_blocks, "__defaults__", ("item_id", "text", 5))
-    some = odd.where("doc_id is not null and doc_id != 2")
-    assert as_tuples(digest(contaminated(some, items))) == [r for r in expected if r[0] not in (None, 2)]
+    assert as_tuples(digest(contaminated(odd, items))) == expected
+    assert contaminated(odd.limit(0), items).count() == 0
 
 
 def test_decontamination_in_blocks_keeps_every_row(odd, spark, monkeypatch):
@@ -290,6 +354,63 @@ def test_license_scan(corpus, make, odd):
     assert rows_of(license_scan(more.where("doc_id = 2")))[0]["labels"] == "apache,mit"
 
 
+def labels_and_score(text):
+    """Brute force of the method's own columns: phrases word by word, expressions by recursive descent."""
+    from newsloom.llm.licenses import BASE, PHRASES, UNKNOWN_WEIGHT, WEIGHTS, family
+
+    w = PLAIN.findall(lower(text))
+    found = {label for phrase, label in (BASE | PHRASES).items() if any(w[k : k + len(phrase.split())] == phrase.split() for k in range(len(w)))}
+    scores = [WEIGHTS[x] for x in found]
+
+    def parse(parts, level):
+        """(labels, weight) of an expression from the left: or binds least, with most."""
+        if level == 3:
+            head = parts.pop(0)
+            if head == "(":
+                out = parse(parts, 0)
+                assert parts.pop(0) == ")"
+                return out
+            assert head not in ("and", "or", "with", ")")
+            return {family(head)}, WEIGHTS.get(family(head), UNKNOWN_WEIGHT)
+        out = parse(parts, level + 1)
+        while parts and parts[0].lower() == ("or", "and", "with")[level]:
+            parts.pop(0)
+            right = parse(parts, level + 1)
+            out = (out[0], out[1] / 2) if level == 2 else (out[0] | right[0], (min, max)[level](out[1], right[1]))
+        return out
+
+    for m in re.finditer(r"(?i)(?:spdx-license-identifier|license-expression)\s*:[ \t]*([^\r\n]*)", text or ""):
+        parts = re.findall(r"[()]|[A-Za-z0-9][A-Za-z0-9.+:-]*", m[1])
+        try:
+            names, weight = parse([p.lower() if p.lower() in ("and", "or", "with") else p for p in parts], 0) if parts else (set(), 0.0)
+            left = list(parts)
+            parse(left, 0) if parts else None
+            assert not left
+        except (AssertionError, IndexError):
+            known = {family(p) for p in parts if p.lower() not in ("and", "or", "with")} & set(WEIGHTS)
+            names, weight = known, max((WEIGHTS[x] for x in known), default=0.0)
+        found |= names
+        scores.append(weight)
+    return ",".join(sorted(found)), max(scores, default=0.0)
+
+
+def test_license_labels(corpus, odd, make):
+    more = make(
+        [
+            (1, "SPDX-License-Identifier: MIT AND GPL-2.0 WITH MIT\nspdx-license-identifier : (Apache-2.0 OR GPL-3.0) and bsd-3-clause"),
+            (2, "License-Expression: MIT OR\nPublic Domain, and the MIT license"),
+            (3, "spdx license identifier: MIT"),
+            (4, "cc by nc cc by " * 20_000 + "end"),
+            (5, "x SPDX-License-Identifier:\nMIT"),
+            (6, "SPDX-License-Identifier: Unheard-Of-1.0 WITH Some-exception OR 0BSD"),
+        ]
+    )
+    for df in (corpus, odd, more):
+        want = Counter((i, *labels_and_score(t)) for i, t in texts_of(df))
+        assert Counter((r["doc_id"], r["labels"], r["score"]) for r in rows_of(license_scan(df))) == want
+    assert license_scan(make([])).count() == 0
+
+
 # Operator 6
 
 
@@ -309,6 +430,57 @@ def test_quality_rules(corpus, odd, make):
     assert quality_rules(make([])).count() == 0
 
 
+def verdicts_by_hand(rows):
+    """(doc_id, kept, character distance, word distance) of each row, from the texts alone."""
+    from newsloom.llm import quality_rules as R
+
+    common = sorted({w for ws in R.COMMON.values() for w in ws})
+    forms = {f: k for k, w in enumerate(common) for f in (w.capitalize(), w)}
+    punctuation, symbols = set(b"!\"'(),-./:;?@[\\]^_`{}~+="), set(b"#*$%&|<>")
+
+    def kind(b):
+        return 0 if 97 <= b < 123 else 1 if 65 <= b < 91 else 2 if 48 <= b < 58 else 3 if b in b" \t\n\x0b\x0c\r" else 4 if b in punctuation else 5 if b in symbols else 6 if b >= 128 else 7
+
+    def shares(text):
+        raw, w = (text or "").encode(), SPACE.findall(text or "")
+        chars, words = Counter(map(kind, raw)), Counter(forms.get(x, len(common)) for x in w)
+        return [chars[k] / max(len(raw), 1) for k in range(8)], [words[k] / max(len(w), 1) for k in range(len(common) + 1)], len(w)
+
+    def distance(p, q):
+        if not any(p):
+            return 0.0
+        part = lambda x, m: sum(a * math.log2(a / b) for a, b in zip(x, m, strict=True) if a > 0)
+        m = [(a + b) / 2 for a, b in zip(p, q, strict=True)]
+        return math.sqrt(min(max((part(p, m) + part(q, m)) / 2, 0), 1))
+
+    sums = {}
+    made = [(i, t, lang if lang in R.COMMON else "other", *shares(t)) for i, t, lang in rows]
+    for _, _, lang, chars, words, n in made:
+        for name in {lang, "other"} if n >= 100 else ():
+            old = sums.setdefault(name, ([0] * 8, [0] * len(words)))
+            for total, x in zip(old, (chars, words), strict=True):
+                for k, v in enumerate(x):
+                    total[k] += round(v * 1_000_000)
+    refs = {name: tuple([v / max(sum(x), 1) for v in x] for x in both) for name, both in sums.items()}
+    out = []
+    for i, t, lang, chars, words, n in made:
+        ref = refs.get(lang) or refs.get("other")
+        dc, dw = (distance(chars, ref[0]), distance(words, ref[1])) if ref else (0.0, 0.0)
+        odd = (n >= 50 and dc > 0.30) or (n >= 100 and dc > 0.17 and dw > 0.32)
+        out.append((i, not counts(t)[-1] and not odd, round(dc, 6), round(dw, 6)))
+    return out
+
+
+def test_quality_verdicts(corpus, odd):
+    for df in (corpus, odd):
+        rows = [(r["doc_id"], r["text"], r["lang"]) for r in df.select("doc_id", "text", "lang").collect()]
+        key = lambda r: (str(r[0]), r[2], r[3])
+        want = sorted(verdicts_by_hand(rows), key=key)
+        got = sorted(((r["doc_id"], r["kept"], round(r["char_distance"], 6), round(r["word_distance"], 6)) for r in rows_of(quality_rules(df))), key=key)
+        assert [g[:2] for g in got] == [w[:2] for w in want]
+        assert np.allclose([g[2:] for g in got], [w[2:] for w in want], atol=2e-6)
+
+
 def test_quality_filter_takes_the_verdict(corpus, odd):
     for df in (corpus, odd):
         kept = Counter(r["doc_id"] for r in rows_of(quality_rules(df)) if r["kept"])
@@ -350,6 +522,80 @@ def test_lm_beats_the_unigram_model(spark, sf):
     assert out["s"] > out["b"]
 
 
+def class_bigrams(rows, n_classes, sweeps):
+    """Brute force: exchange clustering move by move on whole likelihoods, then smoothed scores. Every word is in the exchange."""
+    from newsloom.llm.kernels import word_hashes
+
+    held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 5 == 1
+    split = [(i, SPACE.findall(lower(t))) for i, t in rows]
+    pairs, c = Counter(), Counter()
+    for i, w in split:
+        if not held(i):
+            pairs.update(zip(["\0end", *w], [*w, "\0end"], strict=True))
+            c.update(w)
+    hashed = {}
+    for w in c:
+        raw = np.frombuffer(w.encode(), np.uint8)
+        hashed[w] = int(word_hashes(raw, np.array([0]), np.array([len(raw)]))[0])
+    rank = {w: k for k, w in enumerate(sorted(c, key=lambda w: (-c[w], hashed[w])))}
+    number = {w: k for k, w in enumerate(sorted(c, key=hashed.get))}
+    end, size = n_classes + 16, n_classes + 17
+    of = {w: rank[w] % n_classes for w in c} | {"\0end": end}
+
+    def table_of(cls):
+        table = np.zeros((size, size))
+        for (a, b), n in pairs.items():
+            table[cls[a], cls[b]] += n
+        return table
+
+    def likelihood(cls):
+        f = lambda x: sum(v * math.log(v) for v in np.ravel(x) if v > 0)
+        t = table_of(cls)
+        return f(t) - f(t.sum(0)) - f(t.sum(1))
+
+    best = (likelihood(of), of)
+    for sweep in range(sweeps):
+        moved = dict(of)
+        for w in c:
+            if not sweep or number[w] % 2 == sweep % 2:
+                gains = [likelihood(of | {w: k}) for k in range(n_classes)]
+                top = max(range(n_classes), key=lambda k: round(gains[k], 9))
+                if gains[top] > gains[of[w]] + 1e-9:
+                    moved[w] = top
+        if moved == of:
+            break
+        of = moved
+        if likelihood(of) > best[0]:
+            best = (likelihood(of), of)
+    of, table = best[1], table_of(best[1])
+    ends = sum(not held(i) for i, _ in rows)
+    mass, kinds = table.sum(0), Counter(of[w] for w in c) + Counter({end: min(ends, 1)})
+    share = [(mass[k] + 0.5) / (mass.sum() + 0.5 * size) for k in range(size)]
+    out = []
+    for i, w in split:
+        score, before = 0.0, end
+        for x in [*w, "\0end"]:
+            if x in of:
+                cls, n = of[x], ends if x == "\0end" else c[x]
+            else:  # words never seen stand in the class of their shape, which has no other word here
+                last = x.encode()[-1]
+                cls, n = n_classes + min((len(x.encode()) - 1) // 2, 7) * 2 + (97 <= last <= 122 or last >= 128), 0
+            score += math.log10((table[before, cls] + 50 * share[cls]) / (table[before].sum() + 50))
+            score += math.log10((n + 0.5) / (mass[cls] + 0.5 * (kinds[cls] + 1)))
+            before = cls
+        out.append((str(i), round(score, 6)))
+    return sorted(out)
+
+
+def test_lm_scores(make):
+    rng = np.random.default_rng(8)
+    words = [f"w{k}" for k in range(14)]
+    rows = [(i, " ".join(rng.choice(words, int(rng.integers(0, 12)), p=np.arange(1, 15) / 105))) for i in range(40)] + [(None, "w1 W2"), (3, "unseen w3 é 42")]
+    got = sorted((str(r["doc_id"]), round(r["score"], 6)) for r in rows_of(score_corpus(make(rows), max_words=10**6, n_classes=4, sweeps=3)))
+    want = class_bigrams(rows, 4, 3)
+    assert [g[0] for g in got] == [w[0] for w in want] and np.allclose([g[1] for g in got], [w[1] for w in want], atol=1e-5)
+
+
 def test_lm_of_nothing(make):
     assert score_corpus(make([])).count() == 0
 
@@ -429,3 +675,86 @@ def test_quality_classifier_of_odd_rows(odd, spark, make):
     assert len(out) == odd.count() and all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.3) for r in out)
     assert {r["score"] for r in rows_of(quality_classifier(odd, labels.limit(0)))} == {0.5}
     assert quality_classifier(make([]), labels).count() == 0
+
+
+def features_by_hand(text):
+    from newsloom.llm.quality_rules import COMMON
+
+    raw, w = (text or "").encode(), SPACE.findall(text or "")
+    n, size = len(w), len(raw)
+    odds = lambda part, whole: (lambda p: math.log(p / (1 - p + 1e-9)))((part + 0.5) / (whole + 1.0))
+    punctuation, symbols = set(b"!\"'(),-./:;?@[\\]^_`{}~+="), set(b"#*$%&|<>")
+    kinds = Counter(0 if 97 <= b < 123 else 1 if 65 <= b < 91 else 2 if 48 <= b < 58 else 3 if b in b" \t\n\x0b\x0c\r" else 4 if b in punctuation else 5 if b in symbols else 6 if b >= 128 else 7 for b in raw)
+    common = {f for ws in COMMON.values() for x in ws for f in (x, x.capitalize())}
+    _, _, _, dup, repeat, _ = counts(text)
+    lines = raw.count(b"\n") + 1
+    return [
+        math.log1p(n),
+        math.log1p(sum(len(x.encode()) for x in w) / max(n, 1)),
+        *[odds(kinds[k], size) for k in range(8)],
+        odds(raw.count(b"|"), n),
+        odds(repeat, n),
+        odds(len(set(w)), n),
+        odds(sum(x in common for x in w), n),
+        odds(dup, lines),
+        math.log1p(size / lines),
+        odds(sum("A" <= x[0] <= "Z" for x in w), n),
+    ]
+
+
+def test_quality_scores(spark, corpus, odd):
+    """The discriminant by the textbook: inverse covariances and determinants."""
+    labels = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/labels.parquet").select("doc_id", "quality").collect()]
+    some = [(1, 1), (2, 0), (3, 1), (7, 0), (8, 1), (9, None), (11, 0), (None, 1), (1, 1), (12, 0), (4, 1)]
+    for df, known in ((corpus, labels), (odd, some)):
+        rows = [(i, np.array(features_by_hand(t))) for i, t in texts_of(df)]
+        held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 5 == 0
+        learned = {y: np.array([x for i, x in rows for j, q in known if i is not None and i == j and q == y and not held(i)]) for y in (0, 1)}
+        n = {y: len(x) for y, x in learned.items()}
+        cov = {y: np.cov(x.T, bias=True) for y, x in learned.items()}
+        pooled = sum(n[y] * cov[y] for y in (0, 1)) / sum(n.values())
+        scale = np.sqrt(np.maximum(np.diag(pooled), 1e-9))
+        density = {}
+        for y in (0, 1):
+            own = (0.98 * (0.9 * cov[y] + 0.1 * pooled)) / np.outer(scale, scale) + 0.02 * np.eye(len(scale))
+            inverse, size = np.linalg.inv(own), np.linalg.slogdet(own)[1]
+            mean = learned[y].mean(0)
+            density[y] = lambda x, m=mean, a=inverse, s=size, d=scale: -0.5 * ((x - m) / d) @ a @ ((x - m) / d) - 0.5 * s
+        want = sorted((str(i), float(1 / (1 + np.exp(-np.clip(0.5 * (density[1](x) - density[0](x)) + math.log(n[1] / n[0]), -500, 500))))) for i, x in rows)
+        out = rows_of(quality_classifier(df, spark.createDataFrame(known, "doc_id long, quality int")))
+        got = sorted((str(r["doc_id"]), r["score"]) for r in out)
+        assert [g[0] for g in got] == [w[0] for w in want] and np.allclose([g[1] for g in got], [w[1] for w in want], atol=5e-3)
+        assert all(r["predicted"] == (r["score"] >= 0.3) for r in out)
+
+
+# Stored tables
+
+
+def test_two_threads_keep_their_tables(near, spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from newsloom.llm import frames
+
+    def run(op):
+        with frames.recorded() as made:
+            n = len(rows_of(op(near)))
+        return n, made
+
+    with ThreadPoolExecutor(2) as pool:
+        (a, left), (b, right) = pool.map(run, (substring_dedup, jaccard_join))
+    assert a == b == near.count() and left and right and not set(left) & set(right)
+    frames.delete(spark, [*left, *right])
+
+
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    from newsloom.llm import frames
+
+    class Context:
+        master = "yarn"
+
+    class Session:
+        conf = {}
+        sparkContext = Context()
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        frames.shared_folder(Session())

@@ -1,4 +1,5 @@
 import html
+import math
 import re
 
 import numpy as np
@@ -100,3 +101,49 @@ def test_elements_do_not_swallow_the_page():
         assert texts(f"<div {shown}>seen</div>") == ["seen"]
     for gone in ("hidden", "class=a hidden", 'HIDDEN=""', 'style="color: red; Display : none"'):
         assert texts(f"<div {gone}>unseen</div><p>seen</p>") == ["seen"]
+
+
+def test_deep_nesting_is_linear():
+    import time
+
+    for source in ("<div>" * 200_000 + "deep", "<ul><li>" + "<div>" * 5000 + "<li>x" * 20_000, "<table><td>" + "<div>" * 20_000 + "</p>" * 20_000):
+        start = time.time()
+        Page(source)
+        assert time.time() - start < 2
+
+
+def test_references_end_at_tags():
+    assert [t for _, t, _ in Page("<p>&<b>lt;</b> a &amp; b &#<i>60;</i>").blocks] == ["&lt; a & b &#60;"]
+
+
+def test_pages_without_telling_names(trees):
+    plain = """<html><body><div class="top"><a href=/>Home</a> <a href=/n>News</a> <a href=/s>Sport</a></div><div class="c1"><h1>Title of the story</h1>
+<p>First long paragraph of the article, with a number of words that make it long enough, and more.</p><ul><li><a href=/a>An important source document</a></li><li><a href=/b>Another document of the court</a></li></ul>
+<p>Last long paragraph of the article, which closes the story, as paragraphs do at the end of it.</p></div><div class="bottom">Copyright 2024 Some Site. All rights reserved.</div></body></html>"""
+    assert [b[:5] for b in extract_many([plain], trees)[0]] == ["Title", "First", "An im", "Anoth", "Last "]
+
+
+def test_decoding_is_the_best_of_all_labellings():
+    from itertools import product
+
+    rng = np.random.default_rng(6)
+    for source in ("<div>a<section><p>b</p>c</section><p>d</p></div>", "<div><p>a</p><p>b</p><div><p>c</p></div></div>", "<ul><li>a<li>b<li>c</ul>d"):
+        page = Page(source)
+        n = len(page.tags)
+        own = [0] * n
+        for node, text, _ in page.blocks:
+            own[node] += len(text)
+        for _ in range(20):
+            logit = rng.normal(0, 2, n)
+            gain = [float(g) * (0.5 + np.log1p(o)) for g, o in zip(logit, own, strict=True)]
+
+            def value(states):
+                for k in range(1, n):
+                    up = states[page.parents[k]]
+                    if up != "mixed" and states[k] != up:
+                        return -math.inf
+                return sum(g if s == "keep" else -g if s == "drop" else (abs(g) if o else 0.0) - 1.0 for s, g, o in zip(states, gain, own, strict=True))
+
+            best = max(product(("keep", "drop", "mixed"), repeat=n), key=value)
+            kept = decode(page, logit, own, cost=1.0)
+            assert [bool(x) for x in kept] == [s == "keep" or s == "mixed" and g > 0 for s, g in zip(best, gain, strict=True)]
