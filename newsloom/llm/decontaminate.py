@@ -11,7 +11,8 @@ executors is bounded however large the benchmark is.
 
 Null texts have no words and are never hit; benchmark rows with a null item_id are left out.
 Rows with the same item_id are one item; repeated document rows are searched one by one. Empty
-tables give empty results or no hits. Extra columns are ignored.
+tables give empty results or no hits. Extra columns are ignored. Texts of any length are taken
+whole, as one shard if need be.
 """
 
 from __future__ import annotations
@@ -213,7 +214,11 @@ def find_phrases(index: DataFrame, items: list[tuple[str, str | None]], window=W
 
 
 def find_near(index: DataFrame, query: str, slop: int) -> DataFrame:
-    """Proximity matches: spans of at most `slop` words that hold all words of the query, in any order."""
+    """Proximity matches: doc_id, start, end of the spans of at most `slop` words that hold all words of the query, in any order.
+
+    A word that the query has twice counts once; a query without words matches nothing. Rows that
+    share a doc_id are searched one by one, so each gives its own spans.
+    """
     wanted, _ = tokens(pa.array([query]))
 
     def run(batch):

@@ -10,7 +10,8 @@ The trees are trained, once a process, on pages that this module composes from n
 role is known (the generator below); nothing is sampled from the input.
 
 Null, empty and unparseable html give an empty text; so does a page without content. Blocks keep
-the page's order. Repeated rows are extracted one by one; extra columns are ignored.
+the page's order. Repeated rows are extracted one by one; extra columns are ignored. Pages are read
+whole, in time that grows with their length, however deep they nest.
 """
 
 from __future__ import annotations

@@ -7,7 +7,8 @@ so that it does not depend on the order of the rows. Length guards keep short te
 histograms are noise, from being judged.
 
 Null or empty texts have no words, so they fail the base rule; a null or unlisted language uses
-the pooled reference "other". Repeated rows are judged one by one. Extra columns are ignored.
+the pooled reference "other". Repeated rows are judged one by one; an empty table gives an empty
+result; texts are read whole, whatever their length. Extra columns are ignored.
 """
 
 from __future__ import annotations
