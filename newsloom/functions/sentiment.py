@@ -1,7 +1,8 @@
 """Lexicon sentiment with a pluggable lexicon.
 
 The rule is the published one for valence lexicons: word valences, damped and flipped by a
-negation in the three words before, boosted by degree words and capitals, are summed and squashed
+negation in the three words before, boosted by degree words and capitals, halved before a "but" and
+raised by half after it, are summed and squashed
 to -1..1 by x / sqrt(x * x + 15). No lexicon ships with this package beyond a few dozen words.
 """
 
@@ -26,6 +27,7 @@ class Lexicon:
         tokens = re.findall(r"[\w']+|!", text or "")
         lows = [t.lower() for t in tokens]
         shouting = any(t.isupper() and len(t) > 1 for t in tokens) and any(t.islower() for t in tokens)
+        turn = lows.index("but") if "but" in lows else None  # what follows it weighs more, what stands before it less
         total = 0.0
         for i, low in enumerate(lows):
             v = self.valences.get(low, 0.0)
@@ -39,7 +41,7 @@ class Lexicon:
                     v += sign * BOOSTERS.get(lows[i - k], 0.0) * damp
                     if lows[i - k] in NEGATIONS:
                         v *= -0.74
-            total += v
+            total += v if turn is None or i == turn else v * (1.5 if i > turn else 0.5)
         if total:
             total += (1 if total > 0 else -1) * min(lows.count("!"), 4) * 0.292
         return max(-1.0, min(1.0, total / (total * total + 15) ** 0.5)) if total else 0.0

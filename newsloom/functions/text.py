@@ -136,11 +136,14 @@ def parse_date(x) -> Column:
     return F.coalesce(*[F.to_date(F.try_to_timestamp(t, F.lit(f))) for f in formats], t.try_cast("date"))
 
 
+# Where pages state their date, in order of trust; fixed values.
+PAGE_DATES = [r'"datePublished"\s*:\s*"(\d{4}-\d{2}-\d{2})', r"\b(20\d{2}-\d{2}-\d{2})\b", r"\b((?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)[a-z]*\.?\s+\d{1,2},\s+20\d{2})\b"]
+
+
 def page_date(html) -> Column:
     """datePublished, else the first ISO date from 2000 on, else the first Month DD, YYYY."""
     h = _c(html)
-    found = [r'"datePublished"\s*:\s*"(\d{4}-\d{2}-\d{2})', r"\b(20\d{2}-\d{2}-\d{2})\b", r"\b((?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)[a-z]*\.?\s+\d{1,2},\s+20\d{2})\b"]
-    return F.coalesce(*[parse_date(F.regexp_extract(h, p, 1)) for p in found])
+    return F.coalesce(*[parse_date(F.regexp_extract(h, p, 1)) for p in PAGE_DATES])
 
 
 # Named references that plain replacement decodes, & last; fixed values.
@@ -160,6 +163,7 @@ def unescape(texts: pd.Series) -> pd.Series:
     return texts.map(html_lib.unescape, na_action="ignore")
 
 
+# Names of sites at the end of their page titles, fixed values.
 SITE_SUFFIX = r"\s*[|–—]\s*(?:SEC\.gov|FINRA\.org|CFTC|Consumer Financial Protection Bureau|NASAA|U\.S\. Securities).*$"
 
 

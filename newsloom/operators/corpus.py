@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from newsloom.functions.quality import quality_score
 from newsloom.functions.text import blank_to_null, sentiment_label
 from newsloom.schemas import ARTICLE, with_defaults
+from newsloom.sources.stages import scratch
 
 
 def link_or_title_key() -> Column:
@@ -34,8 +35,13 @@ def upsert(old: DataFrame, new: DataFrame, key: Column, seq: str = "seq") -> Dat
 
 
 def renumbered(df: DataFrame, *order, column="GOOGLE_INDEX") -> DataFrame:
-    """Numbers 0, 1, … in the given order, without one task for all rows: each range's share is counted first."""
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
+    """Numbers 0, 1, … in the given order, without one task for all rows: each range's share is counted first.
+
+    The rows are written with their range, as ranges drawn twice need not be the same.
+    """
+    path = scratch(df.sparkSession, "ranges")
+    df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()).write.mode("overwrite").parquet(path)
+    ranged = df.sparkSession.read.schema(df.withColumn("_part", F.lit(0)).schema).parquet(path)
     ranged = ranged.withColumn("_in", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
     sizes = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
     before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))

@@ -9,6 +9,14 @@ from newsloom.functions import text as X
 from newsloom.functions.vectors import dot, mean_vectors
 
 OUTLIER = -1
+SMALL_BYTES = 64_000_000
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a small input dealt out to all cores. It is one row group, so one task would read it and do all that follows;
+    larger inputs come in splits and stay as they are."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if size < SMALL_BYTES else df
 
 
 def most_common(df: DataFrame, key: str, value: Column | str, n: int = 1, seq: str = "seq", out: str = "value") -> DataFrame:
@@ -48,7 +56,7 @@ def terms_of(df: DataFrame, key: str, text: str, stop: list[str], bigrams=True)
 
 def class_tfidf(df: DataFrame, key="TOPIC_ID", text="text", stop: list[str] | None = None, n: int = 10, bigrams=True) -> DataFrame:
     """The n best terms of each topic by tf * ln(1 + mean terms a topic / frequency of the term)."""
-    real = df.where(F.col(key).cast("string") != str(OUTLIER))
+    real = spread(df.where(F.col(key).cast("string") != str(OUTLIER)).select(key, text))
     tf = terms_of(real, key, text, stop or [], bigrams)
     # A term has one row a topic here, so its window is small; this saves a join of the terms with themselves.
     # The sizes of the topics come from the lengths of the word lists, not from counting the terms again.

@@ -105,10 +105,17 @@ def _after(x: Column, pattern: str, least: int) -> Column:
     return F.when(x.rlike(pattern) & (F.length(rest) > least), F.trim(rest))
 
 
+# Where the text of an order begins, with the least that must follow; captions of litigation releases. Fixed values of the formats.
+ORDER_STARTS = [(r"\bIII\.\s", 300), (r"\bORDER\b(?s:.*?)\bI\.\s", 200)]
+ORDER_MARKERS, AFTER_MARKER = ("deems it appropriate", "In the Matter of"), 200
+RELEASE_CAPTION = r"(?s)^.*?Litigation Release No\.\s*\d+\s*/\s*[^\n]*?\d{4}\s*"
+RELEASE_CASE = r"(?:Securities and Exchange Commission|SEC)\s+v\.\s+.*?\bfiled\b[^)]*\)\s*"
+
+
 def order_body(x: Column) -> Column:
     """An order from its section III on; else from I after the title; else from a marker; guarded by what remains."""
-    marked = [F.when((F.instr(x, m) > 0) & (F.length(x) - F.instr(x, m) + 1 > 200), F.trim(F.substring(x, F.instr(x, m), F.length(x)))) for m in ("deems it appropriate", "In the Matter of")]
-    return F.coalesce(_after(x, r"\bIII\.\s", 300), _after(x, r"\bORDER\b(?s:.*?)\bI\.\s", 200), *marked, x)
+    marked = [F.when((F.instr(x, m) > 0) & (F.length(x) - F.instr(x, m) + 1 > AFTER_MARKER), F.trim(F.substring(x, F.instr(x, m), F.length(x)))) for m in ORDER_MARKERS]
+    return F.coalesce(*[_after(x, pattern, least) for pattern, least in ORDER_STARTS], *marked, x)
 
 
 def release_body(x: Column) -> Column:
@@ -118,8 +125,7 @@ def release_body(x: Column) -> Column:
         whole = F.regexp_extract(t, f"(?s)^(.*?)(?:{pattern})(.*)$", 1)
         return F.when(t.rlike(f"(?s){pattern}"), F.concat(whole, F.regexp_extract(t, f"(?s)^(.*?)(?:{pattern})(.*)$", 2))).otherwise(t)
 
-    out = F.regexp_replace(x, r"(?s)^.*?Litigation Release No\.\s*\d+\s*/\s*[^\n]*?\d{4}\s*", "")
-    out = F.trim(without_first(out, r"(?:Securities and Exchange Commission|SEC)\s+v\.\s+.*?\bfiled\b[^)]*\)\s*"))
+    out = F.trim(without_first(F.regexp_replace(x, RELEASE_CAPTION, ""), RELEASE_CASE))
     return F.when(out != "", out).otherwise(x)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -12,6 +13,21 @@ from pyspark.sql import types as T
 from newsloom.schemas import ARTICLE, with_defaults
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder in the cluster's shared folder, deleted when the application ends."""
+    where = spark.conf.get("spark.checkpoint.dir", None)
+    if not where:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        where = "/tmp/newsloom-checkpoints"
+    path = f"{where.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(at)
+    system.deleteOnExit(at)
+    return path
+
+
 def read_articles(spark: SparkSession, path: str, schema: T.StructType = ARTICLE) -> DataFrame:
     """Article rows of a CSV or Parquet path; columns the file lacks are typed nulls."""
     if path.rstrip("/").endswith(".csv"):

@@ -5,12 +5,13 @@ Each takes a streaming or a static frame, so that results can be held against ba
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newsloom.sources.stages import scratch
+
 LATE = "1 hour"
 
 
@@ -46,21 +47,6 @@ def deduplicated(articles: DataFrame, key: str, ts="ts", late="7 days") -> DataF
     return df.dropDuplicatesWithinWatermark([key]) if df.isStreaming else df.dropDuplicates([key])
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder in the cluster's shared folder, deleted when the application ends."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        where = "/tmp/newsloom-checkpoints"
-    path = f"{where.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    system = at.getFileSystem(spark._jsc.hadoopConfiguration())
-    system.mkdirs(at)
-    system.deleteOnExit(at)
-    return path
-
-
 def to_table(stream: DataFrame, mode="append") -> DataFrame:
     """Run a stream over what there is into a Parquet table and read that; nothing is gathered on the driver.
 

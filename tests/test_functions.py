@@ -102,6 +102,7 @@ def test_distinct_keywords(spark, sf):
 def test_sentiment(spark):
     lexicon = Lexicon()
     assert lexicon.compound("great growth") > 0.05 > -0.05 > lexicon.compound("a fraud and a loss")
+    assert lexicon.compound("great but a loss") < lexicon.compound("great, a loss") < lexicon.compound("loss but great")
     assert lexicon.compound("not good") < 0 and lexicon.compound(None) == 0.0
     assert one(spark, X.sentiment_label(compound(F.lit("great growth")))) == "Positive"
 
