@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.functions.text import block_key
+from newsloom.functions.vectors import dot
+from newsloom.sources.stages import scratch
 
 SIMILARITY = 0.93
 
@@ -93,6 +95,66 @@ def near_duplicates(df: DataFrame, block: Column, threshold: float = SIMILARITY)
     return members.join(placed, "first").select("seq", "DUP_GROUP", ((F.col("is_rep") == 0) | (F.col("seq") != F.col("first"))).alias("IS_DUPLICATE"))
 
 
+TABLES, PLANES = 12, 8
+
+
+def _kept(df: DataFrame, folder: str, name: str) -> DataFrame:
+    df.write.mode("overwrite").parquet(f"{folder}/{name}")
+    return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
+
+
+def _buckets(vector: Column, tables: int, planes: int, seed: int) -> Column:
+    """For each table the sides of random planes that a vector lies on, as one number."""
+
+    @F.pandas_udf("array<bigint>")
+    def sides(vectors: pd.Series) -> pd.Series:
+        v = np.stack([np.asarray(x, float) for x in vectors])
+        normal = np.random.default_rng(seed).normal(size=(v.shape[1], tables * planes))
+        bits = (v @ normal > 0).reshape(len(v), tables, planes)
+        return pd.Series(list(bits @ (1 << np.arange(planes)).astype(np.int64)))
+
+    return sides(vector)
+
+
+def similar_groups(df: DataFrame, block: Column, threshold: float = SIMILARITY, tables: int = TABLES, planes: int = PLANES, seed: int = 42) -> DataFrame:
+    """near_duplicates() for blocks too large for one task, approximately: seq, DUP_GROUP, IS_DUPLICATE.
+
+    In each of `tables` tables, rows of a block on the same sides of `planes` random planes share a
+    bucket; each row is compared with the first and the last row of its buckets. Groups are what these
+    links connect, named by the smallest seq; the row of highest quality, then length, then lowest seq
+    stands for its group. Firsts and lasts are minima and maxima, so a hot block or bucket is never in
+    one task. A pair at cosine c shares a bucket of one table with chance (1 - acos(c) / pi) ** planes.
+    Rows equal in vector are merged before.
+    """
+    folder = scratch(df.sparkSession, "near")
+    rows = df.select(block.alias("block"), "seq", F.coalesce("quality", F.lit(0.0)).cast("double").alias("quality"), F.col("length").cast("long").alias("length"), "vector")
+    rows = _kept(rows, folder, "rows")
+    first = _kept(rows.groupBy("block", "vector").agg(F.min("seq").alias("first")), folder, "vectors")
+    placed = first.withColumn("bucket", F.explode(F.arrays_zip(F.sequence(F.lit(0), F.lit(tables - 1)).alias("t"), _buckets(F.col("vector"), tables, planes, seed).alias("b"))))
+    placed = _kept(placed.select("block", "bucket.t", "bucket.b", F.col("first").alias("seq")), folder, "buckets")
+    ends = placed.groupBy("block", "t", "b").agg(F.min("seq").alias("lo"), F.max("seq").alias("hi")).where("lo < hi")
+    pairs = placed.join(ends, ["block", "t", "b"]).select("seq", F.explode(F.array("lo", "hi")).alias("other")).where("seq != other")
+    pairs = pairs.select(F.greatest("seq", "other").alias("a"), F.least("seq", "other").alias("b")).distinct()
+    vectors = first.select(F.col("first").alias("seq"), "vector")
+    both = pairs.join(vectors.select(F.col("seq").alias("a"), F.col("vector").alias("va")), "a").join(vectors.select(F.col("seq").alias("b"), F.col("vector").alias("vb")), "b")
+    links = _kept(both.where(dot(F.col("va"), F.col("vb")) >= threshold).select("a", "b"), folder, "links")
+    each = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    label, n = _kept(vectors.select("seq", F.col("seq").alias("group")), folder, "labels-0"), 0
+    while True:
+        near = each.join(label.select(F.col("seq").alias("b"), F.col("group").alias("g")), "b").groupBy("a").agg(F.min("g").alias("g"))
+        step = label.join(near, label["seq"] == near["a"], "left").select("seq", "group", F.least("group", F.coalesce("g", "group")).alias("to"))
+        # A label's own label: paths halve with each round.
+        own = step.select(F.col("seq").alias("to"), F.col("to").alias("further"))
+        n += 1
+        now = _kept(step.join(own, "to", "left").select("seq", F.col("group").alias("old"), F.least("to", F.coalesce("further", "to")).alias("group")), folder, f"labels-{n}")
+        label = now.select("seq", "group")
+        if now.where("old != group").isEmpty():
+            break
+    grouped = rows.join(first, ["block", "vector"]).join(label.withColumnRenamed("seq", "first"), "first")
+    best = grouped.groupBy("group").agg(F.max_by("seq", F.struct("quality", "length", -F.col("seq"))).alias("best"))
+    return grouped.join(best, "group").select("seq", F.col("group").alias("DUP_GROUP"), (F.col("seq") != F.col("best")).alias("IS_DUPLICATE"))
+
+
 def content_tokens(x: Column) -> Column:
     """The distinct words of three letters or more that are no stop words."""
     found = F.regexp_extract_all(F.lower(F.coalesce(x, F.lit(""))), F.lit("[a-z]{3,}"), F.lit(0))

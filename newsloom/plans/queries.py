@@ -415,6 +415,12 @@ def near_dup_groups(spark, sf):
     return neardup.near_duplicates(e, F.col("TOPIC_ID").cast("string"), 0.3).select("seq", F.col("DUP_GROUP").alias("grp"), F.col("IS_DUPLICATE").alias("duplicate"))
 
 
+@query
+def near_dup_approximate(spark, sf):
+    e = vec_topics(spark, sf).select("seq", F.lit(1.0).alias("quality"), F.lit(1).alias("length"), "vector")
+    return neardup.similar_groups(e, F.lit("all"), 0.6).select("seq", F.col("DUP_GROUP").alias("grp"), F.col("IS_DUPLICATE").alias("duplicate"))
+
+
 @query
 def jaccard_containment_pairs(spark, sf):
     d = table(spark, sf, "conversations").select(F.col("conv_id").alias("g"), (F.col("conv_id") * 100 + F.col("turn") * 2 + (F.col("role") == "assistant").cast("int")).alias("seq"), "text")

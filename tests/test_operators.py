@@ -121,6 +121,35 @@ def test_near_dup_query(spark, sf):
     assert {r["seq"]: (r["grp"], r["duplicate"]) for r in QUERIES["near_dup_groups"](spark, sf).collect()} == want
 
 
+def test_similar_groups_find_nearly_all(spark, sf):
+    rng = np.random.default_rng(12)
+    rows, story = [], []
+    for s in range(60):
+        centre = rng.normal(size=32)
+        for _ in range(int(rng.integers(1, 9))):
+            v = centre + rng.normal(size=32) * 0.1  # cosines of about 0.99
+            v = [float(x) for x in v / np.linalg.norm(v)]
+            rows += [(len(rows), float(rng.integers(0, 3)), 5, v)]
+            story.append(s)
+            if rng.random() < 0.2:
+                rows.append((len(rows), 9.0, 5, v))
+                story.append(s)
+    df = spark.createDataFrame(rows, "seq long, quality double, length int, vector array<double>")
+    got = {r["seq"]: (r["DUP_GROUP"], r["IS_DUPLICATE"]) for r in neardup.similar_groups(df, F.lit("one")).collect()}
+    same = [(i, j) for i in got for j in got if i < j and story[i] == story[j]]
+    assert len(got) == len(rows) and sum(got[i][0] == got[j][0] for i, j in same) >= 0.97 * len(same)
+    assert all(story[i] == story[g] for i, (g, _) in got.items())  # nothing else is joined
+    for g in {g for g, _ in got.values()}:
+        own = [i for i in got if got[i][0] == g]
+        assert [i for i in own if not got[i][1]] == [max(own, key=lambda i: (rows[i][1], -i))] and min(own) == g
+    assert neardup.similar_groups(df.limit(0), F.lit("one")).count() == 0
+    e = spark.read.parquet(f"{sf}/embeddings.parquet").collect()
+    vectors = {r["vec_id"]: np.array(r["embedding"], float) for r in e}
+    out = {r["seq"]: r["grp"] for r in QUERIES["near_dup_approximate"](spark, sf).collect()}
+    near = [(i, j) for i in vectors for j in vectors if i < j and vectors[i] @ vectors[j] >= 0.6]
+    assert set(out) == set(vectors) and sum(out[i] == out[j] for i, j in near) >= 0.9 * len(near)
+
+
 def test_factor_dedup(spark, sf):
     stop = set(neardup.STOP_WORDS)
     import re
