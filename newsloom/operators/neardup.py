@@ -95,7 +95,15 @@ def near_duplicates(df: DataFrame, block: Column, threshold: float = SIMILARITY)
     return members.join(placed, "first").select("seq", "DUP_GROUP", ((F.col("is_rep") == 0) | (F.col("seq") != F.col("first"))).alias("IS_DUPLICATE"))
 
 
-TABLES, PLANES = 12, 8
+RECALL = 0.95
+
+
+def table_shape(rows: int, threshold: float, recall: float = RECALL) -> tuple[int, int]:
+    """(tables, planes): planes enough for buckets of a row or so in a block of so many rows, and tables enough
+    for two rows at the threshold to share a bucket with this chance."""
+    planes = max(8, rows.bit_length() + 1)
+    alike = (1 - np.arccos(min(threshold, 1.0)) / np.pi) ** planes
+    return max(1, int(np.ceil(np.log(1 - recall) / np.log(1 - min(alike, 0.999))))), planes
 
 
 def _kept(df: DataFrame, folder: str, name: str) -> DataFrame:
@@ -116,20 +124,22 @@ def _buckets(vector: Column, tables: int, planes: int, seed: int) -> Column:
     return sides(vector)
 
 
-def similar_groups(df: DataFrame, block: Column, threshold: float = SIMILARITY, tables: int = TABLES, planes: int = PLANES, seed: int = 42) -> DataFrame:
+def similar_groups(df: DataFrame, block: Column, threshold: float = SIMILARITY, recall: float = RECALL, seed: int = 42) -> DataFrame:
     """near_duplicates() for blocks too large for one task, approximately: seq, DUP_GROUP, IS_DUPLICATE.
 
-    In each of `tables` tables, rows of a block on the same sides of `planes` random planes share a
-    bucket; each row is compared with the first and the last row of its buckets. Groups are what these
-    links connect, named by the smallest seq; the row of highest quality, then length, then lowest seq
-    stands for its group. Firsts and lasts are minima and maxima, so a hot block or bucket is never in
-    one task. A pair at cosine c shares a bucket of one table with chance (1 - acos(c) / pi) ** planes.
-    Rows equal in vector are merged before.
+    In each of some tables, rows of a block on the same sides of random planes share a bucket; how
+    many follows from the largest block, the threshold and the recall (table_shape). Each row is
+    compared with the first and the last row of its buckets. Groups are what these links connect, named
+    by the smallest seq; the row of highest quality, then length, then lowest seq stands for its group.
+    Firsts and lasts are minima and maxima, so a hot block or bucket is never in one task. Rows equal in
+    vector are merged before.
     """
     folder = scratch(df.sparkSession, "near")
     rows = df.select(block.alias("block"), "seq", F.coalesce("quality", F.lit(0.0)).cast("double").alias("quality"), F.col("length").cast("long").alias("length"), "vector")
     rows = _kept(rows, folder, "rows")
     first = _kept(rows.groupBy("block", "vector").agg(F.min("seq").alias("first")), folder, "vectors")
+    largest = first.groupBy("block").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    tables, planes = table_shape(largest, threshold, recall)
     placed = first.withColumn("bucket", F.explode(F.arrays_zip(F.sequence(F.lit(0), F.lit(tables - 1)).alias("t"), _buckets(F.col("vector"), tables, planes, seed).alias("b"))))
     placed = _kept(placed.select("block", "bucket.t", "bucket.b", F.col("first").alias("seq")), folder, "buckets")
     ends = placed.groupBy("block", "t", "b").agg(F.min("seq").alias("lo"), F.max("seq").alias("hi")).where("lo < hi")
