@@ -119,8 +119,8 @@ def shard_table(docs: DataFrame, doc_id="doc_id", text="text") -> DataFrame:
     return texts(rows, "doc_id", "text", "train").mapInArrow(run, SHARD)
 
 
-def word_counts(shards: DataFrame) -> DataFrame:
-    """Training count of every word of the training documents."""
+def word_counts(shards: DataFrame, n_shards: int) -> DataFrame:
+    """Training count of every word of the training documents. A shard has a word once, so there is little to add up before the shuffle."""
 
     def run(it):
         for batch in it:
@@ -129,7 +129,7 @@ def word_counts(shards: DataFrame) -> DataFrame:
                 learned = n > 0
                 yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(vocab, "<i8")[learned]), pa.array(n[learned])], ["h", "n"])
 
-    return shards.select("vocab", "counts").mapInArrow(run, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n"))
+    return shards.select("vocab", "counts").mapInArrow(run, "h bigint, n bigint").repartition(n_shards, "h").groupBy("h").agg(F.sum("n").alias("n"))
 
 
 class Frequent:
@@ -153,7 +153,7 @@ def with_ends(symbols, first, end):
     return np.insert(symbols, first[1:], end), first + np.arange(len(first))
 
 
-def bigrams(shards: DataFrame, frequent: Frequent) -> DataFrame:
+def bigrams(shards: DataFrame, frequent: Frequent, n_shards: int) -> DataFrame:
     """Counts of neighbouring symbols in the training documents; a text begins after an end."""
 
     def run(it):
@@ -166,7 +166,7 @@ def bigrams(shards: DataFrame, frequent: Frequent) -> DataFrame:
                 pairs, n = np.unique((before * (frequent.end + 1) + seq)[learned], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array((pairs // (frequent.end + 1)).astype(np.int32)), pa.array((pairs % (frequent.end + 1)).astype(np.int32)), pa.array(n.astype(np.int64))], ["a", "b", "n"])
 
-    return shards.select("train", "first", "codes", "vocab", "shapes").mapInArrow(run, "a int, b int, n bigint").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    return shards.select("train", "first", "codes", "vocab", "shapes").mapInArrow(run, "a int, b int, n bigint").repartition(n_shards, "a", "b").groupBy("a", "b").agg(F.sum("n").alias("n"))
 
 
 def _summed(it, pairs_of, names):
@@ -539,17 +539,17 @@ class Model:
 def score_corpus(docs: DataFrame, doc_id="doc_id", text="text", max_words=MAX_WORDS, n_classes=CLASSES, sweeps=SWEEPS) -> DataFrame:
     """One row per document: SCORES. Perplexity is 10 ** (-score / n_tokens)."""
     shards = stored(shard_table(docs, doc_id, text), "lm-shards")
-    counts = stored(word_counts(shards), "lm-counts")
+    n_shards = max(shards.count(), 1)
+    counts = stored(word_counts(shards, n_shards), "lm-counts")
     n_train = docs.where(F.coalesce(F.crc32(F.col(doc_id).cast("string")), F.lit(0)) % 5 != 1).count()
     n, kinds = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     total, distinct = n + n_train, kinds + (n_train > 0)
     n_classes = max(n_classes, round(kinds ** (1 / 3)))
-    n_shards = max(shards.count(), 1)
     least = total / max_words
     top = counts.where(F.col("n") >= least).select("h", "n").toArrow()  # at most max_words rows
     frequent = Frequent(np.asarray(top.column("h")).view(np.uint64), np.asarray(top.column("n")))
     with recorded() as made:
-        classes, table = exchange(stored(bigrams(shards, frequent), "lm-bigrams"), frequent, n_classes, sweeps)
+        classes, table = exchange(stored(bigrams(shards, frequent, n_shards), "lm-bigrams"), frequent, n_classes, sweeps)
     delete(docs.sparkSession, [*made, counts.stored_at])
     k = n_classes + N_SHAPES + 1
     full = np.zeros((k, k))
