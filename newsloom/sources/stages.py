@@ -42,7 +42,9 @@ def write_stage(df: DataFrame, path: str, by_month: str | None = None, csv: bool
     """Parquet, laid out by month where a month column is named; CSV with arrays joined by ", "."""
     if csv:
         flat = [F.array_join(F.transform(c, lambda x: x.cast("string")), ", ").alias(c) if isinstance(df.schema[c].dataType, T.ArrayType) else F.col(c) for c in df.columns]
-        df.select(*flat).write.mode("overwrite").option("header", True).csv(path)
+        # Quotes are doubled, as read_articles and other readers of CSV expect; white space at the ends of texts stays.
+        kept = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+        df.select(*flat).write.mode("overwrite").options(**kept).csv(path)
     elif by_month:
         df.repartition(by_month).write.mode("overwrite").partitionBy(by_month).parquet(path)
     else:

@@ -27,6 +27,13 @@ def test_stage_round_trip(spark, tmp_path):
     assert read_articles(spark, str(tmp_path / "q")).columns[:13] == ARTICLE.fieldNames()
 
 
+def test_csv_stage_keeps_quotes_breaks_and_edges(spark, tmp_path):
+    rows = [(1, 'He said "no", twice', 'a\nb "c"\\d'), (2, 'ends with "', " x,\"y\",z\t"), (3, "it's", "\\")]
+    write_stage(spark.createDataFrame(rows, "RISK_ID int, TITLE string, SUMMARY string"), str(tmp_path / "s.csv"), csv=True)
+    got = read_articles(spark, str(tmp_path / "s.csv")).select("RISK_ID", "TITLE", "SUMMARY").collect()
+    assert sorted(map(tuple, got)) == rows
+
+
 def test_binary_files(spark, tmp_path):
     (tmp_path / "a.pdf").write_bytes(b"text of a")
     (tmp_path / "b.pdf").write_bytes(b"\xff")
