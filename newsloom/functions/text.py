@@ -58,6 +58,11 @@ def source_slug(url) -> Column:
     return F.when(F.size(parts) > 2, F.element_at(parts, -2)).otherwise(host)
 
 
+def edges_trimmed(x) -> Column:
+    """Without white space of any kind at the ends; inside it stays."""
+    return F.regexp_replace(_c(x), r"^\s+|\s+$", "")
+
+
 def month(x) -> Column:
     return F.date_format(_c(x), "yyyy-MM")
 

@@ -134,8 +134,14 @@ def release_title(body: Column, name: Column) -> Column:
     return F.when(found != "", found).otherwise(F.coalesce(X.blank_to_null(name), F.lit("SEC enforcement action")))
 
 
+# Where report pages embed their data: a line of script, or an element of its own; fixed values of the format.
+REPORT_DATA = [r"(?m)^const DATA = (.*?);*$", r"(?is)<script[^>]*type=\"application/json\"[^>]*>(.*?)</script>"]
+
+
 def report_pages(df: DataFrame, html="html") -> DataFrame:
-    """Title and embedded statistics of generated report pages."""
-    title = F.trim(F.regexp_extract(html, r"(?is)<title>(.*?)</title>", 1))
-    data = F.regexp_extract(html, r"(?is)<script[^>]*type=\"application/json\"[^>]*>(.*?)</script>", 1)
-    return df.select("*", title.alias("title"), F.get_json_object(data, "$.stats.totalArticles").cast("long").alias("articles"), F.get_json_object(data, "$.stats.topicCount").cast("long").alias("topics"))
+    """Title, embedded statistics and months of generated report pages; what a page lacks, or spells as no JSON, is null."""
+    title = X.edges_trimmed(F.regexp_extract(html, r"(?is)<title>(.*?)</title>", 1))
+    data = F.coalesce(*[F.nullif(F.regexp_extract(html, p, 1), F.lit("")) for p in REPORT_DATA])
+    count = lambda name: F.get_json_object(data, f"$.stats.{name}").try_cast("long")
+    months = F.from_json(F.get_json_object(data, "$.trends.months"), "array<string>")
+    return df.select("*", title.alias("title"), count("totalArticles").alias("articles"), count("topicCount").alias("topics"), months.alias("months"))
