@@ -16,8 +16,8 @@ from newsloom.functions.sentiment import compound
 from newsloom.functions.vectors import mean_vectors, nearest
 from newsloom.operators import corpus, gaps, neardup, report, status, topics, trends
 from newsloom.plans.tables import doc_articles, signal_articles, table, vec_terms, vec_topics
-from newsloom.sources import digest, documents, enrich, fetch, lanes, taxonomy
-from newsloom.sources.cache import hashed_embedding
+from newsloom.sources import digest, documents, enrich, fetch, lanes, stages, taxonomy
+from newsloom.sources.cache import encode_cached, hashed_embedding, model_place, read_cache
 from newsloom.sources.taxonomy import encode_text
 from newsloom.streaming import events as stream
 
@@ -898,6 +898,141 @@ def topics_large_enough(spark, sf):
     return a.groupBy(F.col("TOPIC_ID").alias("topic")).agg(F.count("*").alias("n"))
 
 
+# Stage files, caches, transports and the settings of a run.
+
+
+@query
+def stage_csv(spark, sf):
+    # Titles with commas, quotes, breaks and spaces at their ends, through a CSV stage and back.
+    odd = F.element_at(F.array(*map(F.lit, (' said "no", twice', "\nnext line", " ", "\\"))), (F.col("c_custkey") % 4 + 1).cast("int"))
+    c = table(spark, sf, "customer").select(F.col("c_nationkey").alias("RISK_ID"), F.concat("c_name", odd).alias("TITLE"), F.col("c_acctbal").cast("double").alias("SENTIMENT_COMPOUND"), F.array("c_mktsegment", "c_name").alias("ENTITIES"))
+    path = f"{stages.scratch(spark, 'stage')}/articles.csv"
+    stages.write_stage(c, path, csv=True)
+    a = stages.read_articles(spark, path)
+    return a.select(F.col("RISK_ID").alias("risk"), F.md5(F.col("TITLE").cast("binary")).alias("title"), F.col("SENTIMENT_COMPOUND").alias("tone"), F.col("ENTITIES").alias("entities"), F.col("LINK").isNull().alias("no_link"))
+
+
+@query
+def stage_by_month(spark, sf):
+    path = stages.scratch(spark, "stage")
+    stages.write_stage(signal_articles(spark, sf).select("RISK_ID", "month", "SENTIMENT_COMPOUND"), path, by_month="month")
+    a = stages.read_articles(spark, path).where("month >= '1995-01'")
+    return a.groupBy("month").agg(F.count("*").alias("n"), F.count_if(F.col("SENTIMENT_COMPOUND") < 0).alias("negative"))
+
+
+@query
+def report_pages(spark, sf):
+    p = table(spark, sf, "part")
+    size = F.col("p_size").cast("string")
+    stats = F.concat(F.lit('{"stats": {"totalArticles": '), size, F.lit(', "topicCount": 7}, "trends": {"months": ["2024-01", "m'), size, F.lit('"]}, "x": "<\\/p>"}'))
+    line = F.concat(F.lit("<script>\nconst DATA = "), stats, F.lit(";\nlet a = 1;\n</script>"))
+    element = F.concat(F.lit('<script id="d" type="application/json">'), stats, F.lit("</script>"))
+    data = F.element_at(F.array(line, element, F.lit("<script>\nconst DATA = {no json;\n</script>"), F.lit("")), (F.col("p_partkey") % 4 + 1).cast("int"))
+    html = F.concat(F.lit("<html><head><TITLE> "), F.col("p_name"), F.lit("\n</TITLE></head><body>"), data, F.lit("</body></html>"))
+    found = documents.report_pages(p.select("p_partkey", html.alias("html")))
+    return found.select("p_partkey", "title", "articles", "topics", F.array_join("months", ",").alias("months"))
+
+
+def unsteady_transport():
+    """Answers on the third request of an address; some addresses are gone, some never answer."""
+    asked: dict[str, int] = {}
+
+    def get(url: str) -> tuple[int, bytes]:
+        asked[url] = asked.get(url, 0) + 1
+        key = int(url.rsplit("/", 1)[1])
+        if key % 3 == 0:
+            return 404, f"{asked[url]}".encode()
+        if key % 3 == 1 and asked[url] == 1:
+            raise OSError("reset")
+        return (503 if key % 3 == 2 or asked[url] < 3 else 200), f"{asked[url]}".encode()
+
+    return get
+
+
+@query
+def fetch_retries(spark, sf):
+    n = table(spark, sf, "nation").select(F.concat(F.lit("http://n/"), F.col("n_nationkey").cast("string")).alias("url"))
+    got = fetch.fetched(n.unionAll(n), unsteady_transport(), wait=0.0)
+    return got.select("url", "status", F.col("body").cast("string").alias("requests"))
+
+
+@query
+def embedding_cache(spark, sf):
+    # The second run encodes only the texts that the first one lacked: keys are met once in the cache.
+    d = table(spark, sf, "documents").select("doc_id", "text")
+    path = f"{stages.scratch(spark, 'cache')}/vectors"
+    encode = lambda texts: hashed_embedding(texts, "text", 4)
+    encode_cached(d.where("doc_id % 2 = 0"), encode, path, "m")
+    encode_cached(d, encode, path, "m")
+    cached = read_cache(spark, path, "key string, vector array<float>")
+    return cached.groupBy("key").agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("size"))
+
+
+@query
+def quality_validity(spark, sf):
+    # Scores that are all alike (nulls count as 0) are made anew, others are kept.
+    d = doc_articles(spark, sf)
+    kept = Q.with_quality(d.withColumn("QUALITY_SCORE", F.when(F.col("seq") % 2 == 0, F.lit("0.25"))))
+    anew = Q.with_quality(d.withColumn("QUALITY_SCORE", F.when(F.col("seq") % 2 == 0, F.lit("0"))))
+    return kept.select("seq", F.col("QUALITY_SCORE").alias("kept")).join(anew.select("seq", F.round("QUALITY_SCORE", 3).alias("anew")), "seq")
+
+
+@query
+def lane_articles(spark, sf):
+    s = table(spark, sf, "supplier")
+    category = F.element_at(F.array(*map(F.lit, ("order", " ", "nan"))), (F.col("s_suppkey") % 3 + 1).cast("int"))
+    items = s.select(F.col("s_name").alias("title"), F.substring(F.repeat("s_name", 5), F.lit(1), 30 + F.col("s_suppkey").cast("int") % 60).alias("text"), F.lit("SEC").alias("source"), F.lit("2024-02-03").alias("date"), F.concat(F.lit("http://s/"), F.col("s_suppkey").cast("string")).alias("link"), category.alias("category"))
+    a = corpus.normalise(items, "ENF", "enforcement:", F.round(F.length("text") / F.lit(100.0) - 0.5, 2), cap=60)
+    return a.select("LINK", "RISK_ID", "SEARCH_TERM_ID", "TITLE", "SUMMARY", "CATEGORY", "SENTIMENT", F.round("QUALITY_SCORE", 3).alias("quality"), F.col("GOOGLE_INDEX").isNull().alias("no_place"))
+
+
+@query
+def pdf_punctuation(spark, sf):
+    p = table(spark, sf, "part")
+    return p.select("p_partkey", X.mapped(F.concat(F.lit("ô"), F.col("p_name"), F.lit("ö Õs \x93q\x94 1ñ2 Acme®")), X.PDF_PUNCTUATION).alias("text"))
+
+
+@query
+def clean_values(spark, sf):
+    p = table(spark, sf, "part")
+    raw = F.element_at(F.array(F.lit("NaN"), F.lit(" "), F.lit("x1"), F.col("p_size").cast("string"), F.lit(None)), (F.col("p_size") % 5 + 1).cast("int"))
+    return p.select("p_partkey", X.clean_number(raw).alias("number"), X.clean_string(raw).alias("word"))
+
+
+@query
+def slug_titles(spark, sf):
+    p = table(spark, sf, "part")
+    end = F.element_at(F.array(*map(F.lit, ("", "/", ".html", ".pdf?x=a-b#c"))), (F.col("p_size") % 4 + 1).cast("int"))
+    return p.select("p_partkey", X.slug_title(F.concat(F.lit("https://x/y-z/"), F.replace("p_name", F.lit(" "), F.lit("-")), F.lit("_"), F.col("p_size").cast("string"), end)).alias("title"))
+
+
+@query
+def topic_labels(spark, sf):
+    p = table(spark, sf, "part")
+    words = F.slice(F.split(F.concat_ws(" ", "p_name", "p_type"), " "), F.lit(1), F.col("p_size") % 6)
+    return p.select("p_partkey", topics.topic_label(words).alias("label"))
+
+
+@query
+def run_settings(spark, sf):
+    # What a run derives from its options and from the size of its corpus, for options from 1 to 60.
+    rows = []
+    for k in range(1, 61):
+        docs = k * k
+        found = topics.topic_parameters(docs)
+        rows.append((k, X.look_back_days(k), X.last_days_path("out/topics.csv", k), X.last_days_path("out/topics", k), found["min_topic_size"], found["n_neighbors"], found["enough"]))
+    return spark.createDataFrame(rows, "months int, days int, file string, folder string, min_topic_size int, n_neighbors int, enough int")
+
+
+@query
+def model_places(spark, sf):
+    # Of folders named after nations those with an even length hold a model.
+    names = [r[0] for r in table(spark, sf, "nation").select("n_name").orderBy("n_nationkey").collect()]  # 25 rows
+    there = lambda path: len(path.split("/")[-2]) % 2 == 0
+    places = [(n, *model_place(n, [f"/models/{n}s", f"/cache/{n}/"], there)) for n in names]
+    return spark.createDataFrame(places, "name string, place string, local boolean")
+
+
 # Streams: the events are read as a stream to their end, results are a table the stream writes.
 
 

@@ -234,6 +234,23 @@ SELECT url, source, date, 'Release of ' || c_name AS title, CAST(n AS INTEGER) A
     "filing_sections": "SELECT p_partkey, md5(trim(repeat(p_name || ' may fail. ', p_size))) AS md5 FROM part",
     "text_repair": "SELECT p_partkey, CASE p_size % 4 WHEN 0 THEN 'caf' || chr(233) || '  ' WHEN 1 THEN ' ' WHEN 2 THEN 'caf' || chr(195) || chr(169) || ' ' ELSE 'plain ' END || p_name AS text FROM part",
     "ascii_spelling": "SELECT p_partkey, '\"Cafe\" -- naive... ' || p_name AS text FROM part",
+    "stage_csv": """SELECT c_nationkey AS risk, md5(c_name || CASE c_custkey % 4 WHEN 0 THEN ' said "no", twice' WHEN 1 THEN chr(10) || 'next line' WHEN 2 THEN ' ' ELSE chr(92) END) AS title,
+  CAST(c_acctbal AS DOUBLE) AS tone, c_mktsegment || ', ' || c_name AS entities, true AS no_link FROM customer""",
+    "stage_by_month": f"{_with(SIGNAL)} SELECT month, count(*) AS n, count(*) FILTER (k < 0) AS negative FROM signal WHERE month >= '1995-01' GROUP BY month",
+    "report_pages": "SELECT p_partkey, p_name AS title, CASE WHEN p_partkey % 4 < 2 THEN CAST(p_size AS BIGINT) END AS articles, CASE WHEN p_partkey % 4 < 2 THEN CAST(7 AS BIGINT) END AS topics, CASE WHEN p_partkey % 4 < 2 THEN '2024-01,m' || p_size END AS months FROM part",
+    "fetch_retries": "SELECT 'http://n/' || n_nationkey AS url, CASE n_nationkey % 3 WHEN 0 THEN 404 WHEN 1 THEN 200 ELSE 503 END AS status, CASE n_nationkey % 3 WHEN 0 THEN '1' ELSE '3' END AS requests FROM nation",
+    "embedding_cache": "SELECT DISTINCT sha1('m' || chr(0) || text) AS key, CAST(1 AS BIGINT) AS n, 4 AS size FROM documents WHERE text IS NOT NULL",
+    "quality_validity": f"{_with(DOCS)} SELECT seq, CASE WHEN seq % 2 = 0 THEN 0.25::DOUBLE ELSE 0.0::DOUBLE END AS kept, {_quality('title', 'summary', 'source')} AS anew FROM docs",
+    "lane_articles": f"""WITH i AS (SELECT s_suppkey AS k, s_name AS title, substr(repeat(s_name, 5), 1, CAST(30 + s_suppkey % 60 AS INTEGER)) AS t FROM supplier)
+SELECT 'http://s/' || k AS LINK, -1 AS RISK_ID, 'ENF' AS SEARCH_TERM_ID, title AS TITLE, substr(t, 1, 60) AS SUMMARY, 'enforcement:' || CASE k % 3 WHEN 0 THEN 'order' ELSE 'general' END AS CATEGORY,
+  CASE WHEN length(t) >= 55 THEN 'Positive' WHEN length(t) <= 45 THEN 'Negative' ELSE 'Neutral' END AS SENTIMENT, {_quality('title', 'substr(t, 1, 60)', "'SEC'")} AS quality, true AS no_place FROM i""",
+    "pdf_punctuation": """SELECT p_partkey, '"' || p_name || '" ' || chr(39) || 's "q" 1-2 Acme(R)' AS text FROM part""",
+    "clean_values": "SELECT p_partkey, CASE WHEN p_size % 5 = 3 THEN CAST(p_size AS DOUBLE) ELSE 0.0::DOUBLE END AS number, CASE p_size % 5 WHEN 2 THEN 'x1' WHEN 3 THEN CAST(p_size AS VARCHAR) ELSE '' END AS word FROM part",
+    "slug_titles": "SELECT p_partkey, array_to_string(list_transform(string_split(p_name, ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ') || ' ' || p_size AS title FROM part",
+    "topic_labels": "SELECT p_partkey, nullif(array_to_string(string_split(p_name || ' ' || p_type, ' ')[1:least(4, p_size % 6)], ' / '), '') AS label FROM part",
+    "run_settings": """SELECT CAST(k AS INTEGER) AS months, CAST(floor(k * 30.44) AS INTEGER) AS days, 'out/topics_last' || k || 'd.csv' AS file, 'out/topics_last' || k || 'd' AS folder,
+  CAST(greatest(2, least(10, k * k // 20)) AS INTEGER) AS min_topic_size, CAST(CASE WHEN k * k < 200 THEN greatest(2, least(15, k * k - 1)) ELSE 15 END AS INTEGER) AS n_neighbors, CAST(k * k >= 3 AS INTEGER) AS enough FROM range(1, 61) r(k)""",
+    "model_places": "SELECT n_name AS name, CASE WHEN length(n_name) % 2 = 0 THEN n_name ELSE '/models/' || n_name || 's' END AS place, true AS local FROM nation",
     "corpus_newest_first": f"{_with(SIGNAL)} SELECT seq, row_number() OVER (ORDER BY CASE WHEN seq % 7 <> 0 THEN day END DESC NULLS LAST, seq) - 1 AS place FROM signal",
     "risk_labels": f"{_with(SIGNAL)} SELECT CASE WHEN n_nationkey < 20 THEN n_name ELSE 'unknown' END AS label, count(*) AS n FROM signal LEFT JOIN nation ON risk = n_nationkey GROUP BY 1",
     "topics_large_enough": f"{_with(SIGNAL)}, s AS (SELECT topic, count(*) AS n FROM signal GROUP BY topic) SELECT CASE WHEN n < 240 THEN -1 ELSE topic END AS topic, CAST(sum(n) AS BIGINT) AS n FROM s GROUP BY 1",

@@ -44,12 +44,12 @@ def with_retries(transport: Transport, url: str, tries=3, wait=2.0, sleep=time.s
     return status, body
 
 
-def fetched(urls: DataFrame, transport: Transport, url="url", tries=3) -> DataFrame:
+def fetched(urls: DataFrame, transport: Transport, url="url", tries=3, wait=2.0) -> DataFrame:
     """url, status, body of each distinct URL."""
 
     def run(frames):
         for pdf in frames:
-            got = [with_retries(transport, u, tries) for u in pdf[url]]
+            got = [with_retries(transport, u, tries, wait) for u in pdf[url]]
             yield pd.DataFrame({"url": pdf[url], "status": [s for s, _ in got], "body": [b for _, b in got]})
 
     return urls.select(url).distinct().mapInPandas(run, FETCHED)
