@@ -225,9 +225,13 @@ def transliterated(x) -> Column:
     return collapse(_without_marks(mapped(x, PLAIN_PUNCTUATION)))
 
 
+# The number of a release, before its words; a fixed value of the format.
+SLUG_NUMBER = r"^20\d{2}-\d+-"
+
+
 def slug_title(x) -> Column:
-    """The last part of a path as a title: words for hyphens and underscores."""
-    last = F.regexp_extract(_c(x), r"([^/]+?)(?:\.\w+)?/?(?:[?#].*)?$", 1)
+    """The last part of a path as a title: words for hyphens and underscores, without year and number before them."""
+    last = F.regexp_replace(F.regexp_extract(_c(x), r"([^/]+?)(?:\.\w+)?/?(?:[?#].*)?$", 1), SLUG_NUMBER, "")
     return F.initcap(F.trim(F.regexp_replace(last, "[-_]+", " ")))
 
 

@@ -100,11 +100,11 @@ def backfill_targets(df: DataFrame, least=200, limit: int | None = None, seq="se
     return thin.orderBy(seq).limit(limit) if limit else thin
 
 
-def normalise(items: DataFrame, tag: str, prefix: str, compound: Column, cap=4000) -> DataFrame:
+def normalise(items: DataFrame, tag: str | Column, prefix: str, compound: Column, cap=4000) -> DataFrame:
     """Items of a lane (title, text, source, date, link, category) as article rows."""
     rows = items.select(
         F.lit(-1).alias("RISK_ID"),
-        F.lit(tag).alias("SEARCH_TERM_ID"),
+        (tag if isinstance(tag, Column) else F.lit(tag)).alias("SEARCH_TERM_ID"),
         F.col("title").alias("TITLE"),
         F.col("link").alias("LINK"),
         F.col("date").cast("string").alias("PUBLISHED_DATE"),

@@ -18,7 +18,7 @@ from newsloom.sources.cache import read_cache
 
 FETCHED = "url string, status int, body binary"
 Transport = Callable[[str], tuple[int, bytes]]
-PERMANENT = (401, 403, 404, 422)
+PERMANENT = (404,)  # regulators also answer 403 to clients that only ask too fast
 
 
 def plan(spark: SparkSession, start: str, end: str, days: int, categories: list[str], pages: int, cap: int) -> DataFrame:
@@ -29,15 +29,15 @@ def plan(spark: SparkSession, start: str, end: str, days: int, categories: list[
     return every.orderBy("window_start", "category_no", "page").limit(cap)
 
 
-def with_retries(transport: Transport, url: str, tries=3, wait=2.0, sleep=time.sleep) -> tuple[int, bytes]:
-    """Up to `tries` requests, waiting twice as long each time; statuses that won't change end it at once."""
+def with_retries(transport: Transport, url: str, tries=3, wait=2.0, sleep=time.sleep, permanent=PERMANENT) -> tuple[int, bytes]:
+    """Up to `tries` requests, waiting twice as long each time; permanent statuses end it at once, an empty answer does not."""
     status, body = 0, b""
     for k in range(tries):
         try:
             status, body = transport(url)
         except OSError as error:
             status, body = 0, str(error).encode()
-        if status == 200 or status in PERMANENT:
+        if status == 200 and body or status in permanent:
             break
         if k + 1 < tries:
             sleep(wait * 2**k)
@@ -65,7 +65,7 @@ def fetched_once(urls: DataFrame, transport: Transport, path: str, slices: int =
     for k in range(slices):
         have = read_cache(spark, path, FETCHED)
         part = wanted.where(F.pmod(F.xxhash64("url"), F.lit(slices)) == k).join(have.select("url"), "url", "left_anti")
-        fetched(part, transport, "url", tries).where("status = 200").write.mode("append").parquet(path)
+        fetched(part, transport, "url", tries).where("status = 200 and length(body) > 0").write.mode("append").parquet(path)
     return wanted.join(read_cache(spark, path, FETCHED), "url")
 
 

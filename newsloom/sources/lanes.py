@@ -22,6 +22,7 @@ from newsloom.sources.fetch import Transport, with_retries
 PER_TERM = 10
 OLDEST_DAYS = 45
 MIN_RELEASE = 150
+REFUSED = (401, 403, 404, 422)  # a scan that is refused is not asked again: every request counts
 
 # Listings of each agency: address of the site, the listing's path, the kind of release, the form of its links. Fixed values.
 LISTINGS = [
@@ -75,7 +76,7 @@ def pages_of(url: str, transport: Transport, pages: int | None, rows: int | None
     found: list[dict] = []
     token, asked = None, 0
     while (pages is None or asked < pages) and (rows is None or len(found) < rows):
-        status, body = with_retries(transport, url if token is None else f"{url}&{urlencode({'page': token})}", tries)
+        status, body = with_retries(transport, url if token is None else f"{url}&{urlencode({'page': token})}", tries, permanent=REFUSED)
         asked += 1
         try:
             answer = json.loads(body) if status == 200 else {}
@@ -143,17 +144,32 @@ def releases(links: DataFrame, bodies: DataFrame, cutoff: str | None = None, bod
     page = links.join(bodies.select("url", "html"), "url")
     text = X.repaired(X.html_text("html")) if body is None else body
     date = F.coalesce(X.blank_to_null("date"), F.date_format(X.page_date("html"), "yyyy-MM-dd"), F.lit(""))
+    category = F.concat(F.lower("agency"), F.lit(":"), F.replace("category", F.lit(" "), F.lit("_")))
     rows = page.select(
-        X.page_title("html", X.slug_title(F.col("url"))).alias("title"), text.alias("text"), F.col("agency").alias("source"), date.alias("date"), F.col("url").alias("link"), "category"
+        X.page_title("html", X.slug_title(F.col("url"))).alias("title"), text.alias("text"), F.col("agency").alias("source"), date.alias("date"), F.col("url").alias("link"), category.alias("category")
     )
     rows = corpus.not_older(rows, cutoff, "date") if cutoff else rows
     return corpus.thick(rows, "text", MIN_RELEASE)
 
 
 def enforcement(bodies: DataFrame) -> DataFrame:
-    """Releases of both enforcement streams: bodies (url, kind, name, text) with title and the text without captions and legal phrases."""
-    own = F.when(F.col("kind") == "administrative_proceeding", documents.order_body(F.col("text"))).otherwise(documents.release_body(F.col("text")))
-    return bodies.withColumn("_body", own).select("url", "kind", documents.release_title(F.col("_body"), F.col("name")).alias("title"), documents.scrubbed(F.col("_body")).alias("text"))
+    """Releases of both enforcement streams: bodies (url, kind, name, text) with title and the text without captions and legal phrases.
+
+    Orders are titled with the name; litigation releases with the headline of the whole text, as the
+    caption that goes may hold it.
+    """
+    order, text, name = F.col("kind") == "administrative_proceeding", F.col("text"), F.col("name")
+    own = F.when(order, documents.order_body(text)).otherwise(documents.release_body(text))
+    title = documents.release_title(F.when(~order, text), name)
+    return bodies.select("url", "kind", title.alias("title"), documents.scrubbed(own).alias("text"))
+
+
+def actions(files: DataFrame) -> DataFrame:
+    """Articles of monthly compilations (url, text): title, text, source, date, link, category. The month is the address's."""
+    each = documents.split_actions(files.select("url", "text"), keys=("url",))
+    date = F.concat(file_month("url"), F.lit("-01"))
+    category = F.regexp_replace(F.lower("section"), r"\s+", "_")
+    return each.select(documents.action_title(F.col("name"), F.col("body")).alias("title"), F.col("body").alias("text"), F.lit("FINRA Disciplinary Actions").alias("source"), date.alias("date"), F.col("url").alias("link"), category.alias("category"))
 
 
 # Files and filings.

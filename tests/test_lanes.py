@@ -131,6 +131,32 @@ def test_tagger_labels():
     assert entity_lists(text, pattern_tagger) == ["New York", "Exchange Act of 1934", "German", "Acme Bank", "Jane Q. Doe"]
 
 
+def test_titles_of_enforcement_come_from_the_whole_release(spark):
+    long = "The firm did so again and again. " * 20
+    release = "SEC Charges Roe With Fraud\nLitigation Release No. 12 / January 5, 2024 \n" + long
+    order = "ORDER I. In it SEC Charges Others too III. " + long
+    df = spark.createDataFrame([("a", "litigation_release", "Roe", release), ("b", "administrative_proceeding", "Doe", order), ("c", "litigation_release", " ", long), ("d", "litigation_release", "Poe", None)], "url string, kind string, name string, text string")
+    got = {r["url"]: r for r in lanes.enforcement(df).collect()}
+    assert [got[k]["title"] for k in "abcd"] == ["SEC Charges Roe With Fraud", "Doe", "SEC enforcement action", "Poe"]
+    assert got["a"]["text"].startswith("The firm did") and got["b"]["text"].startswith("The firm did")
+
+
+def test_categories_of_lanes(spark):
+    links = spark.createDataFrame([("SEC", "press release", "https://www.sec.gov/newsroom/press-releases/2024-17-firm-fined", "2024-02-03")], "agency string, category string, url string, date string")
+    bodies = spark.createDataFrame([(links.first()["url"], "<p>" + "word " * 60 + "</p>")], "url string, html string")
+    row = lanes.releases(links, bodies).first()
+    assert (row["category"], row["title"]) == ("sec:press_release", "Firm Fined")
+    article = corpus.normalise(lanes.releases(links, bodies), F.col("source"), "reg:", F.lit(0.0)).first()
+    assert (article["SEARCH_TERM_ID"], article["CATEGORY"]) == ("SEC", "reg:sec:press_release")
+
+
+def test_empty_and_forbidden_answers_are_asked_again():
+    answers = iter([(403, b""), (200, b""), (200, b"x")])
+    assert fetch.with_retries(lambda url: next(answers), "u", sleep=lambda s: None) == (200, b"x")
+    answers = iter([(403, b"no"), (200, b"x")])
+    assert fetch.with_retries(lambda url: next(answers), "u", sleep=lambda s: None, permanent=lanes.REFUSED) == (403, b"no")
+
+
 def test_report_pages(spark):
     page = '<title> R </title><script type="application/json">{"stats": {"totalArticles": 5, "topicCount": 2}}</script>'
     row = report_pages(spark.createDataFrame([(page,), ("x",), (None,)], "html string")).collect()
