@@ -76,7 +76,8 @@ def cluster(articles: DataFrame, work: str, n_topics: int, days: int | None = No
     """(articles with topics, topic summary). Topics are fitted on one representative a story.
 
     nr_topics merges the smallest topics until so many are left; topics of fewer stories than
-    min_topic_size are outliers, and so is everything with fewer than `enough` stories (5 to discover).
+    min_topic_size (by default what the number of stories asks for, never below 2) are outliers, and
+    so is everything with fewer than `enough` stories (5 to discover).
     """
     df = corpus.recent(articles, days) if days else articles
     df = _kept(prepared(df, embedder), work, "prepared")
@@ -89,8 +90,8 @@ def cluster(articles: DataFrame, work: str, n_topics: int, days: int | None = No
         placed = reps.select("DUP_GROUP", F.lit(topics.OUTLIER).alias("TOPIC_ID"))
     else:
         placed = topics.cluster(reps.select("DUP_GROUP", "vector"), max(1, min(n_topics, n)), cut=cut)
-        if min_topic_size:
-            placed = topics.large_enough(placed, min_topic_size)
+        least = topics.topic_parameters(n)["min_topic_size"] if min_topic_size is None else max(2, min_topic_size)
+        placed = topics.large_enough(placed, least)
         if nr_topics:
             placed = topics.merged(_kept(placed, work, "fitted"), nr_topics)
         placed = placed.select("DUP_GROUP", "TOPIC_ID")
