@@ -835,6 +835,18 @@ def enforcement_bodies(spark, sf):
     return lanes.enforcement(b).select("url", "kind", "title", F.md5(F.col("text").cast("binary")).alias("md5"))
 
 
+@query
+def action_articles(spark, sf):
+    # A monthly file holds the customers of a nation.
+    c = table(spark, sf, "customer")
+    name = F.concat(F.lit("Firm Co (CRD #"), F.col("c_custkey").cast("string"), F.lit(", Rome, NY)"))
+    line = F.concat(F.when(F.col("c_custkey") % 7 == 0, F.lit("Individuals  Barred\n")).otherwise(F.lit("")), name, F.lit(" was fined. "), F.repeat(F.lit("It did so again. "), (F.col("c_custkey") % 12).cast("int")))
+    url = F.format_string("/files/2024-%02d/n%d.pdf", (F.col("c_nationkey") % 12 + 1).cast("int"), F.col("c_nationkey"))
+    files = c.groupBy(url.alias("url")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("c_custkey", line.alias("t")))), lambda s: s["t"]), "\n").alias("text"))
+    a = corpus.normalise(lanes.actions(files), "ENFORCEMENT", "enforcement:", F.lit(0.0))
+    return a.select("SEARCH_TERM_ID", "TITLE", F.length("SUMMARY").alias("n"), "SOURCE", "PUBLISHED_DATE", "LINK", "CATEGORY")
+
+
 @query
 def monthly_files(spark, sf):
     o = table(spark, sf, "orders")
@@ -1003,7 +1015,7 @@ def clean_values(spark, sf):
 def slug_titles(spark, sf):
     p = table(spark, sf, "part")
     end = F.element_at(F.array(*map(F.lit, ("", "/", ".html", ".pdf?x=a-b#c"))), (F.col("p_size") % 4 + 1).cast("int"))
-    return p.select("p_partkey", X.slug_title(F.concat(F.lit("https://x/y-z/"), F.replace("p_name", F.lit(" "), F.lit("-")), F.lit("_"), F.col("p_size").cast("string"), end)).alias("title"))
+    return p.select("p_partkey", X.slug_title(F.concat(F.lit("https://x/y-z/"), F.when(F.col("p_size") % 5 == 0, "2024-17-").otherwise(""), F.replace("p_name", F.lit(" "), F.lit("-")), F.lit("_"), F.col("p_size").cast("string"), end)).alias("title"))
 
 
 @query

@@ -86,6 +86,13 @@ scored AS (SELECT topic, term, round(CAST(n AS DOUBLE) / CAST(size AS DOUBLE) *
 _low = "|".join(LOW_SOURCES)
 
 
+# Compilations: an action is the text from its name to the next one's, a section header before that among it.
+ACTIONS = """WITH c AS (SELECT c_custkey AS k, {doc} AS doc, {name} AS name FROM customer),
+o AS (SELECT *, lead(k) OVER (PARTITION BY doc ORDER BY k) % {every} = 0 AS headed, bool_or(k % {every} = 0) OVER (PARTITION BY doc ORDER BY k) AS sectioned FROM c),
+body AS (SELECT doc, name, CASE WHEN sectioned THEN '{header}' ELSE 'disciplinary action' END AS section,
+  rtrim(name || ' was fined. ' || repeat('It did so again. ', k % 12)) || CASE WHEN headed THEN ' {header}' ELSE '' END AS body FROM o)"""
+
+
 def _quality(title: str, summary: str, source: str) -> str:
     t, s, g = f"coalesce({title}, '')", f"trim(coalesce({summary}, ''))", f"lower(trim(coalesce({source}, '')))"
     boiler, market = BOILERPLATE.replace("'", "''"), MARKET_REPORT.replace("'", "''")
@@ -229,6 +236,11 @@ l AS (SELECT *, 'SEC' AS source, 'https://www.sec.gov/newsroom/press-releases/20
 d AS (SELECT *, CASE WHEN bool_or(k % 3 = 0) OVER (PARTITION BY source, doc ORDER BY k ROWS UNBOUNDED PRECEDING) THEN '2024-02-03' ELSE '' END AS date, 11 + length(c_name) + CASE WHEN k % 80 > 0 THEN 5 * (k % 80) ELSE 0 END AS n FROM l)
 SELECT url, source, date, 'Release of ' || c_name AS title, CAST(n AS INTEGER) AS n FROM d WHERE n >= 150""",
     "enforcement_bodies": "WITH b AS (SELECT 'u' || s_suppkey AS url, s_suppkey % 2 = 0 AS admin, s_name, trim(repeat('The firm ' || s_name || ' did so. ', 30)) AS t FROM supplier) SELECT url, CASE WHEN admin THEN 'administrative_proceeding' ELSE 'litigation_release' END AS kind, CASE WHEN admin THEN s_name ELSE 'SEC Charges Firm With Fraud' END AS title, md5(CASE WHEN admin THEN t ELSE 'SEC Charges Firm With Fraud' || chr(10) || t END) AS md5 FROM b",
+    "action_split": f"""{ACTIONS.format(name="'Customer Co (CRD #' || c_custkey || ', Rome, NY)'", doc="CAST(c_custkey // 600 * 25 + c_nationkey AS BIGINT)", every=5, header="Firms Fined")}
+SELECT doc, name, CAST(length(body) AS INTEGER) AS n, section, name || ' - was fined.' AS title FROM body WHERE length(body) >= 120""",
+    "action_articles": f"""{ACTIONS.format(name="'Firm Co (CRD #' || c_custkey || ', Rome, NY)'", doc="c_nationkey", every=7, header="Individuals Barred")}
+SELECT 'ENFORCEMENT' AS SEARCH_TERM_ID, name || ' - was fined.' AS TITLE, CAST(length(body) AS INTEGER) AS n, 'FINRA Disciplinary Actions' AS SOURCE, '2024-' || lpad(CAST(doc % 12 + 1 AS VARCHAR), 2, '0') || '-01' AS PUBLISHED_DATE,
+  '/files/2024-' || lpad(CAST(doc % 12 + 1 AS VARCHAR), 2, '0') || '/n' || doc || '.pdf' AS LINK, 'enforcement:' || replace(lower(section), ' ', '_') AS CATEGORY FROM body WHERE length(body) >= 120""",
     "monthly_files": "SELECT DISTINCT url, month FROM (SELECT CASE WHEN o_orderkey % 3 = 0 THEN '/sites/files/' || strftime(o_orderdate, '%Y-%m') || '/actions.pdf' ELSE '/files/disciplinary-actions-' || lower(strftime(o_orderdate, '%B')) || '-' || strftime(o_orderdate, '%Y') || '.pdf' END AS url, strftime(o_orderdate, '%Y-%m') AS month FROM orders WHERE o_orderkey % 3 <> 2) ORDER BY month DESC, url LIMIT 12",
     "latest_filings": "SELECT ticker, form, rank, date, link FROM (SELECT *, row_number() OVER (PARTITION BY ticker, form ORDER BY date DESC, link) AS rank FROM (SELECT 'T' || (o_custkey % 50) AS ticker, ['10-K', '10-Q', '10-K/A'][o_orderkey % 3 + 1] AS form, strftime(o_orderdate, '%Y-%m-%d') AS date, CAST(o_orderkey AS VARCHAR) AS link FROM orders WHERE o_custkey % 50 < 40 AND o_orderkey % 3 < 2)) WHERE rank <= 2",
     "filing_sections": "SELECT p_partkey, md5(trim(repeat(p_name || ' may fail. ', p_size))) AS md5 FROM part",
