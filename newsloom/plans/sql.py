@@ -236,6 +236,26 @@ l AS (SELECT *, 'SEC' AS source, 'https://www.sec.gov/newsroom/press-releases/20
 d AS (SELECT *, CASE WHEN bool_or(k % 3 = 0) OVER (PARTITION BY source, doc ORDER BY k ROWS UNBOUNDED PRECEDING) THEN '2024-02-03' ELSE '' END AS date, 11 + length(c_name) + CASE WHEN k % 80 > 0 THEN 5 * (k % 80) ELSE 0 END AS n FROM l)
 SELECT url, source, date, 'Release of ' || c_name AS title, CAST(n AS INTEGER) AS n FROM d WHERE n >= 150""",
     "enforcement_bodies": "WITH b AS (SELECT 'u' || s_suppkey AS url, s_suppkey % 2 = 0 AS admin, s_name, trim(repeat('The firm ' || s_name || ' did so. ', 30)) AS t FROM supplier) SELECT url, CASE WHEN admin THEN 'administrative_proceeding' ELSE 'litigation_release' END AS kind, CASE WHEN admin THEN s_name ELSE 'SEC Charges Firm With Fraud' END AS title, md5(CASE WHEN admin THEN t ELSE 'SEC Charges Firm With Fraud' || chr(10) || t END) AS md5 FROM b",
+    "risk_articles_balanced": f"""WITH RECURSIVE {SIGNAL},
+t AS (SELECT risk, topic, row_number() OVER (PARTITION BY risk ORDER BY count(*) DESC, 'Topic ' || topic) AS tr FROM signal GROUP BY risk, topic QUALIFY tr <= 8),
+r AS MATERIALIZED (SELECT risk, row_number() OVER (PARTITION BY risk ORDER BY tr, ts DESC, seq) AS pos, struct_pack(tr := tr, seq := seq, grp := grp, link := link, title := lower(trim(title))) AS x FROM signal JOIN t USING (risk, topic)),
+pick AS (SELECT risk, pos, x, CAST(1 AS BIGINT) AS n, [x.grp] AS groups, [x.link] AS links, [x.title] AS titles FROM r WHERE pos = 1
+  UNION ALL
+  SELECT risk, pos, y, CASE WHEN y.tr = x.tr THEN n + 1 ELSE 1 END, list_append(groups, y.grp), list_append(links, y.link), list_append(titles, y.title)
+  FROM (SELECT p.risk, p.x, p.n, p.groups, p.links, p.titles, min(r.pos) AS pos, min_by(r.x, r.pos) AS y FROM pick p JOIN r ON r.risk = p.risk AND r.pos > p.pos
+    WHERE (r.x.tr <> p.x.tr OR p.n < 6) AND NOT list_contains(p.groups, r.x.grp) AND NOT list_contains(p.links, r.x.link) AND NOT list_contains(p.titles, r.x.title) GROUP BY ALL))
+SELECT risk, x.tr AS topic_rank, x.seq AS seq FROM pick""",
+    "distinct_keywords": f"""{_with(DOCS)}, w AS (SELECT seq, list_transform(string_split_regex(regexp_replace(lower(text), '[^a-z ]', '', 'g'), ' +'), lambda x: [x]) AS ws FROM docs),
+k AS (SELECT seq, list_reduce(ws, lambda kept, one: CASE WHEN len(kept) >= 5 OR one[1] = '' OR list_contains(kept, one[1]) THEN kept
+  WHEN len(list_filter(kept, lambda k: contains(k, one[1]) OR contains(one[1], k))) > 0 THEN list_transform(kept, lambda k: CASE WHEN contains(one[1], k) THEN one[1] ELSE k END)
+  ELSE list_append(kept, one[1]) END, CAST([] AS VARCHAR[])) AS kept FROM w)
+SELECT seq, array_to_string(list_filter(kept, lambda x, i: list_position(kept, x) = i), ',') AS keywords FROM k""",
+    "factor_split": r"""WITH d AS (SELECT doc_id, string_split_regex(replace(text, chr(10), chr(10) || chr(10)), '\n\s*\n+') AS lines, replace(text, chr(10), chr(10) || chr(10)) AS t FROM documents),
+p AS (SELECT doc_id, CASE WHEN len(lines) >= 3 THEN lines ELSE string_split(regexp_replace(t, '([.])\s+([A-Z][a-z]+(?:\s+\w+){2,}\s+(?:could|may|would|risk|adversely|our|we|the))', '\1' || chr(1) || '\2', 'g'), chr(1)) END AS parts FROM d),
+e AS (SELECT doc_id, unnest(range(0, len(parts))) AS seq, unnest(parts) AS part FROM p),
+f AS (SELECT doc_id, seq, substr(x, 1, 4000) AS x FROM (SELECT doc_id, seq, trim(regexp_replace(replace(part, chr(160), ' '), '\s+', ' ', 'g')) AS x FROM e) WHERE length(x) >= 200),
+g AS (SELECT *, trim(CASE WHEN regexp_matches(x, '[.]\s') THEN regexp_extract(x, '(?s)^(.*?[.])\s', 1) ELSE x END) AS first FROM f)
+SELECT doc_id AS filing, CAST(seq AS INTEGER) AS seq, CAST(length(x) AS INTEGER) AS n, CASE WHEN length(first) > 140 THEN substr(first, 1, 140) || '...' ELSE first END AS title FROM g""",
     "action_split": f"""{ACTIONS.format(name="'Customer Co (CRD #' || c_custkey || ', Rome, NY)'", doc="CAST(c_custkey // 600 * 25 + c_nationkey AS BIGINT)", every=5, header="Firms Fined")}
 SELECT doc, name, CAST(length(body) AS INTEGER) AS n, section, name || ' - was fined.' AS title FROM body WHERE length(body) >= 120""",
     "action_articles": f"""{ACTIONS.format(name="'Firm Co (CRD #' || c_custkey || ', Rome, NY)'", doc="c_nationkey", every=7, header="Individuals Barred")}
