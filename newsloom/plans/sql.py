@@ -236,6 +236,9 @@ l AS (SELECT *, 'SEC' AS source, 'https://www.sec.gov/newsroom/press-releases/20
 d AS (SELECT *, CASE WHEN bool_or(k % 3 = 0) OVER (PARTITION BY source, doc ORDER BY k ROWS UNBOUNDED PRECEDING) THEN '2024-02-03' ELSE '' END AS date, 11 + length(c_name) + CASE WHEN k % 80 > 0 THEN 5 * (k % 80) ELSE 0 END AS n FROM l)
 SELECT url, source, date, 'Release of ' || c_name AS title, CAST(n AS INTEGER) AS n FROM d WHERE n >= 150""",
     "enforcement_bodies": "WITH b AS (SELECT 'u' || s_suppkey AS url, s_suppkey % 2 = 0 AS admin, s_name, trim(repeat('The firm ' || s_name || ' did so. ', 30)) AS t FROM supplier) SELECT url, CASE WHEN admin THEN 'administrative_proceeding' ELSE 'litigation_release' END AS kind, CASE WHEN admin THEN s_name ELSE 'SEC Charges Firm With Fraud' END AS title, md5(CASE WHEN admin THEN t ELSE 'SEC Charges Firm With Fraud' || chr(10) || t END) AS md5 FROM b",
+    # Valences as published: boosted by 0.293 (damped by distance), by 0.733 in capitals, turned by -0.74 after a negation.
+    "lexicon_sentiment": """WITH v AS (SELECT p_partkey, CAST(CASE p_size % 4 WHEN 0 THEN 3.1 + 1.6 WHEN 1 THEN -2.8 * -0.74 WHEN 2 THEN (-2.5 - 0.733 - 0.293) + (-1.7 - 0.293 * 0.95) ELSE 0 END AS DOUBLE) AS v FROM part)
+SELECT p_partkey, round(v / sqrt(v * v + 15), 4) AS compound FROM v""",
     "risk_articles_balanced": f"""WITH RECURSIVE {SIGNAL},
 t AS (SELECT risk, topic, row_number() OVER (PARTITION BY risk ORDER BY count(*) DESC, 'Topic ' || topic) AS tr FROM signal GROUP BY risk, topic QUALIFY tr <= 8),
 r AS MATERIALIZED (SELECT risk, row_number() OVER (PARTITION BY risk ORDER BY tr, ts DESC, seq) AS pos, struct_pack(tr := tr, seq := seq, grp := grp, link := link, title := lower(trim(title))) AS x FROM signal JOIN t USING (risk, topic)),
