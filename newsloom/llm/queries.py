@@ -15,6 +15,7 @@ from newsloom.llm.quality_rules import quality_rules
 from newsloom.llm.sampling import round_trip
 from newsloom.llm.sql import DECONTAMINATION, JACCARD_JOIN, SUBSTRING_DEDUP
 from newsloom.llm.substring_dedup import substring_dedup
+from newsloom.llm.syncmers import document_fingerprints
 from newsloom.llm.token_counts import token_counts
 
 
@@ -58,6 +59,10 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_fingerprints(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_html_extraction": op1_html_extraction,
     "op10_quality_classifier": op10_quality_classifier,
@@ -69,6 +74,7 @@ QUERIES = {
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_license_scans": op5_license_scans,
     "op6_quality_rules": op6_quality_rules,
+    "op13_document_fingerprints": op13_document_fingerprints,
 }
 # The others have no short SQL form: they hash, sample, learn or parse. The tests hold them against brute force.
 SQL: dict[str, str] = {
