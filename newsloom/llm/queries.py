@@ -13,7 +13,8 @@ from newsloom.llm.licenses import license_scan
 from newsloom.llm.quality_classifier import quality_classifier
 from newsloom.llm.quality_rules import quality_rules
 from newsloom.llm.sampling import round_trip
-from newsloom.llm.sql import DECONTAMINATION, JACCARD_JOIN, SUBSTRING_DEDUP
+from newsloom.llm.spelling import spelling_variants
+from newsloom.llm.sql import DECONTAMINATION, JACCARD_JOIN, SPELLING_VARIANTS, SUBSTRING_DEDUP
 from newsloom.llm.substring_dedup import substring_dedup
 from newsloom.llm.syncmers import document_fingerprints
 from newsloom.llm.token_counts import token_counts
@@ -59,6 +60,10 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def op13_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_fingerprints(table(spark, sf_dir, "documents"))
 
@@ -74,6 +79,7 @@ QUERIES = {
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_license_scans": op5_license_scans,
     "op6_quality_rules": op6_quality_rules,
+    "op11_spelling_variants": op11_spelling_variants,
     "op13_document_fingerprints": op13_document_fingerprints,
 }
 # The others have no short SQL form: they hash, sample, learn or parse. The tests hold them against brute force.
@@ -81,4 +87,5 @@ SQL: dict[str, str] = {
     "op2_substring_dedup": SUBSTRING_DEDUP,
     "op3_ngram_jaccard_join": JACCARD_JOIN,
     "op4_benchmark_decontamination": DECONTAMINATION,
+    "op11_spelling_variants": SPELLING_VARIANTS,
 }

