@@ -10,11 +10,12 @@ from newsloom.llm.frames import table
 from newsloom.llm.html_extraction import extract_pages
 from newsloom.llm.jaccard_join import jaccard_join
 from newsloom.llm.licenses import license_scan
+from newsloom.llm.prefix_trie import prefix_trie
 from newsloom.llm.quality_classifier import quality_classifier
 from newsloom.llm.quality_rules import quality_rules
 from newsloom.llm.sampling import round_trip
 from newsloom.llm.spelling import spelling_variants
-from newsloom.llm.sql import DECONTAMINATION, JACCARD_JOIN, SPELLING_VARIANTS, SUBSTRING_DEDUP
+from newsloom.llm.sql import DECONTAMINATION, JACCARD_JOIN, PREFIX_TRIE, SPELLING_VARIANTS, SUBSTRING_DEDUP
 from newsloom.llm.substring_dedup import substring_dedup
 from newsloom.llm.syncmers import document_fingerprints
 from newsloom.llm.token_counts import token_counts
@@ -64,6 +65,10 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(table(spark, sf_dir, "documents"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_fingerprints(table(spark, sf_dir, "documents"))
 
@@ -80,6 +85,7 @@ QUERIES = {
     "op5_license_scans": op5_license_scans,
     "op6_quality_rules": op6_quality_rules,
     "op11_spelling_variants": op11_spelling_variants,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_document_fingerprints": op13_document_fingerprints,
 }
 # The others have no short SQL form: they hash, sample, learn or parse. The tests hold them against brute force.
@@ -88,4 +94,5 @@ SQL: dict[str, str] = {
     "op3_ngram_jaccard_join": JACCARD_JOIN,
     "op4_benchmark_decontamination": DECONTAMINATION,
     "op11_spelling_variants": SPELLING_VARIANTS,
+    "op12_prefix_trie": PREFIX_TRIE,
 }

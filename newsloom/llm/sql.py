@@ -56,3 +56,18 @@ ranked AS (SELECT a, b, v.n AS b_n, count(*) OVER (PARTITION BY a) AS n_near, ro
 f AS MATERIALIZED (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN b_n >= 5 * v.n THEN b END AS form, CASE WHEN b_n >= 5 * v.n THEN b_n END AS form_n FROM v LEFT JOIN ranked ON a = v.word AND k = 1),
 steps(word, here, k) AS (SELECT word, word, 0 FROM f UNION ALL SELECT steps.word, f.form, k + 1 FROM steps JOIN f ON f.word = steps.here WHERE f.form IS NOT NULL)
 SELECT f.word, form, arg_max(steps.here, k) AS root, any_value(f.n) AS n, CAST(any_value(n_near) AS BIGINT) AS n_near, any_value(form_n) AS form_n FROM f JOIN steps USING (word) GROUP BY f.word, form"""
+
+CONV_CODES = "list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(unicode(x) AS BIGINT))"
+
+PREFIX_TRIE = f"""WITH crc AS ({CRC_TABLE}),
+o AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS p, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, n, conv_id - conv_id % 5 AS base, {crc32_of(CONV_CODES)} % 9 AS h FROM (SELECT conv_id, count(*) AS n FROM o GROUP BY conv_id), crc),
+rebuilt AS (SELECT c.conv_id, p, r, x FROM c JOIN o ON o.conv_id = c.base WHERE p <= h UNION ALL SELECT o.conv_id, 9 + p, r, x FROM c JOIN o USING (conv_id) WHERE p > h),
+l AS (SELECT c.conv_id, coalesce(any_value(t), []) AS t FROM c LEFT JOIN (SELECT conv_id, list(struct_pack(r := r, x := x) ORDER BY p) AS t FROM rebuilt GROUP BY conv_id) USING (conv_id) GROUP BY c.conv_id),
+prefixes AS (SELECT conv_id, len(t) AS n, d, t[:d] AS seq FROM (SELECT conv_id, t, unnest(range(0, len(t) + 1)) AS d FROM l)),
+node AS MATERIALIZED (SELECT d, seq, min(conv_id) AS conv_id, count(*) AS n_convs, coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (n = d), '') AS ends FROM prefixes GROUP BY d, seq),
+under AS (SELECT conv_id AS below, d AS below_d, n_convs, octet_length(encode(seq[d].x)) AS bytes, seq[:u] AS seq, u FROM (SELECT *, unnest(range(0, d + 1)) AS u FROM node)),
+leaf AS (SELECT n.conv_id, n.d FROM node n ANTI JOIN (SELECT d - 1 AS d, seq[:d - 1] AS seq FROM node WHERE d > 0) k ON k.d = n.d AND k.seq = n.seq),
+folded AS (SELECT u AS d, seq, sum(CASE WHEN below_d > 0 THEN (n_convs - 1) * bytes ELSE 0 END) AS saved, count(leaf.conv_id) AS n_leaves, count(*) FILTER (below_d = u + 1) AS n_children FROM under LEFT JOIN leaf ON leaf.conv_id = below AND leaf.d = below_d GROUP BY u, seq)
+SELECT n.conv_id, n.d AS depth, p.conv_id AS parent_conv_id, n.n_convs, n_children, n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM node n JOIN folded f ON f.d = n.d AND f.seq = n.seq LEFT JOIN node p ON p.d = n.d - 1 AND p.seq = n.seq[:n.d - 1]"""
