@@ -34,25 +34,25 @@ ANCHORS = 48
 # Shifts may differ from their median by an eighth of the longer text, or this many code points.
 BAND = 64
 LAST = (1 << 63) - 1
-KEY = ["k", "t1", "t2"]
-NEXT = ["next_k", "next_t1", "next_t2"]
-PREV = ["prev_k", "prev_t1", "prev_t2"]
+KEY = ["k", "t"]
+NEXT = ["next_k", "next_t"]
+PREV = ["prev_k", "prev_t"]
+LOW = 0xFFFFFFFF
 
 
 def keyed(docs: DataFrame, doc_id="doc_id", text="text") -> DataFrame:
-    """doc_id, text and the key columns, each document once."""
+    """doc_id, text (never null) and the key columns: k orders documents, t tells those of one doc_id apart."""
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    rows = rows.select("doc_id", F.coalesce("doc_id", F.lit(LAST)).alias("k"), F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(1), "text").alias("t2"), "text")
-    return rows.dropDuplicates(KEY)
+    return rows.select("doc_id", F.coalesce("doc_id", F.lit(LAST)).alias("k"), F.xxhash64("text").alias("t"), "text")
 
 
 def neighbours(rows: DataFrame) -> DataFrame:
-    """The key of each document with those of the next and the one before, in a circle, and prev_n, the length of the one before.
+    """Each document's doc_id and key, the keys of the next and the one before, in a circle, and prev_n, the length of the one before.
 
     The order comes from range partitions and, for the rows at their edges, from a row a partition:
     no task sees more than its range, and what is windowed over all ranges is a row a range.
     """
-    places = rows.select(*KEY, F.length("text").alias("n")).repartitionByRange(*KEY).sortWithinPartitions(*KEY)
+    places = rows.select("doc_id", *KEY, F.length("text").alias("n")).dropDuplicates(KEY).repartitionByRange(*KEY).sortWithinPartitions(*KEY)
     places = stored(places.withColumn("at", F.monotonically_increasing_id()).withColumn("part", F.spark_partition_id()), "syncmer-order")
     here = F.struct("at", *KEY, "n")
     edges = places.groupBy("part").agg(F.min(here).alias("low"), F.max(here).alias("high"))
@@ -68,14 +68,15 @@ def neighbours(rows: DataFrame) -> DataFrame:
     own = Window.partitionBy("part").orderBy("at")
     out = places.withColumn("b", F.lag(here).over(own)).withColumn("a", F.lead(here).over(own)).join(F.broadcast(edges), "part")
     b, a = F.coalesce("b", "before"), F.coalesce("a", "after")
-    return out.select(*KEY, *[a[c].alias(f"next_{c}") for c in KEY], *[b[c].alias(f"prev_{c}") for c in KEY], b["n"].alias("prev_n"))
+    return out.select("doc_id", *KEY, *[a[c].alias(f"next_{c}") for c in KEY], *[b[c].alias(f"prev_{c}") for c in KEY], b["n"].alias("prev_n"))
 
 
 def edited(docs: DataFrame, doc_id="doc_id", text="text") -> DataFrame:
     """Each document with `cut`, the length of the front that its edit keeps, and `head`, what of the next document follows it."""
     rows = keyed(docs, doc_id, text)
     order = stored(neighbours(rows), "syncmer-neighbours")
-    placed = rows.join(order.hint("merge"), KEY)
+    # The same frame on both sides: its shuffle is done once.
+    placed = rows.select(*KEY, "text").dropDuplicates(KEY).join(order.hint("merge"), KEY)
     heads = placed.select(*[F.col(c).alias(k) for c, k in zip(PREV, KEY, strict=True)], F.expr("substring(text, 1, cast(prev_n div 4 as int))").alias("head"))
     own = placed.select("doc_id", *KEY, *NEXT, "text", F.length("text").alias("n"), F.expr("cast(length(text) - length(text) div 4 as int)").alias("cut"))
     return own.join(heads.hint("merge"), KEY)
@@ -108,25 +109,38 @@ def fingerprints(rows: DataFrame) -> DataFrame:
     each = found.groupBy(*KEY, "x").agg(F.min(F.when(F.col("side") == 0, place)).alias("own"), F.min(F.when(kept, place)).alias("new"))
     so_far = Window.partitionBy(*KEY).orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
     ranked = each.withColumns({f"n_{c}": F.count(c).over(so_far) for c in ("own", "new")})
-    sides = {c: F.when(F.col(c).isNotNull() & (F.col(f"n_{c}") <= ANCHORS), F.struct("x", F.col(c).alias("p"))) for c in ("own", "new")}
+    sides = {c: F.when(F.col(f"n_{c}") <= ANCHORS, packed("x", c)) for c in ("own", "new")}
     few = ranked.select(*KEY, *[v.alias(c) for c, v in sides.items()]).where("own is not null or new is not null")
     return few.groupBy(*KEY).agg(*[F.sort_array(F.collect_list(c)).alias(c) for c in ("own", "new")])
 
 
+def packed(x, place):
+    """An anchor as one number, in the order of hashes; null if the place is."""
+    return F.shiftleft(F.col(x).cast("bigint"), 32).bitwiseOR(F.col(place).cast("bigint"))
+
+
+def hash_of(anchor):
+    return F.shiftright(anchor, 32).cast("int")
+
+
+def place_of(anchor):
+    return anchor.bitwiseAND(F.lit(LOW)).cast("int")
+
+
 def written(anchors_):
     """A fingerprint as text."""
-    by_place = F.array_sort(F.transform(anchors_, lambda a: F.struct(a["p"].alias("p"), a["x"].alias("x"))))
-    return F.array_join(F.transform(by_place, lambda a: F.concat_ws("@", F.lower(F.lpad(F.hex(a["x"].cast("bigint").bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0")), a["p"].cast("string"))), " ")
+    by_place = F.array_sort(F.transform(anchors_, lambda a: F.struct(place_of(a).alias("p"), hash_of(a).alias("x"))))
+    return F.array_join(F.transform(by_place, lambda a: F.concat_ws("@", F.lower(F.lpad(F.hex(a["x"].cast("bigint").bitwiseAND(F.lit(LOW))), 8, "0")), a["p"].cast("string"))), " ")
 
 
 def with_likeness(df: DataFrame, name: str, a: str, b: str, longer) -> DataFrame:
-    """The likeness of two fingerprints, sorted arrays of (x, p), for texts of which the longer has so many code points."""
-    hashes = [F.transform(side, lambda e: e["x"]) for side in (a, b)]
+    """The likeness of two fingerprints, sorted arrays of anchors, for texts of which the longer has so many code points."""
+    hashes = [F.transform(side, hash_of) for side in (a, b)]
     df = settled(df, _both=F.slice(F.array_sort(F.array_union(*hashes)), 1, ANCHORS), _shared=F.array_intersect(*hashes))
     df = settled(df, _seen=F.array_intersect("_both", "_shared"))
     # Each side's anchors of the shared hashes come in the order of the hashes.
-    at = [F.filter(side, lambda e: F.array_contains("_seen", e["x"])) for side in (a, b)]
-    df = settled(df, _shifts=F.zip_with(*at, lambda e, f: f["p"] - e["p"]))
+    at = [F.filter(side, lambda e: F.array_contains("_seen", hash_of(e))) for side in (a, b)]
+    df = settled(df, _shifts=F.zip_with(*at, lambda e, f: place_of(f) - place_of(e)))
     df = settled(df, _middle=F.get(F.array_sort("_shifts"), F.expr("cast(size(_shifts) div 2 as int)")), _band=F.greatest(F.lit(BAND), longer / 8))
     matching = F.size(F.filter("_shifts", lambda d: F.abs(d - F.col("_middle")) <= F.col("_band")))
     value = F.when(F.size("_both") == 0, 1.0).otherwise(matching / F.greatest(F.size("_both"), F.lit(1)))
@@ -135,7 +149,7 @@ def with_likeness(df: DataFrame, name: str, a: str, b: str, longer) -> DataFrame
 
 def whole(text):
     """The anchor of a text that has no other: its whole text."""
-    one = F.array(F.struct(F.shiftright(F.xxhash64(text), 32).cast("int").alias("x"), F.lit(0).alias("p")))
+    one = F.array(F.xxhash64(text).bitwiseAND(F.lit(-LOW - 1)))
     return F.when(text != "", one).otherwise(F.slice(one, 1, 0))
 
 
