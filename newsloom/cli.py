@@ -92,10 +92,10 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--corpus", help="merge into this corpus")
     p = stage("topics", topics)
     p.add_argument("--work", required=True)
-    p.add_argument("--nr-topics", type=int, default=60)
+    p.add_argument("--nr-topics", type=int, help="so many centres; without it the density of the stories tells")
     p.add_argument("--days", type=int)
     p.add_argument("--taxonomy")
-    p.add_argument("--cut", type=float, default=0.8)
+    p.add_argument("--cut", type=float, default=0.8, help="with --nr-topics: stories further from their centre are outliers")
     p = stage("trends", trend)
     p.add_argument("--drop-benign", action="store_true")
     p = stage("gaps", gap)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from newsloom.functions.text import block_key
 from newsloom.functions.vectors import dot
+from newsloom.operators import neighbours
 from newsloom.sources.stages import scratch
 
 SIMILARITY = 0.93
@@ -95,6 +96,33 @@ def near_duplicates(df: DataFrame, block: Column, threshold: float = SIMILARITY)
     return members.join(placed, "first").select("seq", "DUP_GROUP", ((F.col("is_rep") == 0) | (F.col("seq") != F.col("first"))).alias("IS_DUPLICATE"))
 
 
+def spread_duplicates(df: DataFrame, block: Column, threshold: float = SIMILARITY, cell_rows: int = neighbours.CELL_ROWS) -> DataFrame:
+    """near_duplicates() for blocks of any size, with the same result: seq, DUP_GROUP, IS_DUPLICATE.
+
+    A row only ever meets representatives it is similar to, so what becomes of it depends on the rows that
+    links of similar rows connect it to, and on no others. Those links come from an exact join; each
+    connected component is then worked through in the order of seq, whatever block it lies in. A task
+    holds the representatives of one component.
+    """
+    if threshold <= 0:
+        raise ValueError("the threshold must be above 0")
+    folder = scratch(df.sparkSession, "spread")
+    rows = df.select(block.alias("block"), "seq", F.coalesce("quality", F.lit(0.0)).cast("double").alias("quality"), F.col("length").cast("long").alias("length"), F.col("vector").cast("array<double>").alias("vector"))
+    rows = neighbours.kept(rows, folder, "rows")
+    alike = ["block", "quality", "length", "vector"]
+    firsts = neighbours.kept(rows.groupBy(*alike).agg(F.min("seq").alias("first")), folder, "firsts")
+    vectors = neighbours.kept(firsts.groupBy("block", "vector").agg(F.min("first").alias("seq")), folder, "vectors")
+    # A little below the threshold: what is connected too much is told apart when the component is worked through.
+    links = neighbours.similar_links(vectors, threshold - neighbours.SLACK, F.col("block"), folder, cell_rows)
+    label = neighbours.components(vectors, links, folder).withColumn("component", F.col("component").cast("string"))
+    placed = firsts.join(vectors.join(label, "seq").select("block", "vector", "component"), ["block", "vector"])
+    ordered = placed.select("component", F.col("first").alias("seq"), "quality", "length", "vector").repartition("component").sortWithinPartitions("component", "seq")
+    placed = ordered.mapInPandas(lambda it: _groups(it, threshold), "seq long, DUP_GROUP long, is_rep int")
+    placed = placed.groupBy("seq").agg(F.max("DUP_GROUP").alias("DUP_GROUP"), F.max("is_rep").alias("is_rep")).withColumnRenamed("seq", "first")
+    members = rows.join(firsts, alike).select("seq", "first")
+    return members.join(placed, "first").select("seq", "DUP_GROUP", ((F.col("is_rep") == 0) | (F.col("seq") != F.col("first"))).alias("IS_DUPLICATE"))
+
+
 RECALL = 0.95
 
 

@@ -142,9 +142,10 @@ def best_headlines(df: DataFrame, key: str, title: str, keywords: list[str], seq
 
 
 def topic_parameters(n_docs: int) -> dict[str, int]:
-    """Granularity that follows the size of the corpus: the smallest topic, and the neighbours to look at."""
+    """Granularity that follows the size of the corpus: the smallest topic, the neighbours to look at, and how many of them
+    make a row's surroundings dense (0: as many as the smallest topic has)."""
     small = n_docs < 200
-    return {"min_topic_size": max(2, min(10, n_docs // 20)), "n_neighbors": max(2, min(15, n_docs - 1)) if small else 15, "enough": int(n_docs >= 3)}
+    return {"min_samples": int(small), "min_topic_size": max(2, min(10, n_docs // 20)), "n_neighbors": max(2, min(15, n_docs - 1)) if small else 15, "enough": int(n_docs >= 3)}
 
 
 def representatives(df: DataFrame, vector="vector", n: int = 3, seq="seq") -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from newsloom.functions import text as X
 from newsloom.functions.quality import with_quality
 from newsloom.functions.vectors import mean_vectors
-from newsloom.operators import corpus, gaps, neardup, report, status, topics, trends
+from newsloom.operators import corpus, density, gaps, neardup, report, status, topics, trends
 from newsloom.sources.cache import hashed_embedding
 from newsloom.sources.enrich import Tagger, pattern_tagger, with_entities, with_keywords
 
@@ -72,26 +72,30 @@ def topic_texts(docs: DataFrame, summary: DataFrame, risk_labels: DataFrame | No
     )
 
 
-def cluster(articles: DataFrame, work: str, n_topics: int, days: int | None = None, risk_labels: DataFrame | None = None, cut: float | None = 0.8, embedder: Embedder = embed, similarity: float = neardup.SIMILARITY, nr_topics: int | None = None, min_topic_size: int | None = None, enough: int = ENOUGH) -> tuple[DataFrame, DataFrame]:
+def cluster(articles: DataFrame, work: str, n_topics: int | None = None, days: int | None = None, risk_labels: DataFrame | None = None, cut: float | None = 0.8, embedder: Embedder = embed, similarity: float = neardup.SIMILARITY, nr_topics: int | None = None, min_topic_size: int | None = None, enough: int = ENOUGH) -> tuple[DataFrame, DataFrame]:
     """(articles with topics, topic summary). Topics are fitted on one representative a story.
 
-    nr_topics merges the smallest topics until so many are left; topics of fewer stories than
+    Without n_topics the density of the stories tells how many there are, and which fit none; with it they are
+    that many centres, and stories further than `cut` from theirs fit none. nr_topics merges the smallest topics until so many are left; topics of fewer stories than
     min_topic_size (by default what the number of stories asks for, never below 2) are outliers, and
     so is everything with fewer than `enough` stories (5 to discover).
     """
     df = corpus.recent(articles, days) if days else articles
     df = _kept(prepared(df, embedder), work, "prepared")
     stories = df.select("seq", F.col("QUALITY_SCORE").alias("quality"), F.length("doc").alias("length"), "vector", X.block_key("doc").alias("_block"))
-    groups = neardup.near_duplicates(stories, F.col("_block"), similarity)
+    groups = neardup.spread_duplicates(stories, F.col("_block"), similarity)
     df = _kept(df.join(groups, "seq"), work, "grouped")
     reps = df.where("NOT IS_DUPLICATE")
     n = reps.count()
     if n < enough:  # too few stories to cluster: all are outliers
         placed = reps.select("DUP_GROUP", F.lit(topics.OUTLIER).alias("TOPIC_ID"))
     else:
-        placed = topics.cluster(reps.select("DUP_GROUP", "vector"), max(1, min(n_topics, n)), cut=cut)
-        least = topics.topic_parameters(n)["min_topic_size"] if min_topic_size is None else max(2, min_topic_size)
-        placed = topics.large_enough(placed, least)
+        shape = topics.topic_parameters(n)
+        least = shape["min_topic_size"] if min_topic_size is None else max(2, min_topic_size)
+        if n_topics is None:
+            placed = density.density_topics(reps.select("DUP_GROUP", F.col("seq"), "vector"), least, shape["min_samples"] or least, shape["n_neighbors"])
+        else:
+            placed = topics.large_enough(topics.cluster(reps.select("DUP_GROUP", "vector"), max(1, min(n_topics, n)), cut=cut), least)
         if nr_topics:
             placed = topics.merged(_kept(placed, work, "fitted"), nr_topics)
         placed = placed.select("DUP_GROUP", "TOPIC_ID")

@@ -14,7 +14,7 @@ from newsloom.functions import quality as Q
 from newsloom.functions import text as X
 from newsloom.functions.sentiment import compound
 from newsloom.functions.vectors import mean_vectors, nearest
-from newsloom.operators import corpus, gaps, neardup, report, status, topics, trends
+from newsloom.operators import corpus, density, gaps, neardup, neighbours, report, status, topics, trends
 from newsloom.plans.tables import doc_articles, signal_articles, table, vec_terms, vec_topics
 from newsloom.sources import digest, documents, enrich, fetch, lanes, stages, taxonomy
 from newsloom.sources.cache import encode_cached, hashed_embedding, model_place, read_cache
@@ -415,6 +415,23 @@ def near_dup_groups(spark, sf):
     return neardup.near_duplicates(e, F.col("TOPIC_ID").cast("string"), 0.3).select("seq", F.col("DUP_GROUP").alias("grp"), F.col("IS_DUPLICATE").alias("duplicate"))
 
 
+@query
+def near_dup_spread(spark, sf):
+    # All rows are one block.
+    e = vec_topics(spark, sf).select("seq", (F.col("seq") % 3).cast("double").alias("quality"), F.lit(1).alias("length"), "vector")
+    return neardup.spread_duplicates(e, F.lit("all"), 0.5).select("seq", F.col("DUP_GROUP").alias("grp"), F.col("IS_DUPLICATE").alias("duplicate"))
+
+
+@query
+def similar_vector_pairs(spark, sf):
+    return neighbours.similar_pairs(vec_topics(spark, sf), 0.5).select("a", "b", F.round("cosine", 6).alias("cosine"))
+
+
+@query
+def nearest_vectors(spark, sf):
+    return neighbours.nearest_neighbours(vec_topics(spark, sf), 5).select("seq", "other", F.round("distance", 5).alias("distance"))
+
+
 @query
 def near_dup_approximate(spark, sf):
     e = vec_topics(spark, sf).select("seq", F.lit(1.0).alias("quality"), F.lit(1).alias("length"), "vector")
@@ -608,6 +625,12 @@ def topic_clusters(spark, sf):
     return topics.cluster(e, 8, cut=0.8).select("seq", "TOPIC_ID")
 
 
+@query
+def density_topics(spark, sf):
+    e = vec_topics(spark, sf).select("seq", "vector")
+    return density.density_topics(e, 10).select("seq", "TOPIC_ID")
+
+
 @query
 def lexicon_sentiment(spark, sf):
     d = table(spark, sf, "part").select("p_partkey", F.concat(F.element_at(F.array(*map(F.lit, ("great growth in ", "no fraud at ", "very BAD losses of ", "plain "))), F.col("p_size") % 4 + 1), "p_name").alias("t"))

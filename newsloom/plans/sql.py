@@ -299,3 +299,9 @@ SELECT item_id, pos, round(CAST(v / size AS FLOAT), 4) AS v FROM f JOIN s USING
     "stream_sessions": "WITH g AS (SELECT user_id, ts, CASE WHEN ts >= lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 6 HOUR OR lag(ts) OVER (PARTITION BY user_id ORDER BY ts) IS NULL THEN 1 ELSE 0 END AS new FROM events), s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS s FROM g) SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS session_start, count(*) AS n FROM s GROUP BY user_id, s.s",
     "stream_dedup": "SELECT DISTINCT user_id FROM events",
 }
+
+# Unit vectors beside each other, all pairs.
+UNIT = "u AS (SELECT vec_id AS seq, list_transform(CAST(embedding AS DOUBLE[]), lambda x: x / sqrt(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[])))) AS v FROM embeddings), p AS (SELECT x.seq AS a, y.seq AS b, list_dot_product(x.v, y.v) AS c FROM u x JOIN u y ON x.seq != y.seq)"
+SQL["similar_vector_pairs"] = f"WITH {UNIT} SELECT a, b, round(c, 6) AS cosine FROM p WHERE a < b AND round(c, 9) >= 0.5"
+SQL["nearest_vectors"] = f"""WITH {UNIT}, d AS (SELECT a, b, sqrt(round(greatest(2 - 2 * c, 0), 12)) AS distance FROM p)
+SELECT a AS seq, b AS other, round(distance, 5) AS distance FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY distance, b) AS k FROM d) WHERE k <= 5"""

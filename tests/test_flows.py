@@ -50,3 +50,21 @@ def test_too_few_stories_are_outliers(spark, tmp_path):
 
     articles, summary = cluster(with_defaults(df), str(tmp_path), 3)
     assert {r["TOPIC_ID"] for r in articles.collect()} == {-1} and summary.first()["TOPIC_TITLE"] == "Outlier / Unclustered"
+
+
+def test_topics_by_density(spark, tmp_path):
+    """No number of topics is given: the themes come out by themselves."""
+    import random
+
+    from newsloom.plans.flows import cluster
+    from newsloom.schemas import with_defaults
+
+    rng = random.Random(3)
+    themes = [[f"{stem}{x}" for x in "abcdefghijkl"] for stem in ("bank", "cyber", "rates", "fund")]
+    rows = [(f"{k} " + " ".join(rng.sample(themes[k % 4], 9)), " ".join(rng.sample(themes[k % 4], 9)), "2024-01-01", f"http://{k}") for k in range(80)]
+    df = spark.createDataFrame(rows, "TITLE string, SUMMARY string, PUBLISHED_DATE string, LINK string")
+    articles, summary = cluster(with_defaults(df), str(tmp_path))
+    topic = {r["LINK"]: r["TOPIC_ID"] for r in articles.collect()}
+    themes_of = [{topic[f"http://{k}"] for k in range(t, 80, 4)} - {-1} for t in range(4)]
+    assert all(themes_of) and not any(a & b for i, a in enumerate(themes_of) for b in themes_of[:i])
+    assert summary.agg(F.sum("ARTICLE_COUNT")).first()[0] == 80

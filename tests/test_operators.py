@@ -111,6 +111,25 @@ def test_near_duplicates(spark):
     got = {r["seq"]: (r["DUP_GROUP"], r["IS_DUPLICATE"]) for r in neardup.near_duplicates(df, F.col("b"), 0.7).collect()}
     assert got == want
     assert neardup.near_duplicates(df.limit(0), F.col("b")).count() == 0
+    for cell_rows in (2000, 10):
+        assert {r["seq"]: (r["DUP_GROUP"], r["IS_DUPLICATE"]) for r in neardup.spread_duplicates(df, F.col("b"), 0.7, cell_rows).collect()} == want
+    assert neardup.spread_duplicates(df.limit(0), F.col("b")).count() == 0
+
+
+def test_a_hot_block_is_spread(spark):
+    """One block of many stories: the same groups as in one task, worked on component by component."""
+    rng = np.random.default_rng(6)
+    rows = []
+    for _ in range(400):
+        centre = rng.normal(size=24)
+        for _ in range(int(rng.integers(1, 8))):
+            v = centre + rng.normal(size=24) * 0.12
+            rows.append((0, float(rng.integers(0, 4)), int(rng.integers(1, 9)), [float(x) for x in v / np.linalg.norm(v)]))
+    rng.shuffle(rows)
+    rows = [(k, q, n, v) for k, (_, q, n, v) in enumerate(rows)]
+    df = spark.createDataFrame([*rows, (5000, None, 3, [0.0] * 24)], "seq long, quality double, length int, vector array<double>")
+    one, spread = ({tuple(r) for r in f(df, F.lit("hot")).collect()} for f in (neardup.near_duplicates, neardup.spread_duplicates))
+    assert one == spread and 400 < len({g for _, g, _ in one}) < len(rows)
 
 
 def test_near_dup_query(spark, sf):
@@ -121,6 +140,12 @@ def test_near_dup_query(spark, sf):
     assert {r["seq"]: (r["grp"], r["duplicate"]) for r in QUERIES["near_dup_groups"](spark, sf).collect()} == want
 
 
+def test_near_dup_spread_query(spark, sf):
+    e = sorted(spark.read.parquet(f"{sf}/embeddings.parquet").collect(), key=lambda r: r["vec_id"])
+    want = greedy([(r["vec_id"], float(r["vec_id"] % 3), 1, np.array(r["embedding"], np.float64)) for r in e], 0.5)
+    assert {r["seq"]: (r["grp"], r["duplicate"]) for r in QUERIES["near_dup_spread"](spark, sf).collect()} == want
+
+
 def test_similar_groups_find_nearly_all(spark, sf):
     rng = np.random.default_rng(12)
     rows, story = [], []

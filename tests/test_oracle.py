@@ -39,4 +39,4 @@ def test_query_matches_sql(name, spark, sf, duck):
 
 
 def test_every_query_has_sql_or_a_test_of_its_own():
-    assert set(QUERIES) - set(SQL) == {"near_dup_groups", "factor_dedup", "topic_clusters", "entity_enrichment", "topics_merged", "near_dup_approximate"}
+    assert set(QUERIES) - set(SQL) == {"near_dup_groups", "factor_dedup", "topic_clusters", "entity_enrichment", "topics_merged", "near_dup_approximate", "near_dup_spread", "density_topics"}
