@@ -1,13 +1,15 @@
 """Quality rules by distribution divergence (operator 6).
 
 Each document's character-class histogram and common-word histogram are compared, by
-Jensen-Shannon distance (base 2, 0 to 1), with references gathered from all documents of its
-language. A reference is the mean of the documents' normalised histograms, summed as integers,
-so that it does not depend on the order of the rows. Length guards keep short texts, whose
-histograms are noise, from being judged.
-
-Null or empty texts have no words, so they fail the base rule; a null or unlisted language uses
-the pooled reference "other". Repeated rows are judged one by one; an empty table gives an empty
+Jensen-Shannon distance (base 2, 0 to 1), with a reference gathered from all documents of its
+language and script. A reference is the mean of the documents' normalised histograms, summed as
+integers, so that it does not depend on the order of the rows. Length guards keep short texts, whose
+histograms are noise, from being judged; and where fewer than REFERENCE_DOCS documents of a language and
+script are long enough, there is no reference and no verdict by distance: a language is never held
+against another one.
+
+The script is that of most of a text's letters (Latin without any). Null or empty texts have no words, so
+they fail the base rule; null is a language of its own. Repeated rows are judged one by one; an empty table gives an empty
 result; texts are read whole, whatever their length. Extra columns are ignored.
 """
 
@@ -43,6 +45,9 @@ MAX_CHAR_DISTANCE = 0.30
 ODD_CHAR_DISTANCE = 0.17
 ODD_WORD_DISTANCE = 0.32
 
+# With fewer documents to judge by, a language and script has no reference.
+REFERENCE_DOCS = 100
+
 SYMBOLS = b"#*$%&|<>"
 # Function words of each language, fixed values.
 COMMON = {
@@ -51,7 +56,21 @@ COMMON = {
     "es": "de la que el en y a los se del las un por con no una su para es al lo como más o pero sus le ha me si".split(),
     "fr": "de la le et les des en un une du est que dans qui par pour au il sur ne se pas plus avec son ce sont aux ou mais".split(),
 }
-LANGUAGES = ("de", "en", "es", "fr", "other")
+# Blocks of letters by script, fixed values; those of three bytes and more begin at multiples of 64.
+SCRIPTS = {
+    "latin": [(0x41, 0x5A), (0x61, 0x7A), (0xC0, 0x24F), (0x1E00, 0x1EFF)],
+    "greek": [(0x370, 0x3FF), (0x1F00, 0x1FFF)],
+    "cyrillic": [(0x400, 0x52F)],
+    "armenian": [(0x530, 0x58F)],
+    "hebrew": [(0x590, 0x5FF)],
+    "arabic": [(0x600, 0x6FF), (0x750, 0x77F)],
+    "indic": [(0x900, 0xDFF)],
+    "thai": [(0xE00, 0xE7F)],
+    "ethiopic": [(0x1200, 0x137F)],
+    "hangul": [(0x1100, 0x11FF), (0xAC00, 0xD7BF)],
+    "kana": [(0x3040, 0x30FF)],
+    "han": [(0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF)],
+}
 N_CLASSES = 8
 SCALE = 1_000_000
 
@@ -67,6 +86,20 @@ _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(SYMBOLS)] = True
 
 
+def _scripts():
+    """For the first two bytes of each code point its script; len(SCRIPTS) for what is no letter of one."""
+    out = np.full((256, 256), len(SCRIPTS), np.uint8)
+    for k, blocks in enumerate(SCRIPTS.values()):
+        for lo, hi in blocks:
+            for c in range(lo, hi + 1) if hi < 0x800 else range(lo, hi + 1, 64):
+                raw = chr(c).encode()
+                out[raw[0], raw[1] if len(raw) > 1 else slice(None)] = k
+    return out
+
+
+SCRIPT_OF = _scripts()
+
+
 def _common_hashes():
     """Sorted hashes of the common words, plain and capitalised, and each one's bin."""
     names = sorted({w for ws in COMMON.values() for w in ws})
@@ -117,6 +150,15 @@ def duplicate_lines(column, n_docs):
     return out
 
 
+def scripts(raw, offsets, doc):
+    """The script of each document, as its place in SCRIPTS. doc: the document of each byte."""
+    n, kinds = len(offsets) - 1, len(SCRIPTS) + 1
+    kind = SCRIPT_OF[raw, np.append(raw[1:], 0)] if len(raw) else np.zeros(0, np.uint8)
+    first = (raw & 0xC0) != 0x80
+    found = np.bincount(doc[first] * kinds + kind[first], minlength=n * kinds).reshape(n, kinds)
+    return found[:, :-1].argmax(1)
+
+
 def profiles(column, full=True):
     """What the rules read of each text: counts, and both histograms (counts per bin)."""
     column = strings(column)
@@ -130,6 +172,7 @@ def profiles(column, full=True):
     place = np.minimum(np.searchsorted(COMMON_HASHES, h), len(COMMON_HASHES) - 1)
     bins = np.where(COMMON_HASHES[place] == h, COMMON_BINS[place], N_COMMON) if len(h) else np.zeros(0, np.int64)
     out["common"] = np.bincount(doc_of(first, len(h)) * (N_COMMON + 1) + bins, minlength=n * (N_COMMON + 1)).reshape(n, N_COMMON + 1)
+    out["script"] = scripts(raw, offsets, doc_byte // N_CLASSES)
     if full:
         out["word_chars"] = _per_doc(SPACE_WORDS[raw] & ((raw & 0xC0) != 0x80), offsets)
         out["n_symbols"] = _per_doc(_SYMBOL[raw], offsets)
@@ -151,12 +194,15 @@ def js_distance(p, q):
     return np.where(p.sum(1) > 0, np.sqrt(np.clip((left + right) / 2, 0, 1)), 0)
 
 
-def _languages(column):
-    return [x if x in COMMON else "other" for x in column.to_pylist()]
+def _groups(column, script):
+    """(language, script) of each document, as row numbers of the distinct ones."""
+    names = list(zip(column.to_pylist(), script.tolist(), strict=True))
+    known = {g: k for k, g in enumerate(dict.fromkeys(names))}
+    return list(known), np.array([known[g] for g in names], np.int64)
 
 
-def references(docs: DataFrame, text="text", lang="lang") -> dict[str, tuple[list[float], list[float]]]:
-    """Mean histograms of every language, over all documents long enough to be judged."""
+def references(docs: DataFrame, text="text", lang="lang") -> dict[tuple[str | None, int], tuple[list[float], list[float]]]:
+    """Mean histograms of every language and script, over all its documents long enough to be judged."""
 
     def gather(batch):
         for part in slices(batch, 0):
@@ -164,16 +210,17 @@ def references(docs: DataFrame, text="text", lang="lang") -> dict[str, tuple[lis
             long = p["n_words"] >= WORD_MIN_WORDS
             both = np.concatenate([_shares(p["chars"]), _shares(p["common"])], axis=1)
             whole = np.round(both * SCALE).astype(np.int64)
-            langs = np.array(_languages(part.column(1)))
-            rows = [(name, whole[pick].sum(0).tolist()) for name in LANGUAGES if (pick := long & ((langs == name) | (name == "other"))).any()]
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.list_(pa.int64()))], ["lang", "sums"])
+            names, of = _groups(part.column(1), p["script"])
+            rows = [(name, script, int(pick.sum()), whole[pick].sum(0).tolist()) for k, (name, script) in enumerate(names) if (pick := long & (of == k)).any()]
+            kinds = [pa.string(), pa.int32(), pa.int64(), pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate(kinds)], ["lang", "script", "n", "sums"])
 
-    parts = batches(texts(docs, text, lang), gather, "lang string, sums array<bigint>")
-    sums = parts.select("lang", F.posexplode("sums").alias("bin", "v")).groupBy("lang", "bin").agg(F.sum("v").alias("v"))
+    parts = batches(texts(docs, text, lang), gather, "lang string, script int, n bigint, sums array<bigint>")
+    sums = parts.select("lang", "script", "n", F.posexplode("sums").alias("bin", "v")).groupBy("lang", "script", "bin").agg(F.sum("v").alias("v"), F.sum("n").alias("n"))
     out = {}
-    for name, got in sums.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("bin", "v"))).alias("x")).collect():
+    for name, script, got in sums.where(F.col("n") >= REFERENCE_DOCS).groupBy("lang", "script").agg(F.array_sort(F.collect_list(F.struct("bin", "v"))).alias("x")).collect():
         v = np.array([y["v"] for y in got], float)
-        out[name] = tuple((x / max(x.sum(), 1)).tolist() for x in (v[:N_CLASSES], v[N_CLASSES:]))
+        out[name, script] = tuple((x / max(x.sum(), 1)).tolist() for x in (v[:N_CLASSES], v[N_CLASSES:]))
     return out
 
 
@@ -185,12 +232,12 @@ def verdicts(text_column, lang_column, known):
     """(counts, base_failed, kept, character distance, word distance) of each text."""
     p = profiles(text_column)
     n = p["n_words"]
-    langs = np.array(_languages(lang_column))
+    names, of = _groups(lang_column, p["script"])
     chars, common = _shares(p["chars"]), _shares(p["common"])
     dc, dw = np.zeros(len(n)), np.zeros(len(n))
-    for name in LANGUAGES:
-        ref = known.get(name) or known.get("other")
-        if ref and (pick := langs == name).any():
+    for k, name in enumerate(names):
+        if ref := known.get(name):
+            pick = of == k
             dc[pick] = js_distance(chars[pick], np.array(ref[0]))
             dw[pick] = js_distance(common[pick], np.array(ref[1]))
     failed = (n < MIN_WORDS) | (100 * p["n_repeat_words"] > MAX_REPEAT_PERCENT * n)

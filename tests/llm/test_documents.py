@@ -453,26 +453,31 @@ def verdicts_by_hand(rows):
         m = [(a + b) / 2 for a, b in zip(p, q, strict=True)]
         return math.sqrt(min(max((part(p, m) + part(q, m)) / 2, 0), 1))
 
-    sums = {}
-    made = [(i, t, lang if lang in R.COMMON else "other", *shares(t)) for i, t, lang in rows]
-    for _, _, lang, chars, words, n in made:
-        for name in {lang, "other"} if n >= 100 else ():
+    def script(text):
+        found = Counter(name for c in text or "" for name, blocks in R.SCRIPTS.items() if any(lo <= ord(c) <= hi for lo, hi in blocks))
+        return max(R.SCRIPTS, key=lambda name: found[name])
+
+    sums, many = {}, Counter()
+    made = [(i, t, (lang, script(t)), *shares(t)) for i, t, lang in rows]
+    for _, _, name, chars, words, n in made:
+        if n >= 100:
+            many[name] += 1
             old = sums.setdefault(name, ([0] * 8, [0] * len(words)))
             for total, x in zip(old, (chars, words), strict=True):
                 for k, v in enumerate(x):
                     total[k] += round(v * 1_000_000)
-    refs = {name: tuple([v / max(sum(x), 1) for v in x] for x in both) for name, both in sums.items()}
+    refs = {name: tuple([v / max(sum(x), 1) for v in x] for x in both) for name, both in sums.items() if many[name] >= R.REFERENCE_DOCS}
     out = []
     for i, t, lang, chars, words, n in made:
-        ref = refs.get(lang) or refs.get("other")
+        ref = refs.get(lang)
         dc, dw = (distance(chars, ref[0]), distance(words, ref[1])) if ref else (0.0, 0.0)
         odd = (n >= 50 and dc > 0.30) or (n >= 100 and dc > 0.17 and dw > 0.32)
         out.append((i, not counts(t)[-1] and not odd, round(dc, 6), round(dw, 6)))
     return out
 
 
-def test_quality_verdicts(corpus, odd):
-    for df in (corpus, odd):
+def test_quality_verdicts(corpus, odd, spark, sf):
+    for df in (corpus, odd, spark.read.parquet(f"{sf.replace('0.001', '0.01')}/documents.parquet")):
         rows = [(r["doc_id"], r["text"], r["lang"]) for r in df.select("doc_id", "text", "lang").collect()]
         key = lambda r: (str(r[0]), r[2], r[3])
         want = sorted(verdicts_by_hand(rows), key=key)
@@ -481,6 +486,37 @@ def test_quality_verdicts(corpus, odd):
         assert np.allclose([g[2:] for g in got], [w[2:] for w in want], atol=2e-6)
 
 
+def foreign(n_english=300, n_other=30):
+    """English texts and clean ones in other scripts and languages, of 200 random common words each."""
+    rng = np.random.default_rng(7)
+    common = {
+        "en": "the of and to in is that for it was house tree water people government during under small market".split(),
+        "ru": "и в не на я быть он с что а по это она этот к но они мы весь который".split(),
+        "zh": "的 一 是 在 不了 有 和 人 这 中 大 为 上 个 国 我 以 要 他".split(),
+        "ar": "في من على أن إلى هذا مع التي كان عن لا هو ما بعد كل قد بين".split(),
+        "el": "και το να του η της με που την από για είναι οι στο θα δεν".split(),
+    }
+    rows, langs = [], {}
+    for lang, n in (("en", n_english), ("ru", n_other), ("zh", n_other), ("ar", n_other), ("el", n_other), (None, n_other), ("xx", n_other)):
+        for _ in range(n):
+            langs[len(rows)] = lang
+            rows.append((len(rows), " ".join(rng.choice(common[lang if lang in common else "ru"], 200))))
+    return rows, langs
+
+
+def test_no_language_is_held_against_another(make):
+    rows, langs = foreign()
+    df = make(rows, langs)
+    assert quality_rules(df).where("base_failed or not kept").count() == 0
+    assert quality_filter(df).count() == len(rows)
+    # With references of their own, texts of another kind under their name are still told apart.
+    rows, langs = foreign(120, 120)
+    junk = [(10_000 + k, " ".join(f"{k}#{x}$$%%||<{x * 7}>" for x in range(200))) for k in range(3)]
+    out = {r["doc_id"]: r["kept"] for r in rows_of(quality_rules(make(rows + junk, langs)))}
+    assert not any(out[i] for i, _ in junk) and all(out[i] for i, _ in rows)
+    assert sorted((i, v) for i, v, *_ in verdicts_by_hand([(i, t, langs.get(i, "en")) for i, t in rows + junk])) == sorted(out.items())
+
+
 def test_quality_filter_takes_the_verdict(corpus, odd):
     for df in (corpus, odd):
         kept = Counter(r["doc_id"] for r in rows_of(quality_rules(df)) if r["kept"])

@@ -45,6 +45,9 @@ def test_every_query_has_its_columns(spark, sf):
         "op8": ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
         "op9": ["doc_id", "n_tokens"],
         "op10": ["doc_id", "held_out", "score", "predicted"],
+        "op11": ["word", "form", "root", "n", "n_near", "form_n"],
+        "op12": ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"],
+        "op13": ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
     }
     for name, query in queries.QUERIES.items():
         assert set(wanted[name.split("_")[0]]) <= set(query(spark, sf).columns)
