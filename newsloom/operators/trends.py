@@ -39,6 +39,11 @@ def signal(articles: DataFrame) -> DataFrame:
 def _volumes(df: DataFrame, keys: list[str]) -> DataFrame:
     """Volume, tone and intensity for each key and month; one shuffle, partial sums before it."""
     sums = df.groupBy(*keys, "month").agg(F.count("*").alias("volume"), F.sum(F.coalesce("_neg", F.lit(0))).alias("neg_articles"), F.sum("_compound").alias("_sum"))
+    return weighed(sums)
+
+
+def weighed(sums: DataFrame) -> DataFrame:
+    """Tone, severity and intensity of sums: volume, neg_articles, _sum (of the compounds)."""
     share, mean = F.col("neg_articles") / F.col("volume"), F.col("_sum").cast("double") / F.col("volume")
     return sums.withColumns({"_share": share, "_mean": mean}).withColumn("severity", severity(F.col("_share"), F.col("_mean"))).withColumn("intensity", F.round(F.col("volume") * F.col("severity"), 2))
 
@@ -108,14 +113,27 @@ def trend_topics(articles: DataFrame) -> DataFrame:
     """One row for each topic: totals, peak, slope, momentum, benign flag, risks."""
     df = signal(articles)
     series = _volumes(df, ["TOPIC_ID"])
-    full = dense(series, ["TOPIC_ID"], with_length(calendar(series)), "intensity")
-    totals = series.groupBy("TOPIC_ID").agg(F.sum("volume").alias("TOTAL_ARTICLES"), benign().alias("IS_BENIGN"))
-    out = _series_stats(full, ["TOPIC_ID"]).join(totals, "TOPIC_ID")
+    out = topic_stats(series, with_length(calendar(series)))
     if "RISK_ID" in df.columns:
         out = out.join(df.groupBy("TOPIC_ID").agg(F.array_sort(F.collect_set("RISK_ID")).alias("RISK_IDS")), "TOPIC_ID")
     return out
 
 
+def topic_stats(series: DataFrame, months: DataFrame) -> DataFrame:
+    """Totals, peak, slope, momentum and benign flag of each topic's series on the calendar `months`."""
+    full = dense(series, ["TOPIC_ID"], months, "intensity")
+    totals = series.groupBy("TOPIC_ID").agg(F.sum("volume").alias("TOTAL_ARTICLES"), benign().alias("IS_BENIGN"))
+    return _series_stats(full, ["TOPIC_ID"]).join(totals, "TOPIC_ID")
+
+
+def pair_stats(series: DataFrame, months: DataFrame) -> DataFrame:
+    """The rows of each risk's and topic's series, with the pair's peak and momentum on the calendar `months`."""
+    keys = ["RISK_ID", "TOPIC_ID"]
+    series = series.select(*keys, "month", "volume", "intensity")
+    stats = _series_stats(dense(series, keys, months, "intensity"), keys)
+    return series.join(stats.select(*keys, F.col("PEAK_INTENSITY").alias("peak_intensity"), F.col("MOMENTUM").alias("momentum")), keys, "left")
+
+
 def benign() -> Column:
     """Hardly ever negative and never more than a few articles a month; an aggregate over months."""
     share = F.sum("neg_articles") / F.greatest(F.lit(1), F.sum("volume"))
@@ -130,9 +148,8 @@ def risk_topic_months(articles: DataFrame) -> DataFrame:
     """Intensity of each risk's own articles by topic and month, with the pair's peak and momentum."""
     df = signal(articles).where("RISK_ID IS NOT NULL")
     keys = ["RISK_ID", "TOPIC_ID"]
-    series = _volumes(df, keys).select(*keys, "month", "volume", "intensity")
-    stats = _series_stats(dense(series, keys, with_length(calendar(series)), "intensity"), keys)
-    return series.join(stats.select(*keys, F.col("PEAK_INTENSITY").alias("peak_intensity"), F.col("MOMENTUM").alias("momentum")), keys, "left")
+    series = _volumes(df, keys)
+    return pair_stats(series, with_length(calendar(series)))
 
 
 def rising(topics: DataFrame, n: int = 10) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.sources.stages import scratch
+from newsloom.streaming.parts import Parts, delete, exists, read_version
 
 LATE = "1 hour"
 
@@ -60,12 +61,7 @@ def to_table(stream: DataFrame, mode="append") -> DataFrame:
 
     stream.writeStream.foreachBatch(each).outputMode(mode).option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start().awaitTermination()
     found = spark.read.schema(stream.schema).option("recursiveFileLookup", True)
-    return found.parquet(f"{path}/out") if _exists(spark, f"{path}/out") else spark.createDataFrame([], stream.schema)
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+    return found.parquet(f"{path}/out") if exists(spark, f"{path}/out") else spark.createDataFrame([], stream.schema)
 
 
 def upsert_each_batch(stream: DataFrame, path: str, merge: Callable[[DataFrame, DataFrame], DataFrame], checkpoint: str):
@@ -79,66 +75,38 @@ def upsert_each_batch(stream: DataFrame, path: str, merge: Callable[[DataFrame,
     def each(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         before = f"{path}/v{number - 1}"
-        if number and not _exists(spark, before):
+        if number and not exists(spark, before):
             raise FileNotFoundError(f"batch {number} needs the version before it, {before}")
         old = spark.read.parquet(before) if number else batch.limit(0)
         merge(old, batch).write.mode("overwrite").parquet(f"{path}/v{number}")
-        _delete(spark, f"{path}/v{number - 2}")
+        delete(spark, f"{path}/v{number - 2}")
 
     return stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
-
-
 def read_parts(spark: SparkSession, path: str, number: int, schema) -> DataFrame:
     """Version `number` of a table that upsert_parts() writes."""
-    listed = spark.read.parquet(f"{path}/versions/{number}").collect()  # a row a part
-    folders = [f"{path}/parts/{r['part']}/v{r['version']}" for r in listed]
-    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
+    return read_version(spark, path, number, "parts", schema)
 
 
 def upsert_parts(stream: DataFrame, path: str, merge: Callable[[DataFrame, DataFrame], DataFrame], key: Column, checkpoint: str, parts: int = 64):
     """Merge every micro-batch into a table dealt into `parts` by a hash of the key; returns the query.
 
-    A batch reads and writes only the parts that its rows fall into. `versions/n` lists the version of
-    each part after batch n and is written last, so a batch that stops halfway leaves the table as it
-    was, and one that runs again writes the same. A version that is missing is an error. Rows of one
-    key must have one value of `key`, and merge must not need rows of other keys.
+    A batch reads and writes only the parts that its rows fall into (see parts.py); a part of which merge leaves
+    nothing is gone. Rows of one key must have one value of `key`, and merge must not need rows of other keys.
     """
-    placed = F.pmod(F.xxhash64(key), F.lit(parts))
 
     def each(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        if number and not _exists(spark, f"{path}/versions/{number - 1}"):
-            raise FileNotFoundError(f"batch {number} needs the version before it, {path}/versions/{number - 1}")
-        before = {r["part"]: r["version"] for r in spark.read.parquet(f"{path}/versions/{number - 1}").collect()} if number else {}
+        table = Parts(batch.sparkSession, path, number, parts)
         rows = batch.persist()
-        touched = sorted(r[0] for r in rows.select(placed.alias("p")).distinct().collect())  # `parts` numbers at most
-        old = [f"{path}/parts/{p}/v{before[p]}" for p in touched if p in before]
-        known = spark.read.schema(batch.schema).parquet(*old) if old else batch.limit(0)
-        merge(known, rows).withColumn("_part", placed).repartition("_part").write.mode("overwrite").partitionBy("_part").parquet(f"{path}/new")
-        for p in touched:
-            _move(spark, f"{path}/new/_part={p}", f"{path}/parts/{p}/v{number}")
-        now = before | {p: number for p in touched if _exists(spark, f"{path}/parts/{p}/v{number}")}
-        spark.createDataFrame(sorted(now.items()), "part long, version long").coalesce(1).write.mode("overwrite").parquet(f"{path}/versions/{number}")
+        touched = table.touched(rows, key)
+        table.write("parts", merge(table.read("parts", batch.schema, touched), rows), key, touched)
+        table.commit()
         rows.unpersist()
 
     return stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def _move(spark: SparkSession, source: str, target: str) -> None:
-    """Rename a folder over what an earlier try of the batch has left there."""
-    paths = spark._jvm.org.apache.hadoop.fs.Path
-    system = paths(target).getFileSystem(spark._jsc.hadoopConfiguration())
-    if system.exists(paths(source)):
-        system.delete(paths(target), True)
-        system.mkdirs(paths(target).getParent())
-        system.rename(paths(source), paths(target))
-
-
 def run_to_end(stream: DataFrame, name: str, mode="append") -> DataFrame:
     """Run a stream over what there is into a memory table; for tests and small queries."""
     query = stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start()
