@@ -19,7 +19,10 @@ from newsloom.plans.tables import doc_articles, signal_articles, table, vec_term
 from newsloom.sources import digest, documents, enrich, fetch, lanes, stages, taxonomy
 from newsloom.sources.cache import encode_cached, hashed_embedding, model_place, read_cache
 from newsloom.sources.taxonomy import encode_text
+from newsloom.sources.stages import scratch
 from newsloom.streaming import events as stream
+from newsloom.streaming import trends as kept
+from newsloom.streaming import windows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -1079,17 +1082,34 @@ def _streamed(spark, sf, form, mode):
 
 @query
 def stream_tumbling_counts(spark, sf):
-    return _streamed(spark, sf, stream.tumbling, "complete")
+    return _streamed(spark, sf, stream.tumbling, "append")
 
 
 @query
 def stream_sliding_counts(spark, sf):
-    return _streamed(spark, sf, stream.sliding, "complete")
+    return _streamed(spark, sf, stream.sliding, "append")
 
 
 @query
 def stream_sessions(spark, sf):
-    return _streamed(spark, sf, stream.sessions, "complete")
+    return _streamed(spark, sf, stream.sessions, "append")
+
+
+@query
+def stream_closed_days(spark, sf):
+    events = stream.read_events(spark, f"{sf}/event[s].parquet", table(spark, sf, "events").schema)
+    return windows.run_periods(windows.closed_periods(events, "event_type", "D"))[0]
+
+
+@query
+def incremental_trends(spark, sf):
+    # Three batches, the months of the third also in those before it.
+    path = scratch(spark, "trends")
+    for n, rows in enumerate([F.col("seq") % 5 > 1, F.col("seq") % 5 == 1, F.col("seq") % 5 == 0]):
+        kept.add_batch(spark, path, n, signal_articles(spark, sf).where(rows), count=8)
+    months, topics_, risks = kept.read_trends(spark, path, 2)
+    joined = months.join(topics_.select("TOPIC_ID", "TREND_SLOPE", "MOMENTUM", "TOTAL_ARTICLES"), "TOPIC_ID")
+    return joined.select(F.col("TOPIC_ID").alias("topic"), "month", "volume", "share_of_coverage", "intensity", "TREND_SLOPE", "MOMENTUM", "TOTAL_ARTICLES")
 
 
 @query

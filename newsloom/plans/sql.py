@@ -121,6 +121,7 @@ SQL: dict[str, str] = {
     "topic_share_of_coverage": f"{_with(SIGNAL, TOPIC_V)} SELECT month, round(CAST(sum(CAST(s AS DECIMAL(18,5))) AS DOUBLE), 3) AS share, max(s) AS top_share, count(*) AS topics FROM (SELECT month, round(volume / CAST(sum(volume) OVER (PARTITION BY month) AS DOUBLE), 5) AS s FROM v_s) GROUP BY month",
     "risk_topic_month_intensity": f"{PAIR_STATS} SELECT risk, topic, month, volume, intensity, peak AS peak_intensity, mom AS momentum FROM v_s JOIN pairs USING (risk, topic)",
     "topic_trend_meta": f"{TOPIC_STATS}, rl AS (SELECT topic, string_agg(CAST(risk AS VARCHAR), ', ' ORDER BY risk) AS r FROM (SELECT DISTINCT topic, risk FROM signal) GROUP BY topic) SELECT topic, total AS \"TOTAL_ARTICLES\", peak_month AS \"PEAK_MONTH\", peak AS \"PEAK_INTENSITY\", mean_x AS \"MEAN_INTENSITY\", slope AS \"TREND_SLOPE\", mom AS \"MOMENTUM\", benign AS \"IS_BENIGN\", r AS \"RISK_IDS\" FROM stats JOIN totals USING (topic) JOIN rl USING (topic)",
+    "incremental_trends": f'{TOPIC_STATS} SELECT topic, month, volume, round(volume / CAST(sum(volume) OVER (PARTITION BY month) AS DOUBLE), 5) AS share_of_coverage, intensity, slope AS "TREND_SLOPE", mom AS "MOMENTUM", totals.total AS "TOTAL_ARTICLES" FROM v_s JOIN stats USING (topic) JOIN totals USING (topic)',
     "topic_slope": f'{TOPIC_STATS} SELECT topic, slope AS "TREND_SLOPE" FROM stats',
     "topic_momentum": f'{TOPIC_STATS} SELECT topic, mom AS "MOMENTUM" FROM stats',
     "topic_benign_flag": f"{_with(SIGNAL)}, f AS (SELECT topic * 10000 + CAST(regexp_extract(source, '(\\d+)', 1) AS INTEGER) AS topic, month, count(*) AS v, sum(CASE WHEN k < 0 THEN 1 ELSE 0 END) AS n FROM signal WHERE topic <> -1 GROUP BY 1, 2) SELECT topic, sum(n) / greatest(1, sum(v)) < 0.08 AND max(v) < 5 AS benign FROM f GROUP BY topic",
@@ -294,9 +295,10 @@ c AS (SELECT item_id, CAST(('0x' || substr(md5(x), 1, 8))::UBIGINT % 16 AS INTEG
 f AS (SELECT item_id, pos, ln(1 + coalesce(n, 0)) AS v FROM (SELECT item_id, unnest(range(0, 16))::INTEGER AS pos FROM benchmark) LEFT JOIN c USING (item_id, pos)),
 s AS (SELECT item_id, sqrt(sum(v * v)) + 1e-9 AS size FROM f GROUP BY item_id)
 SELECT item_id, pos, round(CAST(v / size AS FLOAT), 4) AS v FROM f JOIN s USING (item_id)""",
-    "stream_tumbling_counts": "SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS window_start, event_type, count(*) AS n, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents FROM events GROUP BY 1, 2",
-    "stream_sliding_counts": "SELECT strftime(d, '%Y-%m-%d %H:%M:%S') AS window_start, event_type, count(*) AS n FROM (SELECT date_trunc('day', ts) - INTERVAL 1 DAY * i AS d, event_type FROM events CROSS JOIN (VALUES (0), (1)) t(i)) GROUP BY 1, 2",
-    "stream_sessions": "WITH g AS (SELECT user_id, ts, CASE WHEN ts >= lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 6 HOUR OR lag(ts) OVER (PARTITION BY user_id ORDER BY ts) IS NULL THEN 1 ELSE 0 END AS new FROM events), s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS s FROM g) SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS session_start, count(*) AS n FROM s GROUP BY user_id, s.s",
+    "stream_tumbling_counts": "SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS window_start, event_type, count(*) AS n, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents FROM events WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events) GROUP BY 1, 2",
+    "stream_sliding_counts": "SELECT strftime(d, '%Y-%m-%d %H:%M:%S') AS window_start, event_type, count(*) AS n FROM (SELECT date_trunc('day', ts) - INTERVAL 1 DAY * i AS d, event_type FROM events CROSS JOIN (VALUES (0), (1)) t(i)) WHERE d + INTERVAL 2 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events) GROUP BY 1, 2",
+    "stream_sessions": "WITH g AS (SELECT user_id, ts, CASE WHEN ts >= lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 6 HOUR OR lag(ts) OVER (PARTITION BY user_id ORDER BY ts) IS NULL THEN 1 ELSE 0 END AS new FROM events), s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS s FROM g) SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS session_start, count(*) AS n FROM s GROUP BY user_id, s.s HAVING max(ts) + INTERVAL 6 HOUR <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)",
+    "stream_closed_days": "SELECT event_type AS key, strftime(date_trunc('day', ts), '%Y-%m-%d') AS period, count(*) AS n, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents FROM events WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events) GROUP BY 1, 2",
     "stream_dedup": "SELECT DISTINCT user_id FROM events",
 }
 
