@@ -5,12 +5,17 @@ attribute tokens and those of its ancestors, its depth and its siblings. The tre
 the log-odds of being article content. Decoding then picks, for each subtree, the better of
 keeping it whole, dropping it whole, or deciding child by child at a cost; so a node that is
 dropped never has a kept descendant, and a single odd node does not cut a hole into an article.
+Of equal choices a node is decided child by child before it is kept whole, and kept before it is dropped.
+
+A name is only a hint. That of an element that holds a headline and a good part of the page's text is not
+heard against it, nor against what it holds: an article whose element is called `ad-hoc-story` or
+`contact` stays one. Names that are not only of role words are features of their own.
 
 The trees are trained, once a process, on pages that this module composes from named parts whose
 role is known (the generator below); nothing is sampled from the input.
 
-Null, empty and unparseable html give an empty text; so does a page without content. Blocks keep
-the page's order. Repeated rows are extracted one by one; extra columns are ignored. Pages are read
+Null, empty and unparseable html give an empty text; so does a page without content, and an empty table
+an empty one. Blocks keep the page's order. Repeated rows are extracted one by one; extra columns are ignored. Pages are read
 whole, in time that grows with their length, however deep they nest.
 """
 
@@ -53,11 +58,15 @@ N_ROLES = len(ROLE_NAMES)
 SWITCH_COST = 1.0
 
 
+# What the element of a headline must hold, as a share of the page's text, for its name not to count.
+MAIN_SHARE = 0.34
+
+
 @functools.lru_cache(maxsize=4096)
-def roles_of(tag: str, raw: str) -> int:
-    """Bits of the roles that the tag and its attributes name."""
-    bits = 1 << ROLE_NAMES.index(TAG_ROLE[tag]) if tag in TAG_ROLE else 0
-    word = ""
+def roles_of(tag: str, raw: str) -> tuple[int, int, int]:
+    """Bits of the roles that the tag names, bits of those that its attributes name, and how many of their words name none."""
+    said = 1 << ROLE_NAMES.index(TAG_ROLE[tag]) if tag in TAG_ROLE else 0
+    word, bits, other = "", 0, 0
     for c in attribute_text(raw) + " ":
         if c.isalnum():
             word += c
@@ -66,11 +75,13 @@ def roles_of(tag: str, raw: str) -> int:
                 if w in TOKEN_ROLE:
                     bits |= 1 << TOKEN_ROLE[w]
                     break
+            else:
+                other += 1
             word = ""
-    return bits
+    return said, bits, other
 
 
-N_FEATURES = 17 + N_GROUPS + 2 * N_ROLES
+N_FEATURES = 18 + N_GROUPS + 2 * N_ROLES
 
 
 def node_features(page: Page):
@@ -89,6 +100,7 @@ def node_features(page: Page):
             before[node] = seen
         seen += len(text)
     sub, sub_link, sub_tags, sub_p, kids, longest = own[:], link[:], [1] * n, [0] * n, [0] * n, own[:]
+    headed = [t == "h1" or t == "h2" for t in page.tags]
     for k in range(n - 1, 0, -1):
         p = parent[k]
         sub[p] += sub[k]
@@ -96,25 +108,30 @@ def node_features(page: Page):
         sub_tags[p] += sub_tags[k]
         sub_p[p] += sub_p[k] + (page.tags[k] == "p")
         kids[p] += 1
+        headed[p] = headed[p] or headed[k]
         if longest[k] > longest[p]:
             longest[p] = longest[k]
         if before[k] >= 0 and (before[p] < 0 or before[k] < before[p]):
             before[p] = before[k]
     total = max(seen, 1)
     depth, place, bits, above = [0] * n, [0] * n, [0] * n, [0] * n
-    given = [0] * n
+    given, words = [0] * n, [0] * n
     x = np.zeros((n, N_FEATURES))
     rows = []
     for k in range(n):
         p = parent[k]
-        bits[k] = roles_of(page.tags[k], page.attributes[k])
+        said, named, other = roles_of(page.tags[k], page.attributes[k])
+        if headed[k] and sub[k] >= MAIN_SHARE * total:
+            named &= 1 << CONTENT
+        bits[k] = said | named
+        words[k] = min(other, 3) if named else 0
         if p >= 0:
             depth[k] = depth[p] + 1
             place[k] = given[p]
             given[p] += 1
             above[k] = above[p] | bits[p]
         up = max(p, 0)
-        rows.append((own[k], sub[k], sub_link[k], sub_tags[k], sub_p[k], kids[k], depth[k], place[k], kids[up], sub[up] - sub[k], blocks[k], stops[k], longest[k], max(before[k], 0), total, TAG_GROUPS.get(page.tags[k], N_GROUPS - 1), bits[k], above[k]))
+        rows.append((own[k], sub[k], sub_link[k], sub_tags[k], sub_p[k], kids[k], depth[k], place[k], kids[up], sub[up] - sub[k], blocks[k], stops[k], longest[k], max(before[k], 0), total, TAG_GROUPS.get(page.tags[k], N_GROUPS - 1), bits[k], above[k], words[k]))
     r = np.array(rows, float)
     x[:, 0] = np.log1p(r[:, 0])
     x[:, 1] = np.log1p(r[:, 1])
@@ -133,6 +150,7 @@ def node_features(page: Page):
     x[:, 14] = r[:, 13] / r[:, 14]
     x[:, 15] = r[:, 1] / r[:, 14]
     x[:, 16] = np.log1p(r[:, 14])
+    x[:, -1] = r[:, 18]
     x[np.arange(n), 17 + r[:, 15].astype(int)] = 1
     for j in range(N_ROLES):
         x[:, 17 + N_GROUPS + j] = (r[:, 16].astype(int) >> j) & 1
@@ -218,6 +236,12 @@ def _boilerplate(r: random.Random) -> str:
     return f"<{tag} {name}>{inner}</{tag}>"
 
 
+def _named(r: random.Random) -> str:
+    """A class or id as content may have it: with a role's word by chance, beside words of its own."""
+    token, own = r.choice(list(TOKEN_ROLE)), "".join(r.choices(_SYLLABLES, k=2))
+    return r.choice(["class", "id"]) + '="' + r.choice([f"{token}-{own}", f"{own}-{token}", f"{own} {token}-{own}", own, f"{token}-content", token]) + '"'
+
+
 def _content(r: random.Random) -> list[str]:
     """The parts inside an article."""
     out = [r.choice([f"<h1>{_words(r, 1, 12)}</h1>", f"<h1>{_words(r, 1, 12)}</h1>", f"<header><h1>{_words(r, 2, 9)}</h1></header>", f"<h2>{_words(r, 1, 8)}</h2>", ""])]
@@ -241,6 +265,9 @@ def _content(r: random.Random) -> list[str]:
                 ]
             )
         )
+    for k, part in enumerate(out):
+        if r.random() < 0.08 and part:
+            out[k] = f'<{(tag := r.choice(["div", "section", "div"]))} {_named(r)}>{part}<p>{_words(r, 12, 70)}</p></{tag}>'
     return out if any(out) else [f"<p>{_words(r, 5, 50)}</p>"]
 
 
@@ -252,6 +279,9 @@ def training_page(seed: int):
         parts.insert(r.randint(1, len(parts)), f"\ue001{_boilerplate(r)}\ue002")
     content = "".join(parts)
     wrap = r.choice(["<article>{}</article>"] * 4 + ["<main>{}</main>", "<main><article>{}</article></main>", '<div class="c1">{}</div>', '<div class="post-content">{}</div>', '<div id="content"><div class="entry">{}</div></div>', '<div class="story-body">{}</div>', '<section class="article-text">{}</section>', "<div>{}</div>", "{}"])
+    if r.random() < 0.2:  # an article's own element may be called anything
+        tag = r.choice(["article", "main", "div", "section"])
+        wrap = f"<{tag} {_named(r)}>{{}}</{tag}>"
     if r.random() < 0.05:  # a page that is nothing but its content
         return f"<html><body>\ue003{content}\ue004</body></html>"
     after = [_boilerplate(r) for _ in range(r.randint(0, 3))]

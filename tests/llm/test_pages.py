@@ -147,3 +147,32 @@ def test_decoding_is_the_best_of_all_labellings():
             best = max(product(("keep", "drop", "mixed"), repeat=n), key=value)
             kept = decode(page, logit, own, cost=1.0)
             assert [bool(x) for x in kept] == [s == "keep" or s == "mixed" and g > 0 for s, g in zip(best, gain, strict=True)]
+
+
+def prose(n, k=0):
+    return [f"Paragraph {k + i} of the article tells what happened, at some length, and with commas, so that it reads as prose does. It goes on for a while, names who said what, and ends as it should." + " More of it." * (9 + i) for i in range(n)]
+
+
+@pytest.mark.parametrize("tag", ["article", "main", "div"])
+def test_no_name_costs_an_article(trees, tag):
+    """Each role word alone and beside others, and names nobody trained on, on the element of an article."""
+    from newsloom.llm.html_extraction import TOKEN_ROLE
+
+    names = [f"{a}={v}" for w in TOKEN_ROLE for a, v in (("class", w), ("id", f'"{w}-kvist"'), ("class", f'"grand-{w}"'))]
+    names += ["class=x9", "id=contact", "class=related-work", "class=ad-hoc-story", "class='reader-friendly'", "class=feedback-loops", "class=more", "class=cookie-recipe", "class=about-brand", "class=news-alert", "class=social-policy"]
+    text = prose(4)
+    for name in ["", *names]:
+        page = f"<html><body><nav><ul><li><a href=/a>Home</a><li><a href=/b>News</a></ul></nav><{tag} {name}><h1>A headline of the day</h1>{''.join(f'<p>{t}</p>' for t in text)}</{tag}><footer>&copy; Some Site</footer></body></html>"
+        assert extract_many([page], trees)[0] == ["A headline of the day", *text], name
+
+
+def test_trees_against_a_sum_of_leaves(trees):
+    x, _ = labelled(training_page(3))
+    for row, logit in zip(x[:40], trees.logit(x[:40]), strict=True):
+        total = trees.bias
+        for f, t, leaves in zip(trees.features, trees.thresholds, trees.leaves, strict=True):
+            node = 0
+            while node < len(f):
+                node = 2 * node + (2 if row[f[node]] > t[node] else 1)
+            total += leaves[node - len(f)]
+        assert abs(total - logit) < 1e-9
