@@ -115,7 +115,8 @@ COMMON_HASHES, COMMON_BINS, N_COMMON = _common_hashes()
 
 def _per_doc(flags, offsets):
     """Sums of a byte-long array over each document."""
-    total = np.concatenate([[0], np.cumsum(flags, dtype=np.int64)])
+    total = np.zeros(len(flags) + 1, np.int64)
+    np.cumsum(flags, out=total[1:])
     return total[offsets[1:]] - total[offsets[:-1]]
 
 
@@ -150,13 +151,16 @@ def duplicate_lines(column, n_docs):
     return out
 
 
-def scripts(raw, offsets, doc):
-    """The script of each document, as its place in SCRIPTS. doc: the document of each byte."""
-    n, kinds = len(offsets) - 1, len(SCRIPTS) + 1
-    kind = SCRIPT_OF[raw, np.append(raw[1:], 0)] if len(raw) else np.zeros(0, np.uint8)
-    first = (raw & 0xC0) != 0x80
-    found = np.bincount(doc[first] * kinds + kind[first], minlength=n * kinds).reshape(n, kinds)
-    return found[:, :-1].argmax(1)
+def scripts(raw, offsets):
+    """The script of each document, as its place in SCRIPTS."""
+    if not len(raw):
+        return np.zeros(len(offsets) - 1, np.int64)
+    kind = SCRIPT_OF[raw, np.append(raw[1:], np.uint8(0))]
+    kind[(raw & 0xC0) == 0x80] = len(SCRIPTS)  # counted at the first byte
+    found = np.zeros((len(SCRIPTS), len(offsets) - 1), np.int64)
+    for k in np.flatnonzero(np.bincount(kind, minlength=len(SCRIPTS) + 1)[:-1]):
+        found[k] = _per_doc(kind == k, offsets)
+    return found.argmax(0)
 
 
 def profiles(column, full=True):
@@ -167,12 +171,14 @@ def profiles(column, full=True):
     h = word_hashes(raw, starts, ends)
     n = len(offsets) - 1
     out = {"n_words": np.diff(first)}
-    doc_byte = np.repeat(np.arange(n, dtype=np.int64) * N_CLASSES, np.diff(offsets))
-    out["chars"] = np.bincount(doc_byte + _CLASS[raw], minlength=n * N_CLASSES).reshape(n, N_CLASSES)
+    kind = np.repeat(np.arange(n, dtype=np.int64) * N_CLASSES, np.diff(offsets))
+    kind += _CLASS[raw]
+    out["chars"] = np.bincount(kind, minlength=n * N_CLASSES).reshape(n, N_CLASSES)
+    del kind
     place = np.minimum(np.searchsorted(COMMON_HASHES, h), len(COMMON_HASHES) - 1)
     bins = np.where(COMMON_HASHES[place] == h, COMMON_BINS[place], N_COMMON) if len(h) else np.zeros(0, np.int64)
     out["common"] = np.bincount(doc_of(first, len(h)) * (N_COMMON + 1) + bins, minlength=n * (N_COMMON + 1)).reshape(n, N_COMMON + 1)
-    out["script"] = scripts(raw, offsets, doc_byte // N_CLASSES)
+    out["script"] = scripts(raw, offsets)
     if full:
         out["word_chars"] = _per_doc(SPACE_WORDS[raw] & ((raw & 0xC0) != 0x80), offsets)
         out["n_symbols"] = _per_doc(_SYMBOL[raw], offsets)
