@@ -6,8 +6,9 @@ index is written once and searched without a shuffle, and a lost executor only c
 A phrase is searched from its rarest term in the shard: that term's postings, shifted by its
 offset, are intersected with the shifted lists of the other terms, rarest first.
 
-Benchmark items are searched in blocks of a fixed number of words, so what travels to the
-executors is bounded however large the benchmark is.
+Benchmark items are searched in blocks of a fixed number of words. A block travels as a hash a word and a
+number or two, and what it hits is written before the next block is read, so the driver and the tasks hold one block at
+a time however large the benchmark is; the index is read once a block.
 
 Null texts have no words and are never hit; benchmark rows with a null item_id are left out.
 Rows with the same item_id are one item; repeated document rows are searched one by one. Empty
@@ -23,11 +24,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.frames import batches, stored, texts
+from newsloom.llm.frames import batches, delete, stored, texts
 from newsloom.llm.kernels import LOWER, PLAIN_WORDS, buffer, slices, word_hashes, words
 
 WINDOW = 10
-BLOCK_WORDS = 200_000
+BLOCK_WORDS = 2_000_000
 LOWER_WORDS = PLAIN_WORDS[LOWER]
 
 
@@ -134,37 +135,43 @@ class Shard:
 
 
 def phrases_of(items: list[tuple[str, str | None]], window=WINDOW):
-    """All windows of the items: {length: (term matrix, item of each row)}; an item of fewer words is one window."""
-    by_length: dict[int, tuple[list, list]] = {}
-    for k, (_, text) in enumerate(items):
-        h, _ = tokens(pa.array([text]))
-        n = min(window, len(h))
-        if n:
-            rows, of = by_length.setdefault(n, ([], []))
-            rows.append(np.lib.stride_tricks.sliding_window_view(h, n))
-            of.append(np.full(len(h) - n + 1, k))
-    return {n: (np.concatenate(rows), np.concatenate(of)) for n, (rows, of) in by_length.items()}
+    """The items' words by length of window: {length: (distinct hashes, place of each word among them, item of each word)}.
+
+    An item of fewer words than the window is one window of its own length. Windows are runs of words of one item.
+    """
+    h, first = tokens(pa.array([t for _, t in items], pa.string()))
+    sizes = np.diff(first)
+    lengths = np.minimum(sizes, window)
+    item = np.repeat(np.arange(len(items), dtype=np.int32), sizes)
+    out = {}
+    for n in np.unique(lengths[lengths > 0]).tolist():
+        own = lengths[item] == n
+        distinct, place = np.unique(h[own], return_inverse=True)
+        out[n] = (distinct, place.astype(np.int32), item[own])
+    return out
 
 
 def search(shard: Shard, phrases):
     """All occurrences in one shard: starts, lengths, items."""
     starts, sizes, of = [], [], []
-    for n, (terms, items) in phrases.items():
-        distinct, inverse = np.unique(terms, return_inverse=True)
+    for n, (distinct, place, item) in phrases.items():
         slots = shard.slots(distinct)
         counts = shard.counts(slots)
-        inverse = inverse.reshape(terms.shape)
-        present = np.flatnonzero(counts[inverse].min(axis=1) > 0)
+        there = np.zeros(len(place) + 1, np.int64)
+        np.cumsum(counts[place] > 0, out=there[1:])
+        # Windows of one item all of whose words the shard has.
+        last = len(place) - n + 1
+        rows = np.flatnonzero((there[n:] - there[:last] == n) & (item[:last] == item[n - 1 :]))
         seen: dict[bytes, np.ndarray] = {}
-        for row in present:
-            pick = inverse[row]
+        for row in rows.tolist():
+            pick = place[row : row + n]
             key = pick.tobytes()
             if key not in seen:
                 seen[key] = shard.phrase(slots[pick], counts[pick])
             if len(found := seen[key]):
                 starts.append(found)
                 sizes.append(np.full(len(found), n))
-                of.append(np.full(len(found), items[row]))
+                of.append(np.full(len(found), item[row]))
     if not starts:
         return (np.zeros(0, np.int64),) * 3
     return np.concatenate(starts), np.concatenate(sizes), np.concatenate(of)
@@ -236,7 +243,7 @@ def find_near(index: DataFrame, query: str, slop: int) -> DataFrame:
 
 
 def item_blocks(items: DataFrame, item_id="item_id", text="text", block_words=BLOCK_WORDS):
-    """The benchmark's items as lists of bounded size; only one list is on the driver at a time."""
+    """The benchmark's items as lists of bounded size, each read when the one before is done with."""
     rows = items.select(F.col(item_id).cast("string").alias("i"), F.col(text).alias("t")).where("i is not null")
     size = rows.agg(F.sum(F.length("t"))).first()[0] or 0
     n = int(size // (6 * block_words)) + 1
@@ -248,13 +255,14 @@ def item_blocks(items: DataFrame, item_id="item_id", text="text", block_words=BL
 def contaminated(docs: DataFrame, items: DataFrame, doc_id="doc_id", text="text", item_id="item_id", item_text="text", window=WINDOW) -> DataFrame:
     """One row per document: doc_id, n_words, the spans hit by benchmark windows (starts, ends), the items."""
     index = stored(build_index(docs, doc_id, text), "postings")
-    found = [find_phrases(index, block, window) for block in item_blocks(items, item_id, item_text)]
-    if len(found) == 1:
-        return found[0].drop("shard", "place")
-    # More blocks: the spans of one document row come in several rows. Its shard and place tell it from others of the same id.
-    every = found[0]
-    for more in found[1:]:
-        every = every.unionByName(more)
+    blocks = item_blocks(items, item_id, item_text)
+    every = stored(find_phrases(index, next(blocks), window), "hits")
+    more = [stored(find_phrases(index, block, window).where(F.size("items") > 0), "hits") for block in blocks]
+    if not more:
+        return every.drop("shard", "place")
+    # The spans of one document row come in several rows then. Its shard and place tell it from others of the same id.
+    for one in more:
+        every = every.unionByName(one)
     merged = every.groupBy("shard", "place").agg(
         F.max("doc_id").alias("doc_id"),
         F.max("n_words").alias("n_words"),
@@ -281,23 +289,32 @@ def contaminated(docs: DataFrame, items: DataFrame, doc_id="doc_id", text="text"
     return batches(merged, tidy, HITS)
 
 
+def _cleaner(phrases, at):
+    """Keeps the rows of a batch whose text, the column at this place, no window hits."""
+
+    def run(batch):
+        for part in slices(batch, at):
+            shard = Shard(*shard_blobs(pa.nulls(part.num_rows, pa.int64()), part.column(at)))
+            keep = np.ones(part.num_rows, bool)
+            keep[shard.doc(search(shard, phrases)[0])] = False
+            yield part.filter(pa.array(keep))
+
+    return run
+
+
 def clean_only(docs: DataFrame, items: DataFrame, text="text", item_id="item_id", item_text="text", window=WINDOW) -> DataFrame:
     """The documents, with all their columns, that no benchmark window hits.
 
-    Each batch is indexed, searched and filtered where it is read, so nothing is shuffled or stored.
+    Each batch is indexed, searched and filtered where it is read, so nothing is shuffled. With more than one
+    block of items, what a block leaves is written before the next is read.
     """
-    at, out = docs.columns.index(text), texts(docs, *docs.columns)
-    for block in item_blocks(items, item_id, item_text):
-        phrases = phrases_of(block, window)
-
-        def run(batch, phrases=phrases):
-            for part in slices(batch, at):
-                shard = Shard(*shard_blobs(pa.nulls(part.num_rows, pa.int64()), part.column(at)))
-                keep = np.ones(part.num_rows, bool)
-                keep[shard.doc(search(shard, phrases)[0])] = False
-                yield part.filter(pa.array(keep))
-
-        out = batches(out, run, docs.schema)
+    at, out, written = docs.columns.index(text), texts(docs, *docs.columns), []
+    for n, block in enumerate(item_blocks(items, item_id, item_text)):
+        if n:
+            out = stored(out, "clean")
+            delete(docs.sparkSession, written)
+            written = [out.stored_at]
+        out = batches(out, _cleaner(phrases_of(block, window), at), docs.schema)
     return out
 
 

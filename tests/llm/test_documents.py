@@ -317,6 +317,40 @@ def test_proximity_of_repeated_terms(make):
     assert got == want and (1, 3, 8) in got
 
 
+def test_the_driver_holds_one_block_of_items(make, spark, monkeypatch):
+    """A benchmark of many blocks: what a block's search needs is gone when the next is made."""
+    import gc
+    import weakref
+
+    from newsloom.llm import decontaminate as D
+
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"b{x}" for x in rng.integers(0, 30, rng.integers(3, 40))) for _ in range(60)]
+    rows = [(k, " ".join(t.split()[2:14]) + " and more of it") for k, t in enumerate(texts[::3])] + [(99, "nothing of that"), (100, None)]
+    items = spark.createDataFrame([(f"i{k}", t) for k, t in enumerate(texts)], "item_id string, text string")
+    alive, most, made, real = [], [], [], D.phrases_of
+
+    class Held(dict):
+        pass
+
+    def counted(*args):
+        gc.collect()
+        alive[:] = [r for r in alive if r() is not None]
+        out = Held(real(*args))
+        alive.append(weakref.ref(out))
+        most.append(len(alive))
+        made.append(sum(a.nbytes for x in out.values() for a in x))
+        return out
+
+    monkeypatch.setattr(D.item_blocks, "__defaults__", ("item_id", "text", 30))
+    monkeypatch.setattr(D, "phrases_of", counted)
+    found = as_tuples(digest(contaminated(make(rows), items)))
+    kept = {r["doc_id"] for r in rows_of(clean_only(make(rows), items))}
+    assert len(made) >= 40 and max(most) <= 2 and max(made) < sum(made) / 5
+    want = hits(rows, [(f"i{k}", t) for k, t in enumerate(texts)])
+    assert found == want and kept == {i for i, *_, hit in want if not hit}
+
+
 # Operator 5
 
 
