@@ -9,6 +9,7 @@ from newsloom.functions import text as X
 from newsloom.functions.vectors import dot, mean_vectors
 
 OUTLIER = -1
+SMALL_CORPUS = 200
 SMALL_BYTES = 64_000_000
 
 
@@ -142,10 +143,14 @@ def best_headlines(df: DataFrame, key: str, title: str, keywords: list[str], seq
 
 
 def topic_parameters(n_docs: int) -> dict[str, int]:
-    """Granularity that follows the size of the corpus: the smallest topic, the neighbours to look at, and how many of them
-    make a row's surroundings dense (0: as many as the smallest topic has)."""
-    small = n_docs < 200
-    return {"min_samples": int(small), "min_topic_size": max(2, min(10, n_docs // 20)), "n_neighbors": max(2, min(15, n_docs - 1)) if small else 15, "enough": int(n_docs >= 3)}
+    """Granularity that follows the size of the corpus: the smallest topic, and the neighbours to look at."""
+    small = n_docs < SMALL_CORPUS
+    return {"min_topic_size": max(2, min(10, n_docs // 20)), "n_neighbors": max(2, min(15, n_docs - 1)) if small else 15, "enough": int(n_docs >= 3)}
+
+
+def min_samples(n_docs: int, min_topic_size: int) -> int:
+    """How many neighbours make a row's surroundings dense: one in a small corpus, else as many as the smallest topic has."""
+    return 1 if n_docs < SMALL_CORPUS else min_topic_size
 
 
 def representatives(df: DataFrame, vector="vector", n: int = 3, seq="seq") -> DataFrame:

@@ -93,7 +93,7 @@ def cluster(articles: DataFrame, work: str, n_topics: int | None = None, days: i
         shape = topics.topic_parameters(n)
         least = shape["min_topic_size"] if min_topic_size is None else max(2, min_topic_size)
         if n_topics is None:
-            placed = density.density_topics(reps.select("DUP_GROUP", F.col("seq"), "vector"), least, shape["min_samples"] or least, shape["n_neighbors"])
+            placed = density.density_topics(reps.select("DUP_GROUP", F.col("seq"), "vector"), least, topics.min_samples(n, least), shape["n_neighbors"])
         else:
             placed = topics.large_enough(topics.cluster(reps.select("DUP_GROUP", "vector"), max(1, min(n_topics, n)), cut=cut), least)
         if nr_topics:
