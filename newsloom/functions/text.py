@@ -318,6 +318,19 @@ def look_back_days(months: int) -> int:
     return int(months * 30.44)
 
 
+def look_back(months) -> Column:
+    """look_back_days() of a column."""
+    return F.floor(_c(months) * F.lit(30.44)).cast("int")
+
+
+def windowed_path(path, days) -> Column:
+    """last_days_path() of columns: the suffix goes before a file's ending."""
+    suffix = F.concat(F.lit("_last"), _c(days).cast("string"), F.lit("d"))
+    ending = F.regexp_extract(_c(path), r"\.[^.]*$", 0)
+    stem = F.substring(_c(path), F.lit(1), F.length(_c(path)) - F.length(ending))
+    return F.when(F.coalesce(_c(days), F.lit(0)) == 0, _c(path)).otherwise(F.concat(stem, suffix, ending))
+
+
 def last_days_path(path: str, days: int | None) -> str:
     """The output path of a windowed run."""
     if not days:

@@ -148,6 +148,14 @@ def topic_parameters(n_docs: int) -> dict[str, int]:
     return {"min_topic_size": max(2, min(10, n_docs // 20)), "n_neighbors": max(2, min(15, n_docs - 1)) if small else 15, "enough": int(n_docs >= 3)}
 
 
+def topic_shape(n: Column) -> Column:
+    """topic_parameters() and min_samples() of a column of corpus sizes, as one struct."""
+    least = F.greatest(F.lit(2), F.least(F.lit(10), F.floor(n / 20).cast("int")))
+    near = F.when(n < SMALL_CORPUS, F.greatest(F.lit(2), F.least(F.lit(15), n.cast("int") - 1))).otherwise(15)
+    dense = F.when(n < SMALL_CORPUS, 1).otherwise(least)
+    return F.struct(least.alias("min_topic_size"), near.alias("n_neighbors"), dense.alias("min_samples"), (n >= 3).cast("int").alias("enough"))
+
+
 def min_samples(n_docs: int, min_topic_size: int) -> int:
     """How many neighbours make a row's surroundings dense: one in a small corpus, else as many as the smallest topic has."""
     return 1 if n_docs < SMALL_CORPUS else min_topic_size

@@ -14,10 +14,11 @@ from newsloom.functions import quality as Q
 from newsloom.functions import text as X
 from newsloom.functions.sentiment import compound
 from newsloom.functions.vectors import mean_vectors, nearest
-from newsloom.operators import corpus, density, gaps, neardup, neighbours, report, status, topics, trends
+from newsloom.operators import corpus, density, gaps, neardup, neighbours, report, search, sketches, status, topics, trends
 from newsloom.plans.tables import doc_articles, signal_articles, table, vec_terms, vec_topics
-from newsloom.sources import digest, documents, enrich, fetch, lanes, stages, taxonomy
-from newsloom.sources.cache import encode_cached, hashed_embedding, model_place, read_cache
+from newsloom.sources import digest, documents, embeddings, enrich, fetch, lanes, stages, taxonomy
+from newsloom.sources.cache import encode_cached, hashed_embedding, read_cache
+from newsloom.sources.cache import model_places as model_places_of
 from newsloom.sources.taxonomy import encode_text
 from newsloom.sources.stages import scratch
 from newsloom.streaming import events as stream
@@ -317,8 +318,11 @@ def date_windows(spark, sf):
 
 @query
 def fetch_plan(spark, sf):
-    p = fetch.plan(spark, "2024-01-01", "2024-03-10", 14, ["business", "politics", "world"], 2, 25)
-    return p.select(F.date_format("window_start", "yyyy-MM-dd").alias("window_start"), "category", "page")
+    # A nation is a scan: from its first order to its last, its customers' segments are the categories.
+    c, o = table(spark, sf, "customer"), table(spark, sf, "orders")
+    days = o.join(c, F.col("o_custkey") == F.col("c_custkey")).groupBy(F.col("c_nationkey").alias("scan")).agg(F.min("o_orderdate").cast("date").alias("start"), F.max("o_orderdate").cast("date").alias("end"))
+    wanted = c.groupBy(F.col("c_nationkey").alias("scan"), F.col("c_mktsegment").alias("category")).agg(F.min("c_custkey").alias("category_no"))
+    return fetch.plans(days, wanted, 14, 2, 25).select("scan", F.date_format("window_start", "yyyy-MM-dd").alias("window_start"), "category", "page")
 
 
 @query
@@ -685,6 +689,37 @@ def facet_search(spark, sf):
     return report.sorted_cards(found, "count").select(F.col("TOPIC_ID").alias("topic"), "ARTICLE_COUNT")
 
 
+@query
+def indexed_search(spark, sf):
+    # Every document is a card; three queries, of which one is shorter than a trigram.
+    d, path = table(spark, sf, "documents").select(F.col("doc_id").alias("TOPIC_ID"), "text"), scratch(spark, "index")
+    search.write_index(d, path, ["text"])
+    found = [search.find(spark, path, q).select(F.lit(q).alias("query"), F.col("TOPIC_ID").alias("doc")) for q in ("All rights", "topic 7", "ß")]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
+@query
+def estimated_stories(spark, sf):
+    # Distinct stories of each topic in all, and in its months of 1995, from monthly sketches of two halves of the articles.
+    a = signal_articles(spark, sf)
+    stored = sketches.merged(*(sketches.monthly(a.where(F.col("seq") % 2 == k)) for k in (0, 1)))
+    exact = a.groupBy("TOPIC_ID").agg(F.count_distinct("DUP_GROUP").alias("stories"), F.count_distinct(F.when(F.col("month").between("1995-01", "1995-12"), F.col("DUP_GROUP"))).alias("of_year"))
+    for name, span in (("n", {}), ("n_year", {"first": "1995-01", "last": "1995-12"})):
+        exact = exact.join(sketches.distinct_counts(stored, "TOPIC_ID", **span).withColumnRenamed("n", name), "TOPIC_ID", "left")
+    near = lambda n, about: F.abs(F.col(n) - F.coalesce(about, F.lit(0))) <= F.greatest(F.lit(1.0), F.col(n) * sketches.error())
+    return exact.select(F.col("TOPIC_ID").alias("topic"), "stories", near("stories", "n").alias("near"), "of_year", near("of_year", "n_year").alias("near_of_year"))
+
+
+@query
+def corpus_weights(spark, sf):
+    # The statistics see the documents in two additions; the benchmark's words are weighed by them.
+    d, path = table(spark, sf, "documents").select(F.col("doc_id").alias("key"), "text"), scratch(spark, "statistics")
+    for k in (0, 1):
+        version = embeddings.add_documents(d.where(F.col("key") % 2 == k), path)
+    b = table(spark, sf, "benchmark").select(F.col("item_id").alias("key"), "text")
+    return embeddings.weights(b, path, version).select(F.col("key").alias("item"), "word", F.round("weight", 6).alias("weight"))
+
+
 @query
 def sentiment_histogram(spark, sf):
     a = signal_articles(spark, sf).withColumn("SENTIMENT", F.when(F.col("SENTIMENT") != "Neutral", F.col("SENTIMENT")))
@@ -828,13 +863,14 @@ def keyword_scan(spark, sf):
 
 @query
 def latest_scan_plan(spark, sf):
-    wanted = [r[0] for r in table(spark, sf, "region").select(F.lower("r_name")).orderBy("r_name").collect()]  # five rows
-    return lanes.latest_plan(spark, ENDPOINT, wanted).select("lane", F.col("CATEGORY").alias("category"), "url")
+    wanted = table(spark, sf, "region").select(F.lower("r_name").alias("name"))
+    return lanes.latest_scans(wanted, ENDPOINT, "name").select("lane", F.col("CATEGORY").alias("category"), "url")
 
 
 @query
 def lexicon_scan_plan(spark, sf):
-    return lanes.lexicon_plan(spark, ENDPOINT).select("lane", F.col("CATEGORY").alias("category"), "url")
+    wanted = table(spark, sf, "part").select(F.lower("p_type").alias("phrase")).distinct()
+    return lanes.phrase_scans(wanted, ENDPOINT).select("lane", F.col("CATEGORY").alias("category"), "url")
 
 
 @query
@@ -1053,22 +1089,19 @@ def topic_labels(spark, sf):
 
 @query
 def run_settings(spark, sf):
-    # What a run derives from its options and from the size of its corpus, for options from 1 to 60.
-    rows = []
-    for k in range(1, 61):
-        docs = k * k
-        found = topics.topic_parameters(docs)
-        rows.append((k, X.look_back_days(k), X.last_days_path("out/topics.csv", k), X.last_days_path("out/topics", k), found["min_topic_size"], found["n_neighbors"], found["enough"]))
-    return spark.createDataFrame(rows, "months int, days int, file string, folder string, min_topic_size int, n_neighbors int, enough int")
+    # What a run derives from its options and the size of its corpus: a nation is a corpus of its customers, its key the months.
+    n = table(spark, sf, "customer").groupBy("c_nationkey").agg(F.count("*").alias("n")).withColumn("days", X.look_back("c_nationkey"))
+    out = n.select("c_nationkey", "days", X.windowed_path(F.lit("out/topics.csv"), F.col("days")).alias("file"), X.windowed_path(F.lit("out/topics"), F.col("days")).alias("folder"), topics.topic_shape(F.col("n")).alias("shape"))
+    return out.select(F.col("c_nationkey").alias("months"), "days", "file", "folder", "shape.*")
 
 
 @query
 def model_places(spark, sf):
     # Of folders named after nations those with an even length hold a model.
-    names = [r[0] for r in table(spark, sf, "nation").select("n_name").orderBy("n_nationkey").collect()]  # 25 rows
-    there = lambda path: len(path.split("/")[-2]) % 2 == 0
-    places = [(n, *model_place(n, [f"/models/{n}s", f"/cache/{n}/"], there)) for n in names]
-    return spark.createDataFrame(places, "name string, place string, local boolean")
+    names = table(spark, sf, "nation").select(F.col("n_name").alias("name"))
+    there = names.where(F.length("name") % 2 == 0).select(F.col("name").alias("path")).unionByName(names.where("length(name) % 3 = 0").select(F.concat(F.lit("/cache/"), "name").alias("path")))
+    models = names.withColumn("candidates", F.array(F.concat(F.lit("/models/"), "name"), F.concat(F.lit("/cache/"), "name", F.lit("/"))))
+    return model_places_of(models, there)
 
 
 # Streams: the events are read as a stream to their end, results are a table the stream writes.

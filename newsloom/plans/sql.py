@@ -160,7 +160,10 @@ SQL: dict[str, str] = {
     "keyword_filter": f"{_with(DOCS)}, p AS (SELECT seq, unnest(f) AS w, generate_subscripts(f, 1) AS i FROM (SELECT seq, regexp_split_to_array(text, '[\\s,.]+') AS f FROM docs)), k AS (SELECT seq, min(i) AS i, x FROM (SELECT seq, i, trim(lower(w)) AS x FROM p) WHERE length(x) >= 3 AND regexp_matches(x, '[a-z]') AND x NOT IN ({_list(STOP_PHRASES)}) GROUP BY seq, x) SELECT d.seq, coalesce(string_agg(x, ',' ORDER BY i), '') AS keywords FROM docs d LEFT JOIN k ON k.seq = d.seq GROUP BY d.seq",
     "risk_id_normalise": "SELECT n_name, n_nationkey AS risk FROM nation",
     "date_windows": "SELECT strftime(d, '%Y-%m-%d') AS window_start, strftime(least(d + INTERVAL 44 DAY, b), '%Y-%m-%d') AS window_end FROM (SELECT unnest(generate_series(a, b, INTERVAL 45 DAY)) AS d, b FROM (SELECT date_trunc('day', min(o_orderdate)) AS a, date_trunc('day', max(o_orderdate)) AS b FROM orders))",
-    "fetch_plan": "SELECT strftime(d, '%Y-%m-%d') AS window_start, c AS category, page FROM (SELECT unnest(generate_series(DATE '2024-01-01', DATE '2024-03-10', INTERVAL 14 DAY)) AS d) CROSS JOIN (VALUES (0, 'business'), (1, 'politics'), (2, 'world')) t(i, c) CROSS JOIN (SELECT unnest(CAST([1, 2] AS BIGINT[])) AS page) ORDER BY d, i, page LIMIT 25",
+    "fetch_plan": """WITH o AS (SELECT c_nationkey AS scan, CAST(min(o_orderdate) AS DATE) AS a, CAST(max(o_orderdate) AS DATE) AS b FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1),
+c AS (SELECT c_nationkey AS scan, c_mktsegment AS category, min(c_custkey) AS i FROM customer GROUP BY 1, 2),
+w AS (SELECT scan, unnest(generate_series(a, b, INTERVAL 14 DAY)) AS d FROM o)
+SELECT scan, strftime(d, '%Y-%m-%d') AS window_start, category, page FROM (SELECT *, row_number() OVER (PARTITION BY scan ORDER BY d, i, page) AS k FROM w JOIN c USING (scan) CROSS JOIN (SELECT unnest(CAST([1, 2] AS BIGINT[])) AS page)) WHERE k <= 25""",
     "phrase_lane": "SELECT doc_id, 'lex:' || CASE WHEN contains(lower(text), 'general public license') THEN 'general public license' WHEN contains(lower(text), 'licensed under') THEN 'licensed under' ELSE 'all rights reserved' END AS category FROM documents WHERE contains(lower(text), 'general public license') OR contains(lower(text), 'licensed under') OR contains(lower(text), 'all rights reserved')",
     "cache_keys": "SELECT doc_id, sha1('m' || chr(0) || text) AS key FROM documents",
     "cache_misses": "SELECT DISTINCT sha1(text) AS key FROM documents WHERE doc_id % 2 = 1 AND sha1(text) NOT IN (SELECT sha1(text) FROM documents WHERE doc_id % 2 = 0)",
@@ -231,7 +234,7 @@ l AS (SELECT risk, CAST(k + 1 AS INTEGER) AS place, term || ' ' || k AS title, C
 f AS (SELECT *, row_number() OVER (PARTITION BY lower(link) ORDER BY risk, place) AS n FROM l WHERE lower(link) <> 'http://brazil/0')
 SELECT risk, place, title, link, CASE WHEN k = 0 THEN 'wire' WHEN k = 1 THEN 'same' ELSE lower(term) END AS source, requests FROM f WHERE n = 1""",
     "latest_scan_plan": "SELECT 'DISCOVERY' AS lane, lower(r_name) AS category, 'https://api.test/1/news?category=' || replace(lower(r_name), ' ', '+') || '&country=us&language=en&prioritydomain=top' AS url FROM region",
-    "lexicon_scan_plan": f"""SELECT 'LEXICON' AS lane, 'lex:' || p AS category, 'https://api.test/1/news?q=%22' || replace(p, ' ', '+') || '%22&country=us&language=en&prioritydomain=top' AS url FROM (SELECT unnest([{_list(RISK_PHRASES)}]) AS p)""",
+    "lexicon_scan_plan": "SELECT DISTINCT 'LEXICON' AS lane, 'lex:' || lower(p_type) AS category, 'https://api.test/1/news?q=%22' || replace(lower(p_type), ' ', '+') || '%22&country=us&language=en&prioritydomain=top' AS url FROM part",
     "regulator_lane": """WITH c AS (SELECT c_custkey AS k, c_nationkey AS doc, c_name, lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS id FROM customer),
 l AS (SELECT *, 'SEC' AS source, 'https://www.sec.gov/newsroom/press-releases/2024-' || id AS url FROM c UNION ALL SELECT *, 'CFTC', 'https://www.cftc.gov/PressRoom/PressReleases/' || substr(id, 1, 4) || '-' || substr(id, 5, 2) FROM c),
 d AS (SELECT *, CASE WHEN bool_or(k % 3 = 0) OVER (PARTITION BY source, doc ORDER BY k ROWS UNBOUNDED PRECEDING) THEN '2024-02-03' ELSE '' END AS date, 11 + length(c_name) + CASE WHEN k % 80 > 0 THEN 5 * (k % 80) ELSE 0 END AS n FROM l)
@@ -284,9 +287,11 @@ SELECT 'http://s/' || k AS LINK, -1 AS RISK_ID, 'ENF' AS SEARCH_TERM_ID, title A
     "clean_values": "SELECT p_partkey, CASE WHEN p_size % 5 = 3 THEN CAST(p_size AS DOUBLE) ELSE 0.0::DOUBLE END AS number, CASE p_size % 5 WHEN 2 THEN 'x1' WHEN 3 THEN CAST(p_size AS VARCHAR) ELSE '' END AS word FROM part",
     "slug_titles": "SELECT p_partkey, array_to_string(list_transform(string_split(p_name, ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ') || ' ' || p_size AS title FROM part",
     "topic_labels": "SELECT p_partkey, nullif(array_to_string(string_split(p_name || ' ' || p_type, ' ')[1:least(4, p_size % 6)], ' / '), '') AS label FROM part",
-    "run_settings": """SELECT CAST(k AS INTEGER) AS months, CAST(floor(k * 30.44) AS INTEGER) AS days, 'out/topics_last' || k || 'd.csv' AS file, 'out/topics_last' || k || 'd' AS folder,
-  CAST(greatest(2, least(10, k * k // 20)) AS INTEGER) AS min_topic_size, CAST(CASE WHEN k * k < 200 THEN greatest(2, least(15, k * k - 1)) ELSE 15 END AS INTEGER) AS n_neighbors, CAST(k * k >= 3 AS INTEGER) AS enough FROM range(1, 61) r(k)""",
-    "model_places": "SELECT n_name AS name, CASE WHEN length(n_name) % 2 = 0 THEN n_name ELSE '/models/' || n_name || 's' END AS place, true AS local FROM nation",
+    "run_settings": """WITH n AS (SELECT c_nationkey AS k, count(*) AS n, CAST(floor(c_nationkey * 30.44) AS INTEGER) AS days FROM customer GROUP BY c_nationkey)
+SELECT k AS months, days, CASE WHEN days = 0 THEN 'out/topics.csv' ELSE 'out/topics_last' || days || 'd.csv' END AS file, CASE WHEN days = 0 THEN 'out/topics' ELSE 'out/topics_last' || days || 'd' END AS folder,
+  CAST(greatest(2, least(10, n // 20)) AS INTEGER) AS min_topic_size, CAST(CASE WHEN n < 200 THEN greatest(2, least(15, n - 1)) ELSE 15 END AS INTEGER) AS n_neighbors,
+  CAST(CASE WHEN n < 200 THEN 1 ELSE greatest(2, least(10, n // 20)) END AS INTEGER) AS min_samples, CAST(n >= 3 AS INTEGER) AS enough FROM n""",
+    "model_places": "SELECT n_name AS name, CASE WHEN length(n_name) % 2 = 0 THEN n_name WHEN length(n_name) % 3 = 0 THEN '/cache/' || n_name || '/' ELSE n_name END AS place, length(n_name) % 2 = 0 OR length(n_name) % 3 = 0 AS local FROM nation",
     "corpus_newest_first": f"{_with(SIGNAL)} SELECT seq, row_number() OVER (ORDER BY CASE WHEN seq % 7 <> 0 THEN day END DESC NULLS LAST, seq) - 1 AS place FROM signal",
     "risk_labels": f"{_with(SIGNAL)} SELECT CASE WHEN n_nationkey < 20 THEN n_name ELSE 'unknown' END AS label, count(*) AS n FROM signal LEFT JOIN nation ON risk = n_nationkey GROUP BY 1",
     "topics_large_enough": f"{_with(SIGNAL)}, s AS (SELECT topic, count(*) AS n FROM signal GROUP BY topic) SELECT CASE WHEN n < 240 THEN -1 ELSE topic END AS topic, CAST(sum(n) AS BIGINT) AS n FROM s GROUP BY 1",
@@ -307,3 +312,10 @@ UNIT = "u AS (SELECT vec_id AS seq, list_transform(CAST(embedding AS DOUBLE[]),
 SQL["similar_vector_pairs"] = f"WITH {UNIT} SELECT a, b, round(c, 6) AS cosine FROM p WHERE a < b AND round(c, 9) >= 0.5"
 SQL["nearest_vectors"] = f"""WITH {UNIT}, d AS (SELECT a, b, sqrt(round(greatest(2 - 2 * c, 0), 12)) AS distance FROM p)
 SELECT a AS seq, b AS other, round(distance, 5) AS distance FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY distance, b) AS k FROM d) WHERE k <= 5"""
+
+SQL["indexed_search"] = "SELECT q AS query, doc_id AS doc FROM documents CROSS JOIN (VALUES ('All rights'), ('topic 7'), ('ß')) t(q) WHERE contains(lower(coalesce(text || ' ', '') || 'topic ' || doc_id), lower(q))"
+SQL["estimated_stories"] = f"{_with(SIGNAL)} SELECT topic, count(DISTINCT grp) AS stories, true AS near, count(DISTINCT CASE WHEN month BETWEEN '1995-01' AND '1995-12' THEN grp END) AS of_year, true AS near_of_year FROM signal GROUP BY topic"
+_WORDS = "list_filter(string_split_regex(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda x: x <> '')"
+SQL["corpus_weights"] = f"""WITH d AS (SELECT doc_id, unnest(list_distinct({_WORDS})) AS word FROM documents), f AS (SELECT word, count(*) AS df FROM d GROUP BY word),
+w AS (SELECT item_id, word, count(*) AS n FROM (SELECT item_id, unnest({_WORDS}) AS word FROM benchmark) GROUP BY 1, 2)
+SELECT item_id AS item, word, round((1 + ln(n)) * greatest(ln(((SELECT count(DISTINCT doc_id) FROM documents) + 1)::DOUBLE / (coalesce(df, 0) + 1)), 0), 6) AS weight FROM w LEFT JOIN f USING (word)"""

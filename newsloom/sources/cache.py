@@ -29,6 +29,14 @@ def model_place(name: str, candidates: list[str], there) -> tuple[str, bool]:
     return name, False
 
 
+def model_places(models: DataFrame, folders: DataFrame) -> DataFrame:
+    """model_place() of each row: name, place, local. models: name, candidates (array); folders: path of the folders that hold a model."""
+    there = folders.select(F.regexp_replace("path", "/+$", "").alias("_at")).distinct().withColumn("_there", F.lit(True))
+    tried = models.select("name", F.posexplode(F.concat(F.array("name"), "candidates")).alias("_n", "_place")).where("_place != ''")
+    found = tried.withColumn("_at", F.regexp_replace("_place", "/+$", "")).join(there, "_at").groupBy("name").agg(F.min_by("_place", "_n").alias("place"))
+    return models.select("name").join(found, "name", "left").select("name", F.coalesce("place", "name").alias("place"), F.col("place").isNotNull().alias("local"))
+
+
 def misses(df: DataFrame, cache: DataFrame, key: str = "key") -> DataFrame:
     """Distinct keys that the cache lacks."""
     return df.dropDuplicates([key]).join(cache.select(key), key, "left_anti")

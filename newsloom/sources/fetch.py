@@ -10,7 +10,7 @@ import time
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from newsloom.functions.text import date_windows
@@ -21,12 +21,22 @@ Transport = Callable[[str], tuple[int, bytes]]
 PERMANENT = (404,)  # regulators also answer 403 to clients that only ask too fast
 
 
+def plans(scans: DataFrame, categories: DataFrame, days: int, pages: int, cap: int) -> DataFrame:
+    """Requests of archive scans: of each scan, date windows by categories by pages, the first `cap` of them.
+
+    scans: scan, start, end (dates); categories: scan, category_no, category. Adds window_start, window_end, page.
+    """
+    windows = scans.select("scan", F.explode(date_windows("start", "end", days)).alias("w")).select("scan", "w.*")
+    every = windows.join(categories, "scan").withColumn("page", F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(pages).cast("bigint"))))
+    place = F.row_number().over(Window.partitionBy("scan").orderBy("window_start", "category_no", "page"))
+    return every.withColumn("place", place).where(F.col("place") <= cap)
+
+
 def plan(spark: SparkSession, start: str, end: str, days: int, categories: list[str], pages: int, cap: int) -> DataFrame:
-    """Requests of an archive scan: date windows by categories by pages, the first `cap` of them, numbered."""
-    windows = spark.range(1).select(F.explode(date_windows(F.lit(start).cast("date"), F.lit(end).cast("date"), days)).alias("w")).select("w.*")
-    wanted = spark.createDataFrame([(i, c) for i, c in enumerate(categories)], "category_no int, category string")
-    every = windows.crossJoin(wanted).crossJoin(spark.range(1, pages + 1).withColumnRenamed("id", "page"))
-    return every.orderBy("window_start", "category_no", "page").limit(cap)
+    """Requests of one archive scan, in order."""
+    scans = spark.range(1).select(F.col("id").alias("scan"), F.lit(start).cast("date").alias("start"), F.lit(end).cast("date").alias("end"))
+    wanted = spark.createDataFrame([(0, i, c) for i, c in enumerate(categories)], "scan long, category_no int, category string")
+    return plans(scans, wanted, days, pages, cap).orderBy("place").drop("scan", "place")
 
 
 def with_retries(transport: Transport, url: str, tries=3, wait=2.0, sleep=time.sleep, permanent=PERMANENT) -> tuple[int, bytes]:

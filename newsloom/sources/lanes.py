@@ -56,16 +56,32 @@ def keyword_plan(terms: DataFrame, endpoint: str, size: int = PER_TERM, term="te
     return terms.withColumn("url", asked)
 
 
-def latest_plan(spark: SparkSession, endpoint: str, categories: list[str], country="us", language="en", priority: str | None = "top") -> DataFrame:
+def _scans(rows: DataFrame, lane: str, category: Column, url: Column) -> DataFrame:
+    return rows.select(F.lit(lane).alias("lane"), category.alias("CATEGORY"), url.alias("url"))
+
+
+def _fixed(country, language, priority) -> str:
+    return "&" + urlencode({k: v for k, v in (("country", country), ("language", language), ("prioritydomain", priority)) if v is not None})
+
+
+def latest_scans(categories: DataFrame, endpoint: str, category="category", country="us", language="en", priority: str | None = "top") -> DataFrame:
     """lane, CATEGORY, url: one un-keyed scan of the last two days for each category."""
-    rows = [("DISCOVERY", c, address(endpoint, category=c, country=country, language=language, prioritydomain=priority)) for c in categories]
-    return spark.createDataFrame(rows, "lane string, CATEGORY string, url string")
+    return _scans(categories, "DISCOVERY", F.col(category), F.concat(F.lit(f"{endpoint}?category="), F.url_encode(category), F.lit(_fixed(country, language, priority))))
+
+
+def phrase_scans(phrases: DataFrame, endpoint: str, phrase="phrase", country="us", language="en", priority: str | None = "top") -> DataFrame:
+    """lane, CATEGORY, url: one scan for each phrase, as a whole."""
+    asked = F.url_encode(F.concat(F.lit('"'), F.col(phrase), F.lit('"')))
+    return _scans(phrases, "LEXICON", F.concat(F.lit("lex:"), F.col(phrase)), F.concat(F.lit(f"{endpoint}?q="), asked, F.lit(_fixed(country, language, priority))))
+
+
+def latest_plan(spark: SparkSession, endpoint: str, categories: list[str], country="us", language="en", priority: str | None = "top") -> DataFrame:
+    return latest_scans(spark.createDataFrame([(c,) for c in categories], "category string"), endpoint, "category", country, language, priority)
 
 
 def lexicon_plan(spark: SparkSession, endpoint: str, phrases: list[str] | None = None, country="us", language="en", priority: str | None = "top") -> DataFrame:
-    """lane, CATEGORY, url: one scan for each phrase of the language of risk."""
-    rows = [("LEXICON", f"lex:{p}", address(endpoint, q=f'"{p}"', country=country, language=language, prioritydomain=priority)) for p in phrases or RISK_PHRASES]
-    return spark.createDataFrame(rows, "lane string, CATEGORY string, url string")
+    """One scan for each phrase of the language of risk."""
+    return phrase_scans(spark.createDataFrame([(p,) for p in phrases or RISK_PHRASES], "phrase string"), endpoint, "phrase", country, language, priority)
 
 
 SCANNED = "GOOGLE_INDEX int, TITLE string, LINK string, PUBLISHED_DATE string, SUMMARY string, SOURCE string, requests int"
