@@ -1,7 +1,7 @@
 """How well topics fit a taxonomy, and how new they are.
 
 Centroids, term vectors and anchors are unit vectors. The taxonomy (risks and their terms) is the
-bounded side: its size is checked before it is broadcast, and joined by shuffle beyond that.
+bounded side: its size is counted before it is broadcast, and beyond a limit it goes out in blocks.
 """
 
 from __future__ import annotations

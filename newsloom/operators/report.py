@@ -26,7 +26,8 @@ RISK_PHRASES = [
 def newest_per_topic(df: DataFrame, n: int = PER_TOPIC, outliers: int = PER_OUTLIER, ts="ts", seq="seq") -> DataFrame:
     """Each topic's newest articles; fewer of the outliers. Undated ones come last."""
     rank = F.row_number().over(Window.partitionBy("TOPIC_ID").orderBy(F.desc_nulls_last(ts), seq))
-    return df.withColumn("rank", rank).where(F.col("rank") <= F.when(F.col("TOPIC_ID") == -1, outliers).otherwise(n))
+    # The plain limit, which is never the smaller one, lets each task cut a topic before it is sorted whole.
+    return df.withColumn("rank", rank).where(F.col("rank") <= max(n, outliers)).where(F.col("rank") <= F.when(F.col("TOPIC_ID") == -1, outliers).otherwise(n))
 
 
 def best_per_story(df: DataFrame, n: int = PER_STORY_LIST, seq="seq") -> DataFrame:

@@ -16,7 +16,7 @@ from newsloom.functions.sentiment import compound
 from newsloom.functions.vectors import mean_vectors, nearest
 from newsloom.operators import corpus, density, gaps, neardup, neighbours, report, search, sketches, status, topics, trends
 from newsloom.plans.tables import doc_articles, signal_articles, table, vec_terms, vec_topics
-from newsloom.sources import digest, documents, embeddings, enrich, fetch, lanes, stages, taxonomy
+from newsloom.sources import digest, documents, embeddings, enrich, fetch, lanes, stages, tagging, taxonomy
 from newsloom.sources.cache import encode_cached, hashed_embedding, read_cache
 from newsloom.sources.cache import model_places as model_places_of
 from newsloom.sources.taxonomy import encode_text
@@ -651,6 +651,19 @@ def entity_enrichment(spark, sf):
     return e.select("s_suppkey", F.array_join("ENTITIES", "|").alias("entities"), F.array_join("NLP_KEYWORDS", "|").alias("keywords"))
 
 
+@query
+def entity_model(spark, sf):
+    # Sentences of customers and their nations; the model learns from every other one and names both in all.
+    c, n = table(spark, sf, "customer"), table(spark, sf, "nation")
+    rows = c.join(n, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "c_name", F.split("n_name", " ").alias("place"))
+    rest = "sued the bank .".split()
+    words = F.concat(F.array("c_name", F.lit("of")), "place", F.array(*map(F.lit, rest)))
+    tags = F.concat(F.array(F.lit("B-PERSON"), F.lit("O")), F.transform("place", lambda _, i: F.when(i == 0, "B-GPE").otherwise("I-GPE")), F.array_repeat(F.lit("O"), len(rest)))
+    rows = rows.select("c_custkey", words.alias("tokens"), tags.alias("tags"), F.array_join(words, " ").alias("t"))
+    model = tagging.fit(rows.where("c_custkey % 2 = 0"))
+    return enrich.with_entities(rows, "t", tagging.model_tagger(model)).select("c_custkey", F.array_join("ENTITIES", "|").alias("entities"))
+
+
 @query
 def hashed_embeddings(spark, sf):
     d = hashed_embedding(table(spark, sf, "benchmark"), "text", 16)
@@ -875,8 +888,8 @@ def lexicon_scan_plan(spark, sf):
 
 @query
 def regulator_lane(spark, sf):
-    # A nation has a listing page of the SEC and one of the CFTC, each customer of it a release.
-    n = table(spark, sf, "customer").select(F.col("c_nationkey").alias("doc"), "c_custkey", "c_name")
+    # Up to 200 customers of a nation have a listing page of the SEC and one of the CFTC, each a release on both.
+    n = table(spark, sf, "customer").select((F.col("c_nationkey") * 1_000_000 + F.floor(F.col("c_custkey") / 200)).alias("doc"), "c_custkey", "c_name")
     key = F.lpad(F.col("c_custkey").cast("string"), 6, "0")
     sec, cftc = F.concat(F.lit("/newsroom/press-releases/2024-"), key), F.concat(F.lit("/PressRoom/PressReleases/"), F.substring(key, 1, 4), F.lit("-"), F.substring(key, 5, 2))
     item = lambda link: F.concat(F.when(F.col("c_custkey") % 3 == 0, F.lit('<time datetime="2024-02-03">')).otherwise(F.lit("")), F.lit('<a href="'), link, F.lit('">x</a>'))
@@ -899,11 +912,11 @@ def enforcement_bodies(spark, sf):
 
 @query
 def action_articles(spark, sf):
-    # A monthly file holds the customers of a nation.
-    c = table(spark, sf, "customer")
+    # A monthly file holds up to 200 customers of a nation.
+    c = table(spark, sf, "customer").withColumn("doc", F.col("c_nationkey") * 1_000_000 + F.floor(F.col("c_custkey") / 200))
     name = F.concat(F.lit("Firm Co (CRD #"), F.col("c_custkey").cast("string"), F.lit(", Rome, NY)"))
     line = F.concat(F.when(F.col("c_custkey") % 7 == 0, F.lit("Individuals  Barred\n")).otherwise(F.lit("")), name, F.lit(" was fined. "), F.repeat(F.lit("It did so again. "), (F.col("c_custkey") % 12).cast("int")))
-    url = F.format_string("/files/2024-%02d/n%d.pdf", (F.col("c_nationkey") % 12 + 1).cast("int"), F.col("c_nationkey"))
+    url = F.format_string("/files/2024-%02d/n%d.pdf", (F.col("doc") % 12 + 1).cast("int"), F.col("doc"))
     files = c.groupBy(url.alias("url")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("c_custkey", line.alias("t")))), lambda s: s["t"]), "\n").alias("text"))
     a = corpus.normalise(lanes.actions(files), "ENFORCEMENT", "enforcement:", F.lit(0.0))
     return a.select("SEARCH_TERM_ID", "TITLE", F.length("SUMMARY").alias("n"), "SOURCE", "PUBLISHED_DATE", "LINK", "CATEGORY")

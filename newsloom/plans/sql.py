@@ -235,7 +235,7 @@ f AS (SELECT *, row_number() OVER (PARTITION BY lower(link) ORDER BY risk, place
 SELECT risk, place, title, link, CASE WHEN k = 0 THEN 'wire' WHEN k = 1 THEN 'same' ELSE lower(term) END AS source, requests FROM f WHERE n = 1""",
     "latest_scan_plan": "SELECT 'DISCOVERY' AS lane, lower(r_name) AS category, 'https://api.test/1/news?category=' || replace(lower(r_name), ' ', '+') || '&country=us&language=en&prioritydomain=top' AS url FROM region",
     "lexicon_scan_plan": "SELECT DISTINCT 'LEXICON' AS lane, 'lex:' || lower(p_type) AS category, 'https://api.test/1/news?q=%22' || replace(lower(p_type), ' ', '+') || '%22&country=us&language=en&prioritydomain=top' AS url FROM part",
-    "regulator_lane": """WITH c AS (SELECT c_custkey AS k, c_nationkey AS doc, c_name, lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS id FROM customer),
+    "regulator_lane": """WITH c AS (SELECT c_custkey AS k, c_nationkey * 1000000 + c_custkey // 200 AS doc, c_name, lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS id FROM customer),
 l AS (SELECT *, 'SEC' AS source, 'https://www.sec.gov/newsroom/press-releases/2024-' || id AS url FROM c UNION ALL SELECT *, 'CFTC', 'https://www.cftc.gov/PressRoom/PressReleases/' || substr(id, 1, 4) || '-' || substr(id, 5, 2) FROM c),
 d AS (SELECT *, CASE WHEN bool_or(k % 3 = 0) OVER (PARTITION BY source, doc ORDER BY k ROWS UNBOUNDED PRECEDING) THEN '2024-02-03' ELSE '' END AS date, 11 + length(c_name) + CASE WHEN k % 80 > 0 THEN 5 * (k % 80) ELSE 0 END AS n FROM l)
 SELECT url, source, date, 'Release of ' || c_name AS title, CAST(n AS INTEGER) AS n FROM d WHERE n >= 150""",
@@ -265,7 +265,7 @@ g AS (SELECT *, trim(CASE WHEN regexp_matches(x, '[.]\s') THEN regexp_extract(x,
 SELECT doc_id AS filing, CAST(seq AS INTEGER) AS seq, CAST(length(x) AS INTEGER) AS n, CASE WHEN length(first) > 140 THEN substr(first, 1, 140) || '...' ELSE first END AS title FROM g""",
     "action_split": f"""{ACTIONS.format(name="'Customer Co (CRD #' || c_custkey || ', Rome, NY)'", doc="CAST(c_custkey // 600 * 25 + c_nationkey AS BIGINT)", every=5, header="Firms Fined")}
 SELECT doc, name, CAST(length(body) AS INTEGER) AS n, section, name || ' - was fined.' AS title FROM body WHERE length(body) >= 120""",
-    "action_articles": f"""{ACTIONS.format(name="'Firm Co (CRD #' || c_custkey || ', Rome, NY)'", doc="c_nationkey", every=7, header="Individuals Barred")}
+    "action_articles": f"""{ACTIONS.format(name="'Firm Co (CRD #' || c_custkey || ', Rome, NY)'", doc="c_nationkey * 1000000 + c_custkey // 200", every=7, header="Individuals Barred")}
 SELECT 'ENFORCEMENT' AS SEARCH_TERM_ID, name || ' - was fined.' AS TITLE, CAST(length(body) AS INTEGER) AS n, 'FINRA Disciplinary Actions' AS SOURCE, '2024-' || lpad(CAST(doc % 12 + 1 AS VARCHAR), 2, '0') || '-01' AS PUBLISHED_DATE,
   '/files/2024-' || lpad(CAST(doc % 12 + 1 AS VARCHAR), 2, '0') || '/n' || doc || '.pdf' AS LINK, 'enforcement:' || replace(lower(section), ' ', '_') AS CATEGORY FROM body WHERE length(body) >= 120""",
     "monthly_files": "SELECT DISTINCT url, month FROM (SELECT CASE WHEN o_orderkey % 3 = 0 THEN '/sites/files/' || strftime(o_orderdate, '%Y-%m') || '/actions.pdf' ELSE '/files/disciplinary-actions-' || lower(strftime(o_orderdate, '%B')) || '-' || strftime(o_orderdate, '%Y') || '.pdf' END AS url, strftime(o_orderdate, '%Y-%m') AS month FROM orders WHERE o_orderkey % 3 <> 2) ORDER BY month DESC, url LIMIT 12",
@@ -319,3 +319,4 @@ _WORDS = "list_filter(string_split_regex(lower(coalesce(text, '')), '[^\\p{L}\\p
 SQL["corpus_weights"] = f"""WITH d AS (SELECT doc_id, unnest(list_distinct({_WORDS})) AS word FROM documents), f AS (SELECT word, count(*) AS df FROM d GROUP BY word),
 w AS (SELECT item_id, word, count(*) AS n FROM (SELECT item_id, unnest({_WORDS}) AS word FROM benchmark) GROUP BY 1, 2)
 SELECT item_id AS item, word, round((1 + ln(n)) * greatest(ln(((SELECT count(DISTINCT doc_id) FROM documents) + 1)::DOUBLE / (coalesce(df, 0) + 1)), 0), 6) AS weight FROM w LEFT JOIN f USING (word)"""
+SQL["entity_model"] = "SELECT c_custkey, n_name || '|' || c_name AS entities FROM customer JOIN nation ON c_nationkey = n_nationkey"
