@@ -19,13 +19,15 @@ documents:
    shards, so no task grows with the corpus.
 4. Scoring: shard by shard, from its words' classes and counts.
 
-There are `n_classes` classes, or the cube root of the number of trained words if that is more.
+There are as many classes as the cube root of the number of trained words, or `n_classes` if that is given. Of
+equal gains a word takes the class of the lowest number.
 
 P(word | previous) = P(class | previous class) * P(word | class). Transitions are smoothed towards
 the class's own frequency; emissions add DELTA, and words never seen share one place in their class,
 which is the one that holds most of the rarer words of their shape.
 
-Null texts are empty: one token, the end. A null doc_id is held out of nothing and scored with the
+Null and empty texts are one token, the end; texts of any length are taken whole, as one shard if need be; an
+empty table gives an empty one. A null doc_id is held out of nothing and scored with the
 rest. Repeated rows count as often as they stand; extra columns are ignored. With no training
 tokens at all every word is unknown.
 """
@@ -43,7 +45,6 @@ from newsloom.llm.frames import batches, delete, recorded, runs, stored, texts
 from newsloom.llm.kernels import LOWER, SPACE_WORDS, buffer, slices, word_hashes, words
 
 MAX_WORDS = 20_000
-CLASSES = 48
 SWEEPS = 6
 SHARD_BYTES = 16_000_000
 N_SHAPES = 16
@@ -258,7 +259,7 @@ def best_class(w, classes, table, after, before, own, n_free):
     return (best, gain[best] - gain[g]) if gain[best] > gain[g] + 1e-9 else (int(g), 0.0)
 
 
-def exchange(pairs: DataFrame, frequent: Frequent, n_classes=CLASSES, sweeps=SWEEPS):
+def exchange(pairs: DataFrame, frequent: Frequent, n_classes: int, sweeps=SWEEPS):
     """(class of every symbol, class bigram table): the likeliest of all sweeps."""
     fixed = n_classes + np.arange(N_SHAPES + 1)
     rank = np.empty(frequent.n, np.int64)
@@ -536,7 +537,7 @@ class Model:
         )
 
 
-def score_corpus(docs: DataFrame, doc_id="doc_id", text="text", max_words=MAX_WORDS, n_classes=CLASSES, sweeps=SWEEPS) -> DataFrame:
+def score_corpus(docs: DataFrame, doc_id="doc_id", text="text", max_words=MAX_WORDS, n_classes: int | None = None, sweeps=SWEEPS) -> DataFrame:
     """One row per document: SCORES. Perplexity is 10 ** (-score / n_tokens)."""
     shards = stored(shard_table(docs, doc_id, text), "lm-shards")
     n_shards = max(shards.count(), 1)
@@ -544,7 +545,7 @@ def score_corpus(docs: DataFrame, doc_id="doc_id", text="text", max_words=MAX_WO
     n_train = docs.where(F.coalesce(F.crc32(F.col(doc_id).cast("string")), F.lit(0)) % 5 != 1).count()
     n, kinds = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     total, distinct = n + n_train, kinds + (n_train > 0)
-    n_classes = max(n_classes, round(kinds ** (1 / 3)))
+    n_classes = n_classes or max(round(kinds ** (1 / 3)), 2)
     least = total / max_words
     top = counts.where(F.col("n") >= least).select("h", "n").toArrow()  # at most max_words rows
     frequent = Frequent(np.asarray(top.column("h")).view(np.uint64), np.asarray(top.column("n")))
