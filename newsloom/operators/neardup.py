@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsloom.functions.text import block_key
@@ -221,10 +221,42 @@ def distinct_factors(pdf: pd.DataFrame, threshold=0.6, contained=0.8) -> pd.Data
     return pdf.iloc[sorted(kept, key=lambda i: pdf["seq"].iloc[i])][["filing", "seq"]]
 
 
+def factor_links(rows: DataFrame, threshold=0.6, contained=0.8) -> DataFrame:
+    """a, b: the pairs of a filing's distinct token sets that are similar, or of which one holds most of the other. rows: id, filing, tokens.
+
+    Tokens are ordered from the rarest of the filing on. A pair that shares enough tokens shares one of the first few of
+    each, so only those are looked up: frequent tokens, which most rows have, are hardly ever among them.
+    """
+    each = rows.select("id", "filing", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
+    often = each.groupBy("filing", "token").agg(F.count("*").alias("often"))
+    place = F.row_number().over(Window.partitionBy("id").orderBy("often", "token"))
+    least = min(threshold, contained)
+    first = each.join(often, ["filing", "token"]).withColumn("place", place).where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1)
+    met = first.select("filing", "token", F.col("id").alias("x")).join(each.select("filing", "token", F.col("id").alias("y")), ["filing", "token"]).where("x != y")
+    pairs = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    sets = rows.select("id", "tokens")
+    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("tokens").alias("ta")), "a").join(sets.select(F.col("id").alias("b"), F.col("tokens").alias("tb")), "b")
+    shared, small = F.size(F.array_intersect("ta", "tb")), F.least(F.size("ta"), F.size("tb"))
+    return both.where((shared >= (F.size("ta") + F.size("tb") - shared) * threshold - 1e-9) | (shared >= small * contained - 1e-9)).select("a", "b")
+
+
 def dedup_factors(df: DataFrame, text="text") -> DataFrame:
-    """df: filing, seq, text. Rows that stay, of each filing; a filing has tens of factors and is one task."""
-    rows = df.select("filing", "seq", F.length(text).alias("length"), content_tokens(F.col(text)).alias("tokens"))
-    return rows.groupBy("filing").applyInPandas(lambda pdf: distinct_factors(pdf), "filing string, seq long")
+    """df: filing, seq, text. The rows of each filing that stay.
+
+    Whether a factor stays depends on those it is similar to, so what links connect is worked through by itself, longest first;
+    a filing of any number of factors is never one task. Factors of the same tokens are merged before: the longest of them
+    stands for all. Factors without tokens stay.
+    """
+    folder = scratch(df.sparkSession, "factors")
+    rows = df.select("filing", "seq", F.length(text).alias("length"), F.array_sort(content_tokens(F.col(text))).alias("tokens"))
+    rows = neighbours.kept(rows.withColumn("id", F.monotonically_increasing_id()), folder, "rows")
+    best = F.struct((-F.col("length")).alias("by"), "seq", "id")
+    firsts = rows.where(F.size("tokens") > 0).groupBy("filing", "tokens").agg(F.min(best).alias("f"))
+    firsts = neighbours.kept(firsts.select("f.id", "filing", "f.seq", (-F.col("f.by")).alias("length"), "tokens"), folder, "firsts")
+    links = neighbours.kept(factor_links(firsts), folder, "links")
+    label = neighbours.components(firsts.select(F.col("id").alias("seq")), links, folder).withColumnRenamed("seq", "id")
+    stay = firsts.join(label, "id").groupBy("component").applyInPandas(lambda pdf: distinct_factors(pdf), "filing string, seq long")
+    return stay.unionByName(rows.where("size(tokens) = 0").select(F.col("filing").cast("string").alias("filing"), F.col("seq").cast("long").alias("seq")))
 
 
 def factor_pairs(df: DataFrame, group: str, text="text", threshold=0.6, contained=0.8) -> DataFrame:

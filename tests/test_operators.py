@@ -175,6 +175,21 @@ def test_similar_groups_find_nearly_all(spark, sf):
     assert set(out) == set(vectors) and sum(out[i] == out[j] for i, j in near) >= 0.9 * len(near)
 
 
+def test_factors_of_one_large_filing(spark):
+    """One filing of many factors, copies and factors without a word: the same as in one task."""
+    rng = np.random.default_rng(8)
+    words = [f"word{chr(97 + i)}{chr(97 + j)}" for i in range(8) for j in range(10)]
+    rows = []
+    for k in range(300):
+        own = list(rng.choice(words[(k % 6) * 12 : (k % 6) * 12 + 20], int(rng.integers(2, 14))))
+        rows.append(("f", k, " ".join([*own, "the", "risk"])))
+    rows += [("f", 300 + k, rows[k][2] + " and") for k in range(0, 60, 3)] + [("f", 400, ""), ("f", 401, "the of"), ("f", 402, None), ("g", 1, rows[0][2])]
+    df = spark.createDataFrame(rows, "filing string, seq long, text string")
+    pdf = df.select("filing", "seq", F.length("text").alias("length"), F.array_sort(neardup.content_tokens(F.col("text"))).alias("tokens")).fillna({"length": 0}).toPandas()
+    want = {(r.filing, r.seq) for _, g in pdf.groupby("filing") for r in neardup.distinct_factors(g.reset_index(drop=True)).itertuples()}
+    assert {(r["filing"], r["seq"]) for r in neardup.dedup_factors(df).collect()} == want and len(want) < 200
+
+
 def test_factor_dedup(spark, sf):
     stop = set(neardup.STOP_WORDS)
     import re
