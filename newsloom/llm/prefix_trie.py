@@ -154,12 +154,12 @@ def distinct_conversations(turns: DataFrame, convs: DataFrame) -> DataFrame:
 
 
 def refine(groups: DataFrame, turns: DataFrame, root) -> list[DataFrame]:
-    """The classes of each depth from 1 on: m (distinct conversations), n_convs, conv, parent and the sums to fold.
+    """The classes of each depth from 1 on: m (distinct conversations), n_convs, conv, parent, ended (the one that ends there) and the sums to fold.
 
     A class of one distinct conversation is retired: no later round splits it.
     """
     spark, zero = groups.sparkSession, F.lit(0).cast("bigint")
-    active = groups.where("length > 0").select("*", zero.alias("p1"), zero.alias("p2"), F.lit(root["conv"]).alias("parent"))
+    active = groups.where("length > 0").select("g", "length", "k", zero.alias("p1"), zero.alias("p2"), F.lit(root["conv"]).alias("parent"))
     levels, depth, split = [], 0, None
     while root["longest"] > 0:
         turn = turns.where(F.col("pos") == depth).drop("pos")
@@ -172,8 +172,8 @@ def refine(groups: DataFrame, turns: DataFrame, root) -> list[DataFrame]:
         classes = split.groupBy("c1", "c2").agg(
             F.count("*").alias("m"),
             F.sum("k").alias("n_convs"),
-            *[F.min(x).alias(y) for x, y in (("g", "conv"), ("parent", "parent"), ("p1", "p1"), ("p2", "p2"), ("bytes", "bytes"), ("suffix", "suffix"), ("sha", "sha"))],
-            F.max(F.when(F.col("length") == depth, F.col("sha"))).alias("ends"),
+            *[F.min(x).alias(y) for x, y in (("g", "conv"), ("parent", "parent"), ("p1", "p1"), ("p2", "p2"), ("bytes", "bytes"), ("suffix", "suffix"))],
+            F.max(F.when(F.col("length") == depth, F.col("g"))).alias("ended"),
             F.max("length").alias("longest"),
         )
         levels.append(stored(classes, "trie-classes"))
@@ -181,7 +181,7 @@ def refine(groups: DataFrame, turns: DataFrame, root) -> list[DataFrame]:
         if levels[-1].where((F.col("m") > 1) & (F.col("longest") > depth)).isEmpty():
             break
         kept = split.where(F.col("length") > depth).join(on.hint("merge"), ["c1", "c2"])
-        active = kept.select("g", "length", "k", "sha", F.col("c1").alias("p1"), F.col("c2").alias("p2"), F.col("above").alias("parent"))
+        active = kept.select("g", "length", "k", F.col("c1").alias("p1"), F.col("c2").alias("p2"), F.col("above").alias("parent"))
     return levels
 
 
@@ -219,31 +219,30 @@ def prefix_trie(table: DataFrame, conv_id="conv_id", turn="turn", role="role", t
         groups = distinct_conversations(turns, convs)
         mine = turns.join(groups.select(F.col("g").alias("c")).hint("merge"), "c", "left_semi").withColumnRenamed("c", "g")
         mine = stored(mine.repartitionByRange("pos", "g").sortWithinPartitions("pos", "g"), "trie-distinct-turns")
-        root = groups.agg(F.min("g").alias("conv"), F.sum("k").alias("n_convs"), F.max(F.when(F.col("length") == 0, F.col("sha"))).alias("ends"), F.coalesce(F.max("length"), F.lit(0)).alias("longest")).first()
+        root = groups.agg(F.min("g").alias("conv"), F.sum("k").alias("n_convs"), F.max(F.when(F.col("length") == 0, F.col("g"))).alias("ended"), F.coalesce(F.max("length"), F.lit(0)).alias("longest")).first()
         levels = fold(refine(groups, mine, root))
-        kinds = "conv_id bigint, depth bigint, parent_conv_id bigint, n_convs bigint, n_children bigint, n_leaves bigint, saved_tokens bigint, ends_sha256 string"
-        top = (0, 1, 0)
-        if levels:
-            sums = levels[0].agg(F.count("*"), F.sum("n_leaves"), F.sum("saved_tokens")).first()
-            top = tuple(sums)
-        tree = spark.createDataFrame([] if root["conv"] is None else [(root["conv"], 0, None, root["n_convs"], *top, root["ends"] or EMPTY)], kinds)
-        for depth, level in enumerate(levels, 1):
-            nodes = level.where("m > 1").select(F.col("conv").alias("conv_id"), F.lit(depth).cast("bigint").alias("depth"), F.col("parent").alias("parent_conv_id"), *COLUMNS[3:7], F.coalesce("ends", F.lit(EMPTY)).alias("ends_sha256"))
-            tree = tree.unionByName(nodes)
-            alone = level.where("m = 1").select(F.col("conv").alias("g"), "parent", "n_convs", "longest", "sha")
-            chain = alone.join(mine.where(F.col("pos") >= depth - 1).select("g", "pos", "suffix").hint("merge"), "g")
-            here = F.col("pos") + 1
-            tree = tree.unionByName(
-                chain.select(
-                    F.col("g").alias("conv_id"),
-                    here.alias("depth"),
-                    F.when(here == depth, F.col("parent")).otherwise(F.col("g")).alias("parent_conv_id"),
-                    "n_convs",
-                    F.when(here < F.col("longest"), 1).otherwise(0).cast("bigint").alias("n_children"),
-                    F.lit(1).cast("bigint").alias("n_leaves"),
-                    ((F.col("n_convs") - 1) * F.col("suffix")).alias("saved_tokens"),
-                    F.when(here == F.col("longest"), F.col("sha")).otherwise(EMPTY).alias("ends_sha256"),
-                )
-            )
-    delete(spark, made, (mine, *levels))
-    return tree.select(*COLUMNS)
+    delete(spark, made, (mine, groups, *levels))
+    top = tuple(levels[0].agg(F.count("*"), F.sum("n_leaves"), F.sum("saved_tokens")).first()) if levels else (0, 1, 0)
+    kinds = "conv_id bigint, depth bigint, parent_conv_id bigint, n_convs bigint, n_children bigint, n_leaves bigint, saved_tokens bigint, ended bigint"
+    nodes = spark.createDataFrame([] if root["conv"] is None else [(root["conv"], 0, None, root["n_convs"], *top, root["ended"])], kinds)
+    alone = spark.createDataFrame([], "g bigint, top bigint, parent bigint")
+    for depth, level in enumerate(levels, 1):
+        at = F.lit(depth).cast("bigint")
+        nodes = nodes.unionByName(level.where("m > 1").select(F.col("conv").alias("conv_id"), at.alias("depth"), F.col("parent").alias("parent_conv_id"), *COLUMNS[3:7], "ended"))
+        alone = alone.unionByName(level.where("m = 1").select(F.col("conv").alias("g"), at.alias("top"), "parent"))
+    ends = groups.select(F.col("g").alias("ended"), "sha")
+    nodes = nodes.join(ends.hint("merge"), "ended", "left").withColumn("ends_sha256", F.coalesce("sha", F.lit(EMPTY)))
+    # The chains of all retired classes, from the node at `top` down.
+    here = F.col("pos") + 1
+    chains = alone.join(groups.hint("merge"), "g").join(mine.select("g", "pos", "suffix").hint("merge"), "g").where(here >= F.col("top"))
+    chains = chains.select(
+        F.col("g").alias("conv_id"),
+        here.alias("depth"),
+        F.when(here == F.col("top"), F.col("parent")).otherwise(F.col("g")).alias("parent_conv_id"),
+        F.col("k").alias("n_convs"),
+        F.when(here < F.col("length"), 1).otherwise(0).cast("bigint").alias("n_children"),
+        F.lit(1).cast("bigint").alias("n_leaves"),
+        ((F.col("k") - 1) * F.col("suffix")).alias("saved_tokens"),
+        F.when(here == F.col("length"), F.col("sha")).otherwise(EMPTY).alias("ends_sha256"),
+    )
+    return nodes.select(*COLUMNS).unionByName(chains)
