@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable
-from urllib.parse import parse_qsl, urlsplit
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -854,23 +852,21 @@ def structured_rows(spark, sf):
 ENDPOINT = "https://api.test/1/news"
 
 
-def scan_transport(url: str) -> tuple[int, bytes]:
-    """Stands in for a news service: a term of n letters has n articles, three a page; the same story turns up under every term."""
-    asked = dict(parse_qsl(urlsplit(url).query))
-    term, page = asked["q"], int(asked.get("page", 0))
-    if term.startswith("A"):
-        return 404, b"no such term"
-    own = range(page * 3, min(page * 3 + 3, len(term)))
-    results = [{"title": f"{term} {k}", "link": "http://same/" if k == 1 else f"http://{term.lower()}/{k}", "pubDate": "2024-05-06", "source_id": None if k else "wire"} for k in own]
-    more = {"nextPage": str(page + 1)} if page * 3 + 3 < len(term) else {}
-    return 200, json.dumps({"results": results, **more}).encode()
-
-
 @query
 def keyword_scan(spark, sf):
+    # The answers to a nation's scan: as many articles as its name has letters, three a page; one story turns up under every name.
     terms = table(spark, sf, "nation").select(F.col("n_nationkey").alias("RISK_ID"), F.col("n_name").alias("term"))
-    found = lanes.scanned(lanes.keyword_plan(terms, ENDPOINT, 3), scan_transport, rows=8, size=3)
-    known = spark.createDataFrame([("HTTP://BRAZIL/0 ",)], "LINK string")
+    plan = lanes.keyword_plan(terms, ENDPOINT, 3)
+    letters = F.length("term")
+    page = plan.withColumn("page", F.explode(F.sequence(F.lit(0), F.floor((letters - 1) / 3).cast("int"))))
+    link = lambda k: F.when(k == 1, "http://same/").otherwise(F.concat(F.lit("http://"), F.lower("term"), F.lit("/"), k.cast("string")))
+    item = lambda k: F.struct(F.concat_ws(" ", "term", k.cast("string")).alias("title"), link(k).alias("link"), F.lit("2024-05-06").alias("pubDate"), F.when(k == 0, "wire").alias("source_id"))
+    places = F.sequence(F.col("page") * 3, F.least(F.col("page") * 3 + 2, letters - 1))
+    body = F.to_json(F.struct(F.transform(places, item).alias("results"), F.when(F.col("page") * 3 + 3 < letters, (F.col("page") + 1).cast("string")).alias("nextPage")))
+    token = F.when(F.col("page") == 0, "").otherwise(F.col("page").cast("string"))
+    answers = page.select("url", token.alias("token"), F.when(F.col("term").startswith("A"), 404).otherwise(200).alias("status"), body.alias("body"))
+    found = lanes.scan_stored(plan, answers, scratch(spark, "scan"), rows=8, size=3)
+    known = terms.where("term = 'BRAZIL'").select(F.concat(F.lit("HTTP://"), "term", F.lit("/0 ")).alias("LINK"))
     return lanes.fresh(found, known, "RISK_ID").select(F.col("RISK_ID").alias("risk"), F.col("GOOGLE_INDEX").alias("place"), F.col("TITLE").alias("title"), F.col("LINK").alias("link"), F.col("SOURCE").alias("source"), "requests")
 
 

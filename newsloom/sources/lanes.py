@@ -18,6 +18,7 @@ from newsloom.operators import corpus
 from newsloom.operators.report import RISK_PHRASES
 from newsloom.sources import documents
 from newsloom.sources.fetch import Transport, with_retries
+from newsloom.sources.stages import exists
 
 PER_TERM = 10
 OLDEST_DAYS = 45
@@ -129,6 +130,52 @@ def scanned(plan: DataFrame, transport: Transport, pages: int | None = None, row
     return got.withColumn("SOURCE", F.coalesce("SOURCE", X.source_slug("LINK")))
 
 
+ANSWER = "results array<struct<title:string,link:string,pubDate:string,description:string,content:string,source_id:string>>, nextPage string"
+
+
+def scan_stored(plan: DataFrame, answers: DataFrame, path: str, pages: int | None = None, rows: int | None = PER_TERM, size: int | None = PER_TERM, rounds: int | None = None) -> DataFrame:
+    """scanned() over stored answers: url, token ("" for a scan's first page), status, body.
+
+    All scans take one page a round: a join of the addresses and tokens asked for with the answers. What a round brings is
+    kept below `path` before the next begins, so a scan that is stopped goes on from its last round, and `rounds` bounds how
+    many are taken at once. Many scans are many rows of the join; no page is asked for twice.
+    """
+    spark = plan.sparkSession
+    ask = plan.select("url").distinct().select("url", F.lit("").alias("token"), F.lit(0).alias("had"), F.lit(0).alias("asked"))
+    done, n = [], 0
+    while True:
+        folder = f"{path}/round={n}"
+        if not exists(spark, f"{folder}/_SUCCESS"):
+            if rounds is not None and n >= max(rounds, 1):
+                break
+            hit = ask.join(answers.select("url", "token", "status", "body"), ["url", "token"], "left")
+            hit = hit.withColumn("answer", F.from_json(F.when(F.col("status") == 200, F.col("body").cast("string")), ANSWER))
+            items = F.coalesce("answer.results", F.array().cast("array<struct<title:string,link:string,pubDate:string,description:string,content:string,source_id:string>>"))
+            got = hit.select("url", "token", "had", (F.col("asked") + 1).alias("asked"), items.alias("items"), F.col("answer.nextPage").alias("next"))
+            got = got.withColumn("have", F.col("had") + F.size("items"))
+            more = (F.coalesce("next", F.lit("")) != "") & (F.lit(True) if size is None else F.size("items") >= size)
+            for cap, at in ((pages, "asked"), (rows, "have")):
+                more = more if cap is None else more & (F.col(at) < cap)
+            got.withColumn("next", F.when(more, F.col("next"))).write.mode("overwrite").parquet(folder)
+        page = spark.read.parquet(folder)
+        done.append(page)
+        ask = page.where("next is not null").select("url", F.col("next").alias("token"), F.col("have").alias("had"), "asked")
+        n += 1
+        if ask.isEmpty():
+            break
+    every = done[0]
+    for page in done[1:]:
+        every = every.unionByName(page)
+    total = every.groupBy("url").agg(F.max("asked").cast("int").alias("requests"))
+    each = every.select("url", "had", F.posexplode("items").alias("k", "i")).withColumn("GOOGLE_INDEX", (F.col("had") + F.col("k") + 1).cast("int"))
+    each = each if rows is None else each.where(F.col("GOOGLE_INDEX") <= rows)
+    text = F.coalesce(F.when(F.col("i.description") != "", F.col("i.description")), F.col("i.content"), F.lit(""))
+    filled = lambda c: F.coalesce(c, F.lit(""))
+    out = each.select("url", "GOOGLE_INDEX", filled("i.title").alias("TITLE"), filled("i.link").alias("LINK"), filled("i.pubDate").alias("PUBLISHED_DATE"), text.alias("SUMMARY"), F.col("i.source_id").alias("SOURCE"))
+    out = out.withColumn("SOURCE", F.coalesce("SOURCE", X.source_slug("LINK"))).join(total, "url")
+    return plan.join(out, "url").drop("url")
+
+
 def fresh(articles: DataFrame, known: DataFrame, *order: str) -> DataFrame:
     """Scanned articles with a link that neither the corpus nor an earlier row of the scan has."""
     link = F.lower(X.blank_to_null("LINK"))

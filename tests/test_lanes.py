@@ -1,5 +1,6 @@
 """Lanes, versions, resumable fetching, merged topics: what no query over the test tables can show."""
 
+import os
 import shutil
 
 import pytest
@@ -25,6 +26,37 @@ def test_scan_stops_at_errors_pages_and_short_pages():
     assert lanes.pages_of("u", lambda u: (404, b""), None, 10, 2, 1) == ([], 1)
 
 
+@pytest.mark.parametrize(("pages", "rows", "size"), [(None, 10, 3), (2, None, None), (None, None, 2), (None, 4, None)])
+def test_stored_answers_give_what_requests_give(spark, tmp_path, pages, rows, size):
+    """Pages by token, short pages, pages that fail or are no JSON, scans without an answer; taken up again after a stop."""
+    import json
+    import random
+
+    rng = random.Random(3)
+    answers = {}
+    for q in range(12):
+        url = f"http://api?q={q}"
+        for page in range(rng.randint(0, 5)):
+            items = [{"title": f"{q}.{page}.{k}", "link": f"http://l/{q}/{page}/{k}", "description": rng.choice([None, "", "text"]), "content": rng.choice([None, "more"]), "source_id": rng.choice([None, "wire"])} for k in range(rng.choice([0, 1, 2, 3, 3, 3]))]
+            body = json.dumps({"results": items, "nextPage": f"t{page + 1}"}) if rng.random() < 0.9 else "no json"
+            answers[url, "" if page == 0 else f"t{page}"] = (rng.choice([200] * 9 + [500]), body)
+
+    def transport(url):
+        base, _, token = url.partition("&page=")
+        return (lambda a: (a[0], a[1].encode()))(answers.get((base, token), (404, "")))
+
+    plan = spark.createDataFrame([(q, f"http://api?q={q}") for q in range(13)], "term int, url string")
+    stored = spark.createDataFrame([(*k, *v) for k, v in answers.items()], "url string, token string, status int, body string")
+    first = lanes.scan_stored(plan, stored, str(tmp_path / "s"), pages, rows, size, rounds=1)
+    assert {r["GOOGLE_INDEX"] for r in first.collect()} <= {1, 2, 3}
+    begun = os.stat(tmp_path / "s" / "round=0" / "_SUCCESS").st_mtime_ns
+    got = lanes.scan_stored(plan, stored, str(tmp_path / "s"), pages, rows, size)
+    want = lanes.scanned(plan, transport, pages, rows, size, tries=1)
+    order = sorted(want.columns)
+    assert sorted(map(str, got.select(order).collect())) == sorted(map(str, want.select(order).collect())) and want.count() > 20
+    assert os.stat(tmp_path / "s" / "round=0" / "_SUCCESS").st_mtime_ns == begun  # nothing was asked for again
+
+
 def test_fetching_is_taken_up_again(spark, tmp_path):
     log, path = tmp_path / "log", str(tmp_path / "cache")
 
