@@ -906,6 +906,20 @@ def enforcement_bodies(spark, sf):
     return lanes.enforcement(b).select("url", "kind", "title", F.md5(F.col("text").cast("binary")).alias("md5"))
 
 
+@query
+def enforcement_listing(spark, sf):
+    # Up to 200 customers of a nation are the rows of a listing of each stream, every row twice; every third has a date of its own.
+    c = table(spark, sf, "customer").select("c_custkey", "c_name", (F.col("c_nationkey") * 1_000_000 + F.floor(F.col("c_custkey") / 200)).alias("doc"), F.when(F.col("c_custkey") % 2 == 0, "admin").otherwise("litigation").alias("stream"))
+    k = F.col("c_custkey").cast("string")
+    row = F.concat(F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit('<time datetime="2024-03-0'), (F.col("c_custkey") % 9 + 1).cast("string"), F.lit('T10:00">'))).otherwise(F.lit("")), F.lit("<td class='release-view__respondents'><a href='/lit/"), k, F.lit("' hreflang=en>"), F.col("c_name"), F.lit(" <b>and\n others</b></a></td>"))
+    rows = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("c_custkey", row.alias("t")))), lambda s: s["t"]), "")
+    pages = c.groupBy("doc", "stream").agg(rows.alias("html")).withColumn("html", F.concat("html", "html"))
+    long = F.repeat(F.concat(F.lit("The firm "), F.col("c_name"), F.lit(" did so. ")), 30)
+    text = F.concat(F.when(F.col("stream") == "admin", "ORDER INSTITUTING PROCEEDINGS I. Caption. III. ").otherwise("Litigation Release No. 123 / January 5, 2024 \nSEC Charges Firm With Fraud\n"), long)
+    bodies = c.select(F.concat(F.lit("https://www.sec.gov/lit/"), k).alias("url"), text.alias("text"))
+    return lanes.enforcement_articles(lanes.enforcement_listed(pages), bodies).select("title", F.md5(F.col("text").cast("binary")).alias("md5"), "source", "date", "link", "category")
+
+
 @query
 def action_articles(spark, sf):
     # A monthly file holds up to 200 customers of a nation.

@@ -320,3 +320,7 @@ SQL["corpus_weights"] = f"""WITH d AS (SELECT doc_id, unnest(list_distinct({_WOR
 w AS (SELECT item_id, word, count(*) AS n FROM (SELECT item_id, unnest({_WORDS}) AS word FROM benchmark) GROUP BY 1, 2)
 SELECT item_id AS item, word, round((1 + ln(n)) * greatest(ln(((SELECT count(DISTINCT doc_id) FROM documents) + 1)::DOUBLE / (coalesce(df, 0) + 1)), 0), 6) AS weight FROM w LEFT JOIN f USING (word)"""
 SQL["entity_model"] = "SELECT c_custkey, n_name || '|' || c_name AS entities FROM customer JOIN nation ON c_nationkey = n_nationkey"
+SQL["enforcement_listing"] = """WITH c AS (SELECT c_custkey AS k, c_name AS name, c_custkey % 2 = 0 AS admin, c_nationkey * 1000000 + c_custkey // 200 AS doc, trim(repeat('The firm ' || c_name || ' did so. ', 30)) AS t FROM customer),
+d AS (SELECT *, max(CASE WHEN k % 3 = 0 THEN k END) OVER (PARTITION BY doc, admin ORDER BY k ROWS UNBOUNDED PRECEDING) AS dated FROM c)
+SELECT CASE WHEN admin THEN name || ' and others' ELSE 'SEC Charges Firm With Fraud' END AS title, md5(CASE WHEN admin THEN t ELSE 'SEC Charges Firm With Fraud' || chr(10) || t END) AS md5, 'SEC' AS source,
+  CASE WHEN dated IS NULL THEN '' ELSE '2024-03-0' || (dated % 9 + 1) END AS date, 'https://www.sec.gov/lit/' || k AS link, CASE WHEN admin THEN 'sec:administrative_proceeding' ELSE 'sec:litigation_release' END AS category FROM d"""

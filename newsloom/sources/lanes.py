@@ -40,7 +40,8 @@ STREAMS = [
     ("litigation", "/enforcement-litigation/litigation-releases", "litigation_release", False),
     ("admin", "/enforcement-litigation/administrative-proceedings", "administrative_proceeding", True),
 ]
-RESPONDENT_LINK = r"""release-view__respondents'><a href=['"]([^'"#?]+)['"]"""
+# The link of a row, up to the end of the name it bears.
+RESPONDENT_LINK = r"""(?s)release-view__respondents'><a href=['"]([^'"#?]+['"][^>]*>.*?)</a>"""
 MONTHLY_FILE = r"(?i)disciplinary[-_]actions[-_]([a-z]+)[-_](\d{4})"
 
 
@@ -227,6 +228,29 @@ def enforcement(bodies: DataFrame) -> DataFrame:
     return bodies.select("url", "kind", title.alias("title"), documents.scrubbed(own).alias("text"))
 
 
+def enforcement_listed(pages: DataFrame, keys=("doc",), site="https://www.sec.gov") -> DataFrame:
+    """Rows of the listings of both streams (keys, stream, html): keys, kind, url, name of the respondent, date; each link of a page once."""
+    out = None
+    for stream, _, kind, _ in STREAMS:
+        links = documents.dated_links(pages.where(F.col("stream") == stream), RESPONDENT_LINK, "html", keys)
+        link = F.regexp_extract("link", r"""^([^'"]+)""", 1)
+        url = F.when(F.startswith(link, F.lit("http")), link).otherwise(F.concat(F.lit(site), link))
+        name = X.collapse(F.regexp_replace(F.regexp_extract("link", r"(?s)^[^>]*>(.*)$", 1), "<[^>]+>", " "))
+        rows = links.select(*keys, F.lit(kind).alias("kind"), url.alias("url"), name.alias("name"), "date", "pos")
+        first = F.row_number().over(Window.partitionBy(*keys, "url").orderBy("pos"))
+        one = rows.withColumn("_n", first).where("_n = 1").drop("_n", "pos")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def enforcement_articles(links: DataFrame, bodies: DataFrame) -> DataFrame:
+    """Articles of listed enforcement releases: title, text, source, date, link, category. bodies: url, text. A link that several pages list is one article."""
+    once = corpus.first_of(links, "url", F.desc("date"), "name")
+    named = once.join(bodies.select("url", "text"), "url")
+    made = enforcement(named.select("url", "kind", "name", "text")).join(once.select("url", "date"), "url")
+    return made.select("title", "text", F.lit("SEC").alias("source"), "date", F.col("url").alias("link"), F.concat(F.lit("sec:"), F.col("kind")).alias("category"))
+
+
 def actions(files: DataFrame) -> DataFrame:
     """Articles of monthly compilations (url, text): title, text, source, date, link, category. The month is the address's."""
     each = documents.split_actions(files.select("url", "text"), keys=("url",))
