@@ -324,3 +324,5 @@ SQL["enforcement_listing"] = """WITH c AS (SELECT c_custkey AS k, c_name AS name
 d AS (SELECT *, max(CASE WHEN k % 3 = 0 THEN k END) OVER (PARTITION BY doc, admin ORDER BY k ROWS UNBOUNDED PRECEDING) AS dated FROM c)
 SELECT CASE WHEN admin THEN name || ' and others' ELSE 'SEC Charges Firm With Fraud' END AS title, md5(CASE WHEN admin THEN t ELSE 'SEC Charges Firm With Fraud' || chr(10) || t END) AS md5, 'SEC' AS source,
   CASE WHEN dated IS NULL THEN '' ELSE '2024-03-0' || (dated % 9 + 1) END AS date, 'https://www.sec.gov/lit/' || k AS link, CASE WHEN admin THEN 'sec:administrative_proceeding' ELSE 'sec:litigation_release' END AS category FROM d"""
+SQL["filing_factors"] = """WITH f AS (SELECT p_partkey, 'Our cafe - ' || p_name || ' may fail to meet demand.' AS a, 'Rules & taxes of ' || p_type || ' could rise at any time and hurt.' AS b FROM part)
+SELECT p_partkey, md5(repeat(a || ' ', 8) || 'Once more, naively.') AS md5, a AS title FROM f UNION ALL SELECT p_partkey, md5(rtrim(repeat(b || ' ', 8))), b FROM f"""

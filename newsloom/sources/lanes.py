@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from newsloom.functions import text as X
-from newsloom.operators import corpus
+from newsloom.operators import corpus, neardup
 from newsloom.operators.report import RISK_PHRASES
 from newsloom.sources import documents
 from newsloom.sources.fetch import Transport, with_retries
@@ -289,3 +289,12 @@ def risk_section(text: Column | str) -> Column:
     found = F.regexp_extract_all(t, F.lit(r"(?is)\bitem\s+1a\b[.:\s]*(?:risk\s+factors)?[.:\s]*(.*?)(?=\bitem\s+(?:1b|1c|2)\b|\z)"), F.lit(1))
     longest = F.aggregate(found, F.lit(""), lambda a, x: F.when(F.length(F.trim(x)) > F.length(a), F.trim(x)).otherwise(a))
     return longest
+
+
+def filing_factors(filings: DataFrame, key="filing", text="text") -> DataFrame:
+    """key, seq, title, text: the distinct risk factors of each filing, from its text with character references and marks."""
+    sections = filings.select(F.col(key).alias("filing"), risk_section(X.unescape(F.col(text))).alias("text")).where("text is not null")
+    each = documents.factors(sections).withColumn("text", X.transliterated("text")).where(F.length("text") >= documents.MIN_FACTOR)
+    stay = neardup.dedup_factors(each.withColumn("filing", F.col("filing").cast("string")))
+    named = each.withColumn("_filing", F.col("filing").cast("string")).join(stay.select(F.col("filing").alias("_filing"), "seq"), ["_filing", "seq"], "left_semi")
+    return named.select(F.col("filing").alias(key), "seq", documents.factor_title(F.col("text")).alias("title"), "text")
