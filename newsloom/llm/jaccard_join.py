@@ -21,7 +21,8 @@ stars over those edges give the classes.
 Copies of one text are one node with its smallest doc_id. Null texts count as empty; a text
 without words links to nothing but its copies. Texts of any length are taken whole; a node's blocks
 are made smaller by the bytes of its texts. Rows with a null doc_id, and texts whose smallest doc_id
-another text has too, are numbered by their text, after all others. Extra columns are ignored.
+another text has too, are numbered by their text, after all others. Repeated rows are copies; an empty table
+gives an empty one. Extra columns are ignored.
 """
 
 from __future__ import annotations

@@ -11,7 +11,7 @@ the logarithm of the classes' sizes.
 Null texts count as empty and are scored like any other; texts are read whole, whatever their length. Rows with a null doc_id are never learned
 from. Labels that are null or neither 0 nor 1 are left out; repeated labels count as often as they
 stand. With a class that has no labelled row at all, the score is the share of class 1 (0.5 without
-any label). Extra columns are ignored.
+any label). Repeated rows are scored one by one; an empty table gives an empty one. Extra columns are ignored.
 """
 
 from __future__ import annotations

@@ -10,7 +10,8 @@ Decoding joins the pieces; byte pieces are their bytes, so every text comes back
 with U+2581 or characters outside the vocabulary too.
 
 Null texts are encoded as empty ones: no ids, decoded as "". A null key counts as 0. Repeated
-rows, having the same key, get the same ids; extra columns are ignored.
+rows, having the same key, get the same ids; an empty table gives an empty one; texts of any length are taken whole,
+chunk by chunk; extra columns are ignored.
 """
 
 from __future__ import annotations

@@ -4,8 +4,8 @@ Counts the ids a unigram tokenizer with this vocabulary gives each whole text, w
 them. Tie rules are the tokenizer's: a path replaces another of the same score only if it is
 strictly better, paths being tried from the earliest start, so the longer last piece wins.
 
-Null and empty texts have no tokens and score 0. Repeated rows are counted one by one; extra
-columns are ignored. Texts are counted whole, whatever their length.
+Null and empty texts have no tokens and score 0. Repeated rows are counted one by one; an empty table
+gives an empty one; extra columns are ignored. Texts are counted whole, whatever their length.
 """
 
 from __future__ import annotations
