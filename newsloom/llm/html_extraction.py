@@ -81,7 +81,7 @@ def roles_of(tag: str, raw: str) -> tuple[int, int, int]:
     return said, bits, other
 
 
-N_FEATURES = 18 + N_GROUPS + 2 * N_ROLES
+N_FEATURES = 19 + N_GROUPS + 2 * N_ROLES
 
 
 def node_features(page: Page):
@@ -116,6 +116,13 @@ def node_features(page: Page):
     total = max(seen, 1)
     depth, place, bits, above = [0] * n, [0] * n, [0] * n, [0] * n
     given, words = [0] * n, [0] * n
+    # 1 for what lies outside the page's article or main element, if one holds a good part of the text.
+    around, within = [False] * n, [False] * n
+    for k in range(1, n):
+        within[k] = within[parent[k]] or (page.tags[k] in ("article", "main") and sub[k] >= MAIN_SHARE * total)
+    for k in range(n - 1, 0, -1):
+        around[parent[k]] = around[parent[k]] or around[k] or within[k]
+    outside = [int(around[0] and not within[k] and not around[k]) for k in range(n)]
     x = np.zeros((n, N_FEATURES))
     rows = []
     for k in range(n):
@@ -131,7 +138,7 @@ def node_features(page: Page):
             given[p] += 1
             above[k] = above[p] | bits[p]
         up = max(p, 0)
-        rows.append((own[k], sub[k], sub_link[k], sub_tags[k], sub_p[k], kids[k], depth[k], place[k], kids[up], sub[up] - sub[k], blocks[k], stops[k], longest[k], max(before[k], 0), total, TAG_GROUPS.get(page.tags[k], N_GROUPS - 1), bits[k], above[k], words[k]))
+        rows.append((own[k], sub[k], sub_link[k], sub_tags[k], sub_p[k], kids[k], depth[k], place[k], kids[up], sub[up] - sub[k], blocks[k], stops[k], longest[k], max(before[k], 0), total, TAG_GROUPS.get(page.tags[k], N_GROUPS - 1), bits[k], above[k], words[k], outside[k]))
     r = np.array(rows, float)
     x[:, 0] = np.log1p(r[:, 0])
     x[:, 1] = np.log1p(r[:, 1])
@@ -150,7 +157,7 @@ def node_features(page: Page):
     x[:, 14] = r[:, 13] / r[:, 14]
     x[:, 15] = r[:, 1] / r[:, 14]
     x[:, 16] = np.log1p(r[:, 14])
-    x[:, -1] = r[:, 18]
+    x[:, -2:] = r[:, 18:20]
     x[np.arange(n), 17 + r[:, 15].astype(int)] = 1
     for j in range(N_ROLES):
         x[:, 17 + N_GROUPS + j] = (r[:, 16].astype(int) >> j) & 1
@@ -207,14 +214,14 @@ def _links(r, lo, hi, tag="li", shortest=1, longest=3):
     return "".join(f'<{tag}><a href="/{i}">{_words(r, shortest, longest)}</a></{tag}>' for i in range(r.randint(lo, hi)))
 
 
-def _boilerplate(r: random.Random) -> str:
-    """One part that is not content, in one of the ways pages mark it."""
+def _boilerplate(r: random.Random, outside=False) -> str:
+    """One part that is not content, in one of the ways pages mark it; outside an article element it may bear a name that tells nothing."""
     kind = r.choice(["menu", "header", "footer", "side", "ad", "notice", "form", "comment", "share"])
     tag = r.choice(["div", "section", "div"])
     token = r.choice(ROLES[kind].split())
     name = r.choice([f'class="{token}"', f'id="{token}"', f'class="{token}-box x{r.randint(1, 9)}"', f'class="site-{token}"', f'role="{token}"'])
-    if kind in ("menu", "header", "footer") and r.random() < 0.2:  # a name that tells nothing: only place and structure do
-        name = r.choice(['class="top"', 'class="bottom"', f'class="c{r.randint(1, 9)}"', 'class="row"', ""])
+    if (kind in ("menu", "header", "footer") or outside and kind in ("side", "comment")) and r.random() < (0.35 if kind == "footer" else 0.2):  # only place and structure tell
+        name = r.choice(['class="top"', 'class="bottom"', f'class="c{r.randint(1, 9)}"', 'class="row"', f'class="{"".join(r.choices(_SYLLABLES, k=3))}"', ""])
     if kind == "menu":
         return r.choice([f"<nav><ul>{_links(r, 3, 9)}</ul></nav>", f"<{tag} {name}><ul>{_links(r, 2, 9)}</ul></{tag}>", f"<nav {name}>{_links(r, 2, 6, 'span')}</nav>"])
     if kind == "header":
@@ -231,6 +238,8 @@ def _boilerplate(r: random.Random) -> str:
         each = r.choice(["<li>{}</li>", "<div class=\"comment\"><p>{}</p></div>", "<p>{}</p>", "<article><h4>{}</h4><p>{}</p></article>"])
         inner = "".join(each.replace("{}", _words(r, 3, 60)) for _ in range(r.randint(1, 6)))
         head = r.choice(["", f"<h3>{_words(r, 1, 2)}</h3>"])
+        if outside and r.random() < 0.3:
+            return f"<{tag} {name}>{head}{inner}</{tag}>"
         return r.choice([f"<{tag} {name}>{head}{inner}</{tag}>", f'<section id="comments">{head}<ol>{inner}</ol></section>', f'<div class="comments">{head}{inner}</div>'])
     inner = r.choice([_words(r, 2, 25), f"<p>{_words(r, 2, 40)}</p>", f'<p>{_words(r, 2, 12)} <a href="/x">{_words(r, 1, 3)}</a></p>'])
     return f"<{tag} {name}>{inner}</{tag}>"
@@ -284,9 +293,10 @@ def training_page(seed: int):
         wrap = f"<{tag} {_named(r)}>{{}}</{tag}>"
     if r.random() < 0.05:  # a page that is nothing but its content
         return f"<html><body>\ue003{content}\ue004</body></html>"
-    after = [_boilerplate(r) for _ in range(r.randint(0, 3))]
+    marked = wrap.startswith(("<article", "<main"))
+    after = [_boilerplate(r, marked) for _ in range(r.randint(0, 3))]
     inside = [f"\ue001{_boilerplate(r)}\ue002" for _ in range(r.choice([0, 0, 1]))]
-    body = "".join([*[_boilerplate(r) for _ in range(r.randint(0, 4))], "\ue003", wrap.replace("{}", content + "".join(inside)), "\ue004", *after])
+    body = "".join([*[_boilerplate(r, marked) for _ in range(r.randint(0, 4))], "\ue003", wrap.replace("{}", content + "".join(inside)), "\ue004", *after])
     return f"<html><head><title>{_words(r, 2, 6)}</title></head><body>{r.choice(['{}', '<div class=wrapper>{}</div>', '<div id=page><div class=row>{}</div></div>']).replace('{}', body)}</body></html>"
 
 
@@ -324,7 +334,7 @@ def labelled(source: str):
 
 
 @functools.lru_cache(maxsize=2)
-def trained(n_pages=900, n_trees=60, depth=5) -> Trees:
+def trained(n_pages=1500, n_trees=60, depth=5) -> Trees:
     rows = [r for s in range(n_pages) if (r := labelled(training_page(s))) is not None and len(r[1])]
     return fit(np.concatenate([r[0] for r in rows]), np.concatenate([r[1] for r in rows]), n_trees, depth)
 

@@ -176,3 +176,22 @@ def test_trees_against_a_sum_of_leaves(trees):
                 node = 2 * node + (2 if row[f[node]] > t[node] else 1)
             total += leaves[node - len(f)]
         assert abs(total - logit) < 1e-9
+
+
+def test_parts_beside_and_inside_an_article(trees):
+    """Comments that nothing names go, with the page's article element to tell; parts of an article stay whatever they are called."""
+    text = prose(4)
+    nav, foot = "<nav><ul><li><a href=/a>Home</a><li><a href=/b>News</a></ul></nav>", "<footer>&copy; Site</footer>"
+    start, end = "<article><h1>Head of it all</h1>" + "".join(f"<p>{t}</p>" for t in text[:2]), "".join(f"<p>{t}</p>" for t in text[2:]) + "</article>"
+    whole = ["Head of it all", *text]
+    kept = lambda body: extract_many([f"<html><body>{nav}{body}{foot}</body></html>"], trees)[0]
+    two = "<p>Nice one, I like it.</p><p>I do not agree at all.</p></{}>"
+    for tag, name in (("div", "class=kommentare"), ("section", "class=c7"), ("section", "id=comments")):
+        assert kept(f"{start}{end}<{tag} {name}><h3>Comments</h3>{two.format(tag)}") == whole
+    for inner in ('<div class="ad">Buy this now</div>', '<div class="related"><h3>Related</h3><ul><li><a href=/1>One</a><li><a href=/2>Two</a></ul></div>'):
+        assert kept(start + inner + end) == whole
+    more = prose(1, 9)
+    for inner in ('<div class="more-content"><p>{}</p></div>', '<div class="alert"><p>{}</p></div>', "<fieldset><p>{}</p></fieldset>"):
+        assert kept(start + inner.format(more[0]) + end) == [*whole[:3], *more, *whole[3:]]
+    links = "<ul><li><a href=/1>Read the whole report of the council</a></li><li><a href=/2>Minutes of the meeting in May</a></li></ul>"
+    assert kept(start + links + end) == [*whole[:3], "Read the whole report of the council", "Minutes of the meeting in May", *whole[3:]]
