@@ -9,7 +9,8 @@ Of equal choices a node is decided child by child before it is kept whole, and k
 
 A name is only a hint. That of an element that holds a headline and a good part of the page's text is not
 heard against it, nor against what it holds: an article whose element is called `ad-hoc-story` or
-`contact` stays one. Names that are not only of role words are features of their own.
+`contact` stays one. Within an article a part that bears such a name goes if it is a few sentences, and stays if it
+is longer. Names that are not only of role words are features of their own.
 
 The trees are trained, once a process, on pages that this module composes from named parts whose
 role is known (the generator below); nothing is sampled from the input.
