@@ -24,8 +24,10 @@ def blob(columns: list[str], key="TOPIC_ID"):
 
 def trigrams(text):
     """The distinct runs of three characters of a column."""
-    starts = F.when(F.length(text) >= 3, F.sequence(F.lit(1), F.length(text) - 2)).otherwise(F.array().cast("array<int>"))
-    return F.array_distinct(F.transform(starts, lambda i: F.substring(text, i, F.lit(3))))
+    c = F.filter(F.split(text, ""), lambda x: x != "")
+    after = lambda k: F.slice(c, F.lit(k), F.size(c))
+    pairs = F.zip_with(c, after(2), lambda x, y: F.concat(x, y))
+    return F.filter(F.array_distinct(F.zip_with(pairs, after(3), lambda x, y: F.concat(x, y))), lambda g: g.isNotNull())
 
 
 def write_index(cards: DataFrame, path: str, columns: list[str], key="TOPIC_ID") -> None:
