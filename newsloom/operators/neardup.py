@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import math
+from collections import Counter
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +17,8 @@ from newsloom.operators import neighbours
 from newsloom.sources.stages import scratch
 
 SIMILARITY = 0.93
+# Tokens of a filing that is worked through in one task; larger ones are by links.
+FILING_TOKENS = 200_000
 
 # Words that don't tell factors apart, fixed values.
 STOP_WORDS = "the a an and or of to in on for with our we us may could would that this these those as is are be by it its from at which such any".split()
@@ -210,7 +216,7 @@ def containment(a: Column, b: Column) -> Column:
 
 
 def distinct_factors(pdf: pd.DataFrame, threshold=0.6, contained=0.8) -> pd.DataFrame:
-    """One filing: longest first, a factor is dropped if a kept one is similar or holds most of its tokens."""
+    """One filing, all pairs: longest first, a factor is dropped if a kept one is similar or holds most of its tokens."""
     order = sorted(range(len(pdf)), key=lambda i: (-pdf["length"].iloc[i], pdf["seq"].iloc[i]))
     sets = [set(t) for t in pdf["tokens"]]
     kept: list[int] = []
@@ -221,6 +227,55 @@ def distinct_factors(pdf: pd.DataFrame, threshold=0.6, contained=0.8) -> pd.Data
     return pdf.iloc[sorted(kept, key=lambda i: pdf["seq"].iloc[i])][["filing", "seq"]]
 
 
+def staying_factors(factors, threshold=0.6, contained=0.8) -> list[int]:
+    """Places of the factors (token lists, the longest factor first) that stay: one goes if a kept one is similar or holds most of its tokens.
+
+    Either takes a share of its tokens, so a kept factor that could make it go holds one of its first few, rarest first.
+    """
+    often = Counter(t for tokens in factors for t in tokens)
+    least = min(threshold, contained)
+    held: dict[str, list[int]] = {}
+    sets: dict[int, set] = {}
+    for i, tokens in enumerate(factors):
+        own = set(tokens)
+        first = sorted(own, key=lambda t: (often[t], t))[: len(own) - math.ceil(len(own) * least - 1e-9) + 1]
+        met = {k for t in first for k in held.get(t, ())}
+        both = ((len(own & sets[k]), len(sets[k])) for k in met)
+        if not any(n >= threshold * (len(own) + size - n) or n >= contained * len(own) for n, size in both):
+            sets[i] = own
+            for t in own:
+                held.setdefault(t, []).append(i)
+    return list(sets)
+
+
+def _staying(batches, threshold, contained):
+    """Rows (grp, filing, seq, tokens) in the order of groups, the longest factor first: filing and seq of those that stay. Holds one group and a batch."""
+    group, rows = None, []
+
+    def closed():
+        stay = [rows[i] for i in staying_factors([r[2] for r in rows], threshold, contained)]
+        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in stay], pa.string()), pa.array([r[1] for r in stay], pa.int64())], ["filing", "seq"])
+
+    for batch in batches:
+        out = []
+        for key, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if key != group:
+                if rows:
+                    out.append(closed())
+                group, rows = key, []
+            rows.append(row)
+        if out:
+            yield pa.Table.from_batches(out).combine_chunks().to_batches()[0]
+    if rows:
+        yield closed()
+
+
+def _greedy(rows: DataFrame, group: str, threshold, contained) -> DataFrame:
+    """filing, seq of what stays of rows (group, filing, seq, length, tokens), group by group."""
+    ordered = rows.repartition(group).sortWithinPartitions(group, F.desc("length"), "seq").select(F.col(group).cast("string").alias("grp"), "filing", F.col("seq").cast("long").alias("seq"), "tokens")
+    return ordered.mapInArrow(lambda it: _staying(it, threshold, contained), "filing string, seq long")
+
+
 def factor_links(rows: DataFrame, threshold=0.6, contained=0.8) -> DataFrame:
     """a, b: the pairs of a filing's distinct token sets that are similar, or of which one holds most of the other. rows: id, filing, tokens.
 
@@ -240,23 +295,32 @@ def factor_links(rows: DataFrame, threshold=0.6, contained=0.8) -> DataFrame:
     return both.where((shared >= (F.size("ta") + F.size("tb") - shared) * threshold - 1e-9) | (shared >= small * contained - 1e-9)).select("a", "b")
 
 
-def dedup_factors(df: DataFrame, text="text") -> DataFrame:
+def dedup_factors(df: DataFrame, text="text", filing_tokens: int = FILING_TOKENS) -> DataFrame:
     """df: filing, seq, text. The rows of each filing that stay.
 
-    Whether a factor stays depends on those it is similar to, so what links connect is worked through by itself, longest first;
-    a filing of any number of factors is never one task. Factors of the same tokens are merged before: the longest of them
-    stands for all. Factors without tokens stay.
+    Filings are dealt out and streamed through, the longest factor first; a task holds one of them. Filings of more than
+    `filing_tokens` tokens are never in one task: whether a factor stays depends on those it is similar to, so there what
+    links connect is worked through by itself, and what has no link stays. Factors of the same tokens are merged before:
+    the longest of them stands for all. Factors without tokens stay.
     """
     folder = scratch(df.sparkSession, "factors")
-    rows = df.select("filing", "seq", F.length(text).alias("length"), F.array_sort(content_tokens(F.col(text))).alias("tokens"))
+    rows = df.select(F.col("filing").cast("string").alias("filing"), "seq", F.coalesce(F.length(text), F.lit(0)).alias("length"), F.array_sort(content_tokens(F.col(text))).alias("tokens"))
     rows = neighbours.kept(rows.withColumn("id", F.monotonically_increasing_id()), folder, "rows")
+    some = rows.where(F.size("tokens") > 0)
+    large = neighbours.kept(some.groupBy("filing").agg(F.sum(F.size("tokens")).alias("n")).where(F.col("n") > filing_tokens).select("filing"), folder, "large")
+    stay = rows.where(F.size("tokens") == 0).select("filing", F.col("seq").cast("long").alias("seq"))
+    if large.isEmpty():
+        return stay.unionByName(_greedy(some, "filing", 0.6, 0.8))
+    stay = stay.unionByName(_greedy(some.join(large, "filing", "left_anti"), "filing", 0.6, 0.8))
     best = F.struct((-F.col("length")).alias("by"), "seq", "id")
-    firsts = rows.where(F.size("tokens") > 0).groupBy("filing", "tokens").agg(F.min(best).alias("f"))
+    firsts = some.join(large, "filing", "left_semi").groupBy("filing", "tokens").agg(F.min(best).alias("f"))
     firsts = neighbours.kept(firsts.select("f.id", "filing", "f.seq", (-F.col("f.by")).alias("length"), "tokens"), folder, "firsts")
     links = neighbours.kept(factor_links(firsts), folder, "links")
-    label = neighbours.components(firsts.select(F.col("id").alias("seq")), links, folder).withColumnRenamed("seq", "id")
-    stay = firsts.join(label, "id").groupBy("component").applyInPandas(lambda pdf: distinct_factors(pdf), "filing string, seq long")
-    return stay.unionByName(rows.where("size(tokens) = 0").select(F.col("filing").cast("string").alias("filing"), F.col("seq").cast("long").alias("seq")))
+    linked = links.select(F.col("a").alias("seq")).union(links.select("b")).distinct()
+    label = neighbours.components(linked, links, folder).withColumnRenamed("seq", "id")
+    placed = firsts.join(label, "id", "left")
+    alone = placed.where("component is null").select("filing", F.col("seq").cast("long").alias("seq"))
+    return stay.unionByName(alone).unionByName(_greedy(placed.where("component is not null"), "component", 0.6, 0.8))
 
 
 def factor_pairs(df: DataFrame, group: str, text="text", threshold=0.6, contained=0.8) -> DataFrame:
