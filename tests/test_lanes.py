@@ -189,6 +189,15 @@ def test_empty_and_forbidden_answers_are_asked_again():
     assert fetch.with_retries(lambda url: next(answers), "u", sleep=lambda s: None, permanent=lanes.REFUSED) == (403, b"no")
 
 
+def test_filings_are_parsed_once(spark):
+    """What is read twice is written first, and no filter on it runs the parsing again."""
+    text = "Item 1A. Risk Factors\n\n" + "\n\n".join(f"The firm&rsquo;s {w} may fail. " * 12 for w in ("plan", "caf\u00e9")) + "\n\nShort.\n\nItem 1B. Unresolved"
+    out = lanes.filing_factors(spark.createDataFrame([(1, text), (2, None)], "filing long, text string"))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "unescape" not in plan and "_without_marks" not in plan
+    assert [(r["filing"], r["title"]) for r in out.orderBy("seq").collect()] == [(1, "The firm's plan may fail."), (1, "The firm's cafe may fail.")]
+
+
 def test_report_pages(spark):
     page = '<title> R </title><script type="application/json">{"stats": {"totalArticles": 5, "topicCount": 2}}</script>'
     row = report_pages(spark.createDataFrame([(page,), ("x",), (None,)], "html string")).collect()
