@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -106,6 +107,18 @@ def test_factors(spark, sf):
     assert {(r["filing"], r["seq"], r["n"]) for r in QUERIES["factor_split"](spark, sf).collect()} == want
 
 
+def test_factors_start_where_a_repeated_group_would(spark):
+    """The same places as with a group for each word, and a run of 30,000 words without a stop."""
+    nested = r"(?<=[.])\s+(?=[A-Z][a-z]+(?:\s+\w+){2,}\s+(?:could|may|would|risk|adversely|our|we|the))"
+    draw = random.Random(5)
+    for _ in range(20000):
+        text = "".join(draw.choice([". ", ".  The", "Firm", " a", " bc", "  ", " may", " risks", "the ", "\n", ",", "X", " we1"]) for _ in range(draw.randint(2, 14)))
+        assert re.split(documents.FACTOR_START, text, flags=re.ASCII) == re.split(nested, text, flags=re.ASCII)
+    text = "It is so. The" + " word" * 30000 + " may fail. Our plan is one that could fail."
+    rows = documents.factors(spark.createDataFrame([("a", text)], "filing string, text string")).collect()
+    assert [(r["seq"], len(r["text"])) for r in rows] == [(1, documents.MAX_FACTOR)]
+
+
 def test_release_texts(spark):
     get = lambda c, t: spark.createDataFrame([(t,)], "t string").select(c(F.col("t")).alias("x")).first()["x"]
     facts = "The respondent sold notes. " * 20
