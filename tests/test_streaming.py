@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from newsloom.operators import corpus
+from newsloom.plans.queries import QUERIES
 from newsloom.streaming import events as S
 
 
@@ -33,6 +34,18 @@ def test_sessions(spark, folder, events):
     assert got and got <= {tuple(r) for r in S.sessions(events).collect()}
 
 
+@pytest.mark.parametrize("name, form", [("stream_tumbling_counts", S.tumbling)])
+def test_queries_count_every_event(name, form, spark, sf, events, tmp_path):
+    """Open windows too, and rows of a later file that are older than those of the one before."""
+    for k, rows in enumerate(["ts >= '2024-01-03'", "ts < '2024-01-03'"]):
+        days = events.withColumn("ts", F.timestamp_add("DAY", F.col("event_id") % 6, F.lit("2024-01-01 12:00:00").cast("timestamp_ntz")))
+        days.where(rows).coalesce(1).write.mode("append").parquet(str(tmp_path / "events.parquet"))
+    got = QUERIES[name](spark, str(tmp_path)).collect()
+    want = form(spark.read.parquet(str(tmp_path / "events.parquet"))).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and len(got) == len(set(map(tuple, got)))
+    assert sum(r["n"] for r in got) == events.count() * (2 if name == "stream_sliding_counts" else 1)
+
+
 def test_dedup(spark, folder, events):
     got = S.run_to_end(S.deduplicated(S.read_events(spark, folder, events.schema), "user_id", late="60 days"), "dedup")
     assert got.count() == events.select("user_id").distinct().count()
