@@ -34,7 +34,7 @@ def test_sessions(spark, folder, events):
     assert got and got <= {tuple(r) for r in S.sessions(events).collect()}
 
 
-@pytest.mark.parametrize("name, form", [("stream_tumbling_counts", S.tumbling), ("stream_sliding_counts", S.sliding)])
+@pytest.mark.parametrize("name, form", [("stream_tumbling_counts", S.tumbling), ("stream_sliding_counts", S.sliding), ("stream_sessions", S.sessions)])
 def test_queries_count_every_event(name, form, spark, sf, events, tmp_path):
     """Open windows too, and rows of a later file that are older than those of the one before."""
     for k, rows in enumerate(["ts >= '2024-01-03'", "ts < '2024-01-03'"]):
