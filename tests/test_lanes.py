@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from newsloom.functions.vectors import against, nearest
 from newsloom.operators import corpus, gaps, topics
+from newsloom.plans.queries import QUERIES
 from newsloom.sources import cache, fetch, lanes, stages
 from newsloom.sources.documents import report_pages
 from newsloom.sources.enrich import entity_lists, pattern_tagger
@@ -173,6 +174,15 @@ def test_titles_of_enforcement_come_from_the_whole_release(spark):
     assert got["a"]["text"].startswith("The firm did") and got["b"]["text"].startswith("The firm did")
 
 
+def test_regulator_lane_lists_a_nation_on_a_page(spark, tmp_path):
+    """The date of a release is the nearest one before it on its nation's page, however far."""
+    rows = [(3, "Dated firm", 1), (1000, "Late firm", 1), (1001, "Other nation", 2)]
+    names = [(k, name + " of a name that is long enough to make a release whole" * 3, nation) for k, name, nation in rows]
+    spark.createDataFrame(names, "c_custkey long, c_name string, c_nationkey int").write.parquet(str(tmp_path / "customer.parquet"))
+    got = {(r["source"], r["title"][11:16]): r["date"] for r in QUERIES["regulator_lane"](spark, str(tmp_path)).collect()}
+    assert got == {(s, k): v for s in ("SEC", "CFTC") for k, v in (("Dated", "2024-02-03"), ("Late ", "2024-02-03"), ("Other", ""))}
+
+
 def test_categories_of_lanes(spark):
     links = spark.createDataFrame([("SEC", "press release", "https://www.sec.gov/newsroom/press-releases/2024-17-firm-fined", "2024-02-03")], "agency string, category string, url string, date string")
     bodies = spark.createDataFrame([(links.first()["url"], "<p>" + "word " * 60 + "</p>")], "url string, html string")
