@@ -145,17 +145,34 @@ def _kept(df: DataFrame, folder: str, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
 
 
-def _buckets(vector: Column, tables: int, planes: int, seed: int) -> Column:
-    """For each table the sides of random planes that a vector lies on, as one number."""
+BUCKET_CELLS = 4_000_000
 
-    @F.pandas_udf("array<bigint>")
-    def sides(vectors: pd.Series) -> pd.Series:
-        v = np.stack([np.asarray(x, float) for x in vectors])
-        normal = np.random.default_rng(seed).normal(size=(v.shape[1], tables * planes))
-        bits = (v @ normal > 0).reshape(len(v), tables, planes)
-        return pd.Series(list(bits @ (1 << np.arange(planes)).astype(np.int64)))
 
-    return sides(vector)
+def _buckets(first: DataFrame, tables: int, planes: int, seed: int) -> DataFrame:
+    """block, t, b, seq: for each table the sides of random planes that a vector (block, vector, first) lies on, as one number.
+
+    Rows and tables are taken in slices of BUCKET_CELLS sides, so a task's memory doesn't grow with the tables.
+    """
+    power = (1 << np.arange(planes)).astype(np.int64)
+    step = max(1, min(tables, BUCKET_CELLS // (64 * planes)))
+    size = max(1, BUCKET_CELLS // (step * planes))
+
+    def run(batches):
+        normal = None
+        for batch in batches:
+            for lo in range(0, batch.num_rows, size):
+                part = batch.slice(lo, size)
+                v = np.asarray(part.column(1).flatten().to_numpy(zero_copy_only=False), float).reshape(part.num_rows, -1)
+                if normal is None:
+                    normal = np.random.default_rng(seed).normal(size=(v.shape[1], tables * planes))
+                for t in range(0, tables, step):
+                    sides = v @ normal[:, t * planes : (t + step) * planes] > 0
+                    number = sides.reshape(len(v), -1, planes) @ power
+                    row = pa.array(np.repeat(np.arange(len(v)), number.shape[1]))
+                    nr = np.tile(np.arange(t, t + number.shape[1], dtype=np.int32), len(v))
+                    yield pa.RecordBatch.from_arrays([part.column(0).take(row), pa.array(nr), pa.array(number.ravel()), part.column(2).take(row)], ["block", "t", "b", "seq"])
+
+    return first.select("block", "vector", F.col("first").cast("long").alias("seq")).mapInArrow(run, f"block {first.schema['block'].dataType.simpleString()}, t int, b long, seq long")
 
 
 def similar_groups(df: DataFrame, block: Column, threshold: float = SIMILARITY, recall: float = RECALL, seed: int = 42) -> DataFrame:
@@ -174,8 +191,7 @@ def similar_groups(df: DataFrame, block: Column, threshold: float = SIMILARITY,
     first = _kept(rows.groupBy("block", "vector").agg(F.min("seq").alias("first")), folder, "vectors")
     largest = first.groupBy("block").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
     tables, planes = table_shape(largest, threshold, recall)
-    placed = first.withColumn("bucket", F.explode(F.arrays_zip(F.sequence(F.lit(0), F.lit(tables - 1)).alias("t"), _buckets(F.col("vector"), tables, planes, seed).alias("b"))))
-    placed = _kept(placed.select("block", "bucket.t", "bucket.b", F.col("first").alias("seq")), folder, "buckets")
+    placed = _kept(_buckets(first, tables, planes, seed), folder, "buckets")
     ends = placed.groupBy("block", "t", "b").agg(F.min("seq").alias("lo"), F.max("seq").alias("hi")).where("lo < hi")
     pairs = placed.join(ends, ["block", "t", "b"]).select("seq", F.explode(F.array("lo", "hi")).alias("other")).where("seq != other")
     pairs = pairs.select(F.greatest("seq", "other").alias("a"), F.least("seq", "other").alias("b")).distinct()
