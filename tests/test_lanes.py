@@ -3,6 +3,7 @@
 import os
 import shutil
 
+import numpy as np
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
@@ -212,3 +213,20 @@ def test_report_pages(spark):
     page = '<title> R </title><script type="application/json">{"stats": {"totalArticles": 5, "topicCount": 2}}</script>'
     row = report_pages(spark.createDataFrame([(page,), ("x",), (None,)], "html string")).collect()
     assert (row[0]["title"], row[0]["articles"], row[0]["topics"]) == ("R", 5, 2) and row[1]["articles"] is None
+
+
+def test_nearest_in_blocks_of_rows(spark):
+    """Blocks of rows and of queries give what all pairs give; copies go by seq, short vectors end in zeros, null ones have no pairs."""
+    rng = np.random.default_rng(3)
+    rows = [(k, [float(x) for x in rng.normal(size=6)]) for k in range(120)]
+    rows += [(200 + k, rows[k % 3][1]) for k in range(40)] + [(300, [1.0, -2.0]), (301, None), (302, [])]
+    v = spark.createDataFrame(rows, "seq long, vector array<double>")
+    q = v.where("seq % 20 = 0 or seq > 299").select(F.col("seq").alias("q"), F.col("vector").alias("qv"))
+    whole = {k: np.array(x + [0.0] * (6 - len(x))) for k, x in rows if x}
+    want = set()
+    for a in (k for k in whole if k % 20 == 0 or k > 299):
+        best = sorted((-round(float(whole[a] @ whole[b]), 4), b) for b in whole if b != a)[:4]
+        want |= {(a, b, -s, k) for k, (s, b) in enumerate(best, 1)}
+    out = nearest(v, q, 4, 600, held_rows=30)
+    assert {tuple(r) for r in out.collect()} == want
+    assert "NestedLoop" not in out._jdf.queryExecution().executedPlan().toString()
