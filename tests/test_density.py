@@ -172,3 +172,14 @@ def test_nearest_neighbours(spark):
     d = np.sqrt(np.round(np.maximum(2 - 2 * (v := np.stack([unit(x) for _, x in rows])) @ v.T, 0), 12))
     for i, (s, _) in enumerate(rows):
         assert sorted(got[s]) == sorted((d[i, j], rows[j][0]) for j in range(len(rows)) if j != i)[:6]
+
+
+def test_rows_without_near_ones_are_sent_a_few_times(spark):
+    """Where every cell is open a row is sent once for 16,000 rows, and all pairs are looked at."""
+    rng = np.random.default_rng(8)
+    v = rng.normal(size=(5000, 16))
+    df = spark.createDataFrame([(k, [float(x) for x in r]) for k, r in enumerate(v)], ROWS)
+    cells = neighbours.Cells(neighbours.unit_rows(df), scratch(spark, "t"))
+    assert cells.reached(cells.rows.withColumn("radius", F.lit(neighbours.chord(0.1)))).count() == 5000
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    assert neighbours.similar_pairs(df, 0.6).count() == np.triu(np.round(v @ v.T, 9) >= 0.6, 1).sum()
