@@ -182,3 +182,11 @@ def test_lane_rows(spark):
 @pytest.mark.parametrize("bad", ["x", "", None, "-5", "255"])
 def test_undecodable_numbers(bad):
     assert taxonomy.decode_number(bad) is None
+
+
+def test_a_digest_of_many_stories_is_streamed(spark):
+    """Stories leave in runs, however many one digest has; no batch of digests becomes one pandas table."""
+    text = "Markets\nReuters, May 6, 2024\nHead\nAlso:\n" + "\n".join(f"Item {k} - Barron" for k in range(2 * digest.RUN_STORIES + 1))
+    out = digest.parse_digests(spark.createDataFrame([(text,), (None,), ("",)], "text string"))
+    assert out.count() == out.select("title").distinct().count() == 2 * digest.RUN_STORIES + 2
+    assert "Pandas" not in out._jdf.queryExecution().executedPlan().toString()
