@@ -95,3 +95,14 @@ def test_projection_keeps_cosines(spark):
     made = {r["key"]: np.array(r["vector"], float) for r in E.projected(df, 512).collect()}
     cosine = lambda a, b: sum(v * b.get(w, 0) for w, v in a.items()) / math.sqrt(sum(v * v for v in a.values()) * sum(v * v for v in b.values()))
     assert all(abs(made[a] @ made[b] - cosine(full[a], full[b])) < 0.2 for a in full for b in full)
+
+
+def test_search_packs_postings(spark, tmp_path, monkeypatch):
+    # Characters beyond 16 bits are one letter, cards of one id are searched together, a list is closed when it is full.
+    monkeypatch.setattr(search, "PACKED", 30)
+    cards = spark.createDataFrame([(1, "a😀b fraud", None), (1, "rate", ""), (2, "😀bc", "fraud rate"), (3, "", "ab"), (4, None, "fraud")], CARDS).repartition(1)
+    search.write_index(cards, str(tmp_path), ["TITLE", "KEYWORDS"])
+    lists = spark.read.parquet(f"{tmp_path}/postings")
+    assert lists.count() < lists.select(F.explode("cards")).count()
+    for query, want in (("a😀b", [1]), ("😀bc", [2]), ("fraud", [1, 2, 4]), ("rate", [1, 2]), ("topic 3", [3])):
+        assert sorted(r["TOPIC_ID"] for r in search.find(spark, str(tmp_path), query).collect()) == want
