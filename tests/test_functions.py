@@ -123,3 +123,11 @@ def test_mean_vectors_are_unit(spark):
     df = spark.createDataFrame([(1, [3.0, 0.0]), (1, [0.0, 4.0]), (2, [0.0, 0.0])], "g int, v array<double>")
     got = {r["g"]: r["centroid"] for r in mean_vectors(df, ["g"], "v").collect()}
     assert got[1] == pytest.approx([0.6, 0.8], abs=1e-6) and got[2] == [0.0, 0.0]
+
+
+def test_title_keywords_need_no_shuffle(spark):
+    rows = [(1, "beta Alpha beta gamma, alpha delta-beta"), (2, None), (3, ""), (4, "abc one éclair zwölf"), (5, "aaaa bbbb cccc dddd eeee ffff ffff")]
+    out = X.title_keywords(spark.createDataFrame(rows, "seq long, text string"), "seq", "text", 3)
+    want = {1: ["beta", "alpha", "gamma"], 2: [], 3: [], 4: ["clair"], 5: ["ffff", "aaaa", "bbbb"]}
+    assert {r["seq"]: r["keywords"] for r in out.collect()} == want
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
