@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,7 +43,7 @@ def model_places(models: DataFrame, folders: DataFrame) -> DataFrame:
 
 def misses(df: DataFrame, cache: DataFrame, key: str = "key") -> DataFrame:
     """Distinct keys that the cache lacks."""
-    return df.dropDuplicates([key]).join(cache.select(key), key, "left_anti")
+    return df.join(cache.select(key), key, "left_anti").dropDuplicates([key])
 
 
 def encode_cached(texts: DataFrame, encode: Callable[[DataFrame], DataFrame], path: str, model: str, text="text") -> DataFrame:
@@ -51,10 +55,24 @@ def encode_cached(texts: DataFrame, encode: Callable[[DataFrame], DataFrame], pa
     return keyed.join(read_cache(spark, path, schema), "key", "left")
 
 
+def _slot_counts(size: int):
+    """How many words of a list fall to each slot, by the first eight hex digits of their MD5; empty words to none."""
+
+    @F.arrow_udf("array<long>")
+    def counts(words: pa.Array) -> pa.Array:
+        each = words.flatten().dictionary_encode()
+        known = each.dictionary.to_pylist()  # a word is hashed once a batch
+        slot = np.array([int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % size if w else -1 for w in known], np.int64)[each.indices.to_numpy()]
+        row = np.repeat(np.arange(len(words)), pc.list_value_length(words).to_numpy(zero_copy_only=False))
+        n = np.bincount((row * size + slot)[slot >= 0], minlength=len(words) * size)
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(words) + 1, dtype=np.int32) * size), pa.array(n.astype(np.int64)))
+
+    return counts
+
+
 def hashed_embedding(df: DataFrame, text="text", size=64) -> DataFrame:
-    """A stand-in embedder without a model: hashed word counts, damped, of unit length; all SQL."""
-    words = F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    slots = F.transform(words, lambda w: F.pmod(F.conv(F.substring(F.md5(w.cast("binary")), 1, 8), 16, 10).cast("long"), F.lit(size)))
-    counts = F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.log1p(F.size(F.filter(slots, lambda s: s == i))))
+    """A stand-in embedder without a model: hashed word counts, damped, of unit length."""
+    words = F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^\p{L}\p{N}]+")
+    counts = F.transform(_slot_counts(size)(words), lambda n: F.log1p(n))
     norm = F.sqrt(F.aggregate("_c", F.lit(0.0), lambda a, x: a + x * x)) + F.lit(1e-9)
     return df.withColumn("_c", counts).withColumn("vector", F.transform("_c", lambda x: (x / norm).cast("float"))).drop("_c")

@@ -190,3 +190,20 @@ def test_a_digest_of_many_stories_is_streamed(spark):
     out = digest.parse_digests(spark.createDataFrame([(text,), (None,), ("",)], "text string"))
     assert out.count() == out.select("title").distinct().count() == 2 * digest.RUN_STORIES + 2
     assert "Pandas" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hashed_embedding_counts_words_in_batches(spark):
+    import hashlib
+    import math
+
+    rows = [(1, "Ünï one  two-one"), (2, None), (3, ""), (4, " - "), (5, "three 3 three")]
+    out = cache.hashed_embedding(spark.createDataFrame(rows, "i int, text string"), size=4)
+    for r in out.collect():
+        n = [0] * 4
+        for w in (r["text"] or "").lower().replace("-", " ").split():
+            n[int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % 4] += 1
+        c = [math.log1p(x) for x in n]
+        size = math.sqrt(sum(x * x for x in c)) + 1e-9
+        assert all(abs(a - b / size) < 1e-6 for a, b in zip(r["vector"], c, strict=True))
+    # A word is not hashed place by place in the plan, once for each slot.
+    assert "md5" not in out._jdf.queryExecution().optimizedPlan().toString()
