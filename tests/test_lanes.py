@@ -1,6 +1,7 @@
 """Lanes, versions, resumable fetching, merged topics: what no query over the test tables can show."""
 
 import os
+import re
 import shutil
 
 import numpy as np
@@ -230,3 +231,15 @@ def test_nearest_in_blocks_of_rows(spark):
     out = nearest(v, q, 4, 600, held_rows=30)
     assert {tuple(r) for r in out.collect()} == want
     assert "NestedLoop" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_enforcement_deals_texts_by_length(spark, monkeypatch):
+    monkeypatch.setattr(lanes, "TASK_TEXT", 1000)
+    links = spark.createDataFrame([(k, "litigation_release", f"u{k}", f"n{k}", day) for k in range(40) for day in ("", "2024-03-01")], "doc long, kind string, url string, name string, date string")
+    bodies = spark.createDataFrame([(f"u{k}", "Litigation Release No. 1 / January 5, 2024 \nSEC Charges Firm With Fraud\n" + "The firm did so. " * 30) for k in range(40)], "url string, text string")
+    out = lanes.enforcement_articles(links, bodies)
+    assert sorted((r["link"], r["date"]) for r in out.collect()) == sorted((f"u{k}", "2024-03-01") for k in range(40))
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    length = bodies.agg(F.sum(F.length("text"))).first()[0]
+    dealt = {int(n) for n in re.findall(r"hashpartitioning\(url#\d+, (\d+)\)", plan)}
+    assert dealt == {-(-length // 1000)} and plan.count("Join") == 1
