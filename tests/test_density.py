@@ -183,3 +183,32 @@ def test_rows_without_near_ones_are_sent_a_few_times(spark):
     assert cells.reached(cells.rows.withColumn("radius", F.lit(neighbours.chord(0.1)))).count() == 5000
     v /= np.linalg.norm(v, axis=1)[:, None]
     assert neighbours.similar_pairs(df, 0.6).count() == np.triu(np.round(v @ v.T, 9) >= 0.6, 1).sum()
+
+
+def test_blocks_of_several_cells(spark):
+    """Visitors meet blocks of cells, in parts; a run's bars rise; directions are found by the numbers as they are, nulls left out."""
+    rng = np.random.default_rng(21)
+    v = np.concatenate([rng.normal(size=(700, 8)), np.ones((300, 8)) + rng.normal(size=(300, 8)) * 1e-3])
+    v = v / np.linalg.norm(v, axis=1)[:, None]
+    block = neighbours.Block(np.arange(1000), np.arange(1000) % 3, v)
+    opened = np.ones((1000, 3), bool)
+    d = neighbours.apart(v @ v.T)
+    np.fill_diagonal(d, 9)
+    got = {}
+    for row, col, value in block.nearest(np.arange(1000), v, np.full(1000, np.inf), opened, 4):
+        for r, c, x in zip(row.tolist(), block.ids[col].tolist(), value.tolist(), strict=True):
+            got.setdefault(r, []).append((x, c))
+    assert all(sorted(got[i]) == sorted(zip(d[i].tolist(), range(1000), strict=True))[:4] for i in range(1000))
+    pairs = {(r, c) for row, col, x in block.pairs(np.arange(1000), v, 0.8, opened) for r, c in zip(row[x >= 0.8].tolist(), block.ids[col][x >= 0.8].tolist(), strict=True)}
+    assert pairs == {(i, j) for i, j in np.argwhere(v @ v.T >= 0.8).tolist() if i != j}
+    rows = neighbours.unit_rows(spark.createDataFrame([(1, [3.0, 4.0]), (2, None), (3, [0.0, 0.0]), (4, [1.0, None]), (5, []), (6, [2.0])], ROWS)).collect()
+    assert {r["seq"]: r["vector"] for r in rows} == {1: [0.6, 0.8], 6: [1.0]}
+
+
+def test_a_long_path_takes_few_rounds(spark, tmp_path):
+    """A path whose numbers rise is one component; the rounds don't follow its length."""
+    path = spark.createDataFrame([(k, k + 1) for k in range(300)] + [(1000, 1001)], "a long, b long")
+    vertices = spark.range(302).union(spark.range(1000, 1002)).withColumnRenamed("id", "seq")
+    got = {r["seq"]: r["component"] for r in neighbours.components(vertices, path, str(tmp_path)).collect()}
+    assert got == {k: 0 for k in range(301)} | {301: 301, 1000: 1000, 1001: 1000}
+    assert len(list(tmp_path.iterdir())) < 20
