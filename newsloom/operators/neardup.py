@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsloom.functions.text import block_key
-from newsloom.functions.vectors import dot
+from newsloom.functions.vectors import dot, keyed
 from newsloom.operators import neighbours
 from newsloom.sources.stages import scratch
 
@@ -34,6 +34,10 @@ def blocks(df: DataFrame, text="text") -> DataFrame:
     return df.groupBy(block_key(text).alias("block")).agg(F.count("*").alias("n"))
 
 
+# Rows that are placed together, and representatives that they are multiplied with at a time.
+RUN, TILE = 256, 8192
+
+
 class _Block:
     """Groups of one block so far: only representatives are held."""
 
@@ -42,25 +46,44 @@ class _Block:
         self.heads: list[int] = []
         self.reps: list[tuple[int, float, int]] = []
 
-    def place(self, seq, quality, length, vector, threshold) -> int:
-        """The first seq of the group the row joins: the first whose representative is similar enough."""
-        n = len(self.reps)
-        if n:
-            near = np.flatnonzero(self.vectors[:n] @ vector >= threshold)
-            if len(near):
-                g = int(near[0])
-                if (quality, length) > self.reps[g][1:]:
-                    self.reps[g] = (seq, quality, length)
-                    self.vectors[g] = vector
-                return self.heads[g]
+    def place(self, seqs, qualities, lengths, vectors, threshold) -> list[int]:
+        """The first seq of the group that each row joins in turn: the first whose representative is similar enough.
+
+        A run of rows is multiplied with the representatives before it, and with itself for those that change within it.
+        """
+        old, n = len(self.reps), len(seqs)
+        near: list[list] = [[] for _ in range(n)]
+        for lo in range(0, old, TILE):
+            for row, g in zip(*(x.tolist() for x in np.nonzero(vectors @ self.vectors[lo : min(lo + TILE, old)].T >= threshold)), strict=True):
+                near[row].append(lo + g)
+        alike = vectors @ vectors.T >= threshold
+        stands, by = np.full(n, -1), {}  # the group that a row of the run stands for, and the row for each group that changed
+        out = []
+        for i in range(n):
+            g = next((g for g in near[i] if g not in by), -1)
+            among = stands[:i][alike[i, :i] & (stands[:i] >= 0)]
+            if len(among) and (g < 0 or among.min() < g):
+                g = int(among.min())
+            mine = (seqs[i], qualities[i], lengths[i])
+            if g < 0:
+                g = len(self.reps)
+                self.heads.append(seqs[i])
+                self.reps.append(mine)
+            elif mine[1:] > self.reps[g][1:]:
+                self.reps[g] = mine
+                if g in by:
+                    stands[by[g]] = -1
+            else:
+                out.append(self.heads[g])
+                continue
+            stands[i], by[g] = g, i
+            out.append(self.heads[g])
         if self.vectors is None:
-            self.vectors = np.empty((16, len(vector)))
-        elif n == len(self.vectors):
+            self.vectors = np.empty((16, vectors.shape[1]))
+        while len(self.vectors) < len(self.reps):
             self.vectors = np.concatenate([self.vectors, np.empty_like(self.vectors)])
-        self.vectors[n] = vector
-        self.heads.append(seq)
-        self.reps.append((seq, quality, length))
-        return seq
+        self.vectors[list(by)] = vectors[list(by.values())]
+        return out
 
 
 def _groups(frames, threshold):
@@ -71,13 +94,18 @@ def _groups(frames, threshold):
         return pd.DataFrame({"seq": [r[0] for r in state.reps], "DUP_GROUP": state.heads, "is_rep": 1})
 
     for pdf in frames:
-        out = []
-        for key, seq, quality, length, vector in pdf.itertuples(index=False):
-            if state is None or key != block:
+        out, (key, seq, quality, length, vector) = [], (pdf[c].tolist() for c in pdf.columns)
+        lo = 0
+        while lo < len(pdf):
+            if state is None or key[lo] != block:
                 if state is not None:
                     yield closed()
-                block, state = key, _Block()
-            out.append(state.place(seq, quality, length, np.asarray(vector, float), threshold))
+                block, state = key[lo], _Block()
+            hi = lo + 1
+            while hi < min(lo + RUN, len(pdf)) and key[hi] == block:
+                hi += 1
+            out += state.place(seq[lo:hi], quality[lo:hi], length[lo:hi], np.stack(vector[lo:hi]).astype(float), threshold)
+            lo = hi
         yield pd.DataFrame({"seq": pdf["seq"], "DUP_GROUP": out, "is_rep": 0})
     if state is not None:
         yield closed()
@@ -114,18 +142,18 @@ def spread_duplicates(df: DataFrame, block: Column, threshold: float = SIMILARIT
         raise ValueError("the threshold must be above 0")
     folder = scratch(df.sparkSession, "spread")
     rows = df.select(block.alias("block"), "seq", F.coalesce("quality", F.lit(0.0)).cast("double").alias("quality"), F.col("length").cast("long").alias("length"), F.col("vector").cast("array<double>").alias("vector"))
-    rows = neighbours.kept(rows, folder, "rows")
-    alike = ["block", "quality", "length", "vector"]
-    firsts = neighbours.kept(rows.groupBy(*alike).agg(F.min("seq").alias("first")), folder, "firsts")
-    vectors = neighbours.kept(firsts.groupBy("block", "vector").agg(F.min("first").alias("seq")), folder, "vectors")
+    rows = neighbours.kept(keyed(rows), folder, "rows")
+    alike = ["block", "quality", "length", "same"]
+    firsts = neighbours.kept(rows.groupBy(*alike).agg(F.min("seq").alias("first"), F.min_by("vector", "seq").alias("vector")), folder, "firsts")
+    vectors = neighbours.kept(firsts.groupBy("block", "same").agg(F.min("first").alias("seq"), F.min_by("vector", "first").alias("vector")), folder, "vectors")
     # A little below the threshold: what is connected too much is told apart when the component is worked through.
     links = neighbours.similar_links(vectors, threshold - neighbours.SLACK, F.col("block"), folder, cell_rows)
     label = neighbours.components(vectors, links, folder).withColumn("component", F.col("component").cast("string"))
-    placed = firsts.join(vectors.join(label, "seq").select("block", "vector", "component"), ["block", "vector"])
+    placed = firsts.join(vectors.select("block", "same", "seq").join(label, "seq").select("block", "same", "component"), ["block", "same"])
     ordered = placed.select("component", F.col("first").alias("seq"), "quality", "length", "vector").repartition("component").sortWithinPartitions("component", "seq")
     placed = ordered.mapInPandas(lambda it: _groups(it, threshold), "seq long, DUP_GROUP long, is_rep int")
     placed = placed.groupBy("seq").agg(F.max("DUP_GROUP").alias("DUP_GROUP"), F.max("is_rep").alias("is_rep")).withColumnRenamed("seq", "first")
-    members = rows.join(firsts, alike).select("seq", "first")
+    members = rows.select(*alike, "seq").join(firsts.select(*alike, "first"), alike).select("seq", "first")
     return members.join(placed, "first").select("seq", "DUP_GROUP", ((F.col("is_rep") == 0) | (F.col("seq") != F.col("first"))).alias("IS_DUPLICATE"))
 
 
