@@ -25,6 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from newsloom.functions.vectors import keyed
 from newsloom.operators import corpus
 from newsloom.operators.neighbours import CELL_ROWS, components, kept, nearest_neighbours, unit_rows
 from newsloom.sources.stages import scratch
@@ -188,14 +189,15 @@ def density_topics(df: DataFrame, min_size: int, min_samples: int | None = None,
     """The rows with TOPIC_ID: 0, 1, … from the largest topic down (of equal ones that of the smallest seq first), -1 for outliers. df: seq, vector."""
     folder = folder or scratch(df.sparkSession, "density")
     min_size, min_samples = max(2, min_size), max(1, min_samples if min_samples is not None else min_size)
-    rows = kept(unit_rows(df.select("seq", F.col(vector).alias("vector"))).select("seq", F.transform("vector", lambda x: F.round(x, 9)).alias("vector")), folder, "rows")
-    firsts = kept(rows.groupBy("vector").agg(F.min("seq").alias("seq"), F.count("*").alias("weight")), folder, "distinct")
+    rows = unit_rows(df.select("seq", F.col(vector).alias("vector"))).select("seq", F.transform("vector", lambda x: F.round(x, 9)).alias("vector"))
+    rows = kept(keyed(rows), folder, "rows")
+    firsts = kept(rows.groupBy("same").agg(F.min("seq").alias("seq"), F.count("*").alias("weight"), F.min_by("vector", "seq").alias("vector")), folder, "distinct")
     links = reachability(firsts, neighbours, min_samples, folder, cell_rows)
     forest = spanning_forest(firsts, links, folder)
     points, meetings = condensed_tree(firsts, forest, min_size, folder, band)
     points = kept(points, folder, "fallen")
     placed = points.join(chosen(points, meetings, folder).withColumnRenamed("cluster", "fell"), "fell").where("owner is not null").select(F.col("seq").alias("first"), "owner")
-    members = kept(rows.join(firsts.select("vector", F.col("seq").alias("first")), "vector").select("seq", "first").join(placed, "first").select("seq", "owner"), folder, "members")
+    members = kept(rows.select("seq", "same").join(firsts.select("same", F.col("seq").alias("first")), "same").select("seq", "first").join(placed, "first").select("seq", "owner"), folder, "members")
     sizes = members.groupBy("owner").agg(F.count("*").alias("n"), F.min("seq").alias("least"))
     numbers = corpus.renumbered(sizes, F.desc("n"), "least", column="TOPIC").select("owner", F.col("TOPIC").cast("int").alias("TOPIC_ID"))
     named = members.join(numbers, "owner").select("seq", "TOPIC_ID")
