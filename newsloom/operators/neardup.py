@@ -168,11 +168,9 @@ def table_shape(rows: int, threshold: float, recall: float = RECALL) -> tuple[in
     return max(1, int(np.ceil(np.log(1 - recall) / np.log(1 - min(alike, 0.999))))), planes
 
 
-def _kept(df: DataFrame, folder: str, name: str) -> DataFrame:
-    df.write.mode("overwrite").parquet(f"{folder}/{name}")
-    return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
-
-
+# Tables that a row is put into at most: a row of a table takes some fifty bytes of disk, written and shuffled, and the exact
+# join takes some sixteen times a vector. Where the recall asks for more tables, the exact join takes less.
+MAX_TABLES = 128
 BUCKET_CELLS = 4_000_000
 
 
@@ -203,42 +201,42 @@ def _buckets(first: DataFrame, tables: int, planes: int, seed: int) -> DataFrame
     return first.select("block", "vector", F.col("first").cast("long").alias("seq")).mapInArrow(run, f"block {first.schema['block'].dataType.simpleString()}, t int, b long, seq long")
 
 
+def _bucket_links(first: DataFrame, tables: int, planes: int, threshold: float, seed: int, folder: str) -> DataFrame:
+    """a, b: the rows of first that are similar enough to the first or the last row of one of their buckets."""
+    placed = neighbours.kept(_buckets(first, tables, planes, seed), folder, "buckets")
+    ends = placed.groupBy("block", "t", "b").agg(F.min("seq").alias("lo"), F.max("seq").alias("hi")).where("lo < hi")
+    pairs = placed.join(ends, ["block", "t", "b"]).select("seq", F.explode(F.array("lo", "hi")).alias("other")).where("seq != other")
+    pairs = pairs.select(F.greatest("seq", "other").alias("a"), F.least("seq", "other").alias("b")).distinct()
+    of = lambda c: first.select(F.col("first").alias(c), F.col("vector").alias(f"v{c}"))
+    return pairs.join(of("a"), "a").join(of("b"), "b").where(dot(F.col("va"), F.col("vb")) >= threshold).select("a", "b")
+
+
 def similar_groups(df: DataFrame, block: Column, threshold: float = SIMILARITY, recall: float = RECALL, seed: int = 42) -> DataFrame:
     """near_duplicates() for blocks too large for one task, approximately: seq, DUP_GROUP, IS_DUPLICATE.
 
-    In each of some tables, rows of a block on the same sides of random planes share a bucket; how
-    many follows from the largest block, the threshold and the recall (table_shape). Each row is
-    compared with the first and the last row of its buckets. Groups are what these links connect, named
-    by the smallest seq; the row of highest quality, then length, then lowest seq stands for its group.
-    Firsts and lasts are minima and maxima, so a hot block or bucket is never in one task. Rows equal in
-    vector are merged before.
+    Groups are what links of similar rows connect, named by the smallest seq; the row of highest quality,
+    then length, then lowest seq stands for its group. Rows equal in vector are merged before.
+    Links are found in some tables: rows of a block on the same sides of random planes share a bucket, and
+    each row is compared with the first and the last row of its buckets. How many tables follows from the
+    largest block, the threshold and the recall (table_shape). Firsts and lasts are minima and maxima, so a
+    hot block or bucket is never in one task. The number of tables grows with a power of the rows, the faster
+    the lower the threshold; beyond MAX_TABLES the links are those of the exact join, which misses none (it needs
+    a threshold above 0).
     """
     folder = scratch(df.sparkSession, "near")
     rows = df.select(block.alias("block"), "seq", F.coalesce("quality", F.lit(0.0)).cast("double").alias("quality"), F.col("length").cast("long").alias("length"), "vector")
-    rows = _kept(rows, folder, "rows")
-    first = _kept(rows.groupBy("block", "vector").agg(F.min("seq").alias("first")), folder, "vectors")
+    rows = neighbours.kept(keyed(rows), folder, "rows")
+    first = neighbours.kept(rows.groupBy("block", "same").agg(F.min("seq").alias("first"), F.min_by("vector", "seq").alias("vector")), folder, "vectors")
     largest = first.groupBy("block").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
     tables, planes = table_shape(largest, threshold, recall)
-    placed = _kept(_buckets(first, tables, planes, seed), folder, "buckets")
-    ends = placed.groupBy("block", "t", "b").agg(F.min("seq").alias("lo"), F.max("seq").alias("hi")).where("lo < hi")
-    pairs = placed.join(ends, ["block", "t", "b"]).select("seq", F.explode(F.array("lo", "hi")).alias("other")).where("seq != other")
-    pairs = pairs.select(F.greatest("seq", "other").alias("a"), F.least("seq", "other").alias("b")).distinct()
-    vectors = first.select(F.col("first").alias("seq"), "vector")
-    both = pairs.join(vectors.select(F.col("seq").alias("a"), F.col("vector").alias("va")), "a").join(vectors.select(F.col("seq").alias("b"), F.col("vector").alias("vb")), "b")
-    links = _kept(both.where(dot(F.col("va"), F.col("vb")) >= threshold).select("a", "b"), folder, "links")
-    each = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    label, n = _kept(vectors.select("seq", F.col("seq").alias("group")), folder, "labels-0"), 0
-    while True:
-        near = each.join(label.select(F.col("seq").alias("b"), F.col("group").alias("g")), "b").groupBy("a").agg(F.min("g").alias("g"))
-        step = label.join(near, label["seq"] == near["a"], "left").select("seq", "group", F.least("group", F.coalesce("g", "group")).alias("to"))
-        # A label's own label: paths halve with each round.
-        own = step.select(F.col("seq").alias("to"), F.col("to").alias("further"))
-        n += 1
-        now = _kept(step.join(own, "to", "left").select("seq", F.col("group").alias("old"), F.least("to", F.coalesce("further", "to")).alias("group")), folder, f"labels-{n}")
-        label = now.select("seq", "group")
-        if now.where("old != group").isEmpty():
-            break
-    grouped = rows.join(first, ["block", "vector"]).join(label.withColumnRenamed("seq", "first"), "first")
+    vertices = first.select("block", F.col("first").alias("seq"), "vector")
+    if tables <= MAX_TABLES or threshold <= 0:
+        links = _bucket_links(first, tables, planes, threshold, seed, folder)
+    else:
+        links = neighbours.similar_links(vertices, threshold, F.col("block"), folder)
+    label = neighbours.components(vertices, links, folder).withColumnRenamed("seq", "first").withColumnRenamed("component", "group")
+    members = rows.drop("vector").join(first.drop("vector"), ["block", "same"]).drop("same")
+    grouped = members.join(label, "first")
     best = grouped.groupBy("group").agg(F.max_by("seq", F.struct("quality", "length", -F.col("seq"))).alias("best"))
     return grouped.join(best, "group").select("seq", F.col("group").alias("DUP_GROUP"), (F.col("seq") != F.col("best")).alias("IS_DUPLICATE"))
 
