@@ -260,7 +260,7 @@ SELECT seq, array_to_string(list_filter(kept, lambda x, i: list_position(kept, x
     "factor_split": r"""WITH d AS (SELECT doc_id, string_split_regex(replace(text, chr(10), chr(10) || chr(10)), '\n\s*\n+') AS lines, replace(text, chr(10), chr(10) || chr(10)) AS t FROM documents),
 p AS (SELECT doc_id, CASE WHEN len(lines) >= 3 THEN lines ELSE string_split(regexp_replace(t, '([.])\s+([A-Z][a-z]+(?:\s+\w+){2,}\s+(?:could|may|would|risk|adversely|our|we|the))', '\1' || chr(1) || '\2', 'g'), chr(1)) END AS parts FROM d),
 e AS (SELECT doc_id, unnest(range(0, len(parts))) AS seq, unnest(parts) AS part FROM p),
-f AS (SELECT doc_id, seq, substr(x, 1, 4000) AS x FROM (SELECT doc_id, seq, trim(regexp_replace(replace(part, chr(160), ' '), '\s+', ' ', 'g')) AS x FROM e) WHERE length(x) >= 200),
+f AS (SELECT doc_id, seq, x FROM (SELECT doc_id, seq, trim(regexp_replace(replace(part, chr(160), ' '), '\s+', ' ', 'g')) AS x FROM e) WHERE length(x) >= 200),
 g AS (SELECT *, trim(CASE WHEN regexp_matches(x, '[.]\s') THEN regexp_extract(x, '(?s)^(.*?[.])\s', 1) ELSE x END) AS first FROM f)
 SELECT doc_id AS filing, CAST(seq AS INTEGER) AS seq, CAST(length(x) AS INTEGER) AS n, CASE WHEN length(first) > 140 THEN substr(first, 1, 140) || '...' ELSE first END AS title FROM g""",
     "action_split": f"""{ACTIONS.format(name="'Customer Co (CRD #' || c_custkey || ', Rome, NY)'", doc="CAST(c_custkey // 600 * 25 + c_nationkey AS BIGINT)", every=5, header="Firms Fined")}

@@ -119,6 +119,26 @@ def test_factors_start_where_a_repeated_group_would(spark):
     assert [(r["seq"], len(r["text"])) for r in rows] == [(1, documents.MAX_FACTOR)]
 
 
+def test_factors_are_whole(spark):
+    """However long: paragraphs, a run of sentences, and a first sentence that is the whole factor."""
+    long = " ".join(f"Word{k} may fail." for k in range(2000))
+    rows = documents.factors(spark.createDataFrame([(1, f"{long}\n\nShort.\n\n  {'x' * 9000}\n{'y' * 300} "), (2, "z" * 5000)], "filing int, text string")).collect()
+    assert {(r["filing"], r["seq"]): r["text"] for r in rows} == {(1, 0): long, (1, 2): "x" * 9000 + " " + "y" * 300, (2, 0): "z" * 5000}
+    run = "The" + " word" * 30000 + " may fail."
+    rows = documents.factors(spark.createDataFrame([(1, f"It is so. {run} Our plan is one that could fail.")], "filing int, text string")).collect()
+    assert [(r["seq"], r["text"]) for r in rows] == [(1, run)]
+
+
+def test_factor_split_measures_whole_factors(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
+    want = {}
+    for r in docs:
+        parts = re.split(r"\n\s*\n+", r["text"].replace("\n", "\n\n"))
+        parts = parts if len(parts) >= 3 else re.split(documents.FACTOR_START, r["text"].replace("\n", "\n\n"))
+        want |= {(r["doc_id"], k): len(" ".join(p.split())) for k, p in enumerate(parts) if len(" ".join(p.split())) >= 200}
+    assert {(r["filing"], r["seq"]): r["n"] for r in QUERIES["factor_split"](spark, sf).collect()} == want and max(want.values()) > 4000
+
+
 def test_release_texts(spark):
     get = lambda c, t: spark.createDataFrame([(t,)], "t string").select(c(F.col("t")).alias("x")).first()["x"]
     facts = "The respondent sold notes. " * 20
